@@ -8,7 +8,7 @@ from .encode import DEFAULT_STRING_MAP, encode_booleans, encode_strings, prepare
 from .metrics import (batch_metrics, classification_metrics, confusion_matrix, custom_metric, log_loss,
                       regression_metrics, score)
 from .mlp import MLPModel, MLPSpec, OptimizerSpec, init_model
-from .predict import ensemble_predict, predict
+from .scoring import ensemble_predict, predict
 from .profile import (class_balance, class_weights, collect_class_weights, correlation_matrix, describe_table,
                       drop_nulls, fill_nulls, histogram, label_profile, null_profile, parallel_coordinates,
                       row_count, scatter_pairs, size_estimate, summary_table, unique_values)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .batches import assign_batches, group_batches
 from .mlp import (MLPModel, MLPSpec, OptimizerSpec, init_model, l2_penalty, loss_and_grad, optimizer_step,
                   param_index, predict_scores, row_losses, forward)
-from .predict import features_array
+from .scoring import features_array
 
 _OUT_SCHEMA = "pos long, value double"
 # Negative positions carry the per-task counters.

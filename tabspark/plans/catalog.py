@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import predicted_class, round6
 from ..operators import batches, categories, columns, encode, metrics, profile, sampling, scale, train
-from ..operators.predict import ensemble_predict, predict as score_rows
+from ..operators.scoring import ensemble_predict, predict as score_rows
 from ..operators.mlp import MLPSpec, OptimizerSpec, init_model
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import runs

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from ..operators.columns import feature_columns
 from ..operators.encode import DEFAULT_STRING_MAP, prepare
 from ..operators.mlp import MLPModel, MLPSpec, OptimizerSpec
-from ..operators.predict import ensemble_predict
+from ..operators.scoring import ensemble_predict
 from ..operators.sampling import stratified_sample, train_val_split
 from ..operators.scale import collect_stats, scaling_stats, standardize
 from ..operators.train import FitResult, evaluate, fit

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.encode import encode_strings
 from ..operators.mlp import MLPModel
-from ..operators.predict import predict
+from ..operators.scoring import predict
 from ..operators.scale import standardize
 
 
