@@ -3,42 +3,92 @@
 Spark's ``sample`` and ``randomSplit`` depend on how the input happens to be
 partitioned; the same seed gives other rows after a repartition.  These
 expressions depend only on a row's key values and a seed, so a split, a
-sample or a batch order is the same on any cluster layout (and equal to the
-same expression in other SQL engines: ``md5(concat_ws('|', seed, keys...))``).
-Keys should be integer or string columns; other types are cast to string.
+sample or a batch order is the same on any cluster layout, and any SQL
+engine can compute the same values.
+
+* Integer keys (the common case: surrogate ids) use a 32-bit integer mixing
+  hash built from multiply, xor, shift and modulo on bigints.  It stays
+  inside whole-stage codegen and costs a few nanoseconds per row.
+* Other keys use the first 32 bits of ``md5(seed|key1|key2...)``, which
+  every engine can compute but which costs microseconds per row in Spark.
+
+``h32`` is in [0, 2^32); the batch and sample order is (h32, keys...).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TWO_POW_32 = 4294967296.0
 
+# Fixed values of the integer hash: modulus 2^32, the largest prime below
+# 2^32 (to fold any bigint key into 32 bits), the combining multiplier and
+# the mixing multiplier of the finaliser x ^= x >> 16; x *= MIX; (twice).
+MOD32 = 4294967296
+KEY_PRIME = 4294967291
+COMBINE = 31
+MIX = 0x45D9F3B
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _col(k: str | Column) -> Column:
+    return F.col(f"`{k}`") if isinstance(k, str) else k
+
+
+def integral_keys(df: DataFrame | None, keys: Sequence[str | Column]) -> bool:
+    """True when every key is a named integer column of ``df``."""
+    if df is None or not keys:
+        return False
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return all(isinstance(k, str) and isinstance(types.get(k), _INTEGRAL) for k in keys)
 
-def _key_cols(keys: Sequence[str | Column]) -> list[Column]:
-    if not keys:
-        raise ValueError("at least one key column is needed for a deterministic hash")
-    return [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+
+def _mix32(x: Column) -> Column:
+    for _ in range(2):
+        x = F.pmod(x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(MIX), F.lit(MOD32))
+    return x.bitwiseXOR(F.shiftright(x, 16))
+
+
+def int_h32(keys: Sequence[str | Column], seed: int) -> Column:
+    """32-bit mixing hash of integer keys: no overflow, all bigint arithmetic."""
+    h = F.lit(int(seed) % MOD32).cast("bigint")
+    for k in keys:
+        folded = F.pmod(_col(k).cast("bigint"), F.lit(KEY_PRIME))
+        h = _mix32(F.pmod(h * F.lit(COMBINE) + folded, F.lit(MOD32)))
+    return h
 
 
 def key_md5(keys: Sequence[str | Column], seed: int) -> Column:
     """Hex md5 of ``seed|key1|key2...`` (32 lowercase hex characters)."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *_key_cols(keys)))
+    if not keys:
+        raise ValueError("at least one key column is needed for a deterministic hash")
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[_col(k).cast("string") for k in keys]))
 
 
-def h32(keys: Sequence[str | Column], seed: int) -> Column:
-    """First 32 bits of the key md5 as a non-negative bigint in [0, 2^32)."""
+def h32(keys: Sequence[str | Column], seed: int, df: DataFrame | None = None) -> Column:
+    """Row hash in [0, 2^32): integer mixing hash for integer keys of ``df``, else md5 prefix."""
+    if not keys:
+        raise ValueError("at least one key column is needed for a deterministic hash")
+    if integral_keys(df, keys):
+        return int_h32(keys, seed)
     return F.conv(F.substring(key_md5(keys, seed), 1, 8), 16, 10).cast("bigint")
 
 
-def unit_hash(keys: Sequence[str | Column], seed: int) -> Column:
+def order_key(keys: Sequence[str | Column], seed: int, df: DataFrame | None = None) -> Column:
+    """Leading sort key of the hash order; its first 32 bits are ``h32``."""
+    return int_h32(keys, seed) if integral_keys(df, keys) else key_md5(keys, seed)
+
+
+def unit_hash(keys: Sequence[str | Column], seed: int, df: DataFrame | None = None) -> Column:
     """The key hash mapped to [0, 1)."""
-    return h32(keys, seed) / F.lit(TWO_POW_32)
+    return h32(keys, seed, df) / F.lit(TWO_POW_32)
 
 
-def hash_below(keys: Sequence[str | Column], seed: int, fraction: float) -> Column:
+def hash_below(keys: Sequence[str | Column], seed: int, fraction: float, df: DataFrame | None = None) -> Column:
     """True for about ``fraction`` of the key values: h32 < floor(fraction * 2^32)."""
-    return h32(keys, seed) < F.lit(int(fraction * TWO_POW_32))
+    return h32(keys, seed, df) < F.lit(int(fraction * TWO_POW_32))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import key_md5
+from ..functions.hashing import order_key
 from .ranking import ranked_with_total
 
 
@@ -50,13 +50,15 @@ def _orderable(dtype: T.DataType) -> bool:
 
 
 def hash_order(df: DataFrame, keys: Sequence[str] | None, seed: int) -> list[Column]:
-    """Sort key of the batch order: md5(seed|keys) then the keys themselves.
+    """Sort key of the batch order: the key hash, then the keys themselves.
 
     Without keys the hash covers every orderable column (full-row order);
     equal rows are interchangeable, so their relative order does not matter.
     """
     cols = list(keys) if keys else [f.name for f in df.schema.fields if _orderable(f.dataType)]
-    return [key_md5([F.col(f"`{c}`") for c in cols], seed)] + [F.col(f"`{c}`") for c in cols]
+    if keys:
+        return [order_key(cols, seed, df)] + [F.col(f"`{c}`") for c in cols]
+    return [order_key([F.col(f"`{c}`") for c in cols], seed)] + [F.col(f"`{c}`") for c in cols]
 
 
 def assign_batches(

@@ -257,7 +257,7 @@ def scatter_pairs(
     sampled row; rows per input row are bounded by the column pairs.
     """
     cols = list(columns)
-    sampled = df if fraction >= 1.0 else df.where(hash_below(keys, seed, fraction))
+    sampled = df if fraction >= 1.0 else df.where(hash_below(keys, seed, fraction, df))
     pairs = [
         F.struct(F.lit(a).alias("x_col"), F.lit(b).alias("y_col"),
                  _q(a).cast("double").alias("x"), _q(b).cast("double").alias("y"))
@@ -290,7 +290,7 @@ def parallel_coordinates(
     if fraction is not None and fraction < 1.0:
         if not keys:
             raise ValueError("a sample needs key columns for the hash")
-        src = src.where(hash_below(keys, seed, fraction))
+        src = src.where(hash_below(keys, seed, fraction, df))
     ids = [_q(k) for k in (keys or [])]
     return src.select(*ids, _q(label), F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), values[c].alias("value")) for c in cols

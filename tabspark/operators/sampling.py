@@ -3,17 +3,18 @@
 ``sample`` and ``randomSplit`` (the reference's calls) depend on the input's
 partitioning.  The ``hash_*`` operators decide per row from a hash of its key
 values and a seed: a pure filter that Catalyst pushes next to the scan, the
-same on any layout and in any engine that can compute md5.
+same on any layout and in any engine that can compute the same hash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import TWO_POW_32, h32, hash_below, key_md5
+from ..functions.hashing import TWO_POW_32, h32, hash_below, order_key
 from .batches import _orderable
 from .ranking import global_rank
 
@@ -42,7 +43,7 @@ def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int =
     """Rows whose key hash falls below ``fraction`` (L3, deterministic)."""
     if fraction >= 1.0:
         return df
-    return df.where(hash_below(keys, seed, fraction))
+    return df.where(hash_below(keys, seed, fraction, df))
 
 
 def hash_side(df: DataFrame, keys: Sequence[str], weights: Sequence[float], seed: int = 0,
@@ -53,7 +54,7 @@ def hash_side(df: DataFrame, keys: Sequence[str], weights: Sequence[float], seed
     for w in weights[:-1]:
         acc += w / total
         bounds.append(int(acc * TWO_POW_32))
-    h = h32(keys, seed)
+    h = h32(keys, seed, df)
     expr = F.lit(len(weights) - 1)
     for i in range(len(bounds) - 1, -1, -1):
         expr = F.when(h < F.lit(bounds[i]), F.lit(i)).otherwise(expr)
@@ -65,7 +66,7 @@ def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0
     """Deterministic ``randomSplit`` (L4): each side is a filter on the key hash."""
     total = float(sum(weights))
     out, lo = [], 0.0
-    h = h32(keys, seed)
+    h = h32(keys, seed, df)
     for i, w in enumerate(weights):
         hi = lo + w / total
         cond = h >= F.lit(int(lo * TWO_POW_32))
@@ -86,6 +87,13 @@ def train_val_split(df: DataFrame, val_ratio: float = 0.2, seed: int = 3,
     return train, val
 
 
+HASH_BUCKET_BITS = 16
+# Boundary buckets up to this many rows per class are ranked with a window
+# partitioned by class (one task per class holds at most this many rows);
+# larger ones (a hot key) go through the range-partitioned global_rank.
+WINDOW_MAX_ROWS = 2_000_000
+
+
 def stratified_sample(
     df: DataFrame,
     label: str,
@@ -93,52 +101,68 @@ def stratified_sample(
     n_per_class: int | None = None,
     seed: int = 0,
     tiebreak: Sequence[str] | None = None,
-    slack: float = 1.25,
 ) -> DataFrame:
     """Balanced sample (T1): the first ``n`` rows of every class in key-hash order.
 
     ``n`` defaults to the size of the smallest class, so every class is
-    equally represented.  Rows are ordered by (md5(seed|keys), ``tiebreak``
-    columns; all other orderable columns by default), so the sample is the
+    equally represented.  Rows are ordered by (key hash, keys, ``tiebreak``
+    columns: all other orderable columns by default), so the sample is the
     same on any layout.
 
-    Only the rows that can be in the sample are ranked: per class a hash
-    threshold keeps about ``slack`` x the needed rows (checked with one count
-    and widened if short), then one range-partitioned rank over that subset
-    picks the exact first ``n`` rows; a hot class is split over partitions
-    by the range sort, never sorted in one task.
+    Exact selection without sorting the table:
+
+    1. a histogram of the top 16 hash bits per class (one aggregate, at most
+       65,536 rows per class, kept in memory) gives the class sizes and the
+       bucket holding each class's n-th row;
+    2. rows in lower buckets are taken by a filter; only the rows of the
+       boundary bucket (about 1/65,536 of the class, its size known from the
+       histogram) are ranked: by a window partitioned by class when the
+       bucket is small, else by the range-partitioned ``global_rank``, so even
+       a hot key is split over tasks.
     """
-    counts = {r[label]: r["n"] for r in df.groupBy(_q(label)).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return df
-    n = int(n_per_class if n_per_class is not None else min(counts.values()))
-    ties = list(tiebreak) if tiebreak is not None else [
-        f.name for f in df.schema.fields if f.name not in keys and f.name != label and _orderable(f.dataType)]
     spark = df.sparkSession
     label_type = df.schema[label].dataType.simpleString()
-
-    def thresholds(widen: set) -> DataFrame:
-        rows = []
-        for cls, total in counts.items():
-            frac = 1.0 if cls in widen or total <= n else min(1.0, slack * n / total + 64.0 / total)
-            rows.append((cls, int(min(frac, 1.0) * TWO_POW_32) if frac < 1.0 else int(TWO_POW_32), min(n, total)))
-        return spark.createDataFrame(rows, f"__cls {label_type}, __thr bigint, __need bigint")
-
-    def candidates(thr: DataFrame) -> DataFrame:
-        # One row per class: a broadcast of bounded size.
-        joined = df.join(F.broadcast(thr), _q(label).eqNullSafe(F.col("__cls")))
-        return joined.where(h32(keys, seed) < F.col("__thr")).drop("__cls", "__thr")
-
-    thr = thresholds(set())
-    cand = candidates(thr)
-    have = {r[label]: r["n"] for r in cand.groupBy(_q(label)).agg(F.count(F.lit(1)).alias("n")).collect()}
-    short = {cls for cls, total in counts.items() if have.get(cls, 0) < min(n, total)}
-    if short:
-        cand = candidates(thresholds(short))
-    order = [_q(label), key_md5(keys, seed)] + [_q(c) for c in ties]
-    ranked = global_rank(cand, order, "__rank")
-    starts = ranked.groupBy(_q(label)).agg(F.min("__rank").alias("__start"), F.first("__need").alias("__need2"))
-    starts = starts.withColumnRenamed(label, "__cls")
-    picked = (ranked.join(F.broadcast(starts), _q(label).eqNullSafe(F.col("__cls")))
-              .where(F.col("__rank") - F.col("__start") < F.col("__need2")))
-    return picked.drop("__cls", "__start", "__need", "__need2", "__rank")
+    ties = list(tiebreak) if tiebreak is not None else [
+        f.name for f in df.schema.fields if f.name not in keys and f.name != label and _orderable(f.dataType)]
+    n_buckets = 1 << HASH_BUCKET_BITS
+    tagged = df.withColumn("__bucket", F.shiftright(h32(keys, seed, df), 32 - HASH_BUCKET_BITS))
+    hist = (tagged.groupBy(_q(label).alias("__cls"), "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        counts = {r["__cls"]: r["total"] for r in hist.groupBy("__cls").agg(F.sum("__n").alias("total")).collect()}
+        if not counts:
+            return df
+        n = int(n_per_class if n_per_class is not None else min(counts.values()))
+        needs = {cls: min(n, total) for cls, total in counts.items()}
+        partial = [cls for cls, total in counts.items() if needs[cls] < total]
+        # (boundary bucket, rows before it, rows needed, rows in the bucket)
+        bounds = {cls: (n_buckets, needs[cls], needs[cls], 0) for cls in counts if cls not in partial}
+        if partial:
+            need_df = spark.createDataFrame([(c, needs[c]) for c in partial], f"__cls {label_type}, __need bigint")
+            # At most 2^16 histogram rows per class: the running sum stays small.
+            cum = F.sum("__n").over(Window.partitionBy("__cls").orderBy("__bucket")
+                                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            edge = (hist.join(F.broadcast(need_df), hist["__cls"].eqNullSafe(need_df["__cls"]))
+                    .select(hist["__cls"], "__bucket", "__n", "__need").withColumn("__cum", cum)
+                    .where((F.col("__cum") >= F.col("__need")) & (F.col("__cum") - F.col("__n") < F.col("__need"))))
+            for r in edge.collect():
+                bounds[r["__cls"]] = (r["__bucket"], r["__cum"] - r["__n"], r["__need"], r["__n"])
+    finally:
+        hist.unpersist()
+    bounds_df = spark.createDataFrame([(c, b, before, need) for c, (b, before, need, _) in bounds.items()],
+                                      f"__cls {label_type}, __b bigint, __before bigint, __need bigint")
+    cand = tagged.join(F.broadcast(bounds_df), _q(label).eqNullSafe(F.col("__cls")))
+    whole = cand.where(F.col("__bucket") < F.col("__b"))
+    edge_rows = cand.where(F.col("__bucket") == F.col("__b"))
+    order = [order_key(keys, seed, df)] + [_q(k) for k in keys] + [_q(c) for c in ties]
+    largest = max((size for *_, size in bounds.values()), default=0)
+    if largest <= WINDOW_MAX_ROWS:
+        pos = F.row_number().over(Window.partitionBy("__cls").orderBy(*order)) - 1
+        picked = edge_rows.withColumn("__pos", pos)
+    else:
+        ranked = global_rank(edge_rows, [F.col("__cls")] + order, "__rank")
+        starts = ranked.groupBy("__cls").agg(F.min("__rank").alias("__start"))
+        picked = ranked.join(F.broadcast(starts), "__cls").withColumn("__pos", F.col("__rank") - F.col("__start"))
+    picked = picked.where(F.col("__pos") < F.col("__need") - F.col("__before"))
+    drop = ["__bucket", "__cls", "__b", "__before", "__need", "__rank", "__start", "__pos"]
+    return whole.drop(*drop).unionByName(picked.drop(*drop))

@@ -7,22 +7,31 @@ depends on training (Q30, Q31, Q33) have no SQL form.
 
 from __future__ import annotations
 
+from ..functions import hashing
 from . import fixed
 
 SEED = fixed.SEED
 TWO32 = 4294967296
 
 
-def _h32(*keys: str) -> str:
-    return f"('0x' || substr(md5(concat_ws('|', '{SEED}', {', '.join(keys)})), 1, 8))::BIGINT"
+def _hashed(src: str, keys: list[str], name: str = "__h") -> str:
+    """``src`` plus the integer key hash as column ``name`` (same steps as Spark's)."""
+    cols, prev = [], str(SEED % hashing.MOD32)
+    for i, k in enumerate(keys):
+        folded = f"((({k}) % {hashing.KEY_PRIME}) + {hashing.KEY_PRIME}) % {hashing.KEY_PRIME}"
+        cols.append(f"(({prev}) * {hashing.COMBINE} + {folded}) % {hashing.MOD32} AS __k{i}_0")
+        x = f"__k{i}_0"
+        for j in (1, 2):
+            cols.append(f"(xor({x}, {x} >> 16) * {hashing.MIX}) % {hashing.MOD32} AS __k{i}_{j}")
+            x = f"__k{i}_{j}"
+        cols.append(f"xor({x}, {x} >> 16) AS __k{i}_3")
+        prev = f"__k{i}_3"
+    cols.append(f"{prev} AS {name}")
+    return f"(SELECT *, {', '.join(cols)} FROM {src})"
 
 
-def _md5(*keys: str) -> str:
-    return f"md5(concat_ws('|', '{SEED}', {', '.join(keys)}))"
-
-
-def _below(fraction: float, *keys: str) -> str:
-    return f"{_h32(*keys)} < {int(fraction * TWO32)}"
+def _below(fraction: float) -> str:
+    return f"__h < {int(fraction * TWO32)}"
 
 
 def _num(x: float) -> str:
@@ -165,7 +174,8 @@ def _scatter_sql() -> str:
         for b in cols[i + 1:]:
             parts.append(f"SELECT l_partkey, '{a}' AS x_col, '{b}' AS y_col, CAST({a} AS DOUBLE) AS x, "
                          f"CAST({b} AS DOUBLE) AS y FROM s")
-    return f"WITH s AS (SELECT * FROM lineitem WHERE {_below(0.1, 'l_partkey')})\n" + "\nUNION ALL ".join(parts)
+    return (f"WITH s AS (SELECT * FROM {_hashed('lineitem', ['l_partkey'])} WHERE {_below(0.1)})\n"
+            + "\nUNION ALL ".join(parts))
 
 
 SQL["q08_scatter_pairs_lineitem"] = _scatter_sql()
@@ -283,47 +293,47 @@ SELECT o_orderkey, ROUND({_mm('o_totalprice')}, 6) AS o_totalprice FROM orders,
 """
 
 SQL["q20a_hash_split_orders"] = f"""
-SELECT o_orderkey, CAST(CASE WHEN {_h32('o_orderkey')} < {int(0.8 * TWO32)} THEN 0 ELSE 1 END AS INTEGER) AS side
-FROM orders
+SELECT o_orderkey, CAST(CASE WHEN __h < {int(0.8 * TWO32)} THEN 0 ELSE 1 END AS INTEGER) AS side
+FROM {_hashed('orders', ['o_orderkey'])}
 """
 
 SQL["q20b_split_stats_orders"] = f"""
 SELECT side, count(*) AS rows, ROUND(avg(o_totalprice), 6) AS mean_totalprice
 FROM (SELECT o_totalprice,
-             CAST(CASE WHEN {_h32('o_orderkey')} < {int(0.8 * TWO32)} THEN 0 ELSE 1 END AS INTEGER) AS side
-      FROM orders)
+             CAST(CASE WHEN __h < {int(0.8 * TWO32)} THEN 0 ELSE 1 END AS INTEGER) AS side
+      FROM {_hashed('orders', ['o_orderkey'])})
 GROUP BY side
 """
 
 SQL["q20c_batch_counts_orders"] = f"""
 SELECT split, rows, GREATEST(1, rows // {fixed.BATCH}) AS batches
-FROM (SELECT CASE WHEN {_h32('o_orderkey')} < {int(0.8 * TWO32)} THEN 'train' ELSE 'val' END AS split,
+FROM (SELECT CASE WHEN __h < {int(0.8 * TWO32)} THEN 'train' ELSE 'val' END AS split,
              count(*) AS rows
-      FROM orders GROUP BY 1)
+      FROM {_hashed('orders', ['o_orderkey'])} GROUP BY 1)
 """
 
 SQL["q21_hash_sample_events"] = f"""
-SELECT event_id, user_id, event_type, value FROM events WHERE {_below(0.1, 'event_id')}
+SELECT event_id, user_id, event_type, value FROM {_hashed('events', ['event_id'])} WHERE {_below(0.1)}
 """
 
 SQL["q22_head_customer"] = "SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 5"
 
-_RANK_ORDERS = f"""r AS (SELECT *, row_number() OVER (ORDER BY {_md5('o_orderkey')}, o_orderkey) - 1 AS rk FROM {{src}}),
-nb AS (SELECT GREATEST(1, count(*) // {fixed.BATCH}) AS nb FROM orders)"""
+_RANK_ORDERS = """r AS (SELECT *, row_number() OVER (ORDER BY __h, o_orderkey) - 1 AS rk FROM {src}),
+nb AS (SELECT GREATEST(1, count(*) // """ + str(fixed.BATCH) + """) AS nb FROM orders)"""
 
 SQL["q23a_batches_equal_orders"] = f"""
-WITH {_RANK_ORDERS.format(src='orders')}
+WITH {_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey']))}
 SELECT o_orderkey, rk % nb AS batch_id, rk // nb AS batch_pos FROM r, nb
 """
 
 SQL["q23b_batches_fixed_orders"] = f"""
-WITH {_RANK_ORDERS.format(src='orders')}
+WITH {_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey']))}
 SELECT o_orderkey, rk // {fixed.BATCH} AS batch_id, rk % {fixed.BATCH} AS batch_pos FROM r
 """
 
 SQL["q24_batch_profile_orders"] = f"""
 WITH {_zscore_cte('orders', ['o_totalprice'])},
-{_RANK_ORDERS.format(src='orders')}
+{_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey']))}
 SELECT rk % nb AS batch_id, count(*) AS rows, ROUND(avg({_z('o_totalprice')}), 6) AS mean_o_totalprice
 FROM r, nb, s GROUP BY 1
 """
@@ -332,9 +342,9 @@ SQL["q34_stratified_lineitem"] = f"""
 WITH c AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_linestatus)),
 r AS (SELECT *, row_number() OVER (
         PARTITION BY l_linestatus
-        ORDER BY {_md5('l_orderkey', 'l_linenumber')}, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+        ORDER BY __h, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                  l_discount, l_tax, l_returnflag, l_shipdate) AS rn
-      FROM lineitem)
+      FROM {_hashed('lineitem', ['l_orderkey', 'l_linenumber'])})
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
        l_returnflag, l_linestatus
 FROM r, c WHERE rn <= c.n
@@ -420,7 +430,7 @@ sc AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS
        FROM orders, s)"""
 
 _ORDERS_BATCHED = f"""{_ORDERS_SCORED},
-{_RANK_ORDERS.format(src='sc')},
+{_RANK_ORDERS.format(src=_hashed('sc', ['o_orderkey']))},
 bt AS (SELECT rk % nb AS batch_id, y, p, {_pred_class('p')} AS yhat FROM r, nb)"""
 
 SQL["q27_batch_metrics_orders"] = f"""WITH {_ORDERS_BATCHED},

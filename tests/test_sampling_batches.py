@@ -9,6 +9,25 @@ from tabspark.operators import sampling as S
 ORDERS = "/root/testdata/sf0.01/orders.parquet"
 
 
+def _int_hash(seed, *keys):
+    """Plain-Python version of the integer key hash."""
+    m, p = 2 ** 32, 4294967291
+    h = seed % m
+    for k in keys:
+        x = (h * 31 + k % p) % m
+        for _ in range(2):
+            x = ((x ^ (x >> 16)) * 0x45D9F3B) % m
+        h = x ^ (x >> 16)
+    return h
+
+
+def test_int_hash_matches_python(spark):
+    from tabspark.functions import h32
+    df = spark.createDataFrame([(i * 7919 - 5000, i) for i in range(200)], "a bigint, b int")
+    got = [r[0] for r in df.select(h32(["a", "b"], 11, df)).collect()]
+    assert got == [_int_hash(11, a, b) for a, b in ((i * 7919 - 5000, i) for i in range(200))]
+
+
 def test_hash_split_partitions_input_independent_of_layout(spark):
     o = spark.read.parquet(ORDERS).select("o_orderkey")
     a, b = S.hash_split(o, ["o_orderkey"], (0.8, 0.2), seed=3)
@@ -78,9 +97,8 @@ def test_stratified_sample_equals_brute_force(spark):
     got = S.stratified_sample(df, "y", ["id"], seed=9).toPandas()
     counts = got.groupby("y").size()
     assert counts[0] == counts[1] == (pdf["y"] == 1).sum()
-    # brute force: md5 order within class
-    import hashlib
-    pdf["h"] = [hashlib.md5(f"9|{i}".encode()).hexdigest() for i in pdf["id"]]
+    # brute force: hash order within class
+    pdf["h"] = [_int_hash(9, i) for i in pdf["id"]]
     m = int((pdf["y"] == 1).sum())
-    exp = pdf.sort_values(["y", "h", "v"]).groupby("y").head(m)
+    exp = pdf.sort_values(["y", "h", "id", "v"]).groupby("y").head(m)
     assert set(got["id"]) == set(exp["id"])
