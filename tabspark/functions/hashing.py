@@ -6,9 +6,12 @@ expressions depend only on a row's key values and a seed, so a split, a
 sample or a batch order is the same on any cluster layout, and any SQL
 engine can compute the same values.
 
-* Integer keys (the common case: surrogate ids) use a 32-bit integer mixing
-  hash built from multiply, xor, shift and modulo on bigints.  It stays
-  inside whole-stage codegen and costs a few nanoseconds per row.
+* Integer keys (the common case: surrogate ids) use an affine hash: per key
+  ``h = (h * STEP + key * KEY_MULT) mod KEY_PRIME``, then one more affine
+  map modulo a second prime.  Bigint arithmetic without overflow, every
+  intermediate used once (the expression grows linearly with the keys),
+  inside whole-stage codegen at a few nanoseconds per row; the top bits are
+  evenly spread even for consecutive keys.
 * Other keys use the first 32 bits of ``md5(seed|key1|key2...)``, which
   every engine can compute but which costs microseconds per row in Spark.
 
@@ -25,13 +28,14 @@ from pyspark.sql import types as T
 
 TWO_POW_32 = 4294967296.0
 
-# Fixed values of the integer hash: modulus 2^32, the largest prime below
-# 2^32 (to fold any bigint key into 32 bits), the combining multiplier and
-# the mixing multiplier of the finaliser x ^= x >> 16; x *= MIX; (twice).
-MOD32 = 4294967296
+# Fixed values of the integer hash: two primes below 2^32 and three
+# multipliers below 2^30 (so no product exceeds 2^62), plus an offset.
 KEY_PRIME = 4294967291
-COMBINE = 31
-MIX = 0x45D9F3B
+FINAL_PRIME = 4294967279
+STEP = 1000000007
+KEY_MULT = 805306457
+FINAL_MULT = 998244353
+FINAL_ADD = 362437
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -48,19 +52,14 @@ def integral_keys(df: DataFrame | None, keys: Sequence[str | Column]) -> bool:
     return all(isinstance(k, str) and isinstance(types.get(k), _INTEGRAL) for k in keys)
 
 
-def _mix32(x: Column) -> Column:
-    for _ in range(2):
-        x = F.pmod(x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(MIX), F.lit(MOD32))
-    return x.bitwiseXOR(F.shiftright(x, 16))
-
-
 def int_h32(keys: Sequence[str | Column], seed: int) -> Column:
-    """32-bit mixing hash of integer keys: no overflow, all bigint arithmetic."""
-    h = F.lit(int(seed) % MOD32).cast("bigint")
+    """Affine hash of integer keys into [0, FINAL_PRIME), a subset of [0, 2^32)."""
+    h = F.lit(int(seed) % KEY_PRIME).cast("bigint")
     for k in keys:
         folded = F.pmod(_col(k).cast("bigint"), F.lit(KEY_PRIME))
-        h = _mix32(F.pmod(h * F.lit(COMBINE) + folded, F.lit(MOD32)))
-    return h
+        h = F.pmod(F.pmod(h * F.lit(STEP), F.lit(KEY_PRIME)) + F.pmod(folded * F.lit(KEY_MULT), F.lit(KEY_PRIME)),
+                   F.lit(KEY_PRIME))
+    return F.pmod(h * F.lit(FINAL_MULT) + F.lit(FINAL_ADD), F.lit(FINAL_PRIME))
 
 
 def key_md5(keys: Sequence[str | Column], seed: int) -> Column:

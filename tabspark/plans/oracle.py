@@ -15,19 +15,14 @@ TWO32 = 4294967296
 
 
 def _hashed(src: str, keys: list[str], name: str = "__h") -> str:
-    """``src`` plus the integer key hash as column ``name`` (same steps as Spark's)."""
-    cols, prev = [], str(SEED % hashing.MOD32)
-    for i, k in enumerate(keys):
-        folded = f"((({k}) % {hashing.KEY_PRIME}) + {hashing.KEY_PRIME}) % {hashing.KEY_PRIME}"
-        cols.append(f"(({prev}) * {hashing.COMBINE} + {folded}) % {hashing.MOD32} AS __k{i}_0")
-        x = f"__k{i}_0"
-        for j in (1, 2):
-            cols.append(f"(xor({x}, {x} >> 16) * {hashing.MIX}) % {hashing.MOD32} AS __k{i}_{j}")
-            x = f"__k{i}_{j}"
-        cols.append(f"xor({x}, {x} >> 16) AS __k{i}_3")
-        prev = f"__k{i}_3"
-    cols.append(f"{prev} AS {name}")
-    return f"(SELECT *, {', '.join(cols)} FROM {src})"
+    """``src`` plus the integer key hash as column ``name`` (the same arithmetic as Spark's)."""
+    p = hashing.KEY_PRIME
+    h = f"CAST({SEED % p} AS BIGINT)"
+    for k in keys:
+        folded = f"(((CAST({k} AS BIGINT)) % {p}) + {p}) % {p}"
+        h = f"((({h}) * {hashing.STEP}) % {p} + ({folded}) * {hashing.KEY_MULT} % {p}) % {p}"
+    final = f"(({h}) * {hashing.FINAL_MULT} + {hashing.FINAL_ADD}) % {hashing.FINAL_PRIME}"
+    return f"(SELECT *, {final} AS {name} FROM {src})"
 
 
 def _below(fraction: float) -> str:

@@ -11,14 +11,11 @@ ORDERS = "/root/testdata/sf0.01/orders.parquet"
 
 def _int_hash(seed, *keys):
     """Plain-Python version of the integer key hash."""
-    m, p = 2 ** 32, 4294967291
-    h = seed % m
+    p1, p2 = 4294967291, 4294967279
+    h = seed % p1
     for k in keys:
-        x = (h * 31 + k % p) % m
-        for _ in range(2):
-            x = ((x ^ (x >> 16)) * 0x45D9F3B) % m
-        h = x ^ (x >> 16)
-    return h
+        h = ((h * 1000000007) % p1 + ((k % p1) * 805306457) % p1) % p1
+    return (h * 998244353 + 362437) % p2
 
 
 def test_int_hash_matches_python(spark):
