@@ -11,7 +11,7 @@ from .mlp import MLPModel, MLPSpec, OptimizerSpec, init_model
 from .scoring import ensemble_predict, predict
 from .profile import (class_balance, class_weights, collect_class_weights, correlation_matrix, describe_table,
                       drop_nulls, fill_nulls, histogram, label_profile, null_profile, parallel_coordinates,
-                      row_count, scatter_pairs, size_estimate, summary_table, unique_values)
+                      row_count, scatter_pairs, size_estimate, summary_table, timed_count, unique_values)
 from .ranking import global_rank
 from .sampling import hash_sample, hash_side, hash_split, head_rows, random_sample, stratified_sample, train_val_split
 from .scale import collect_stats, minmax_scale, scaling_stats, standardize

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .ranking import global_rank
 
 # Category tables up to this many rows are broadcast to the scoring join.
-BROADCAST_MAX_CATEGORIES = 1_000_000
+BROADCAST_MAX_CATEGORIES = 100_000
 
 
 def category_index(df: DataFrame, column: str, index_col: str = "index") -> DataFrame:

@@ -9,6 +9,7 @@ structs, so any column name (spaces, dots) works.
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +36,13 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
+def timed_count(df: DataFrame) -> dict:
+    """Rows and the seconds a full count took (A5's timing: cost of one pass)."""
+    start = time.perf_counter()
+    rows = df.count()
+    return {"rows": rows, "seconds": time.perf_counter() - start}
+
+
 def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, stddev, min, max of numeric and string columns (A2).
 
@@ -195,7 +203,7 @@ def histogram(
     edges = df.sparkSession.createDataFrame(
         skeleton, "column_name string, bin int, lower double, upper double")
     # Both sides hold at most columns x bins rows.
-    return (F.broadcast(edges).join(counts, ["column_name", "bin"], "left")
+    return (edges.join(F.broadcast(counts), ["column_name", "bin"], "left")
             .select("column_name", "bin", "lower", "upper",
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 

@@ -283,11 +283,13 @@ def fit(
         batched = assign_batches(frame, batch_size, keys=keep or None, seed=seed, mode=mode, partitions=n_parts)
         work = group_batches(batched.select("batch_id", "batch_pos", "x", "y", "w"), n_parts)
     else:
-        work = frame.select("x", "y", "w")
+        work = frame.select("x", "y", "w").repartition(n_parts)
+    # Read once per epoch: spread over the training partitions and keep.
     work = work.persist(StorageLevel.MEMORY_AND_DISK)
     val_frame = None
     if val is not None:
-        val_frame = training_frame(val, features, label).select("x", "y").persist(StorageLevel.MEMORY_AND_DISK)
+        val_frame = (training_frame(val, features, label).select("x", "y").repartition(n_parts)
+                     .persist(StorageLevel.MEMORY_AND_DISK))
     theta = model.flat()
     state = np.zeros(n_params)
     iteration = 0

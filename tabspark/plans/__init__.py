@@ -1,5 +1,5 @@
 """Composite plans: the training workflow and the driver's query set."""
 
-from .workflow import TrainedWorkflow, train_ensemble, train_workflow
+from .workflow import TrainedWorkflow, score_model, train_ensemble, train_workflow
 
-__all__ = ["TrainedWorkflow", "train_ensemble", "train_workflow"]
+__all__ = ["TrainedWorkflow", "score_model", "train_ensemble", "train_workflow"]

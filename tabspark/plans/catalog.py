@@ -418,6 +418,19 @@ def q33(spark, d):
     return spark.read.parquet(f"{path}/best_model/params")
 
 
+@query("q38_train_workflow_lineitem")
+def q38(spark, d):
+    """M11 end to end: prepare lineitem, split, scale, fit, evaluate (label: line status O)."""
+    from .workflow import train_workflow
+    li = _t(spark, d, "lineitem")
+    wf = train_workflow(li, "l_linestatus", drop=["l_shipdate", "l_returnflag", "l_partkey", "l_suppkey"],
+                        mapping=fixed.STATUS_MAP, keys=["l_orderkey", "l_linenumber"], seed=fixed.SEED,
+                        batch_size=fixed.BATCH, hidden=((16, 0.0), (16, 0.0)), epochs=2,
+                        class_weight=fixed.CLASS_WEIGHT)
+    return wf.fit.history.unionByName(
+        wf.scores.select(F.lit(0).alias("epoch"), F.concat_ws("_", "dataset", "metric").alias("metric"), "value"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-feature summary of the prepared lineitem table."""
     prepared = encode.prepare(_t(spark, sf_dir, "lineitem"), drop=["l_shipdate", "l_returnflag"],

@@ -13,8 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..operators.batches import assign_batches
 from ..operators.columns import feature_columns
 from ..operators.encode import DEFAULT_STRING_MAP, prepare
+from ..operators.metrics import score
 from ..operators.mlp import MLPModel, MLPSpec, OptimizerSpec
 from ..operators.scoring import ensemble_predict
 from ..operators.sampling import stratified_sample, train_val_split
@@ -65,6 +67,29 @@ def train_workflow(
     return TrainedWorkflow(features, label, stats, result, scores)
 
 
+def score_model(
+    df: DataFrame,
+    model: MLPModel,
+    features: Sequence[str],
+    label: str,
+    stats: dict | None = None,
+    batch_size: int = 32,
+    keys: Sequence[str] | None = None,
+    seed: int = 0,
+    average: str = "batch",
+) -> DataFrame:
+    """Scale, score and measure a table in one plan.
+
+    ``average="batch"`` is the reference's mean of per-batch metrics over
+    ``n // batch_size`` batches; ``"pooled"`` scores all rows at once.
+    """
+    scaled = standardize(df, stats, features) if stats is not None else df
+    scored = ensemble_predict(scaled, [model], list(features), "__score")
+    if average == "batch":
+        scored = assign_batches(scored, batch_size, keys, seed)
+    return score(scored, label, "__score", average=average)
+
+
 def train_ensemble(
     df: DataFrame,
     label: str,
@@ -87,4 +112,4 @@ def train_ensemble(
     return models
 
 
-__all__ = ["TrainedWorkflow", "train_workflow", "train_ensemble", "ensemble_predict"]
+__all__ = ["TrainedWorkflow", "train_workflow", "train_ensemble", "score_model", "ensemble_predict"]

@@ -17,7 +17,7 @@ def test_entry_smoke(spark):
 
 def test_oracle_keys_subset():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert len(E.queries()) - len(E.oracle_sql()) == 3
+    assert len(E.queries()) - len(E.oracle_sql()) == 4
 
 
 @pytest.fixture(scope="module")

@@ -51,3 +51,18 @@ def test_custom_metric_and_losses(spark):
     assert abs(ll - np.mean(-(yy * np.log(q) + (1 - yy) * np.log(1 - q)))) < 1e-12
     rm = {r.metric: r.value for r in MT.regression_metrics(df, "y", "p").collect()}
     assert abs(rm["mse"] - np.mean((np.array([0.8, 0.4, 0.6, 0.0]) - yy) ** 2)) < 1e-12
+
+
+def test_score_model_batch_and_pooled(spark):
+    from tabspark.operators import mlp as M
+    from tabspark.plans import score_model
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"id": np.arange(640), "a": rng.normal(size=640), "b": rng.normal(size=640)})
+    pdf["y"] = (pdf["a"] + 0.3 * rng.normal(size=640) > 0).astype(float)
+    df = spark.createDataFrame(pdf)
+    model = M.MLPModel(M.MLPSpec(2), [np.array([[3.0], [0.0]])], [np.array([0.0])])
+    pooled = {(r.metric, r["class"]): r.value for r in score_model(df, model, ["a", "b"], "y", average="pooled").collect()}
+    exp = np.mean(np.rint(1 / (1 + np.exp(-3 * pdf["a"]))) == pdf["y"])
+    assert abs(pooled[("accuracy", None)] - exp) < 1e-12
+    batch = {(r.metric, r["class"]): r.value for r in score_model(df, model, ["a", "b"], "y", batch_size=32, keys=["id"]).collect()}
+    assert abs(batch[("accuracy", None)] - exp) < 0.02
