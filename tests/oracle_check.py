@@ -40,6 +40,28 @@ def norm(v):
     return str(v)
 
 
+def kind(v):
+    if v is None:
+        return None
+    if isinstance(v, bool):
+        return "bool"
+    if isinstance(v, int):
+        return "int"
+    if isinstance(v, float):
+        return "float"
+    return type(v).__name__
+
+
+def kinds(cols, rows):
+    out = {}
+    for r in rows:
+        for c, v in zip(cols, r):
+            k = kind(v)
+            if k is not None:
+                out.setdefault(c, set()).add(k)
+    return out
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in rows]
@@ -66,6 +88,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
     drows = res.fetchall()
     if sorted(scols) != sorted(dcols):
         return f"{name}: COLUMNS differ spark={sorted(scols)} duck={sorted(dcols)}", False
+    ks, kd = kinds(scols, srows), kinds(dcols, drows)
+    type_diff = {c: (ks.get(c), kd.get(c)) for c in scols if ks.get(c) != kd.get(c)}
+    if type_diff:
+        return f"{name}: TYPES differ {type_diff}", False
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     if len(a) != len(b):
         return f"{name}: ROWCOUNT spark={len(a)} duck={len(b)}", False
