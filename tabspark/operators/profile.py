@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import hash_below
 from ..functions.numeric import is_numeric
 from .columns import numeric_columns
+from .quantiles import column_quantiles, exact_quantiles
 from .scale import ColumnStats, collect_stats, minmax, scaling_stats
 
 
@@ -85,15 +86,16 @@ SUMMARY_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 def summary_table(
     df: DataFrame,
     columns: Sequence[str] | None = None,
+    method: str = "exact",
     accuracy: int = 1_000_000,
 ) -> DataFrame:
     """describe + quartiles per numeric column (A3), long form (column_name, statistic, value).
 
-    Quartiles come from ``percentile_approx`` with a high ``accuracy``: a
-    mergeable bounded-size sketch (rank error at most n/accuracy), exact for
-    inputs below about ``accuracy`` rows.  The rows are first unpivoted to
-    (column_name, value), so the final sketch merge is spread over tasks by
-    column instead of holding every column's sketch in one task.
+    Quartiles are exact by default (``quantiles.column_quantiles``: a few
+    filtered passes with bounded histograms, no sort); ``method="approx"``
+    uses one ``percentile_approx`` pass (rank error at most n/accuracy).
+    The rows are unpivoted to (column_name, value) first, so each column's
+    statistics are merged on a different task.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
     if not cols:
@@ -101,19 +103,38 @@ def summary_table(
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), _q(c).cast("double").alias("value")) for c in cols
     ])))
-    agg = long.groupBy("column_name").agg(
-        F.count("value").cast("double").alias("count"),
+    finite = F.when(~F.isnan("value"), F.col("value"))
+    aggs = [
+        F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("stddev"),
         F.min("value").alias("min"),
-        F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("q"),
         F.max("value").alias("max"),
-    )
-    stat_value = {"25%": F.col("q")[0], "50%": F.col("q")[1], "75%": F.col("q")[2]}
-    return agg.select("column_name", F.inline(F.array(*[
-        F.struct(F.lit(s).alias("statistic"), (stat_value[s] if s in stat_value else F.col(s)).alias("value"))
-        for s in SUMMARY_STATS
-    ])))
+        F.count_if(F.isnan("value")).alias("nan"),
+        F.min(finite).alias("lo"),
+        F.max(finite).alias("hi"),
+    ]
+    if method == "approx":
+        aggs.append(F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("q"))
+    elif method != "exact":
+        raise ValueError("method must be 'exact' or 'approx'")
+    # One row per column.
+    rows = {r["column_name"]: r for r in long.groupBy("column_name").agg(*aggs).collect()}
+    if method == "exact":
+        stats = {(c,): (r["count"] - r["nan"], r["lo"], r["hi"], r["nan"]) for c, r in rows.items()}
+        qs = {(r["column_name"], r["prob"]): r["quantile"]
+              for r in column_quantiles(df, cols, [0.25, 0.5, 0.75], stats).collect()}
+    else:
+        qs = {(c, p): (r["q"][i] if r["q"] else None) for c, r in rows.items() for i, p in enumerate([0.25, 0.5, 0.75])}
+    out = []
+    for c in cols:
+        r = rows.get(c)
+        if r is None:
+            continue
+        values = {"count": float(r["count"]), "mean": r["mean"], "stddev": r["stddev"], "min": r["min"],
+                  "25%": qs.get((c, 0.25)), "50%": qs.get((c, 0.5)), "75%": qs.get((c, 0.75)), "max": r["max"]}
+        out += [(c, s, None if values[s] is None else float(values[s])) for s in SUMMARY_STATS]
+    return df.sparkSession.createDataFrame(out, "column_name string, statistic string, value double")
 
 
 def unique_values(df: DataFrame, column: str) -> DataFrame:
@@ -305,17 +326,15 @@ def parallel_coordinates(
     ])))
 
 
-def label_profile(df: DataFrame, label: str, columns: Sequence[str] | None = None,
-                  accuracy: int = 1_000_000) -> DataFrame:
-    """Per label value and feature: rows, mean and quartiles of min-max scaled values."""
+def label_profile(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per label value and feature: rows, mean and exact quartiles of min-max scaled values."""
     lines = parallel_coordinates(df, label, columns)
-    agg = lines.groupBy(_q(label), "feature").agg(
-        F.count("value").alias("rows"),
-        F.avg("value").alias("mean"),
-        F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("q"),
-    )
-    return agg.select(_q(label), "feature", "rows", "mean",
-                      F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
+    agg = lines.groupBy(_q(label), "feature").agg(F.count("value").alias("rows"), F.avg("value").alias("mean"))
+    qs = exact_quantiles(lines, [label, "feature"], "value", [0.25, 0.5, 0.75])
+    wide = qs.groupBy(_q(label), "feature").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
+    wide = wide.withColumnsRenamed({"0.25": "q25", "0.5": "q50", "0.75": "q75"})
+    # Both sides have one row per (label, feature).
+    return agg.join(wide, [label, "feature"], "left").select(_q(label), "feature", "rows", "mean", "q25", "q50", "q75")
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

@@ -72,3 +72,28 @@ def test_summary_quartiles_are_data_values(spark):
     s = {r.statistic: r.value for r in P.summary_table(df).collect()}
     assert (s["25%"], s["50%"], s["75%"]) == (25.0, 50.0, 75.0)
     assert s["count"] == 100 and s["min"] == 1 and s["max"] == 100
+
+
+def test_exact_quantiles_brute_force(spark):
+    from tabspark.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 5000), "v": np.round(rng.lognormal(size=5000), 3)})
+    pdf.loc[pdf.index[:1700], "v"] = 7.0  # a hot value
+    pdf.loc[pdf.index[1700:1710], "v"] = np.nan
+    df = spark.createDataFrame(pdf)
+    got = {(r.g, r.prob): r.quantile for r in exact_quantiles(df, ["g"], "v", [0.0, 0.1, 0.25, 0.5, 0.9, 1.0],
+                                                              bins=16, final_rows=50).collect()}
+    for g, part in pdf.groupby("g"):
+        vals = np.sort(part["v"].dropna().to_numpy())  # pandas NaN arrives in Spark as null
+        for p in [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]:
+            k = max(1, int(np.ceil(round(p * len(vals), 9))))
+            assert got[(g, p)] == vals[k - 1], (g, p)
+
+
+def test_exact_quantiles_nan_sorts_last(spark):
+    from tabspark.operators.quantiles import exact_quantiles
+    rows = [(0, float(i)) for i in range(1, 9)] + [(0, float("nan"))] * 2 + [(0, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.prob: r.quantile for r in exact_quantiles(df, ["g"], "v", [0.5, 0.8, 0.9, 1.0]).collect()}
+    assert got[0.5] == 5.0 and got[0.8] == 8.0
+    assert np.isnan(got[0.9]) and np.isnan(got[1.0])
