@@ -51,33 +51,37 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     string minima and maxima to ``text``.  The mean and stddev of a string
     column are those of its values that parse as numbers (else null).
     Boolean and other columns are left out, as in Spark's ``describe``.
+    Rows are unpivoted to (column_name, number, string) and grouped by
+    column, so the generated code does not grow with the column count.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     numeric = [f.name for f in fields if is_numeric(f.dataType)]
     strings = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
-    aggs, rows = [], []
-    for i, c in enumerate(numeric + strings):
-        is_str = c in strings
-        x = _q(c).try_cast("double") if is_str else _q(c).cast("double")
-        aggs += [
-            F.count(_q(c)).cast("double").alias(f"n{i}"),
-            F.avg(x).alias(f"m{i}"),
-            F.stddev_samp(x).alias(f"s{i}"),
-            F.min(_q(c) if is_str else x).alias(f"lo{i}"),
-            F.max(_q(c) if is_str else x).alias(f"hi{i}"),
-        ]
-        null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
-        for stat, key in (("count", "n"), ("mean", "m"), ("stddev", "s")):
-            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(stat).alias("statistic"),
-                                 F.col(f"{key}{i}").alias("value"), null_s.alias("text")))
-        for stat, key in (("min", "lo"), ("max", "hi")):
-            value = null_d if is_str else F.col(f"{key}{i}")
-            text = F.col(f"{key}{i}") if is_str else null_s
-            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(stat).alias("statistic"),
-                                 value.alias("value"), text.alias("text")))
-    if not aggs:
+    if not numeric and not strings:
         raise ValueError("no numeric or string columns")
-    return _long(df.agg(*aggs), rows)
+    null_s = F.lit(None).cast("string")
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(False).alias("is_str"),
+                      _q(c).cast("double").alias("x"), null_s.alias("s")) for c in numeric]
+    cells += [F.struct(F.lit(c).alias("column_name"), F.lit(True).alias("is_str"),
+                       _q(c).try_cast("double").alias("x"), _q(c).alias("s")) for c in strings]
+    long = df.select(F.inline(F.array(*cells)))
+    agg = long.groupBy("column_name").agg(
+        F.first("is_str").alias("is_str"),
+        F.count_if(F.when(F.col("is_str"), F.col("s").isNotNull()).otherwise(F.col("x").isNotNull()))
+        .cast("double").alias("n"),
+        F.avg("x").alias("m"), F.stddev_samp("x").alias("sd"),
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("s").alias("slo"), F.max("s").alias("shi"))
+    null_d = F.lit(None).cast("double")
+
+    def row(stat: str, value: Column, text: Column) -> Column:
+        return F.struct(F.lit(stat).alias("statistic"), value.alias("value"), text.alias("text"))
+
+    is_str = F.col("is_str")
+    return agg.select("column_name", F.inline(F.array(
+        row("count", F.col("n"), null_s), row("mean", F.col("m"), null_s), row("stddev", F.col("sd"), null_s),
+        row("min", F.when(is_str, null_d).otherwise(F.col("lo")), F.when(is_str, F.col("slo"))),
+        row("max", F.when(is_str, null_d).otherwise(F.col("hi")), F.when(is_str, F.col("shi"))),
+    )))
 
 
 SUMMARY_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")

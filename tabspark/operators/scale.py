@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .columns import feature_columns
 
 STAT_NAMES = ("count", "mean", "stddev", "min", "max")
+WIDE_MAX_COLUMNS = 16
 
 
 def _q(name: str) -> Column:
@@ -28,11 +29,20 @@ def scaling_stats(df: DataFrame, columns: Sequence[str] | None = None, label: st
     """(column_name, count, mean, stddev, min, max) per numeric column.
 
     ``stddev`` is the sample standard deviation.  One aggregate job, one row
-    per input column.
+    per input column.  Up to ``WIDE_MAX_COLUMNS`` columns use one wide
+    aggregate; wider tables are unpivoted to (column_name, value) first, so
+    the generated code stays small (hundreds of aggregates in one operator
+    exceed the JIT's method-size limit) and each column merges on its own task.
     """
     cols = list(columns) if columns is not None else feature_columns(df, label)
     if not cols:
         raise ValueError("no numeric columns to describe")
+    if len(cols) > WIDE_MAX_COLUMNS:
+        long = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), _q(c).cast("double").alias("value")) for c in cols])))
+        return long.groupBy("column_name").agg(
+            F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"), F.max("value").alias("max"))
     aggs = []
     for i, c in enumerate(cols):
         x = _q(c).cast("double")

@@ -42,3 +42,14 @@ def test_stats_keyed_by_name(spark):
     st = S.collect_stats(S.scaling_stats(df.select("b", "a")))
     assert st["a"].mean == 2.0 and st["b"].mean == 200.0
     assert math.isclose(st["a"].stddev, math.sqrt(2.0))
+
+
+def test_wide_table_stats_long_path(spark):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(200, 30))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in data], ", ".join(f"c{i} double" for i in range(30)))
+    st = S.collect_stats(S.scaling_stats(df))
+    assert len(st) == 30
+    assert all(abs(st[f"c{i}"].mean - data[:, i].mean()) < 1e-12 for i in range(30))
+    assert all(abs(st[f"c{i}"].stddev - data[:, i].std(ddof=1)) < 1e-12 for i in range(30))
