@@ -333,12 +333,21 @@ def parallel_coordinates(
 def label_profile(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Per label value and feature: rows, mean and exact quartiles of min-max scaled values."""
     lines = parallel_coordinates(df, label, columns)
-    agg = lines.groupBy(_q(label), "feature").agg(F.count("value").alias("rows"), F.avg("value").alias("mean"))
-    qs = exact_quantiles(lines, [label, "feature"], "value", [0.25, 0.5, 0.75])
-    wide = qs.groupBy(_q(label), "feature").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
-    wide = wide.withColumnsRenamed({"0.25": "q25", "0.5": "q50", "0.75": "q75"})
-    # Both sides have one row per (label, feature).
-    return agg.join(wide, [label, "feature"], "left").select(_q(label), "feature", "rows", "mean", "q25", "q50", "q75")
+    finite = F.when(~F.isnan("value"), F.col("value"))
+    # One row per (label, feature): also the statistics the quantile search starts from.
+    agg = lines.groupBy(_q(label), "feature").agg(
+        F.count("value").alias("rows"), F.avg("value").alias("mean"),
+        F.count_if(F.isnan("value")).alias("nan"), F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()
+    stats = {(r[label], r["feature"]): (r["rows"] - r["nan"], r["lo"], r["hi"], r["nan"]) for r in agg}
+    qs = {(r[label], r["feature"], r["prob"]): r["quantile"]
+          for r in exact_quantiles(lines, [label, "feature"], "value", [0.25, 0.5, 0.75], stats).collect()}
+    out = [(r[label], r["feature"], r["rows"], r["mean"],
+            *[qs.get((r[label], r["feature"], p)) for p in (0.25, 0.5, 0.75)]) for r in agg]
+    schema = T.StructType([df.schema[label], T.StructField("feature", T.StringType()),
+                           T.StructField("rows", T.LongType()), T.StructField("mean", T.DoubleType()),
+                           T.StructField("q25", T.DoubleType()), T.StructField("q50", T.DoubleType()),
+                           T.StructField("q75", T.DoubleType())])
+    return df.sparkSession.createDataFrame(out, schema)
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

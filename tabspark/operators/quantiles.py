@@ -68,6 +68,17 @@ def _select(spark, targets: dict, rows_in, bins: int, final_rows: int) -> None:
                 .where((F.col("__cum") >= F.col("__need")) & (F.col("__cum") - F.col("__n") < F.col("__need")))
                 .collect())
 
+    def exact_pick(ids) -> None:
+        """Exact pick among the distinct values of small intervals."""
+        ivs, members = intervals(ids)
+        per_value = rows_in(ivs).groupBy("__iid", "__v").agg(F.count(F.lit(1)).alias("__n"))
+        for r in pick(per_value, "__v", members):
+            targets[r["__tid"]][6] = r["__v"]
+
+    # Groups that are small already need no histogram pass.
+    direct = [i for i, t in targets.items() if t[6] is None and t[7] <= final_rows]
+    if direct:
+        exact_pick(direct)
     for _ in range(MAX_PASSES):
         open_ids = [i for i, t in targets.items() if t[6] is None]
         if not open_ids:
@@ -91,15 +102,11 @@ def _select(spark, targets: dict, rows_in, bins: int, final_rows: int) -> None:
             elif r["__n"] <= final_rows:
                 small.append(r["__tid"])
         if small:
-            # Exact pick among the distinct values of small intervals.
-            ivs, members = intervals(small)
-            per_value = rows_in(ivs).groupBy("__iid", "__v").agg(F.count(F.lit(1)).alias("__n"))
-            for r in pick(per_value, "__v", members):
-                targets[r["__tid"]][6] = r["__v"]
+            exact_pick(small)
 
 
 def _targets(stats: dict, probs: Sequence[float]) -> dict[int, list]:
-    """target id -> [group, p, rank, lo, hi, rows below lo, answer]."""
+    """target id -> [group, p, rank, lo, hi, rows below lo, answer, rows in group]."""
     targets: dict[int, list] = {}
     for g, (n, lo, hi, nan) in stats.items():
         for p in probs:
@@ -112,7 +119,7 @@ def _targets(stats: dict, probs: Sequence[float]) -> dict[int, list]:
                 answer = float("nan")
             elif lo == hi:
                 answer = lo
-            targets[len(targets)] = [tuple(g), p, r, lo, hi, 0, answer]
+            targets[len(targets)] = [tuple(g), p, r, lo, hi, 0, answer, n]
     return targets
 
 
