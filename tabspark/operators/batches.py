@@ -75,16 +75,31 @@ def assign_batches(
     Cost: one range shuffle on the hash order plus one checkpoint; no row
     passes through a single task or the driver.
     """
+    return assign_batches_counted(df, batch_size, keys, seed, mode, n_batches, partitions)[0]
+
+
+def assign_batches_counted(
+    df: DataFrame,
+    batch_size: int,
+    keys: Sequence[str] | None = None,
+    seed: int = 0,
+    mode: str = "equal",
+    n_batches: int | None = None,
+    partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """``assign_batches`` plus the number of batches (known from the rank offsets)."""
     ranked, total = ranked_with_total(df, hash_order(df, keys, seed), "_rank", partitions)
     r = F.col("_rank")
     if mode == "equal":
         nb = int(n_batches) if n_batches else batch_count(total, batch_size)
         bid, pos = F.pmod(r, F.lit(nb)), F.floor(r / F.lit(nb))
     elif mode == "fixed":
+        nb = max(1, -(-total // batch_size))
         bid, pos = F.floor(r / F.lit(batch_size)), F.pmod(r, F.lit(batch_size))
     else:
         raise ValueError("mode must be 'equal' or 'fixed'")
-    return ranked.withColumns({"batch_id": bid.cast("bigint"), "batch_pos": pos.cast("bigint")}).drop("_rank")
+    out = ranked.withColumns({"batch_id": bid.cast("bigint"), "batch_pos": pos.cast("bigint")}).drop("_rank")
+    return out, nb
 
 
 def group_batches(df: DataFrame, partitions: int | None = None) -> DataFrame:

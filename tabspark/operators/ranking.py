@@ -44,8 +44,9 @@ def global_rank(
 ) -> DataFrame:
     """Add ``rank_col`` = 0-based position of each row in ``order``.
 
-    ``partitions`` defaults to the session's shuffle partitions.  Returns a
-    frame that is range-partitioned and sorted by ``order``.
+    ``partitions`` fixes the number of ranges; by default it is the
+    session's shuffle partitions, which AQE may coalesce.  Returns a frame
+    that is range-partitioned and sorted by ``order``.
     """
     return ranked_with_total(df, order, rank_col, partitions, checkpoint)[0]
 
@@ -64,7 +65,12 @@ def ranked_with_total(
         raise ValueError(f"at most {MAX_OFFSET_ROWS} range partitions")
     keyed = df.withColumn(_ROWID, F.monotonically_increasing_id())
     sort_cols = list(order) + [F.col(_ROWID)]
-    ranged = keyed.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols)
+    if partitions:
+        ranged = keyed.repartitionByRange(n_parts, *sort_cols)
+    else:
+        # AQE may merge neighbouring ranges (order is kept) to its advisory size.
+        ranged = keyed.repartitionByRange(*sort_cols)
+    ranged = ranged.sortWithinPartitions(*sort_cols)
     ranged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
     if checkpoint:
         ensure_checkpoint_dir(spark)

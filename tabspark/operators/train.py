@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import assign_batches, group_batches
+from .batches import assign_batches_counted, group_batches
 from .mlp import (MLPModel, MLPSpec, OptimizerSpec, init_model, l2_penalty, loss_and_grad, optimizer_step,
                   param_index, predict_scores, row_losses, forward)
 from .scoring import features_array
@@ -39,6 +39,9 @@ from .scoring import features_array
 _OUT_SCHEMA = "pos long, value double"
 # Negative positions carry the per-task counters.
 ROWS, LOSS, CORRECT, BATCHES, TASKS = -1, -2, -3, -4, -5
+# Without an explicit partition count, each training task gets at least
+# this many batches per epoch.
+MIN_BATCHES_PER_TASK = 16
 
 
 def weight_column(label: str | Column, class_weight: Mapping[float, float] | None) -> Column:
@@ -274,15 +277,19 @@ def fit(
         raise ValueError("strategy must be 'average' or 'sync'")
     spark = train.sparkSession
     sc = spark.sparkContext
-    n_parts = int(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     model = init if init is not None else init_model(spec, seed)
     n_params = spec.n_params()
     keep = list(keys or [])
     frame = training_frame(train, features, label, class_weight, keep)
     if strategy == "average":
-        batched = assign_batches(frame, batch_size, keys=keep or None, seed=seed, mode=mode, partitions=n_parts)
+        batched, n_batches = assign_batches_counted(frame, batch_size, keys=keep or None, seed=seed, mode=mode,
+                                                    partitions=partitions or shuffle_parts)
+        # Parameter averaging needs several local steps per task and epoch.
+        n_parts = int(partitions or max(1, min(shuffle_parts, n_batches // MIN_BATCHES_PER_TASK)))
         work = group_batches(batched.select("batch_id", "batch_pos", "x", "y", "w"), n_parts)
     else:
+        n_parts = int(partitions or shuffle_parts)
         work = frame.select("x", "y", "w").repartition(n_parts)
     # Read once per epoch: spread over the training partitions and keep.
     work = work.persist(StorageLevel.MEMORY_AND_DISK)
