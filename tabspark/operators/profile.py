@@ -20,7 +20,7 @@ from ..functions.hashing import hash_below
 from ..functions.numeric import is_numeric
 from .columns import numeric_columns
 from .quantiles import column_quantiles, exact_quantiles
-from .scale import ColumnStats, collect_stats, minmax, scaling_stats
+from .scale import WIDE_MAX_COLUMNS, ColumnStats, collect_stats, minmax, scaling_stats
 
 
 def _q(name: str) -> Column:
@@ -98,32 +98,14 @@ def summary_table(
     Quartiles are exact by default (``quantiles.column_quantiles``: a few
     filtered passes with bounded histograms, no sort); ``method="approx"``
     uses one ``percentile_approx`` pass (rank error at most n/accuracy).
-    The rows are unpivoted to (column_name, value) first, so each column's
-    statistics are merged on a different task.
+    The moments are one aggregate (``_summary_moments``).
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
     if not cols:
         raise ValueError("no numeric columns")
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), _q(c).cast("double").alias("value")) for c in cols
-    ])))
-    finite = F.when(~F.isnan("value"), F.col("value"))
-    aggs = [
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.count_if(F.isnan("value")).alias("nan"),
-        F.min(finite).alias("lo"),
-        F.max(finite).alias("hi"),
-    ]
-    if method == "approx":
-        aggs.append(F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("q"))
-    elif method != "exact":
+    if method not in ("exact", "approx"):
         raise ValueError("method must be 'exact' or 'approx'")
-    # One row per column.
-    rows = {r["column_name"]: r for r in long.groupBy("column_name").agg(*aggs).collect()}
+    rows = _summary_moments(df, cols, accuracy if method == "approx" else None)
     if method == "exact":
         stats = {(c,): (r["count"] - r["nan"], r["lo"], r["hi"], r["nan"]) for c, r in rows.items()}
         qs = {(r["column_name"], r["prob"]): r["quantile"]
@@ -141,6 +123,46 @@ def summary_table(
     return df.sparkSession.createDataFrame(out, "column_name string, statistic string, value double")
 
 
+def _summary_moments(df: DataFrame, cols: list[str], accuracy: int | None) -> dict[str, dict]:
+    """column -> count, mean, stddev, min, max, nan, lo, hi (finite min / max) [, q].
+
+    One aggregate job.  Up to ``WIDE_MAX_COLUMNS`` columns use one wide
+    aggregate (NaN counters only for floating columns); wider tables are
+    unpivoted to (column_name, value) first, so the generated code stays
+    small and each column merges on its own task.
+    """
+    if len(cols) > WIDE_MAX_COLUMNS or accuracy is not None:
+        long = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), _q(c).cast("double").alias("value")) for c in cols])))
+        finite = F.when(~F.isnan("value"), F.col("value"))
+        aggs = [F.count("value").alias("count"), F.avg("value").alias("mean"),
+                F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"), F.max("value").alias("max"),
+                F.count_if(F.isnan("value")).alias("nan"), F.min(finite).alias("lo"), F.max(finite).alias("hi")]
+        if accuracy is not None:
+            aggs.append(F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("q"))
+        return {r["column_name"]: r.asDict() for r in long.groupBy("column_name").agg(*aggs).collect()}
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    floating = {c for c in cols if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))}
+    for i, c in enumerate(cols):
+        x = _q(c).cast("double")
+        aggs += [F.count(x).alias(f"count_{i}"), F.avg(x).alias(f"mean_{i}"),
+                 F.stddev_samp(x).alias(f"stddev_{i}"), F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}")]
+        if c in floating:
+            # min() already skips NaN (NaN sorts last) unless every value is NaN.
+            aggs += [F.count_if(F.isnan(x)).alias(f"nan_{i}"), F.max(F.when(~F.isnan(x), x)).alias(f"hi_{i}")]
+    r = df.agg(*aggs).first()
+    out = {}
+    if r["__rows"] == 0:
+        return out
+    for i, c in enumerate(cols):
+        m = {s: r[f"{s}_{i}"] for s in ("count", "mean", "stddev", "min", "max")}
+        nan = r[f"nan_{i}"] if c in floating else 0
+        hi = r[f"hi_{i}"] if c in floating else m["max"]
+        lo = m["min"] if hi is not None else None
+        out[c] = {**m, "nan": nan, "lo": lo, "hi": hi}
+    return out
+
+
 def unique_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of one column (A4); partial distinct on every task."""
     return df.select(_q(column)).distinct()

@@ -24,7 +24,7 @@ import math
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +41,10 @@ def target_rank(n: int, p: float) -> int:
 def _select(spark, targets: dict, rows_in, bins: int, final_rows: int) -> None:
     """Narrow every open target to its exact value (fills ``targets[i][6]``).
 
-    ``rows_in(intervals)`` returns a DataFrame (__iid, __v) of the finite values
-    inside each interval [lo, hi] of its group; ``intervals`` is a list of
-    (group tuple, interval id, lo, hi).
+    ``rows_in(intervals, bins)`` returns a DataFrame (__iid, __v) of the
+    finite values inside each interval [lo, hi] of its group, plus ``__bin``
+    (the equal-width bin of the value in its interval) when ``bins`` is
+    given; ``intervals`` is a list of (group tuple, interval id, lo, hi).
     """
 
     def intervals(ids):
@@ -71,7 +72,7 @@ def _select(spark, targets: dict, rows_in, bins: int, final_rows: int) -> None:
     def exact_pick(ids) -> None:
         """Exact pick among the distinct values of small intervals."""
         ivs, members = intervals(ids)
-        per_value = rows_in(ivs).groupBy("__iid", "__v").agg(F.count(F.lit(1)).alias("__n"))
+        per_value = rows_in(ivs, None).groupBy("__iid", "__v").agg(F.count(F.lit(1)).alias("__n"))
         for r in pick(per_value, "__v", members):
             targets[r["__tid"]][6] = r["__v"]
 
@@ -84,12 +85,7 @@ def _select(spark, targets: dict, rows_in, bins: int, final_rows: int) -> None:
         if not open_ids:
             break
         ivs, members = intervals(open_ids)
-        bounds = F.broadcast(spark.createDataFrame([(j, lo, hi) for _, j, lo, hi in ivs],
-                                                   "__iid bigint, __lo double, __hi double"))
-        width = F.col("__hi") - F.col("__lo")
-        b = F.least(F.floor((F.col("__v") - F.col("__lo")) / width * F.lit(float(bins))), F.lit(bins - 1))
-        hist = (rows_in(ivs).join(bounds, "__iid")
-                .withColumn("__bin", F.when(width > 0, b).otherwise(F.lit(0)).cast("long"))
+        hist = (rows_in(ivs, bins)
                 .groupBy("__iid", "__bin").agg(F.count(F.lit(1)).alias("__n"),
                                                F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax")))
         small = []
@@ -105,6 +101,13 @@ def _select(spark, targets: dict, rows_in, bins: int, final_rows: int) -> None:
             exact_pick(small)
 
 
+def bin_of(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Equal-width bin 0..bins-1 of ``v`` in [lo, hi]; the top edge folds into the last bin."""
+    width = hi - lo
+    b = F.least(F.floor((v - lo) / width * F.lit(float(bins))), F.lit(bins - 1))
+    return F.when(width > 0, b).otherwise(F.lit(0)).cast("long")
+
+
 def _targets(stats: dict, probs: Sequence[float]) -> dict[int, list]:
     """target id -> [group, p, rank, lo, hi, rows below lo, answer, rows in group]."""
     targets: dict[int, list] = {}
@@ -155,12 +158,14 @@ def exact_quantiles(
         T.StructField("__iid", T.LongType()), T.StructField("__ilo", T.DoubleType()),
         T.StructField("__ihi", T.DoubleType())])
 
-    def rows_in(ivs):
+    def rows_in(ivs, bins):
         # One row per interval: a broadcast of bounded size.
         table = F.broadcast(spark.createDataFrame([(*g, j, lo, hi) for g, j, lo, hi in ivs], schema))
-        return (finite.join(table, gcols)
-                .where((F.col("__v") >= F.col("__ilo")) & (F.col("__v") <= F.col("__ihi")))
-                .select("__iid", "__v"))
+        inside = (finite.join(table, gcols)
+                  .where((F.col("__v") >= F.col("__ilo")) & (F.col("__v") <= F.col("__ihi"))))
+        if bins is None:
+            return inside.select("__iid", "__v")
+        return inside.select("__iid", "__v", bin_of(F.col("__v"), F.col("__ilo"), F.col("__ihi"), bins).alias("__bin"))
 
     _select(spark, targets, rows_in, bins, final_rows)
     return _result(spark, targets, [T.StructField(c, gtypes[c]) for c in gcols])
@@ -178,19 +183,22 @@ def column_quantiles(
 
     ``stats[(column,)]`` = (non-NaN count, min, max, NaN count).  The
     intervals are literals in one projection: each row emits only the
-    (interval, value) pairs that fall inside an open interval, no join.
+    (interval, value[, bin]) entries that fall inside an open interval, no join.
     """
     spark = df.sparkSession
     targets = _targets(stats, probs)
 
-    def rows_in(ivs):
+    def rows_in(ivs, bins):
         pairs = []
         for (c,), j, lo, hi in ivs:
             x = F.col(f"`{c}`").cast("double")
-            pairs.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
-                                F.struct(F.lit(j).cast("long").alias("__iid"), x.alias("__v"))))
-        kept = F.filter(F.array(*pairs), lambda s: s.isNotNull())
-        return df.select(F.inline(kept))
+            fields = [F.lit(j).cast("long").alias("__iid"), x.alias("__v")]
+            if bins is not None:
+                fields.append(bin_of(x, F.lit(float(lo)), F.lit(float(hi)), bins).alias("__bin"))
+            pairs.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(*fields)))
+        # A value outside every interval gives null entries; they are dropped
+        # after the generator (a lambda ``filter`` would run uncompiled, 4x slower).
+        return df.select(F.inline(F.array(*pairs))).where(F.col("__iid").isNotNull())
 
     _select(spark, targets, rows_in, bins, final_rows)
     return _result(spark, targets, [T.StructField("column_name", T.StringType())])

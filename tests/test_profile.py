@@ -97,3 +97,28 @@ def test_exact_quantiles_nan_sorts_last(spark):
     got = {r.prob: r.quantile for r in exact_quantiles(df, ["g"], "v", [0.5, 0.8, 0.9, 1.0]).collect()}
     assert got[0.5] == 5.0 and got[0.8] == 8.0
     assert np.isnan(got[0.9]) and np.isnan(got[1.0])
+
+
+def test_summary_wide_and_long_paths_agree(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(400):
+        b = float(rng.normal()) if i % 7 else (float("nan") if i % 2 else None)
+        rows.append((int(rng.integers(-5, 50)), b, None, 3.0))
+    df = spark.createDataFrame(rows, "a int, b double, c double, d double")
+
+    def table(frame):
+        return {(r.column_name, r.statistic): r.value for r in P.summary_table(frame).collect()}
+
+    wide = table(df)
+    monkeypatch.setattr(P, "WIDE_MAX_COLUMNS", 0)
+    long = table(df)
+    assert set(wide) == set(long) and len(wide) == 4 * len(P.SUMMARY_STATS)
+    for k, v in wide.items():
+        w = long[k]
+        assert (v is None and w is None) or (np.isnan(v) and np.isnan(w)) or np.isclose(v, w, rtol=1e-12), k
+    a = np.sort([r[0] for r in rows])
+    assert wide[("a", "50%")] == a[int(np.ceil(0.5 * len(a))) - 1]
+    assert wide[("c", "count")] == 0 and wide[("c", "min")] is None
+    assert wide[("d", "25%")] == 3.0
+    assert P.summary_table(df.limit(0)).count() == 0
