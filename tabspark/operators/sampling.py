@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import TWO_POW_32, h32, hash_below, order_key
 from .batches import _orderable
+from ..session import ensure_checkpoint_dir
 from .ranking import global_rank
 
 
@@ -92,6 +93,9 @@ HASH_BUCKET_BITS = 16
 # partitioned by class (one task per class holds at most this many rows);
 # larger ones (a hot key) go through the range-partitioned global_rank.
 WINDOW_MAX_ROWS = 2_000_000
+# Per-class tables (one row per class) are broadcast up to this many classes;
+# beyond it they are joined by a shuffle join.
+BROADCAST_MAX_CLASSES = 100_000
 
 
 def stratified_sample(
@@ -112,16 +116,16 @@ def stratified_sample(
     Exact selection without sorting the table:
 
     1. a histogram of the top 16 hash bits per class (one aggregate, at most
-       65,536 rows per class, kept in memory) gives the class sizes and the
-       bucket holding each class's n-th row;
+       65,536 rows per class) gives the class sizes and, by a running sum per
+       class, the bucket holding each class's n-th row: a table of one row
+       per class, broadcast when the class count is at most
+       ``BROADCAST_MAX_CLASSES``, else checkpointed and shuffle-joined;
     2. rows in lower buckets are taken by a filter; only the rows of the
        boundary bucket (about 1/65,536 of the class, its size known from the
        histogram) are ranked: by a window partitioned by class when the
        bucket is small, else by the range-partitioned ``global_rank``, so even
        a hot key is split over tasks.
     """
-    spark = df.sparkSession
-    label_type = df.schema[label].dataType.simpleString()
     ties = list(tiebreak) if tiebreak is not None else [
         f.name for f in df.schema.fields if f.name not in keys and f.name != label and _orderable(f.dataType)]
     n_buckets = 1 << HASH_BUCKET_BITS
@@ -129,40 +133,55 @@ def stratified_sample(
     hist = (tagged.groupBy(_q(label).alias("__cls"), "__bucket").agg(F.count(F.lit(1)).alias("__n"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        counts = {r["__cls"]: r["total"] for r in hist.groupBy("__cls").agg(F.sum("__n").alias("total")).collect()}
-        if not counts:
+        totals = hist.groupBy("__cls").agg(F.sum("__n").alias("__total"))
+        shape = totals.agg(F.count(F.lit(1)).alias("classes"), F.min("__total").alias("smallest")).first()
+        if not shape["classes"]:
             return df
-        n = int(n_per_class if n_per_class is not None else min(counts.values()))
-        needs = {cls: min(n, total) for cls, total in counts.items()}
-        partial = [cls for cls, total in counts.items() if needs[cls] < total]
-        # (boundary bucket, rows before it, rows needed, rows in the bucket)
-        bounds = {cls: (n_buckets, needs[cls], needs[cls], 0) for cls in counts if cls not in partial}
-        if partial:
-            need_df = spark.createDataFrame([(c, needs[c]) for c in partial], f"__cls {label_type}, __need bigint")
-            # At most 2^16 histogram rows per class: the running sum stays small.
-            cum = F.sum("__n").over(Window.partitionBy("__cls").orderBy("__bucket")
-                                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            edge = (hist.join(F.broadcast(need_df), hist["__cls"].eqNullSafe(need_df["__cls"]))
-                    .select(hist["__cls"], "__bucket", "__n", "__need").withColumn("__cum", cum)
-                    .where((F.col("__cum") >= F.col("__need")) & (F.col("__cum") - F.col("__n") < F.col("__need"))))
-            for r in edge.collect():
-                bounds[r["__cls"]] = (r["__bucket"], r["__cum"] - r["__n"], r["__need"], r["__n"])
+        n = int(n_per_class if n_per_class is not None else shape["smallest"])
+        if n <= 0:
+            return df.where(F.lit(False))
+        # Per class, the bucket holding its n-th row: a running sum over at
+        # most 2^16 histogram rows per class.
+        cum = F.sum("__n").over(Window.partitionBy("__cls").orderBy("__bucket")
+                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        edge = (hist.withColumn("__cum", cum)
+                .where((F.col("__cum") >= F.lit(n)) & (F.col("__cum") - F.col("__n") < F.lit(n)))
+                .select(F.col("__cls").alias("__ecls"), F.col("__bucket").alias("__b"),
+                        (F.col("__cum") - F.col("__n")).alias("__before"), F.col("__n").alias("__size")))
+        # (class, boundary bucket, rows before it, rows needed, rows in it);
+        # a class with fewer than n rows is taken whole.
+        bounds = (totals.join(edge, totals["__cls"].eqNullSafe(edge["__ecls"]), "left")
+                  .select("__cls",
+                          F.coalesce(F.col("__b"), F.lit(n_buckets).cast("bigint")).alias("__b"),
+                          F.coalesce(F.col("__before"), F.col("__total")).alias("__before"),
+                          F.least(F.col("__total"), F.lit(n).cast("bigint")).alias("__need"),
+                          F.coalesce(F.col("__size"), F.lit(0).cast("bigint")).alias("__size")))
+        small = shape["classes"] <= BROADCAST_MAX_CLASSES
+        if small:
+            # One row per class, the count checked above: read it and broadcast it.
+            rows = bounds.collect()
+            largest = max((r["__size"] for r in rows), default=0)
+            bounds = df.sparkSession.createDataFrame(rows, bounds.schema)
+        else:
+            # Written once to the reliable checkpoint folder: the scan below and
+            # a lost executor reuse it instead of re-running the histogram.
+            ensure_checkpoint_dir(df.sparkSession)
+            bounds = bounds.checkpoint(eager=True)
+            largest = bounds.agg(F.max("__size").alias("m")).first()["m"] or 0
     finally:
         hist.unpersist()
-    bounds_df = spark.createDataFrame([(c, b, before, need) for c, (b, before, need, _) in bounds.items()],
-                                      f"__cls {label_type}, __b bigint, __before bigint, __need bigint")
-    cand = tagged.join(F.broadcast(bounds_df), _q(label).eqNullSafe(F.col("__cls")))
+    bounds_df = F.broadcast(bounds.drop("__size")) if small else bounds.drop("__size")
+    cand = tagged.join(bounds_df, _q(label).eqNullSafe(F.col("__cls")))
     whole = cand.where(F.col("__bucket") < F.col("__b"))
     edge_rows = cand.where(F.col("__bucket") == F.col("__b"))
     order = [order_key(keys, seed, df)] + [_q(k) for k in keys] + [_q(c) for c in ties]
-    largest = max((size for *_, size in bounds.values()), default=0)
     if largest <= WINDOW_MAX_ROWS:
         pos = F.row_number().over(Window.partitionBy("__cls").orderBy(*order)) - 1
         picked = edge_rows.withColumn("__pos", pos)
     else:
         ranked = global_rank(edge_rows, [F.col("__cls")] + order, "__rank")
         starts = ranked.groupBy("__cls").agg(F.min("__rank").alias("__start"))
-        picked = ranked.join(F.broadcast(starts), "__cls").withColumn("__pos", F.col("__rank") - F.col("__start"))
+        picked = ranked.join(F.broadcast(starts) if small else starts, "__cls").withColumn("__pos", F.col("__rank") - F.col("__start"))
     picked = picked.where(F.col("__pos") < F.col("__need") - F.col("__before"))
     drop = ["__bucket", "__cls", "__b", "__before", "__need", "__rank", "__start", "__pos"]
     return whole.drop(*drop).unionByName(picked.drop(*drop))
