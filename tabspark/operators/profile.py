@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import hash_below
 from ..functions.numeric import is_numeric
 from .columns import numeric_columns
-from .quantiles import column_quantiles, exact_quantiles
+from .quantiles import collect_bounded, column_quantiles, exact_quantiles
 from .scale import WIDE_MAX_COLUMNS, ColumnStats, collect_stats, minmax, scaling_stats
 
 
@@ -359,7 +359,8 @@ def label_profile(df: DataFrame, label: str, columns: Sequence[str] | None = Non
     # One row per (label, feature): also the statistics the quantile search starts from.
     agg = lines.groupBy(_q(label), "feature").agg(
         F.count("value").alias("rows"), F.avg("value").alias("mean"),
-        F.count_if(F.isnan("value")).alias("nan"), F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()
+        F.count_if(F.isnan("value")).alias("nan"), F.min(finite).alias("lo"), F.max(finite).alias("hi"))
+    agg = collect_bounded(agg, "(label, feature) groups")
     stats = {(r[label], r["feature"]): (r["rows"] - r["nan"], r["lo"], r["hi"], r["nan"]) for r in agg}
     qs = {(r[label], r["feature"], r["prob"]): r["quantile"]
           for r in exact_quantiles(lines, [label, "feature"], "value", [0.25, 0.5, 0.75], stats).collect()}

@@ -31,6 +31,18 @@ from pyspark.sql import types as T
 BINS = 4096
 FINAL_ROWS = 100_000
 MAX_PASSES = 12
+# The search keeps one interval per (group, p) on the driver and broadcasts
+# the open ones, so the number of groups is bounded.
+MAX_GROUPS = 100_000
+
+
+def collect_bounded(df: DataFrame, what: str, limit: int | None = None) -> list:
+    """``df.collect()`` of a per-group table, refusing more than ``limit`` (``MAX_GROUPS``) rows."""
+    limit = MAX_GROUPS if limit is None else limit
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}; use an approximate method (percentile_approx) instead")
+    return rows
 
 
 def target_rank(n: int, p: float) -> int:
@@ -149,8 +161,8 @@ def exact_quantiles(
         rows = (v.groupBy(*gcols).agg(F.count_if(~F.isnan("__v")).alias("n"),
                                       F.min(F.when(~F.isnan("__v"), F.col("__v"))).alias("lo"),
                                       F.max(F.when(~F.isnan("__v"), F.col("__v"))).alias("hi"),
-                                      F.count_if(F.isnan("__v")).alias("nan"))
-                .collect())
+                                      F.count_if(F.isnan("__v")).alias("nan")))
+        rows = collect_bounded(rows, "quantile groups")
         stats = {tuple(r[g] for g in gcols): (r["n"], r["lo"], r["hi"], r["nan"]) for r in rows}
     targets = _targets(stats, probs)
     finite = v.where(~F.isnan("__v"))

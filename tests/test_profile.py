@@ -122,3 +122,16 @@ def test_summary_wide_and_long_paths_agree(spark, monkeypatch):
     assert wide[("c", "count")] == 0 and wide[("c", "min")] is None
     assert wide[("d", "25%")] == 3.0
     assert P.summary_table(df.limit(0)).count() == 0
+
+
+def test_exact_quantiles_refuse_unbounded_groups(spark, monkeypatch):
+    import pytest
+
+    from tabspark.operators import quantiles as Q
+    df = spark.createDataFrame([(i % 50, float(i)) for i in range(500)], "g int, v double")
+    assert Q.exact_quantiles(df, ["g"], "v", [0.5]).count() == 50
+    monkeypatch.setattr(Q, "MAX_GROUPS", 10)
+    with pytest.raises(ValueError, match="more than 10"):
+        Q.exact_quantiles(df, ["g"], "v", [0.5])
+    with pytest.raises(ValueError, match="more than 10"):
+        P.label_profile(df.withColumnRenamed("g", "label"), "label", ["v"])
