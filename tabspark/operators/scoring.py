@@ -2,8 +2,9 @@
 
 Small networks become plain Catalyst arithmetic (``greatest(0, ...)`` per
 hidden unit): no Python worker, whole-stage codegen.  Larger ones run as an
-Arrow-batched scalar pandas UDF that receives only the feature columns; the
-parameters ship once per executor inside a broadcast variable.
+Arrow-batched scalar UDF that receives only the feature vector column (read
+as one matrix per Arrow batch, no per-row objects); the parameters ship once
+per executor inside a broadcast variable.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,28 @@ def features_array(df: DataFrame, features: Sequence[str] | str) -> Column:
     return F.array(*[F.col(f"`{c}`").cast("double") for c in features])
 
 
+def feature_matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows x features float64 matrix of an Arrow ``list<double>`` column.
+
+    The list values are flattened and reshaped in one step, so no Python
+    object is made per row.  Null vectors and vectors of different lengths
+    are refused; null elements become NaN.
+    """
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    n = len(col)
+    if n == 0:
+        return np.zeros((0, 0))
+    if col.null_count:
+        raise ValueError("null feature vector")
+    lengths = pc.list_value_length(col)
+    d = pc.min_max(lengths)
+    if d["min"].as_py() != d["max"].as_py():
+        raise ValueError("feature vectors of different lengths")
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64, copy=False).reshape(n, int(d["min"].as_py()))
+
+
 def _feature_cols(df: DataFrame, features: Sequence[str] | str, n: int) -> list[Column]:
     if isinstance(features, str):
         arr = F.col(f"`{features}`")
@@ -52,19 +76,25 @@ def score_expression(model: MLPModel, inputs: list[Column]) -> list[Column]:
 
 
 def score_udf(model: MLPModel, spark=None):
-    """Scalar pandas UDF: array<double> features -> double score (first output)."""
+    """Scalar Arrow UDF: array<double> features -> double score (first output); null vector -> null."""
     sc = spark.sparkContext if spark is not None else None
     payload = (model.spec, model.flat())
     holder = sc.broadcast(payload) if sc is not None else None
 
-    @F.pandas_udf(T.DoubleType())
-    def _score(x: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.DoubleType())
+    def _score(x: pa.Array) -> pa.Array:
         spec, theta = holder.value if holder is not None else payload
         m = MLPModel.from_flat(spec, theta)
         if len(x) == 0:
-            return pd.Series([], dtype="float64")
-        mat = np.stack(x.to_numpy()).astype(np.float64)
-        return pd.Series(predict_scores(m, mat)[:, 0])
+            return pa.array([], pa.float64())
+        if x.null_count == len(x):
+            return pa.nulls(len(x), pa.float64())
+        if not x.null_count:
+            return pa.array(predict_scores(m, feature_matrix(x))[:, 0], pa.float64())
+        valid = pc.is_valid(x)
+        out = np.full(len(x), np.nan)
+        out[valid.to_numpy(zero_copy_only=False)] = predict_scores(m, feature_matrix(x.filter(valid)))[:, 0]
+        return pa.array(out, pa.float64(), mask=~valid.to_numpy(zero_copy_only=False))
 
     return _score
 

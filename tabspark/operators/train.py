@@ -5,7 +5,8 @@ epoch is one Spark job:
 
 1. rows carry ``batch_id`` / ``batch_pos`` (``assign_batches``) and are
    grouped so that each batch sits in one partition, in batch order;
-2. every task starts from the same parameters (a broadcast variable), runs
+2. every task (``mapInArrow``: features arrive as one matrix per Arrow
+   batch) starts from the same parameters (a broadcast variable), runs
    its batches in order with the optimizer, and emits its parameters and
    optimizer state weighted by its row count;
 3. a group-by on the parameter position averages them (parameter averaging,
@@ -26,7 +27,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from .batches import assign_batches_counted, group_batches
 from .mlp import (MLPModel, MLPSpec, OptimizerSpec, init_model, l2_penalty, loss_and_grad, optimizer_step,
                   param_index, predict_scores, row_losses, forward)
-from .scoring import features_array
+from .scoring import feature_matrix, features_array
 
 _OUT_SCHEMA = "pos long, value double"
 # Negative positions carry the per-task counters.
@@ -72,58 +73,58 @@ def training_frame(
     )
 
 
-def _emit(counters: dict[int, float], vectors: list[tuple[int, np.ndarray]]) -> pd.DataFrame:
+def _emit(counters: dict[int, float], vectors: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     pos = [np.fromiter(counters.keys(), dtype=np.int64)]
     val = [np.fromiter(counters.values(), dtype=np.float64)]
     for offset, vec in vectors:
         pos.append(np.arange(offset, offset + len(vec), dtype=np.int64))
         val.append(vec.astype(np.float64))
-    return pd.DataFrame({"pos": np.concatenate(pos), "value": np.concatenate(val)})
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(pos)), pa.array(np.concatenate(val))],
+                                      names=["pos", "value"])
 
 
-def _batches_in_order(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole batches from Arrow chunks sorted by (batch_id, batch_pos).
+def _arrays(rb: pa.RecordBatch, names: Sequence[str]) -> dict[str, np.ndarray]:
+    """numpy views of the named columns; ``x`` as a rows x features matrix."""
+    return {n: feature_matrix(rb.column(n)) if n == "x" else rb.column(n).to_numpy(zero_copy_only=False)
+            for n in names}
+
+
+def _batches_in_order(chunks: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(batch_id, x, y, w) of whole batches from Arrow chunks sorted by (batch_id, batch_pos).
 
     Arrow slices a partition into chunks of at most
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows; a batch cut by a
     chunk boundary is carried into the next chunk.
     """
     carry = None
-    for chunk in chunks:
-        if carry is not None and len(carry):
-            chunk = pd.concat([carry, chunk], ignore_index=True)
-        if not len(chunk):
+    for rb in chunks:
+        if rb.num_rows == 0:
             continue
-        ids = chunk["batch_id"].to_numpy()
-        last = ids[-1]
-        done = chunk[ids != last]
-        carry = chunk[ids == last]
-        if len(done):
-            starts = np.flatnonzero(np.r_[True, done["batch_id"].to_numpy()[1:] != done["batch_id"].to_numpy()[:-1]])
-            bounds = list(starts) + [len(done)]
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                yield done.iloc[a:b]
-    if carry is not None and len(carry):
-        yield carry
-
-
-def _matrix(series: pd.Series) -> np.ndarray:
-    return np.stack(series.to_numpy()).astype(np.float64)
+        cur = _arrays(rb, ("batch_id", "x", "y", "w"))
+        if carry is not None:
+            cur = {k: np.concatenate([carry[k], cur[k]]) for k in cur}
+        ids = cur["batch_id"]
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        ends = np.r_[starts[1:], len(ids)]
+        for a, b in zip(starts[:-1], ends[:-1]):
+            yield int(ids[a]), cur["x"][a:b], cur["y"][a:b], cur["w"][a:b]
+        carry = {k: v[starts[-1]:] for k, v in cur.items()}
+    if carry is not None:
+        yield int(carry["batch_id"][0]), carry["x"], carry["y"], carry["w"]
 
 
 def _epoch_task(holder, spec: MLPSpec, opt: OptimizerSpec, epoch: int, seed: int, n_params: int):
-    def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         theta0, state0, iteration0 = holder.value
         theta, state, it = theta0.copy(), state0.copy(), int(iteration0)
         rows = loss_sum = correct = n_batches = 0.0
-        for batch in _batches_in_order(chunks):
-            x, y, w = _matrix(batch["x"]), batch["y"].to_numpy(np.float64), batch["w"].to_numpy(np.float64)
+        for batch_id, x, y, w in _batches_in_order(chunks):
             model = MLPModel.from_flat(spec, theta)
-            rng = np.random.default_rng([seed, epoch, int(batch["batch_id"].iloc[0])])
+            rng = np.random.default_rng([seed, epoch, batch_id])
             loss, grad, score = loss_and_grad(model, x, y, w, rng=rng)
             theta, state = optimizer_step(opt, theta, grad, state, it)
             it += 1
-            k = len(batch)
+            k = len(y)
             rows += k
             loss_sum += loss * k
             correct += float(np.sum(np.rint(np.clip(score[:, 0], 0.0, 1.0)) == y))
@@ -136,19 +137,20 @@ def _epoch_task(holder, spec: MLPSpec, opt: OptimizerSpec, epoch: int, seed: int
 
 
 def _eval_task(holder, spec: MLPSpec, weighted: bool):
-    def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         theta = holder.value
         model = MLPModel.from_flat(spec, theta)
         rows = loss_sum = correct = 0.0
-        for chunk in chunks:
-            if not len(chunk):
+        for rb in chunks:
+            if rb.num_rows == 0:
                 continue
-            x, y = _matrix(chunk["x"]), chunk["y"].to_numpy(np.float64)
+            a = _arrays(rb, ("x", "y", "w") if weighted else ("x", "y"))
+            x, y = a["x"], a["y"]
             score, (_, _, _, z_out) = forward(model, x)
             per = row_losses(model, y, score, z_out)
             if weighted:
-                per = per * chunk["w"].to_numpy(np.float64)
-            rows += len(chunk)
+                per = per * a["w"]
+            rows += len(y)
             loss_sum += float(per.sum())
             correct += float(np.sum(np.rint(np.clip(score[:, 0], 0.0, 1.0)) == y))
         if rows:
@@ -157,17 +159,17 @@ def _eval_task(holder, spec: MLPSpec, weighted: bool):
 
 
 def _grad_task(holder, spec: MLPSpec):
-    def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = MLPModel.from_flat(spec, holder.value)
         total = None
         rows = loss_sum = 0.0
-        for chunk in chunks:
-            if not len(chunk):
+        for rb in chunks:
+            if rb.num_rows == 0:
                 continue
-            x, y, w = _matrix(chunk["x"]), chunk["y"].to_numpy(np.float64), chunk["w"].to_numpy(np.float64)
-            loss, grad, _ = loss_and_grad(model, x, y, w, normalize=False)
+            a = _arrays(rb, ("x", "y", "w"))
+            loss, grad, _ = loss_and_grad(model, a["x"], a["y"], a["w"], normalize=False)
             total = grad if total is None else total + grad
-            rows += len(chunk)
+            rows += len(a["y"])
             loss_sum += loss
         if rows:
             yield _emit({ROWS: rows, LOSS: loss_sum}, [(0, total)])
@@ -180,7 +182,7 @@ def _reduce(df: DataFrame, fn, schema: str = _OUT_SCHEMA) -> dict[int, float]:
     The result has one row per model parameter (plus a few counters), so
     its size is that of the model, not of the data.
     """
-    summed = df.mapInPandas(fn, schema).groupBy("pos").agg(F.sum("value").alias("value"))
+    summed = df.mapInArrow(fn, schema).groupBy("pos").agg(F.sum("value").alias("value"))
     return {int(r["pos"]): float(r["value"]) for r in summed.collect()}
 
 

@@ -115,3 +115,36 @@ def test_predict_expr_equals_udf(spark):
     assert np.allclose(a, b, atol=1e-12)
     e = PR.ensemble_predict(df, [model, model], ["x1", "x2"], "p").orderBy("id").toPandas()["p"]
     assert np.allclose(a, e)
+
+
+def test_fit_independent_of_arrow_chunking(spark):
+    df = spark.createDataFrame(_two_moons(300, 5))
+    spec = M.MLPSpec(2, ((4, 0.0),), 1)
+    kw = dict(epochs=2, batch_size=32, keys=["id"], seed=1, partitions=2)
+    ref = T.fit(df, spec, ["x1", "x2"], "y", **kw).model.flat()
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")  # every 32-row batch is cut across Arrow chunks
+    try:
+        small = T.fit(df, spec, ["x1", "x2"], "y", **kw).model.flat()
+    finally:
+        spark.conf.set(key, old)
+    assert np.allclose(ref, small, atol=1e-12)
+
+
+def test_feature_matrix_and_null_vectors(spark):
+    import pyarrow as pa
+
+    arr = pa.array([[1.0, 2.0], [3.0, None], [5.0, 6.0], [7.0, 8.0]], pa.list_(pa.float64()))
+    m = PR.feature_matrix(arr.slice(1, 2))
+    assert m.shape == (2, 2) and np.isnan(m[0, 1]) and m[1, 0] == 5.0
+    with pytest.raises(ValueError, match="different lengths"):
+        PR.feature_matrix(pa.array([[1.0], [1.0, 2.0]], pa.list_(pa.float64())))
+    with pytest.raises(ValueError, match="null"):
+        PR.feature_matrix(pa.array([[1.0], None], pa.list_(pa.float64())))
+    model = M.init_model(M.MLPSpec(2, ((3, 0.0),), 1), 7)
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (1, None), (2, [0.5, -1.0])], "id int, v array<double>")
+    got = PR.predict(df, model, "v", "p", method="udf").orderBy("id").toPandas()["p"]
+    assert got.isna().tolist() == [False, True, False]
+    exp = M.predict_scores(model, np.array([[1.0, 2.0], [0.5, -1.0]]))[:, 0]
+    assert np.allclose(got.dropna().to_numpy(), exp)
