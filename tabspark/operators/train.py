@@ -37,9 +37,13 @@ from .mlp import (MLPModel, MLPSpec, OptimizerSpec, init_model, l2_penalty, loss
                   param_index, predict_scores, row_losses, forward)
 from .scoring import feature_matrix, features_array
 
-_OUT_SCHEMA = "pos long, value double"
+# A task's output: its counters and vectors as one dense vector, cut into
+# blocks of BLOCK values (rows = blocks, not parameters).
+_OUT_SCHEMA = "block int, vals array<double>"
+BLOCK = 4096
 # Negative positions carry the per-task counters.
 ROWS, LOSS, CORRECT, BATCHES, TASKS = -1, -2, -3, -4, -5
+_SLOTS = 8
 # Without an explicit partition count, each training task gets at least
 # this many batches per epoch.
 MIN_BATCHES_PER_TASK = 16
@@ -74,13 +78,17 @@ def training_frame(
 
 
 def _emit(counters: dict[int, float], vectors: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-    pos = [np.fromiter(counters.keys(), dtype=np.int64)]
-    val = [np.fromiter(counters.values(), dtype=np.float64)]
+    """Counters (negative positions) and vectors (at their offsets) as ``BLOCK``-sized rows."""
+    size = _SLOTS + max((offset + len(vec) for offset, vec in vectors), default=0)
+    flat = np.zeros(size)
+    for pos, value in counters.items():
+        flat[_SLOTS + pos] = value
     for offset, vec in vectors:
-        pos.append(np.arange(offset, offset + len(vec), dtype=np.int64))
-        val.append(vec.astype(np.float64))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(pos)), pa.array(np.concatenate(val))],
-                                      names=["pos", "value"])
+        flat[_SLOTS + offset:_SLOTS + offset + len(vec)] = vec
+    n_blocks = -(-size // BLOCK)
+    offsets = np.minimum(np.arange(n_blocks + 1) * BLOCK, size).astype(np.int32)
+    vals = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(n_blocks, dtype=np.int32)), vals], names=["block", "vals"])
 
 
 def _arrays(rb: pa.RecordBatch, names: Sequence[str]) -> dict[str, np.ndarray]:
@@ -176,14 +184,19 @@ def _grad_task(holder, spec: MLPSpec):
     return run
 
 
-def _reduce(df: DataFrame, fn, schema: str = _OUT_SCHEMA) -> dict[int, float]:
+def _reduce(df: DataFrame, fn) -> dict[int, float]:
     """Run a per-partition function and add its outputs up by position.
 
+    Tasks emit blocks of ``BLOCK`` values, so the one shuffle moves tasks x
+    blocks rows (hash-partitioned by block; that partitioning already
+    satisfies the group-by on (block, position), so no second exchange).
     The result has one row per model parameter (plus a few counters), so
     its size is that of the model, not of the data.
     """
-    summed = df.mapInArrow(fn, schema).groupBy("pos").agg(F.sum("value").alias("value"))
-    return {int(r["pos"]): float(r["value"]) for r in summed.collect()}
+    summed = (df.mapInArrow(fn, _OUT_SCHEMA).repartition("block")
+              .select("block", F.posexplode("vals").alias("i", "v"))
+              .groupBy("block", "i").agg(F.sum("v").alias("value")))
+    return {int(r["block"]) * BLOCK + int(r["i"]) - _SLOTS: float(r["value"]) for r in summed.collect()}
 
 
 def _vector(sums: dict[int, float], offset: int, n: int) -> np.ndarray:
