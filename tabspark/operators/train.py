@@ -325,7 +325,9 @@ def fit(
                     sums = _reduce(work, _epoch_task(holder, spec, optimizer, epoch, seed, n_params))
                 finally:
                     holder.unpersist()
-                n = sums[ROWS]
+                n = sums.get(ROWS, 0.0)
+                if n == 0:
+                    raise ValueError("empty training frame")
                 theta = _vector(sums, 0, n_params) / n
                 state = _vector(sums, n_params, n_params) / n
                 iteration += int(math.ceil(sums[BATCHES] / sums[TASKS]))
