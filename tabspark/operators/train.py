@@ -92,9 +92,25 @@ def _emit(counters: dict[int, float], vectors: list[tuple[int, np.ndarray]]) ->
 
 
 def _arrays(rb: pa.RecordBatch, names: Sequence[str]) -> dict[str, np.ndarray]:
-    """numpy views of the named columns; ``x`` as a rows x features matrix."""
-    return {n: feature_matrix(rb.column(n)) if n == "x" else rb.column(n).to_numpy(zero_copy_only=False)
-            for n in names}
+    """numpy views of the named columns; ``x`` as a rows x features matrix.
+
+    A missing feature or label (null or NaN) would poison the parameters, so
+    it stops the job (``nulls="drop"`` in ``fit`` removes such rows first).
+    """
+    out = {n: feature_matrix(rb.column(n)) if n == "x" else rb.column(n).to_numpy(zero_copy_only=False)
+           for n in names}
+    for n in ("x", "y"):
+        if n in out and np.isnan(out[n]).any():
+            raise ValueError(f"missing value (null or NaN) in {'a feature' if n == 'x' else 'the label'}; "
+                             "drop or fill such rows (fit(..., nulls='drop'), fill_nulls)")
+    return out
+
+
+def complete_rows(frame: DataFrame) -> DataFrame:
+    """Rows of a training frame whose features and label are all present (not null, not NaN)."""
+    x, y = F.col("x"), F.col("y")
+    return frame.where(x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v))
+                       & y.isNotNull() & ~F.isnan(y))
 
 
 def _batches_in_order(chunks: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -280,16 +296,21 @@ def fit(
     init: MLPModel | None = None,
     strategy: str = "average",
     mode: str = "equal",
+    nulls: str = "raise",
 ) -> FitResult:
     """Train ``spec`` on ``train`` (M5); history (epoch, metric, value) (M8, M9).
 
     Metrics per epoch: ``loss`` (class-weighted, with L2, averaged over
     batches by rows), ``acc``; with ``val``: ``val_loss`` (unweighted, with
     L2) and ``val_acc``.  ``best_model`` has the lowest ``val_loss`` (the
-    lowest ``loss`` without validation).
+    lowest ``loss`` without validation).  ``nulls="raise"`` stops on a
+    missing feature or label; ``"drop"`` removes such rows (of ``train`` and
+    ``val``) before the batches are cut.
     """
     if strategy not in ("average", "sync"):
         raise ValueError("strategy must be 'average' or 'sync'")
+    if nulls not in ("raise", "drop"):
+        raise ValueError("nulls must be 'raise' or 'drop'")
     spark = train.sparkSession
     sc = spark.sparkContext
     shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -297,6 +318,8 @@ def fit(
     n_params = spec.n_params()
     keep = list(keys or [])
     frame = training_frame(train, features, label, class_weight, keep)
+    if nulls == "drop":
+        frame = complete_rows(frame)
     if strategy == "average":
         batched, n_batches = assign_batches_counted(frame, batch_size, keys=keep or None, seed=seed, mode=mode,
                                                     partitions=partitions or shuffle_parts)
@@ -310,8 +333,10 @@ def fit(
     work = work.persist(StorageLevel.MEMORY_AND_DISK)
     val_frame = None
     if val is not None:
-        val_frame = (training_frame(val, features, label).select("x", "y").repartition(n_parts)
-                     .persist(StorageLevel.MEMORY_AND_DISK))
+        val_frame = training_frame(val, features, label).select("x", "y")
+        if nulls == "drop":
+            val_frame = complete_rows(val_frame)
+        val_frame = val_frame.repartition(n_parts).persist(StorageLevel.MEMORY_AND_DISK)
     theta = model.flat()
     state = np.zeros(n_params)
     iteration = 0

@@ -18,6 +18,7 @@ from ..operators.columns import feature_columns
 from ..operators.encode import DEFAULT_STRING_MAP, prepare
 from ..operators.metrics import score
 from ..operators.mlp import MLPModel, MLPSpec, OptimizerSpec
+from ..operators.profile import drop_nulls
 from ..operators.scoring import ensemble_predict
 from ..operators.sampling import stratified_sample, train_val_split
 from ..operators.scale import collect_stats, scaling_stats, standardize
@@ -49,20 +50,24 @@ def train_workflow(
     class_weight: Mapping[float, float] | None = None,
     output: str = "sigmoid",
     partitions: int | None = None,
+    nulls: str = "raise",
 ) -> TrainedWorkflow:
     """Train a dense network on a table with defaults of the reference.
 
     ``class_weight`` e.g. {0.0: 1.0, 1.0: 6.0}.  ``keys`` make the split and
-    the batches independent of partitioning.
+    the batches independent of partitioning.  ``nulls="drop"`` removes rows
+    with a missing feature or label before the statistics and the fit.
     """
     prepared = prepare(df, drop, mapping)
     features = feature_columns(prepared, label, exclude=keys or ())
+    if nulls == "drop":
+        prepared = drop_nulls(prepared, [*features, label])
     train, val = train_val_split(prepared, val_ratio, seed, keys)
     stats = collect_stats(scaling_stats(train, features))
     train_z, val_z = standardize(train, stats, features), standardize(val, stats, features)
     spec = MLPSpec(len(features), tuple(hidden), 1, l2, output)
     result = fit(train_z, spec, features, label, val_z, epochs, batch_size, optimizer, class_weight,
-                 keys=keys, seed=seed, partitions=partitions)
+                 keys=keys, seed=seed, partitions=partitions, nulls=nulls)
     scores = evaluate(result.best_model, {"train": train_z, "validation": val_z}, features, label)
     return TrainedWorkflow(features, label, stats, result, scores)
 

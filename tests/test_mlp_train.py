@@ -148,3 +148,17 @@ def test_feature_matrix_and_null_vectors(spark):
     assert got.isna().tolist() == [False, True, False]
     exp = M.predict_scores(model, np.array([[1.0, 2.0], [0.5, -1.0]]))[:, 0]
     assert np.allclose(got.dropna().to_numpy(), exp)
+
+
+def test_fit_missing_values_raise_or_drop(spark):
+    pdf = _two_moons(200, 6)
+    pdf.loc[pdf.index[5], "x1"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("x2", F.when(F.col("id") == 9, None).otherwise(F.col("x2")))
+    spec = M.MLPSpec(2, ((3, 0.0),), 1)
+    kw = dict(epochs=1, batch_size=16, keys=["id"], seed=2, partitions=1)
+    with pytest.raises(Exception, match="missing value"):
+        T.fit(df, spec, ["x1", "x2"], "y", **kw)
+    dropped = T.fit(df, spec, ["x1", "x2"], "y", nulls="drop", **kw).model.flat()
+    clean = df.where(~F.col("id").isin(int(pdf["id"].iloc[5]), 9))
+    assert clean.count() == 198
+    assert np.allclose(dropped, T.fit(clean, spec, ["x1", "x2"], "y", **kw).model.flat(), atol=1e-12)
