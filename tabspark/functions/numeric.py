@@ -32,11 +32,13 @@ def sigmoid(z: Column) -> Column:
 
 
 def relu(z: Column) -> Column:
+    """max(0, z).  ``greatest`` skips nulls, so callers guard null inputs once (see ``score_expression``)."""
     return F.greatest(F.lit(0.0), z)
 
 
 def clip01(p: Column) -> Column:
-    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
+    """p clipped into [0, 1]; null stays null (``least``/``greatest`` alone would skip it)."""
+    return F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
 
 
 def predicted_class(score: Column) -> Column:
@@ -49,7 +51,7 @@ def predicted_class(score: Column) -> Column:
 
 def bce(y: Column, p: Column) -> Column:
     """Binary cross-entropy of one row with the probability clipped."""
-    q = F.least(F.greatest(p, F.lit(EPS)), F.lit(1.0 - EPS))
+    q = F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(EPS)), F.lit(1.0 - EPS)))
     return -(y * F.log(q) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - q))
 
 

@@ -222,23 +222,38 @@ def histogram(
 
     (column_name, bin, lower, upper, count), zero-filled.  Bin of x is
     floor((x - min) / (max - min) * bins) with the maximum folded into the
-    last bin (numpy's rule).  Two jobs: min/max, then a partial-aggregated
-    group-by on (column, bin) that shuffles at most columns x bins rows per task.
+    last bin (numpy's rule).  Nulls and NaN are left out (as a plot of the
+    values does), and the range is that of the finite values.  Two jobs:
+    min/max, then a partial-aggregated group-by on (column, bin) that
+    shuffles at most columns x bins rows per task.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    st = stats if isinstance(stats, Mapping) else collect_stats(stats if stats is not None else scaling_stats(df, cols))
+    if stats is None:
+        aggs = []
+        for i, c in enumerate(cols):
+            x = _q(c).cast("double")
+            finite = F.when(~F.isnan(x), x)
+            aggs += [F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
+        r = df.agg(*aggs).first()
+        bounds = {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(cols)}
+    else:
+        st = stats if isinstance(stats, Mapping) else collect_stats(stats)
+        bounds = {c: (st[c].min, st[c].max) for c in cols}
     structs = []
     skeleton = []
     for c in cols:
-        s = st[c]
+        lo, hi = bounds[c]
         x = _q(c).cast("double")
-        if s.min is None:
+        if lo is None or hi is None or math.isnan(lo) or math.isnan(hi):
             continue
-        lo, hi = float(s.min), float(s.max)
+        lo, hi = float(lo), float(hi)
         if hi == lo:
-            b = F.when(x.isNotNull(), F.lit(0))
+            b = F.when(x.isNotNull() & ~F.isnan(x), F.lit(0))
         else:
-            b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
+            # least() skips a null argument, so the guard must exclude nulls too.
+            b = F.when(x.isNotNull() & ~F.isnan(x),
+                       F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))),
+                               F.lit(bins - 1)).cast("int"))
         structs.append(F.struct(F.lit(c).alias("column_name"), b.alias("bin")))
         width = (hi - lo) / bins
         skeleton += [(c, i, lo + i * width, lo + (i + 1) * width) for i in range(bins)]

@@ -65,14 +65,19 @@ def _feature_cols(df: DataFrame, features: Sequence[str] | str, n: int) -> list[
 
 
 def score_expression(model: MLPModel, inputs: list[Column]) -> list[Column]:
-    """Network outputs as column expressions (for small networks)."""
+    """Network outputs as column expressions (for small networks); null if any input is null."""
     a = inputs
     for w, b in zip(model.weights[:-1], model.biases[:-1]):
         a = [relu(sum((x * F.lit(float(w[i, j])) for i, x in enumerate(a)), F.lit(float(b[j]))))
              for j in range(w.shape[1])]
     w, b = model.weights[-1], model.biases[-1]
     z = [sum((x * F.lit(float(w[i, j])) for i, x in enumerate(a)), F.lit(float(b[j]))) for j in range(w.shape[1])]
-    return [sigmoid(v) for v in z] if model.spec.output == "sigmoid" else z
+    out = [sigmoid(v) for v in z] if model.spec.output == "sigmoid" else z
+    # relu (greatest) skips nulls, so one guard on the inputs keeps a missing feature missing.
+    missing = None
+    for x in inputs:
+        missing = x.isNull() if missing is None else missing | x.isNull()
+    return out if missing is None else [F.when(~missing, v) for v in out]
 
 
 def score_udf(model: MLPModel, spark=None):

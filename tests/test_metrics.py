@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from tabspark.operators import metrics as MT
 
@@ -66,3 +67,18 @@ def test_score_model_batch_and_pooled(spark):
     assert abs(pooled[("accuracy", None)] - exp) < 1e-12
     batch = {(r.metric, r["class"]): r.value for r in score_model(df, model, ["a", "b"], "y", batch_size=32, keys=["id"]).collect()}
     assert abs(batch[("accuracy", None)] - exp) < 0.02
+
+
+def test_null_score_and_null_feature_stay_missing(spark):
+    from tabspark.functions.numeric import bce, clip01, predicted_class
+    from tabspark.operators import mlp as M
+    from tabspark.operators import scoring as PR
+    df = spark.createDataFrame([(1.0, 0.7), (0.0, None)], "y double, p double")
+    r = df.select(clip01(F.col("p")).alias("c"), predicted_class(F.col("p")).alias("k"),
+                  bce(F.col("y"), F.col("p")).alias("l")).collect()
+    assert r[1]["c"] is None and r[1]["k"] is None and r[1]["l"] is None
+    assert r[0]["k"] == 1.0
+    model = M.init_model(M.MLPSpec(2, ((3, 0.0),), 1), 7)
+    feats = spark.createDataFrame([(0, 1.0, 2.0), (1, None, 2.0)], "id int, a double, b double")
+    out = PR.predict(feats, model, ["a", "b"], "s", method="expr").orderBy("id").collect()
+    assert out[0]["s"] is not None and out[1]["s"] is None

@@ -135,3 +135,9 @@ def test_exact_quantiles_refuse_unbounded_groups(spark, monkeypatch):
         Q.exact_quantiles(df, ["g"], "v", [0.5])
     with pytest.raises(ValueError, match="more than 10"):
         P.label_profile(df.withColumnRenamed("g", "label"), "label", ["v"])
+
+
+def test_histogram_skips_null_and_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (2.0,)], "x double")
+    h = {r.bin: (r.lower, r.upper, r["count"]) for r in P.histogram(df, ["x"], bins=2).collect()}
+    assert h == {0: (1.0, 2.0, 1), 1: (2.0, 3.0, 2)}
