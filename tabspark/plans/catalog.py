@@ -381,7 +381,8 @@ _FITS: dict[str, train.FitResult] = {}
 
 def embeddings_fit(spark: SparkSession, d: str, epochs: int = 5) -> train.FitResult:
     """A small fit on ``embeddings`` (y = label 0), shared by Q30, Q31, Q33."""
-    key = f"{d}|{epochs}"
+    # The result holds DataFrames of this session: a new session fits again.
+    key = f"{spark.sparkContext.applicationId}|{d}|{epochs}"
     if key not in _FITS:
         emb = _t(spark, d, "embeddings").withColumn("y", (F.col("label") == 0).cast("double"))
         tr, va = sampling.train_val_split(emb, 0.2, fixed.SEED, ["vec_id"])
