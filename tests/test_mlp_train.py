@@ -162,3 +162,16 @@ def test_fit_missing_values_raise_or_drop(spark):
     clean = df.where(~F.col("id").isin(int(pdf["id"].iloc[5]), 9))
     assert clean.count() == 198
     assert np.allclose(dropped, T.fit(clean, spec, ["x1", "x2"], "y", **kw).model.flat(), atol=1e-12)
+
+
+def test_batches_and_fit_independent_of_input_layout(spark):
+    df = spark.createDataFrame(_two_moons(400, 8))
+    shuffled = df.repartition(7, "x1")
+    a = B.assign_batches(df, 32, ["id"], seed=5).select("id", "batch_id", "batch_pos").toPandas()
+    b = B.assign_batches(shuffled, 32, ["id"], seed=5).select("id", "batch_id", "batch_pos").toPandas()
+    assert a.sort_values("id").reset_index(drop=True).equals(b.sort_values("id").reset_index(drop=True))
+    spec = M.MLPSpec(2, ((4, 0.1),), 1)
+    kw = dict(epochs=2, batch_size=32, keys=["id"], seed=5, partitions=3)
+    one = T.fit(df, spec, ["x1", "x2"], "y", **kw).model.flat()
+    two = T.fit(shuffled, spec, ["x1", "x2"], "y", **kw).model.flat()
+    assert np.allclose(one, two, rtol=0, atol=1e-12)
