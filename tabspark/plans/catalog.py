@@ -416,7 +416,7 @@ def q33(spark, d):
         raise AssertionError("model round trip changed the parameters")
     if runs.load_history(spark, f"{path}/history").count() != len(res.history_rows):
         raise AssertionError("history round trip lost rows")
-    return spark.read.parquet(f"{path}/best_model/params")
+    return spark.read.parquet(f"{path}/best_model/params").select("layer", "kind", "row", "col", "value")
 
 
 @query("q38_train_workflow_lineitem")

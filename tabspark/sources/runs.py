@@ -1,8 +1,10 @@
 """Model, history and run-directory I/O.
 
-A model is two parquet tables under one folder: ``params`` (layer, kind,
-row, col, value) and ``spec`` (one row, the layer sizes as JSON).  The
-history is a (epoch, metric, value) table.  Paths are used as given, so a
+A model is one parquet table ``params`` (layer, kind, row, col, value,
+spec): one row per parameter, and the network's layer sizes as JSON in
+``spec`` (the same string on every row, which parquet stores once per page
+as a dictionary entry), so saving a model is one write.  The history is a
+(epoch, metric, value) table.  Paths are used as given, so a
 shared filesystem or object store works the same as a local folder.
 """
 
@@ -11,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.mlp import MLPModel, MLPSpec
 
@@ -23,16 +26,18 @@ def model_frame(spark: SparkSession, model: MLPModel) -> DataFrame:
 
 
 def save_model(spark: SparkSession, model: MLPModel, path: str, mode: str = "overwrite") -> str:
-    """Write ``params`` and ``spec`` tables under ``path``."""
-    model_frame(spark, model).coalesce(1).write.mode(mode).parquet(f"{path}/params")
-    spark.createDataFrame([(model.spec.to_json(),)], "spec string").coalesce(1).write.mode(mode).parquet(f"{path}/spec")
+    """Write the ``params`` table (parameters + spec) under ``path``."""
+    (model_frame(spark, model).withColumn("spec", F.lit(model.spec.to_json()))
+     .coalesce(1).write.mode(mode).parquet(f"{path}/params"))
     return path
 
 
 def load_model(spark: SparkSession, path: str) -> MLPModel:
-    """Read a model written by ``save_model``."""
-    spec = MLPSpec.from_json(spark.read.parquet(f"{path}/spec").first()["spec"])
+    """Read a model written by ``save_model`` (S6); its size is the model's."""
     rows = spark.read.parquet(f"{path}/params").collect()
+    if not rows:
+        raise ValueError(f"no parameters under {path}")
+    spec = MLPSpec.from_json(rows[0]["spec"])
     return MLPModel.from_param_rows(spec, [(r["layer"], r["kind"], r["row"], r["col"], r["value"]) for r in rows])
 
 
