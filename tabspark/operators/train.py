@@ -41,9 +41,12 @@ from .scoring import feature_matrix, features_array
 # blocks of BLOCK values (rows = blocks, not parameters).
 _OUT_SCHEMA = "block int, vals array<double>"
 BLOCK = 4096
-# Negative positions carry the per-task counters.
+# Negative positions carry the per-task counters; a validation pass fused
+# into a training job reports on its own three.
 ROWS, LOSS, CORRECT, BATCHES, TASKS = -1, -2, -3, -4, -5
+VAL_ROWS, VAL_LOSS, VAL_CORRECT = -6, -7, -8
 _SLOTS = 8
+_METRIC_ORDER = {"loss": 0, "acc": 1, "val_loss": 2, "val_acc": 3}
 # Without an explicit partition count, each training task gets at least
 # this many batches per epoch.
 MIN_BATCHES_PER_TASK = 16
@@ -160,9 +163,11 @@ def _epoch_task(holder, spec: MLPSpec, opt: OptimizerSpec, epoch: int, seed: int
     return run
 
 
-def _eval_task(holder, spec: MLPSpec, weighted: bool):
+def _eval_task(holder, spec: MLPSpec, weighted: bool, slots: tuple[int, int, int] = (ROWS, LOSS, CORRECT),
+               fused: bool = False):
+    """Loss and accuracy sums; ``fused``: the broadcast is a training job's (theta, state, iteration)."""
     def run(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        theta = holder.value
+        theta = holder.value[0] if fused else holder.value
         model = MLPModel.from_flat(spec, theta)
         rows = loss_sum = correct = 0.0
         for rb in chunks:
@@ -178,7 +183,7 @@ def _eval_task(holder, spec: MLPSpec, weighted: bool):
             loss_sum += float(per.sum())
             correct += float(np.sum(np.rint(np.clip(score[:, 0], 0.0, 1.0)) == y))
         if rows:
-            yield _emit({ROWS: rows, LOSS: loss_sum, CORRECT: correct}, [])
+            yield _emit({slots[0]: rows, slots[1]: loss_sum, slots[2]: correct}, [])
     return run
 
 
@@ -201,7 +206,12 @@ def _grad_task(holder, spec: MLPSpec):
 
 
 def _reduce(df: DataFrame, fn) -> dict[int, float]:
-    """Run a per-partition function and add its outputs up by position.
+    """Run a per-partition function and add its outputs up by position."""
+    return _sum_outputs(df.mapInArrow(fn, _OUT_SCHEMA))
+
+
+def _sum_outputs(outputs: DataFrame) -> dict[int, float]:
+    """Add task outputs (block, vals) up by position, in one job.
 
     Tasks emit blocks of ``BLOCK`` values, so the one shuffle moves tasks x
     blocks rows (hash-partitioned by block; that partitioning already
@@ -209,7 +219,7 @@ def _reduce(df: DataFrame, fn) -> dict[int, float]:
     The result has one row per model parameter (plus a few counters), so
     its size is that of the model, not of the data.
     """
-    summed = (df.mapInArrow(fn, _OUT_SCHEMA).repartition("block")
+    summed = (outputs.repartition("block")
               .select("block", F.posexplode("vals").alias("i", "v"))
               .groupBy("block", "i").agg(F.sum("v").alias("value")))
     return {int(r["block"]) * BLOCK + int(r["i"]) - _SLOTS: float(r["value"]) for r in summed.collect()}
@@ -219,8 +229,8 @@ def _vector(sums: dict[int, float], offset: int, n: int) -> np.ndarray:
     return np.array([sums.get(offset + i, 0.0) for i in range(n)])
 
 
-def evaluate_arrays(model: MLPModel, frame: DataFrame, weighted: bool = False) -> dict[str, float]:
-    """loss (mean cross-entropy + L2 penalty) and accuracy of a training frame."""
+def _eval_sums(model: MLPModel, frame: DataFrame, weighted: bool = False) -> tuple[float, float, float]:
+    """(rows, loss sum, correct) of a training frame, one job."""
     sc = frame.sparkSession.sparkContext
     holder = sc.broadcast(model.flat())
     try:
@@ -228,10 +238,15 @@ def evaluate_arrays(model: MLPModel, frame: DataFrame, weighted: bool = False) -
         sums = _reduce(frame.select(*cols), _eval_task(holder, model.spec, weighted))
     finally:
         holder.unpersist()
-    n = sums.get(ROWS, 0.0)
+    return sums.get(ROWS, 0.0), sums.get(LOSS, 0.0), sums.get(CORRECT, 0.0)
+
+
+def evaluate_arrays(model: MLPModel, frame: DataFrame, weighted: bool = False) -> dict[str, float]:
+    """loss (mean cross-entropy + L2 penalty) and accuracy of a training frame."""
+    n, loss_sum, correct = _eval_sums(model, frame, weighted)
     if n == 0:
         return {"loss": float("nan"), "acc": float("nan"), "rows": 0.0}
-    return {"loss": sums[LOSS] / n + l2_penalty(model), "acc": sums[CORRECT] / n, "rows": n}
+    return {"loss": loss_sum / n + l2_penalty(model), "acc": correct / n, "rows": n}
 
 
 def gradient_sums(model: MLPModel, frame: DataFrame) -> tuple[np.ndarray, float, float]:
@@ -342,14 +357,42 @@ def fit(
     iteration = 0
     history: list[tuple[int, str, float]] = []
     best_theta, best_value, best_epoch = theta, math.inf, 0
+    # (epoch, parameters) whose validation runs inside the next epoch's job:
+    # they are that job's starting point, so one broadcast and one job serve both.
+    pending: tuple[int, np.ndarray] | None = None
+
+    def monitor(epoch: int, params: np.ndarray, value: float) -> None:
+        nonlocal best_theta, best_value, best_epoch
+        if value < best_value:
+            best_theta, best_value, best_epoch = params.copy(), value, epoch
+
+    def record_val(epoch: int, params: np.ndarray, rows: float, loss_sum: float, correct: float) -> None:
+        if rows == 0:
+            loss, acc = float("nan"), float("nan")
+        else:
+            loss = loss_sum / rows + l2_penalty(MLPModel.from_flat(spec, params))
+            acc = correct / rows
+        history.extend([(epoch, "val_loss", loss), (epoch, "val_acc", acc)])
+        monitor(epoch, params, loss)
+
     try:
         for epoch in range(1, epochs + 1):
             if strategy == "average":
                 holder = sc.broadcast((theta, state, iteration))
                 try:
-                    sums = _reduce(work, _epoch_task(holder, spec, optimizer, epoch, seed, n_params))
+                    outputs = work.mapInArrow(_epoch_task(holder, spec, optimizer, epoch, seed, n_params),
+                                              _OUT_SCHEMA)
+                    if pending is not None:
+                        val_slots = (VAL_ROWS, VAL_LOSS, VAL_CORRECT)
+                        outputs = outputs.unionByName(val_frame.mapInArrow(
+                            _eval_task(holder, spec, False, val_slots, fused=True), _OUT_SCHEMA))
+                    sums = _sum_outputs(outputs)
                 finally:
                     holder.unpersist()
+                if pending is not None:
+                    record_val(*pending, sums.get(VAL_ROWS, 0.0), sums.get(VAL_LOSS, 0.0),
+                               sums.get(VAL_CORRECT, 0.0))
+                    pending = None
                 n = sums.get(ROWS, 0.0)
                 if n == 0:
                     raise ValueError("empty training frame")
@@ -365,17 +408,17 @@ def fit(
                 theta, state = optimizer_step(optimizer, theta, grad, state, iteration)
                 iteration += 1
             history += [(epoch, "loss", train_loss), (epoch, "acc", train_acc)]
-            monitored = train_loss
-            if val_frame is not None:
-                ev = evaluate_arrays(MLPModel.from_flat(spec, theta), val_frame)
-                history += [(epoch, "val_loss", ev["loss"]), (epoch, "val_acc", ev["acc"])]
-                monitored = ev["loss"]
-            if monitored < best_value:
-                best_theta, best_value, best_epoch = theta.copy(), monitored, epoch
+            if val_frame is None:
+                monitor(epoch, theta, train_loss)
+            elif strategy == "average" and epoch < epochs:
+                pending = (epoch, theta.copy())
+            else:
+                record_val(epoch, theta, *_eval_sums(MLPModel.from_flat(spec, theta), val_frame))
     finally:
         work.unpersist()
         if val_frame is not None:
             val_frame.unpersist()
+    history.sort(key=lambda h: (h[0], _METRIC_ORDER[h[1]]))
     hist_df = spark.createDataFrame(history, "epoch int, metric string, value double")
     meta = {"best_epoch": best_epoch, "iterations": iteration}
     return FitResult(MLPModel.from_flat(spec, theta, meta), MLPModel.from_flat(spec, best_theta, meta),
