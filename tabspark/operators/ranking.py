@@ -12,19 +12,25 @@ split by a range partitioner, so a stable row id is always appended as the
 last sort key; equal-keyed rows are then spread over as many partitions as
 their volume needs.
 
-The sorted frame is checkpointed to the session's reliable checkpoint folder:
-the counts and the numbering must see exactly the same partitions, and a
-lost executor must not re-run the range sampling with other bounds.
+The sorted frame, with its partition id and in-partition position as
+columns, is written once as a parquet table under the session's reliable
+checkpoint folder: the counts and the numbering then see exactly the same
+rows, and a lost executor does not re-run the range sampling with other
+bounds.  Counting reads only the partition-id column of that table (a
+``checkpoint()`` would be re-read whole, row by row), and readers of the
+result get parquet's column pruning.  The numbering uses the stored ids,
+so it does not depend on how the table is split when read back.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 _PID = "__ts_pid"
 _MID = "__ts_mid"
@@ -45,8 +51,8 @@ def global_rank(
     """Add ``rank_col`` = 0-based position of each row in ``order``.
 
     ``partitions`` fixes the number of ranges; by default it is the
-    session's shuffle partitions, which AQE may coalesce.  Returns a frame
-    that is range-partitioned and sorted by ``order``.
+    session's shuffle partitions, which AQE may coalesce.  The result is
+    not sorted; order by ``rank_col`` where an order is needed.
     """
     return ranked_with_total(df, order, rank_col, partitions, checkpoint)[0]
 
@@ -73,8 +79,9 @@ def ranked_with_total(
     ranged = ranged.sortWithinPartitions(*sort_cols)
     ranged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
     if checkpoint:
-        ensure_checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
+        path = scratch_path(spark, f"ranked/{uuid.uuid4().hex}")
+        ranged.write.parquet(path)
+        ranged = spark.read.parquet(path)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, running = [], 0
     for row in sorted(counts, key=lambda r: r[_PID]):
