@@ -33,13 +33,17 @@ def batch_count(n_rows: int, batch_size: int) -> int:
 
 
 def batch_counts(frames: dict[str, DataFrame], batch_size: int) -> DataFrame:
-    """(split, rows, batches) for each named frame (L5); one count job per frame."""
-    spark = next(iter(frames.values())).sparkSession
-    rows = []
-    for name, df in frames.items():
-        n = df.count()
-        rows.append((name, n, batch_count(n, batch_size)))
-    return spark.createDataFrame(rows, "split string, rows bigint, batches bigint")
+    """(split, rows, batches) for each named frame (L5); one count job for all frames."""
+    names = list(frames)
+    if not names:
+        raise ValueError("no frames")
+    tagged = [df.select(F.lit(i).alias("__split")) for i, df in enumerate(frames.values())]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionByName(t)
+    counts = {r["__split"]: r["n"] for r in union.groupBy("__split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = [(name, counts.get(i, 0), batch_count(counts.get(i, 0), batch_size)) for i, name in enumerate(names)]
+    return union.sparkSession.createDataFrame(rows, "split string, rows bigint, batches bigint")
 
 
 def _orderable(dtype: T.DataType) -> bool:

@@ -425,18 +425,57 @@ def fit(
                      best_epoch, hist_df, history)
 
 
+def _eval_frames_task(holder, spec: MLPSpec, n_frames: int):
+    """(rows, loss sum, correct) per frame index ``__frame``, as one vector."""
+    def run(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = MLPModel.from_flat(spec, holder.value)
+        acc = np.zeros(3 * n_frames)
+        for rb in chunks:
+            if rb.num_rows == 0:
+                continue
+            a = _arrays(rb, ("__frame", "x", "y"))
+            f, x, y = a["__frame"].astype(np.int64), a["x"], a["y"]
+            score, (_, _, _, z_out) = forward(model, x)
+            per = row_losses(model, y, score, z_out)
+            hit = (np.rint(np.clip(score[:, 0], 0.0, 1.0)) == y).astype(np.float64)
+            acc[0::3] += np.bincount(f, minlength=n_frames)
+            acc[1::3] += np.bincount(f, weights=per, minlength=n_frames)
+            acc[2::3] += np.bincount(f, weights=hit, minlength=n_frames)
+        yield _emit({}, [(0, acc)])
+    return run
+
+
 def evaluate(
     model: MLPModel,
     frames: Mapping[str, DataFrame],
     features: Sequence[str] | str,
     label: str,
 ) -> DataFrame:
-    """(dataset, metric, value): loss and accuracy of a model on named frames (M7)."""
+    """(dataset, metric, value): loss and accuracy of a model on named frames (M7).
+
+    All frames are scored in one job: their union carries a frame index and
+    every task adds its rows up per frame.
+    """
+    names = list(frames)
+    if not names:
+        raise ValueError("no frames")
+    parts = [training_frame(df, features, label).select(F.lit(i).alias("__frame"), "x", "y")
+             for i, df in enumerate(frames.values())]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    spark = union.sparkSession
+    holder = spark.sparkContext.broadcast(model.flat())
+    try:
+        sums = _reduce(union, _eval_frames_task(holder, model.spec, len(names)))
+    finally:
+        holder.unpersist()
+    penalty = l2_penalty(model)
     rows = []
-    for name, df in frames.items():
-        ev = evaluate_arrays(model, training_frame(df, features, label))
-        rows += [(name, "loss", ev["loss"]), (name, "acc", ev["acc"]), (name, "rows", ev["rows"])]
-    spark = next(iter(frames.values())).sparkSession
+    for i, name in enumerate(names):
+        n, loss_sum, correct = (sums.get(3 * i + k, 0.0) for k in range(3))
+        loss, acc = (loss_sum / n + penalty, correct / n) if n else (float("nan"), float("nan"))
+        rows += [(name, "loss", loss), (name, "acc", acc), (name, "rows", n)]
     return spark.createDataFrame(rows, "dataset string, metric string, value double")
 
 
