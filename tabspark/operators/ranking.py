@@ -29,8 +29,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 
 _PID = "__ts_pid"
 _MID = "__ts_mid"
@@ -41,6 +42,17 @@ _OFFSET = "__ts_offset"
 MAX_OFFSET_ROWS = 1_000_000
 
 
+def _parquet_writable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_parquet_writable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _parquet_writable(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _parquet_writable(dtype.keyType) and _parquet_writable(dtype.valueType)
+    return not isinstance(dtype, (T.NullType, T.CalendarIntervalType, T.DayTimeIntervalType,
+                                  T.YearMonthIntervalType, T.UserDefinedType))
+
+
 def global_rank(
     df: DataFrame,
     order: Sequence[Column],
@@ -78,10 +90,14 @@ def ranked_with_total(
         ranged = keyed.repartitionByRange(*sort_cols)
     ranged = ranged.sortWithinPartitions(*sort_cols)
     ranged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
-    if checkpoint:
+    if checkpoint and _parquet_writable(ranged.schema):
         path = scratch_path(spark, f"ranked/{uuid.uuid4().hex}")
         ranged.write.parquet(path)
         ranged = spark.read.parquet(path)
+    elif checkpoint:
+        # Types parquet cannot store (void, intervals): Spark's own checkpoint.
+        ensure_checkpoint_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, running = [], 0
     for row in sorted(counts, key=lambda r: r[_PID]):

@@ -118,3 +118,9 @@ def test_stratified_sample_shuffle_path_small_classes_and_null(spark, monkeypatc
         assert sorted(got["id"]) == sorted(exp["id"]), max_classes
         assert int(got["y"].isna().sum()) == 40 and int((got["y"] == 9).sum()) == 5
     assert S.stratified_sample(df, "y", ["id"], n_per_class=0, seed=9).count() == 0
+
+
+def test_global_rank_with_types_parquet_cannot_store(spark):
+    df = spark.range(50).selectExpr("id", "NULL AS nothing", "make_dt_interval(0, 0, 0, id) AS span")
+    ranked = R.global_rank(df, [F.col("id").desc()], "r", partitions=3).toPandas()
+    assert sorted(zip(ranked["id"], ranked["r"])) == [(i, 49 - i) for i in range(50)]
