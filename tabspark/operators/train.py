@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .batches import assign_batches_counted, group_batches
 from .mlp import (MLPModel, MLPSpec, OptimizerSpec, init_model, l2_penalty, loss_and_grad, optimizer_step,
-                  param_index, predict_scores, row_losses, forward)
+                  param_index, row_losses, forward)
 from .scoring import feature_matrix, features_array
 
 # A task's output: its counters and vectors as one dense vector, cut into
