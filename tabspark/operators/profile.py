@@ -51,8 +51,10 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     string minima and maxima to ``text``.  The mean and stddev of a string
     column are those of its values that parse as numbers (else null).
     Boolean and other columns are left out, as in Spark's ``describe``.
-    Rows are unpivoted to (column_name, number, string) and grouped by
-    column, so the generated code does not grow with the column count.
+    Up to ``WIDE_MAX_COLUMNS`` columns use one wide aggregate; wider tables
+    are unpivoted to (column_name, number, string) and grouped by column, so
+    the generated code does not grow with the column count.  An empty table
+    gives no rows.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     numeric = [f.name for f in fields if is_numeric(f.dataType)]
@@ -60,6 +62,27 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     if not numeric and not strings:
         raise ValueError("no numeric or string columns")
     null_s = F.lit(None).cast("string")
+    null_d = F.lit(None).cast("double")
+
+    def row(stat: str, value: Column, text: Column) -> Column:
+        return F.struct(F.lit(stat).alias("statistic"), value.alias("value"), text.alias("text"))
+
+    if len(numeric) + len(strings) <= WIDE_MAX_COLUMNS:
+        aggs, out = [F.count(F.lit(1)).alias("__rows")], []
+        for i, c in enumerate(numeric + strings):
+            is_str = i >= len(numeric)
+            x = _q(c).try_cast("double") if is_str else _q(c).cast("double")
+            aggs += [F.count(_q(c)).cast("double").alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                     F.stddev_samp(x).alias(f"sd{i}"),
+                     F.min(_q(c) if is_str else x).alias(f"lo{i}"), F.max(_q(c) if is_str else x).alias(f"hi{i}")]
+            lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+            stats = [row("count", F.col(f"n{i}"), null_s), row("mean", F.col(f"m{i}"), null_s),
+                     row("stddev", F.col(f"sd{i}"), null_s),
+                     row("min", null_d, lo) if is_str else row("min", lo, null_s),
+                     row("max", null_d, hi) if is_str else row("max", hi, null_s)]
+            out += [F.struct(F.lit(c).alias("column_name"), *[st[f] for f in ("statistic", "value", "text")])
+                    for st in stats]
+        return df.agg(*aggs).where(F.col("__rows") > 0).select(F.inline(F.array(*out)))
     cells = [F.struct(F.lit(c).alias("column_name"), F.lit(False).alias("is_str"),
                       _q(c).cast("double").alias("x"), null_s.alias("s")) for c in numeric]
     cells += [F.struct(F.lit(c).alias("column_name"), F.lit(True).alias("is_str"),
@@ -71,11 +94,6 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         .cast("double").alias("n"),
         F.avg("x").alias("m"), F.stddev_samp("x").alias("sd"),
         F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("s").alias("slo"), F.max("s").alias("shi"))
-    null_d = F.lit(None).cast("double")
-
-    def row(stat: str, value: Column, text: Column) -> Column:
-        return F.struct(F.lit(stat).alias("statistic"), value.alias("value"), text.alias("text"))
-
     is_str = F.col("is_str")
     return agg.select("column_name", F.inline(F.array(
         row("count", F.col("n"), null_s), row("mean", F.col("m"), null_s), row("stddev", F.col("sd"), null_s),

@@ -141,3 +141,24 @@ def test_histogram_skips_null_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (2.0,)], "x double")
     h = {r.bin: (r.lower, r.upper, r["count"]) for r in P.histogram(df, ["x"], bins=2).collect()}
     assert h == {0: (1.0, 2.0, 1), 1: (2.0, 3.0, 2)}
+
+
+def test_describe_wide_and_long_paths_agree(spark, monkeypatch):
+    rows = [(i, float(i) / 3 if i % 5 else None, str(i * 7) if i % 3 else "abc", bool(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b double, s string, flag boolean")
+
+    def table(frame):
+        out = P.describe_table(frame)
+        assert out.columns == ["column_name", "statistic", "value", "text"]
+        return {(r.column_name, r.statistic): (r.value, r.text) for r in out.collect()}
+
+    wide = table(df)
+    monkeypatch.setattr(P, "WIDE_MAX_COLUMNS", 0)
+    long = table(df)
+    assert set(wide) == set(long) and len(wide) == 15
+    for k, (v, t) in wide.items():
+        lv, lt = long[k]
+        assert t == lt and ((v is None and lv is None) or abs(v - lv) < 1e-9 * max(1.0, abs(v))), k
+    assert wide[("s", "count")] == (60.0, None) and wide[("s", "min")] == (None, "112")
+    monkeypatch.setattr(P, "WIDE_MAX_COLUMNS", 16)
+    assert P.describe_table(df.limit(0)).count() == 0
