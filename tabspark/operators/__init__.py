@@ -2,7 +2,7 @@
 
 from .batches import assign_batches, batch_count, batch_counts, batch_profile, group_batches
 from .categories import category_index, index_categories
-from .columns import (column_dtype, columns_of_type, drop_columns, dtype_table, feature_columns, modify_columns,
+from .columns import (column_dtype, columns_of_type, drop_columns, dtype_profile, dtype_table, feature_columns, modify_columns,
                       non_numeric_columns, numeric_columns, rename_columns, select_numeric)
 from .encode import DEFAULT_STRING_MAP, encode_booleans, encode_strings, prepare, string_code, unknown_counts
 from .metrics import (batch_metrics, classification_metrics, confusion_matrix, custom_metric, log_loss,

@@ -53,6 +53,36 @@ def dtype_table(df: DataFrame) -> list[tuple[str, str, bool]]:
     return [(f.name, f.dataType.simpleString(), is_numeric(f.dataType)) for f in df.schema.fields]
 
 
+# Tables up to this many columns are counted in one wide aggregate.
+WIDE_MAX_COLUMNS = 16
+
+
+def dtype_profile(df: DataFrame) -> DataFrame:
+    """(column_name, dtype, is_numeric, non_null) for every column (P1-P4 with counts).
+
+    The dtype listing of ``dtype_table`` plus each column's count of
+    non-null values over all rows: one aggregate pass (a wide aggregate for
+    narrow tables, else unpivoted to one (column, present) pair per cell).
+    """
+    listing = dtype_table(df)
+    if len(listing) <= WIDE_MAX_COLUMNS:
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, (c, _, _) in enumerate(listing)])
+        return counts.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("dtype"), F.lit(num).alias("is_numeric"),
+                     F.col(f"n{i}").alias("non_null"))
+            for i, (c, t, num) in enumerate(listing)])))
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").isNotNull().alias("present"))
+        for i, (c, _, _) in enumerate(listing)])))
+    counts = cells.groupBy("i").agg(F.count_if("present").alias("non_null"))
+    names = df.sparkSession.createDataFrame(
+        [(i, c, t, num) for i, (c, t, num) in enumerate(listing)],
+        "i int, column_name string, dtype string, is_numeric boolean")
+    # One row per column on both sides.
+    return (names.join(F.broadcast(counts), "i", "left")
+            .select("column_name", "dtype", "is_numeric", F.coalesce("non_null", F.lit(0)).alias("non_null")))
+
+
 def drop_columns(df: DataFrame, names: Iterable[str], errors: str = "warn") -> DataFrame:
     """Drop the named columns that exist."""
     present = []

@@ -165,8 +165,7 @@ def q13(spark, d):
 
 @query("q14a_dtypes_lineitem")
 def q14a(spark, d):
-    rows = columns.dtype_table(_t(spark, d, "lineitem"))
-    return spark.createDataFrame(rows, "column_name string, dtype string, is_numeric boolean")
+    return columns.dtype_profile(_t(spark, d, "lineitem"))
 
 
 @query("q14b_numeric_projection_lineitem")

@@ -244,12 +244,18 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem
 """
 
-SQL["q14a_dtypes_lineitem"] = """
-SELECT column_name,
-       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS dtype,
-       data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT', 'SMALLINT', 'TINYINT') AS is_numeric
-FROM information_schema.columns WHERE table_name = 'lineitem'
+LINEITEM_COLUMNS = LINEITEM_NUMERIC + ["l_returnflag", "l_linestatus", "l_shipdate"]
+
+SQL["q14a_dtypes_lineitem"] = f"""
+WITH n AS (SELECT {', '.join(f'count({c}) AS {c}' for c in LINEITEM_COLUMNS)} FROM lineitem),
+u AS (UNPIVOT n ON COLUMNS(*) INTO NAME column_name VALUE non_null)
+SELECT i.column_name,
+       CASE i.data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(i.data_type) END AS dtype,
+       i.data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT', 'SMALLINT', 'TINYINT') AS is_numeric,
+       u.non_null
+FROM information_schema.columns i JOIN u ON i.column_name = u.column_name
+WHERE i.table_name = 'lineitem'
 """
 
 SQL["q14b_numeric_projection_lineitem"] = f"SELECT {', '.join(LINEITEM_NUMERIC)} FROM lineitem"

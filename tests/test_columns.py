@@ -55,3 +55,12 @@ def test_modify_sees_earlier_results_by_name(spark):
 def test_feature_columns_exact_label(spark):
     df = spark.createDataFrame([(1.0, 2.0, 1.0)], "`Churn rate` double, x double, Churn double")
     assert C.feature_columns(df, "Churn") == ["Churn rate", "x"]
+
+
+def test_dtype_profile_counts_values_on_both_paths(spark, monkeypatch):
+    df = spark.createDataFrame([(1, None, "a"), (2, 2.5, None), (3, 1.0, "c")], "k int, v double, s string")
+    exp = [("k", "int", True, 3), ("v", "double", True, 2), ("s", "string", False, 2)]
+    assert sorted(tuple(r) for r in C.dtype_profile(df).collect()) == sorted(exp)
+    monkeypatch.setattr(C, "WIDE_MAX_COLUMNS", 0)
+    assert sorted(tuple(r) for r in C.dtype_profile(df).collect()) == sorted(exp)
+    assert sorted(r["non_null"] for r in C.dtype_profile(df.limit(0)).collect()) == [0, 0, 0]
