@@ -321,6 +321,17 @@ def q27(spark, d):
     return _round(metrics.score(b, "y", "p", average="batch"), "value")
 
 
+@query("q39_score_model_orders")
+def q39(spark, d):
+    """R1 as one plan: standardize with the table's statistics, score, cut batches, mean of per-batch metrics."""
+    from .workflow import score_model
+    o = _t(spark, d, "orders").withColumn("y", F.when(F.col("o_orderstatus") == "F", F.lit(1.0)).otherwise(F.lit(0.0)))
+    stats = scale.collect_stats(scale.scaling_stats(o, fixed.ORDER_FEATURES))
+    scored = score_model(o, fixed.order_scorer(), fixed.ORDER_FEATURES, "y", stats, batch_size=fixed.BATCH,
+                         keys=["o_orderkey"], seed=fixed.SEED, average="batch")
+    return _round(scored, "value")
+
+
 @query("q28_losses_orders")
 def q28(spark, d):
     s = _orders_scored(spark, d)

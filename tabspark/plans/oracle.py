@@ -443,6 +443,9 @@ FROM (SELECT metric, class, value FROM metric_rows UNION ALL SELECT metric, clas
 GROUP BY metric, class
 """
 
+# R1 (score_model) computes the same batch-averaged metrics in one plan.
+SQL["q39_score_model_orders"] = SQL["q27_batch_metrics_orders"]
+
 
 def _bce(y: str, p: str) -> str:
     q = f"LEAST(GREATEST({p}, 1e-7), 1.0 - 1e-7)"
