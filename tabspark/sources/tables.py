@@ -42,8 +42,8 @@ def get_table(spark: SparkSession, path: str, verbose: bool = False, **kwargs) -
 
 
 def read_parquet_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """One table of a directory of ``<name>.parquet`` files."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    """One table of a directory of ``<name>.parquet`` files (``load_table`` with the parquet source)."""
+    return load_table(spark, f"{base_dir.rstrip('/')}/{name}.parquet", format="parquet")
 
 
 def to_pandas_small(df: DataFrame, max_rows: int = 100_000):
