@@ -191,17 +191,18 @@ def _grad_task(holder, spec: MLPSpec):
     def run(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = MLPModel.from_flat(spec, holder.value)
         total = None
-        rows = loss_sum = 0.0
+        rows = loss_sum = correct = 0.0
         for rb in chunks:
             if rb.num_rows == 0:
                 continue
             a = _arrays(rb, ("x", "y", "w"))
-            loss, grad, _ = loss_and_grad(model, a["x"], a["y"], a["w"], normalize=False)
+            loss, grad, score = loss_and_grad(model, a["x"], a["y"], a["w"], normalize=False)
             total = grad if total is None else total + grad
             rows += len(a["y"])
             loss_sum += loss
+            correct += float(np.sum(np.rint(np.clip(score[:, 0], 0.0, 1.0)) == a["y"]))
         if rows:
-            yield _emit({ROWS: rows, LOSS: loss_sum}, [(0, total)])
+            yield _emit({ROWS: rows, LOSS: loss_sum, CORRECT: correct}, [(0, total)])
     return run
 
 
@@ -249,14 +250,8 @@ def evaluate_arrays(model: MLPModel, frame: DataFrame, weighted: bool = False) -
     return {"loss": loss_sum / n + l2_penalty(model), "acc": correct / n, "rows": n}
 
 
-def gradient_sums(model: MLPModel, frame: DataFrame) -> tuple[np.ndarray, float, float]:
-    """(gradient of the weighted mean loss incl. L2, data loss, rows) over a training frame."""
-    sc = frame.sparkSession.sparkContext
-    holder = sc.broadcast(model.flat())
-    try:
-        sums = _reduce(frame.select("x", "y", "w"), _grad_task(holder, model.spec))
-    finally:
-        holder.unpersist()
+def _gradient_from(sums: dict[int, float], model: MLPModel) -> tuple[np.ndarray, float, float, float]:
+    """(gradient of the weighted mean loss incl. L2, data loss, rows, accuracy) from gradient-task sums."""
     n = sums.get(ROWS, 0.0)
     if n == 0:
         raise ValueError("empty training frame")
@@ -266,7 +261,19 @@ def gradient_sums(model: MLPModel, frame: DataFrame) -> tuple[np.ndarray, float,
         for layer in range(len(model.weights) - 1):
             l2.weights[layer] = 2.0 * model.spec.l2 * model.weights[layer]
         grad = grad + l2.flat()
-    return grad, sums[LOSS] / n, n
+    return grad, sums[LOSS] / n, n, sums.get(CORRECT, 0.0) / n
+
+
+def gradient_sums(model: MLPModel, frame: DataFrame) -> tuple[np.ndarray, float, float]:
+    """(gradient of the weighted mean loss incl. L2, data loss, rows) over a training frame."""
+    sc = frame.sparkSession.sparkContext
+    holder = sc.broadcast(model.flat())
+    try:
+        sums = _reduce(frame.select("x", "y", "w"), _grad_task(holder, model.spec))
+    finally:
+        holder.unpersist()
+    grad, loss, n, _ = _gradient_from(sums, model)
+    return grad, loss, n
 
 
 def sync_gradient(
@@ -377,22 +384,26 @@ def fit(
 
     try:
         for epoch in range(1, epochs + 1):
-            if strategy == "average":
-                holder = sc.broadcast((theta, state, iteration))
-                try:
+            # One job per epoch: the training pass, plus the validation of the
+            # parameters it starts from (the previous epoch's result).
+            holder = sc.broadcast((theta, state, iteration) if strategy == "average" else theta)
+            try:
+                if strategy == "average":
                     outputs = work.mapInArrow(_epoch_task(holder, spec, optimizer, epoch, seed, n_params),
                                               _OUT_SCHEMA)
-                    if pending is not None:
-                        val_slots = (VAL_ROWS, VAL_LOSS, VAL_CORRECT)
-                        outputs = outputs.unionByName(val_frame.mapInArrow(
-                            _eval_task(holder, spec, False, val_slots, fused=True), _OUT_SCHEMA))
-                    sums = _sum_outputs(outputs)
-                finally:
-                    holder.unpersist()
+                else:
+                    outputs = work.mapInArrow(_grad_task(holder, spec), _OUT_SCHEMA)
                 if pending is not None:
-                    record_val(*pending, sums.get(VAL_ROWS, 0.0), sums.get(VAL_LOSS, 0.0),
-                               sums.get(VAL_CORRECT, 0.0))
-                    pending = None
+                    val_slots = (VAL_ROWS, VAL_LOSS, VAL_CORRECT)
+                    outputs = outputs.unionByName(val_frame.mapInArrow(
+                        _eval_task(holder, spec, False, val_slots, fused=strategy == "average"), _OUT_SCHEMA))
+                sums = _sum_outputs(outputs)
+            finally:
+                holder.unpersist()
+            if pending is not None:
+                record_val(*pending, sums.get(VAL_ROWS, 0.0), sums.get(VAL_LOSS, 0.0), sums.get(VAL_CORRECT, 0.0))
+                pending = None
+            if strategy == "average":
                 n = sums.get(ROWS, 0.0)
                 if n == 0:
                     raise ValueError("empty training frame")
@@ -402,15 +413,14 @@ def fit(
                 train_loss, train_acc = sums[LOSS] / n, sums[CORRECT] / n
             else:
                 current = MLPModel.from_flat(spec, theta)
-                grad, data_loss, n = gradient_sums(current, work)
+                grad, data_loss, n, train_acc = _gradient_from(sums, current)
                 train_loss = data_loss + l2_penalty(current)
-                train_acc = evaluate_arrays(current, work)["acc"]
                 theta, state = optimizer_step(optimizer, theta, grad, state, iteration)
                 iteration += 1
             history += [(epoch, "loss", train_loss), (epoch, "acc", train_acc)]
             if val_frame is None:
                 monitor(epoch, theta, train_loss)
-            elif strategy == "average" and epoch < epochs:
+            elif epoch < epochs:
                 pending = (epoch, theta.copy())
             else:
                 record_val(epoch, theta, *_eval_sums(MLPModel.from_flat(spec, theta), val_frame))

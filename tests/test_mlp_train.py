@@ -175,3 +175,20 @@ def test_batches_and_fit_independent_of_input_layout(spark):
     one = T.fit(df, spec, ["x1", "x2"], "y", **kw).model.flat()
     two = T.fit(shuffled, spec, ["x1", "x2"], "y", **kw).model.flat()
     assert np.allclose(one, two, rtol=0, atol=1e-12)
+
+
+def test_sync_strategy_with_validation_records_each_epoch(spark):
+    df = spark.createDataFrame(_two_moons(300, 4))
+    train, val = df.where(F.col("id") % 4 != 0), df.where(F.col("id") % 4 == 0)
+    spec = M.MLPSpec(2, ((3, 0.0),), 1, l2=0.01)
+    init = M.init_model(spec, 3)
+    res = T.fit(train, spec, ["x1", "x2"], "y", val, epochs=3, strategy="sync", init=init,
+                optimizer=M.OptimizerSpec("sgd", lr=0.5))
+    h = pd.DataFrame(res.history_rows, columns=["epoch", "metric", "value"])
+    assert list(h["metric"]) == ["loss", "acc", "val_loss", "val_acc"] * 3
+    val_loss = h[h.metric == "val_loss"]["value"].to_numpy()
+    assert res.best_epoch == int(np.argmin(val_loss)) + 1
+    ev = {(r.dataset, r.metric): r.value for r in T.evaluate(res.best_model, {"v": val}, ["x1", "x2"], "y").collect()}
+    assert abs(ev[("v", "loss")] - val_loss.min()) < 1e-9
+    ev0 = {(r.dataset, r.metric): r.value for r in T.evaluate(init, {"t": train}, ["x1", "x2"], "y").collect()}
+    assert abs(h[(h.epoch == 1) & (h.metric == "acc")]["value"].iloc[0] - ev0[("t", "acc")]) < 1e-12
