@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import global_rank
+from .ranking import ranked_with_total
 
 # Category tables up to this many rows are broadcast to the scoring join.
 BROADCAST_MAX_CATEGORIES = 100_000
@@ -21,9 +21,14 @@ BROADCAST_MAX_CATEGORIES = 100_000
 
 def category_index(df: DataFrame, column: str, index_col: str = "index") -> DataFrame:
     """(column, count, index) for every distinct non-null value."""
+    return _category_index_counted(df, column, index_col)[0]
+
+
+def _category_index_counted(df: DataFrame, column: str, index_col: str = "index") -> tuple[DataFrame, int]:
+    """``category_index`` plus the number of categories (known from the rank offsets)."""
     c = F.col(f"`{column}`")
     counts = df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("count"))
-    return global_rank(counts, [F.col("count").desc(), c.asc()], index_col)
+    return ranked_with_total(counts, [F.col("count").desc(), c.asc()], index_col)
 
 
 def index_categories(
@@ -37,9 +42,11 @@ def index_categories(
     Values missing from ``index`` (and nulls) get null.
     """
     out = output_col or f"{column}_index"
-    idx = index if index is not None else category_index(df, column)
+    if index is None:
+        idx, n_categories = _category_index_counted(df, column)
+    else:
+        idx, n_categories = index, index.count()
     lookup = idx.select(F.col(f"`{column}`").alias("__cat"), F.col("index").cast("double").alias(out))
-    n_categories = lookup.count()
     if n_categories <= BROADCAST_MAX_CATEGORIES:
         lookup = F.broadcast(lookup)
     return df.join(lookup, F.col(f"`{column}`") == F.col("__cat"), "left").drop("__cat")
