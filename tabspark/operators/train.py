@@ -350,7 +350,9 @@ def fit(
         work = group_batches(batched.select("batch_id", "batch_pos", "x", "y", "w"), n_parts)
     else:
         n_parts = int(partitions or shuffle_parts)
-        work = frame.select("x", "y", "w").repartition(n_parts)
+        # Gradient sums do not depend on which rows share a task: merge input
+        # partitions (no shuffle) so that at most n_parts tasks send a vector.
+        work = frame.select("x", "y", "w").coalesce(n_parts)
     # Read once per epoch: spread over the training partitions and keep.
     work = work.persist(StorageLevel.MEMORY_AND_DISK)
     val_frame = None
@@ -358,7 +360,8 @@ def fit(
         val_frame = training_frame(val, features, label).select("x", "y")
         if nulls == "drop":
             val_frame = complete_rows(val_frame)
-        val_frame = val_frame.repartition(n_parts).persist(StorageLevel.MEMORY_AND_DISK)
+        # Sums again: merge input partitions (no shuffle), at most n_parts tasks.
+        val_frame = val_frame.coalesce(n_parts).persist(StorageLevel.MEMORY_AND_DISK)
     theta = model.flat()
     state = np.zeros(n_params)
     iteration = 0
