@@ -266,10 +266,13 @@ def _gradient_from(sums: dict[int, float], model: MLPModel) -> tuple[np.ndarray,
 
 def gradient_sums(model: MLPModel, frame: DataFrame) -> tuple[np.ndarray, float, float]:
     """(gradient of the weighted mean loss incl. L2, data loss, rows) over a training frame."""
-    sc = frame.sparkSession.sparkContext
-    holder = sc.broadcast(model.flat())
+    spark = frame.sparkSession
+    holder = spark.sparkContext.broadcast(model.flat())
+    # Every task sends a model-size vector: merge input partitions (no
+    # shuffle) to at most the shuffle-partition count.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        sums = _reduce(frame.select("x", "y", "w"), _grad_task(holder, model.spec))
+        sums = _reduce(frame.select("x", "y", "w").coalesce(n_parts), _grad_task(holder, model.spec))
     finally:
         holder.unpersist()
     grad, loss, n, _ = _gradient_from(sums, model)
