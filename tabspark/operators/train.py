@@ -9,15 +9,18 @@ epoch is one Spark job:
    batch) starts from the same parameters (a broadcast variable), runs
    its batches in order with the optimizer, and emits its parameters and
    optimizer state weighted by its row count;
-3. a group-by on the parameter position averages them (parameter averaging,
-   local SGD); the driver receives one vector whose size is the model's.
+3. the outputs, cut into blocks of ``BLOCK`` values, are shuffled by block
+   and summed per position (parameter averaging, local SGD); the driver
+   receives one vector whose size is the model's.
 
-With one partition this is exactly the sequential minibatch loop.  A
-validation pass (one aggregate job) follows each epoch, and the parameters
-of the lowest validation loss are kept (the reference's best checkpoint).
+With one partition this is exactly the sequential minibatch loop.  The
+validation of an epoch's parameters runs inside the next epoch's job (the
+parameters it starts from; the last epoch's in a job of its own), and the
+parameters of the lowest validation loss are kept (the reference's best
+checkpoint).
 
 ``strategy="sync"`` instead takes one full-batch gradient step per epoch:
-tasks return gradient sums for the same parameters.
+tasks return gradient sums (and accuracy counts) for the same parameters.
 """
 
 from __future__ import annotations
