@@ -180,8 +180,11 @@ def stratified_sample(
         picked = edge_rows.withColumn("__pos", pos)
     else:
         ranked = global_rank(edge_rows, [F.col("__cls")] + order, "__rank")
-        starts = ranked.groupBy("__cls").agg(F.min("__rank").alias("__start"))
-        picked = ranked.join(F.broadcast(starts) if small else starts, "__cls").withColumn("__pos", F.col("__rank") - F.col("__start"))
+        starts = ranked.groupBy(F.col("__cls").alias("__scls")).agg(F.min("__rank").alias("__start"))
+        starts = F.broadcast(starts) if small else starts
+        # Null-safe: a null class is a class too.
+        picked = (ranked.join(starts, ranked["__cls"].eqNullSafe(starts["__scls"])).drop("__scls")
+                  .withColumn("__pos", F.col("__rank") - F.col("__start")))
     picked = picked.where(F.col("__pos") < F.col("__need") - F.col("__before"))
     drop = ["__bucket", "__cls", "__b", "__before", "__need", "__rank", "__start", "__pos"]
     return whole.drop(*drop).unionByName(picked.drop(*drop))

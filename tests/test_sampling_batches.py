@@ -105,18 +105,19 @@ def test_stratified_sample_shuffle_path_small_classes_and_null(spark, monkeypatc
     rng = np.random.default_rng(3)
     n = 3000
     y = rng.integers(0, 4, n).astype(object)
-    y[:40] = None          # a null class of 40 rows
-    y[40:45] = 9           # a class smaller than the sample size
+    y[:300] = None         # a null class of 300 rows (more than the sample size)
+    y[300:305] = 9         # a class smaller than the sample size
     pdf = pd.DataFrame({"id": np.arange(n), "y": y, "v": rng.random(n)})
     df = spark.createDataFrame(pdf, "id long, y int, v double")
     k = 100
     pdf["h"] = [_int_hash(9, i) for i in pdf["id"]]
     exp = pdf.sort_values(["h", "id", "v"]).groupby("y", dropna=False).head(k)
-    for max_classes in (S.BROADCAST_MAX_CLASSES, 0):
+    for max_classes, window_rows in ((S.BROADCAST_MAX_CLASSES, S.WINDOW_MAX_ROWS), (0, S.WINDOW_MAX_ROWS), (0, 0)):
         monkeypatch.setattr(S, "BROADCAST_MAX_CLASSES", max_classes)
+        monkeypatch.setattr(S, "WINDOW_MAX_ROWS", window_rows)  # 0: boundary buckets ranked by global_rank
         got = S.stratified_sample(df, "y", ["id"], n_per_class=k, seed=9).toPandas()
-        assert sorted(got["id"]) == sorted(exp["id"]), max_classes
-        assert int(got["y"].isna().sum()) == 40 and int((got["y"] == 9).sum()) == 5
+        assert sorted(got["id"]) == sorted(exp["id"]), (max_classes, window_rows)
+        assert int(got["y"].isna().sum()) == k and int((got["y"] == 9).sum()) == 5
     assert S.stratified_sample(df, "y", ["id"], n_per_class=0, seed=9).count() == 0
 
 
