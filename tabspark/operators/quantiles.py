@@ -166,14 +166,19 @@ def exact_quantiles(
         stats = {tuple(r[g] for g in gcols): (r["n"], r["lo"], r["hi"], r["nan"]) for r in rows}
     targets = _targets(stats, probs)
     finite = v.where(~F.isnan("__v"))
-    schema = T.StructType([T.StructField(c, gtypes[c]) for c in gcols] + [
+    schema = T.StructType([T.StructField(f"__g{i}", gtypes[c]) for i, c in enumerate(gcols)] + [
         T.StructField("__iid", T.LongType()), T.StructField("__ilo", T.DoubleType()),
         T.StructField("__ihi", T.DoubleType())])
 
     def rows_in(ivs, bins):
-        # One row per interval: a broadcast of bounded size.
+        # One row per interval: a broadcast of bounded size.  Null-safe keys:
+        # a null group value is a group too.
         table = F.broadcast(spark.createDataFrame([(*g, j, lo, hi) for g, j, lo, hi in ivs], schema))
-        inside = (finite.join(table, gcols)
+        cond = None
+        for i, c in enumerate(gcols):
+            eq = finite[c].eqNullSafe(table[f"__g{i}"])
+            cond = eq if cond is None else cond & eq
+        inside = (finite.join(table, cond)
                   .where((F.col("__v") >= F.col("__ilo")) & (F.col("__v") <= F.col("__ihi"))))
         if bins is None:
             return inside.select("__iid", "__v")

@@ -162,3 +162,13 @@ def test_describe_wide_and_long_paths_agree(spark, monkeypatch):
     assert wide[("s", "count")] == (60.0, None) and wide[("s", "min")] == (None, "112")
     monkeypatch.setattr(P, "WIDE_MAX_COLUMNS", 16)
     assert P.describe_table(df.limit(0)).count() == 0
+
+
+def test_exact_quantiles_null_group(spark):
+    from tabspark.operators.quantiles import exact_quantiles
+    rows = [(None, float(i)) for i in range(1, 11)] + [(1, float(i)) for i in range(20, 25)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {(r.g, r.prob): r.quantile for r in exact_quantiles(df, ["g"], "v", [0.5, 1.0]).collect()}
+    assert got == {(None, 0.5): 5.0, (None, 1.0): 10.0, (1, 0.5): 22.0, (1, 1.0): 24.0}
+    lp = {r.label: r.q50 for r in P.label_profile(df.withColumnRenamed("g", "label"), "label", ["v"]).collect()}
+    assert lp[None] is not None and lp[1] is not None
