@@ -53,10 +53,14 @@ def integral_keys(df: DataFrame | None, keys: Sequence[str | Column]) -> bool:
 
 
 def int_h32(keys: Sequence[str | Column], seed: int) -> Column:
-    """Affine hash of integer keys into [0, FINAL_PRIME), a subset of [0, 2^32)."""
+    """Affine hash of integer keys into [0, FINAL_PRIME), a subset of [0, 2^32).
+
+    A null key folds like a key of 0, so every row gets a hash (a split or a
+    batch order keeps every row); the md5 path skips null keys likewise.
+    """
     h = F.lit(int(seed) % KEY_PRIME).cast("bigint")
     for k in keys:
-        folded = F.pmod(_col(k).cast("bigint"), F.lit(KEY_PRIME))
+        folded = F.coalesce(F.pmod(_col(k).cast("bigint"), F.lit(KEY_PRIME)), F.lit(0).cast("bigint"))
         h = F.pmod(F.pmod(h * F.lit(STEP), F.lit(KEY_PRIME)) + F.pmod(folded * F.lit(KEY_MULT), F.lit(KEY_PRIME)),
                    F.lit(KEY_PRIME))
     return F.pmod(h * F.lit(FINAL_MULT) + F.lit(FINAL_ADD), F.lit(FINAL_PRIME))

@@ -125,3 +125,15 @@ def test_global_rank_with_types_parquet_cannot_store(spark):
     df = spark.range(50).selectExpr("id", "NULL AS nothing", "make_dt_interval(0, 0, 0, id) AS span")
     ranked = R.global_rank(df, [F.col("id").desc()], "r", partitions=3).toPandas()
     assert sorted(zip(ranked["id"], ranked["r"])) == [(i, 49 - i) for i in range(50)]
+
+
+def test_hash_split_keeps_rows_with_null_keys(spark):
+    rows = [(i if i % 7 else None, i) for i in range(200)]
+    for schema in ("k long, v long", "k string, v long"):
+        df = spark.createDataFrame([(None if k is None else (k if "long" in schema.split(",")[0] else str(k)), v)
+                                    for k, v in rows], schema)
+        sides = S.hash_split(df, ["k"], (0.7, 0.3), seed=4)
+        got = sorted(v for side in sides for v in (r["v"] for r in side.collect()))
+        assert got == list(range(200)), schema
+    out = B.assign_batches(spark.createDataFrame(rows, "k long, v long"), 16, ["k"], seed=1).toPandas()
+    assert sorted(out["v"]) == list(range(200)) and out["batch_id"].notna().all()
