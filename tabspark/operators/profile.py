@@ -427,8 +427,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def collect_class_weights(weights: DataFrame, label: str) -> dict[float, float]:
-    """Class-weight table to a dict (bounded by the number of classes)."""
-    return {float(r[label]): float(r["weight"]) for r in weights.collect()}
+    """Class-weight table to a dict (bounded by the number of classes); a null class has no weight."""
+    return {float(r[label]): float(r["weight"]) for r in weights.collect() if r[label] is not None}
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

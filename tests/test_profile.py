@@ -172,3 +172,9 @@ def test_exact_quantiles_null_group(spark):
     assert got == {(None, 0.5): 5.0, (None, 1.0): 10.0, (1, 0.5): 22.0, (1, 1.0): 24.0}
     lp = {r.label: r.q50 for r in P.label_profile(df.withColumnRenamed("g", "label"), "label", ["v"]).collect()}
     assert lp[None] is not None and lp[1] is not None
+
+
+def test_class_weights_with_null_label(spark):
+    df = spark.createDataFrame([(0.0,)] * 60 + [(1.0,)] * 10 + [(None,)] * 5, "Churn double")
+    assert P.collect_class_weights(P.class_weights(df, "Churn"), "Churn") == {0.0: 1.0, 1.0: 6.0}
+    assert P.class_balance(df, "Churn").count() == 3
