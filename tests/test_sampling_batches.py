@@ -137,3 +137,16 @@ def test_hash_split_keeps_rows_with_null_keys(spark):
         assert got == list(range(200)), schema
     out = B.assign_batches(spark.createDataFrame(rows, "k long, v long"), 16, ["k"], seed=1).toPandas()
     assert sorted(out["v"]) == list(range(200)) and out["batch_id"].notna().all()
+
+
+def test_string_key_hash_split_and_batches(spark):
+    df = spark.createDataFrame([(f"doc-{i}", i) for i in range(1000)], "k string, v int")
+    a, b = S.hash_split(df, ["k"], (0.8, 0.2), seed=3)
+    na, nb = a.count(), b.count()
+    assert na + nb == 1000 and 700 < na < 900
+    assert sorted(r.v for r in a.union(b).collect()) == list(range(1000))
+    again = sorted(r.v for r in S.hash_split(df.repartition(5), ["k"], (0.8, 0.2), seed=3)[1].collect())
+    assert again == sorted(r.v for r in b.collect())
+    out = B.assign_batches(df, 64, ["k"], seed=3).toPandas()
+    sizes = out.groupby("batch_id").size()
+    assert sorted(out["v"]) == list(range(1000)) and len(sizes) == 1000 // 64 and sizes.max() - sizes.min() <= 1
