@@ -1,7 +1,7 @@
 """Row-local operators on streaming DataFrames.
 
 Encoding, standardizing (with statistics computed beforehand on a batch
-table) and scoring are projections (or an Arrow pandas UDF), so they apply
+table) and scoring are projections (or an Arrow UDF), so they apply
 unchanged to a ``readStream`` source; no state is kept between micro-batches.
 """
 
