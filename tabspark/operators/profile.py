@@ -298,9 +298,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     sums of products, k + k(k+1)/2 plain ``sum``s that stay inside
     whole-stage codegen (dozens of ``corr`` aggregates in one operator
     exceed the JIT's method-size limit and run ~30x slower); the k x k
-    matrix is finished from that one row.  Columns with nulls use
-    pairwise-complete rows through a long-form ``corr`` instead.  A zero
-    variance gives null.
+    matrix is finished from that one row.  Pairs touching a column with
+    nulls use the same sums over pairwise-complete rows, unpivoted to one row
+    per such pair (one more pass; the other pairs are not unpivoted).  A
+    zero variance gives null.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
     x = {c: _q(c).cast("double") for c in cols}
@@ -308,26 +309,45 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
                    *[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(cols)],
                    *[F.count(x[c]).alias(f"k{i}") for i, c in enumerate(cols)]).first()
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    if any(first[f"k{i}"] != first["n"] for i in range(len(cols))):
+    complete = [first[f"k{i}"] == first["n"] for i in range(len(cols))]
+    found: dict[tuple[int, int], float | None] = {}
+    # Pairs touching a column with nulls: pairwise-complete rows, long form
+    # (one row per such pair and input row; the other pairs are not unpivoted).
+    partial = [(i, j) for i, j in pairs if not (complete[i] and complete[j])]
+    if partial:
+        # Centred by the column means (any shift keeps the formula exact; the
+        # mean keeps the sums small), then plain sums: no division in the job.
+        mean = {i: F.lit(float(first[f"m{i}"] or 0.0)) for i in range(len(cols))}
         long = df.select(F.inline(F.array(*[
-            F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                     x[cols[i]].alias("x"), x[cols[j]].alias("y")) for i, j in pairs])))
-        half = long.groupBy("col_a", "col_b").agg(F.corr("x", "y").alias("corr"))
-        return half.unionByName(half.where(F.col("col_a") != F.col("col_b"))
-                                .select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr"))
-    centred = {c: x[c] - F.lit(float(first[f"m{i}"] or 0.0)) for i, c in enumerate(cols)}
-    aggs = [F.count(F.lit(1)).cast("double").alias("n")]
-    aggs += [F.sum(centred[c]).alias(f"s{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(centred[cols[i]] * centred[cols[j]]).alias(f"p{i}_{j}") for i, j in pairs]
-    sums = df.agg(*aggs).first()
-    n = sums["n"]
-    # k + k(k+1)/2 numbers: the matrix itself is finished on the driver.
-    cov = {(i, j): sums[f"p{i}_{j}"] - sums[f"s{i}"] * sums[f"s{j}"] / n for i, j in pairs} if n else {}
+            F.struct(F.lit(i * len(cols) + j).alias("pair"), (x[cols[i]] - mean[i]).alias("x"),
+                     (x[cols[j]] - mean[j]).alias("y"))
+            for i, j in partial]))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+        stats = long.groupBy("pair").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
+            F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
+            F.sum(F.col("x") * F.col("y")).alias("sxy"))
+        for r in stats.collect():
+            m = r["n"]
+            vx, vy = r["sxx"] - r["sx"] ** 2 / m, r["syy"] - r["sy"] ** 2 / m
+            ok = m > 1 and vx > 0 and vy > 0
+            found[divmod(r["pair"], len(cols))] = (
+                float((r["sxy"] - r["sx"] * r["sy"] / m) / math.sqrt(vx * vy)) if ok else None)
+    full = [i for i in range(len(cols)) if complete[i]]
+    n = first["n"]
+    if full and n:
+        centred = {i: x[cols[i]] - F.lit(float(first[f"m{i}"] or 0.0)) for i in full}
+        fast = [(i, j) for i, j in pairs if complete[i] and complete[j]]
+        aggs = [F.sum(centred[i]).alias(f"s{i}") for i in full]
+        aggs += [F.sum(centred[i] * centred[j]).alias(f"p{i}_{j}") for i, j in fast]
+        sums = df.agg(*aggs).first()
+        # k + k(k+1)/2 numbers: the matrix itself is finished on the driver.
+        cov = {(i, j): sums[f"p{i}_{j}"] - sums[f"s{i}"] * sums[f"s{j}"] / n for i, j in fast}
+        for i, j in fast:
+            ok = n > 1 and cov[(i, i)] > 0 and cov[(j, j)] > 0
+            found[(i, j)] = float(cov[(i, j)] / math.sqrt(cov[(i, i)] * cov[(j, j)])) if ok else None
     rows = []
     for i, j in pairs:
-        r = None
-        if n and n > 1 and cov[(i, i)] > 0 and cov[(j, j)] > 0:
-            r = float(cov[(i, j)] / math.sqrt(cov[(i, i)] * cov[(j, j)]))
+        r = found.get((i, j))
         rows.append((cols[i], cols[j], r))
         if i != j:
             rows.append((cols[j], cols[i], r))

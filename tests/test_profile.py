@@ -178,3 +178,18 @@ def test_class_weights_with_null_label(spark):
     df = spark.createDataFrame([(0.0,)] * 60 + [(1.0,)] * 10 + [(None,)] * 5, "Churn double")
     assert P.collect_class_weights(P.class_weights(df, "Churn"), "Churn") == {0.0: 1.0, 1.0: 6.0}
     assert P.class_balance(df, "Churn").count() == 3
+
+
+def test_correlation_mixed_null_and_complete_columns(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"a": rng.normal(size=300), "b": rng.normal(size=300), "k": 5.0})
+    pdf["c"] = pdf["a"] * 0.5 + rng.normal(size=300)
+    pdf.loc[pdf.index[::9], "c"] = np.nan
+    df = spark.createDataFrame(pdf[["a", "b", "c", "k"]]).selectExpr("a", "b", "nanvl(c, NULL) AS c", "k")
+    got = {(r.col_a, r.col_b): r.corr for r in P.correlation_matrix(df, ["a", "b", "c", "k"]).collect()}
+    exp = pdf[["a", "b", "c"]].corr()
+    for u in "abc":
+        for v in "abc":
+            assert abs(got[(u, v)] - exp.loc[u, v]) < 1e-9, (u, v)
+        assert got[(u, "k")] is None and got[("k", u)] is None
+    assert len(got) == 16
