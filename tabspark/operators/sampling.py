@@ -134,10 +134,13 @@ def stratified_sample(
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         totals = hist.groupBy("__cls").agg(F.sum("__n").alias("__total"))
-        shape = totals.agg(F.count(F.lit(1)).alias("classes"), F.min("__total").alias("smallest")).first()
-        if not shape["classes"]:
-            return df
-        n = int(n_per_class if n_per_class is not None else shape["smallest"])
+        if n_per_class is None:
+            smallest = totals.agg(F.min("__total").alias("m")).first()["m"]
+            if smallest is None:
+                return df
+            n = int(smallest)
+        else:
+            n = int(n_per_class)
         if n <= 0:
             return df.where(F.lit(False))
         # Per class, the bucket holding its n-th row: a running sum over at
@@ -156,10 +159,12 @@ def stratified_sample(
                           F.coalesce(F.col("__before"), F.col("__total")).alias("__before"),
                           F.least(F.col("__total"), F.lit(n).cast("bigint")).alias("__need"),
                           F.coalesce(F.col("__size"), F.lit(0).cast("bigint")).alias("__size")))
-        small = shape["classes"] <= BROADCAST_MAX_CLASSES
+        # One row per class: read at most the broadcast bound of it.
+        rows = bounds.limit(BROADCAST_MAX_CLASSES + 1).collect()
+        if not rows:
+            return df
+        small = len(rows) <= BROADCAST_MAX_CLASSES
         if small:
-            # One row per class, the count checked above: read it and broadcast it.
-            rows = bounds.collect()
             largest = max((r["__size"] for r in rows), default=0)
             bounds = df.sparkSession.createDataFrame(rows, bounds.schema)
         else:
