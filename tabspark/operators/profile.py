@@ -246,17 +246,23 @@ def histogram(
     shuffles at most columns x bins rows per task.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    if stats is None:
+    bounds: dict[str, tuple] = {}
+    if stats is not None:
+        st = stats if isinstance(stats, Mapping) else collect_stats(stats)
+        for c in cols:
+            lo, hi = st[c].min, st[c].max
+            # A NaN bound (NaN sorts last) says nothing about the finite range.
+            if lo is not None and hi is not None and not (math.isnan(lo) or math.isnan(hi)):
+                bounds[c] = (lo, hi)
+    todo = [c for c in cols if c not in bounds]
+    if todo:
         aggs = []
-        for i, c in enumerate(cols):
+        for i, c in enumerate(todo):
             x = _q(c).cast("double")
             finite = F.when(~F.isnan(x), x)
             aggs += [F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
         r = df.agg(*aggs).first()
-        bounds = {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(cols)}
-    else:
-        st = stats if isinstance(stats, Mapping) else collect_stats(stats)
-        bounds = {c: (st[c].min, st[c].max) for c in cols}
+        bounds.update({c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(todo)})
     structs = []
     skeleton = []
     for c in cols:

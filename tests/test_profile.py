@@ -138,9 +138,11 @@ def test_exact_quantiles_refuse_unbounded_groups(spark, monkeypatch):
 
 
 def test_histogram_skips_null_and_nan(spark):
+    from tabspark.operators import scale as SC
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (2.0,)], "x double")
-    h = {r.bin: (r.lower, r.upper, r["count"]) for r in P.histogram(df, ["x"], bins=2).collect()}
-    assert h == {0: (1.0, 2.0, 1), 1: (2.0, 3.0, 2)}
+    for stats in (None, SC.scaling_stats(df, ["x"])):  # given stats have max NaN
+        h = {r.bin: (r.lower, r.upper, r["count"]) for r in P.histogram(df, ["x"], bins=2, stats=stats).collect()}
+        assert h == {0: (1.0, 2.0, 1), 1: (2.0, 3.0, 2)}
 
 
 def test_describe_wide_and_long_paths_agree(spark, monkeypatch):
