@@ -53,3 +53,9 @@ def test_wide_table_stats_long_path(spark):
     assert len(st) == 30
     assert all(abs(st[f"c{i}"].mean - data[:, i].mean()) < 1e-12 for i in range(30))
     assert all(abs(st[f"c{i}"].stddev - data[:, i].std(ddof=1)) < 1e-12 for i in range(30))
+
+
+def test_minmax_ignores_nan_in_the_range(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, 3.0), (4, 2.0)], "id int, x double")
+    out = {r.id: r.x for r in S.minmax_scale(df, ["x"]).collect()}
+    assert out[1] == 0.0 and out[3] == 1.0 and out[4] == 0.5 and math.isnan(out[2])
