@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import packing, secrets, sharding
+from tabspark.llm import packing, quality, secrets, sharding, substring, tokencount
 from tabspark.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 20-word windows that occur earlier, over all documents."""
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text."""
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, learnt from labels outside the held-out quarter."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 24 shards of near-equal bytes."""
     return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
@@ -29,7 +44,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_histogram_sort, op8_secret_scan, op10_best_fit_packing)
+    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op4_quality_scores, op7_histogram_sort,
+                            op8_secret_scan, op10_best_fit_packing)
 }
 
 SQL: dict[str, str] = {}
