@@ -102,5 +102,5 @@ def grams(word_hashes: np.ndarray, k: int, step: int = WORD_STEP) -> np.ndarray:
     out = word_hashes.copy()
     for j in range(1, k):
         out *= np.uint64(step)
-        out[:len(out) - j] += word_hashes[j:]
+        out[:max(0, len(out) - j)] += word_hashes[j:]
     return mix(out)
