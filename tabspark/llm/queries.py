@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import neardup, packing, quality, secrets, sharding, substring, tokencount
+from tabspark.llm import decontaminate, neardup, packing, quality, secrets, sharding, substring, tokencount
 from tabspark.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, with its best window."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_id")
+
+
 def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 24 shards of near-equal bytes."""
     return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
@@ -50,7 +55,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op4_quality_scores, op5_minhash_near_dedup,
-                            op7_histogram_sort, op8_secret_scan, op10_best_fit_packing)
+                            op6_simhash_decontamination, op7_histogram_sort, op8_secret_scan, op10_best_fit_packing)
 }
 
 SQL: dict[str, str] = {}
