@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import decontaminate, neardup, packing, quality, secrets, sharding, substring, tokencount
+from tabspark.llm import decontaminate, forest, licences, neardup, packing, quality, secrets, sharding, substring, tokencount
 from tabspark.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th one by inner product."""
+    return forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every whole text, learnt from labels outside the held-out quarter."""
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -48,14 +53,20 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every whole document and the notices in its lines."""
+    return licences.licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 1024 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op4_quality_scores, op5_minhash_near_dedup,
-                            op6_simhash_decontamination, op7_histogram_sort, op8_secret_scan, op10_best_fit_packing)
+    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_prefix_forest, op4_quality_scores,
+                            op5_minhash_near_dedup, op6_simhash_decontamination, op7_histogram_sort,
+                            op8_secret_scan, op9_licence_scan, op10_best_fit_packing)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op9_licence_scan": licences.SCAN_SQL}
