@@ -42,7 +42,7 @@ from tabspark.session import scratch_path
 
 WINDOW_WORDS = 20
 CHUNK_BYTES = 16 << 20
-PART_BYTES = 96 << 20  # of text for each part of the index
+PART_BYTES = 16 << 20  # of text for each part of the index
 MAX_BUCKETS = 100_000  # of a written table; a bucket then holds several chunks
 HASH_BITS = 48
 JUMP = (1 << 30) - 1  # a delta code that only moves on
