@@ -11,17 +11,43 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.llm import packing
+from tabspark.llm import decontaminate, neardup, packing, quality, secrets
 from tabspark.llm.common import table
 from tabspark.session import scratch_path
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; it learns from ``labels`` outside the held-out quarter."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return neardup.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of ``benchmark``."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced."""
+    return secrets.redacted(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents that are left, packed into sequences of 1024 tokens."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("best_fit_packing", best_fit_packing)]
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("best_fit_packing", best_fit_packing),
+]
 
 # The stages train models, link documents and cut by tokenizer: no SQL for them.
 ORACLE_SQL = None

@@ -242,7 +242,7 @@ def outside_pairs(members: DataFrame, known: DataFrame, group: DataFrame, done:
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
                     per_band: int = ROWS) -> DataFrame:
-    """(doc_id, copy_id, class_id) of every row: the least number of its equal texts, and of its class."""
+    """(doc_id, copy_id, class_id, node) of every row: the least number of its equal texts, of its class, its own."""
     rows = rows_of(docs)
     classes = checkpointed(banded(rows, bands, per_band).groupBy("key")
                            .agg(F.min("node").alias("node"), *[F.first(c).alias(c) for c in ("bands", "s1", "s2")]))
@@ -250,5 +250,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     group = components(links_between(same_id, rows, similarity))
     named = (classes.select("key", "node").join(group, "node", "left")
              .select("key", F.col("node").alias("copy_id"), F.coalesce("component", "node").alias("class_id")))
-    return (rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key")).join(named, "key")
-            .select("doc_id", "copy_id", "class_id"))
+    return (rows.select("doc_id", "node", F.md5(F.col("text").cast("binary")).alias("key")).join(named, "key")
+            .select("doc_id", "copy_id", "class_id", "node"))
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` (all columns) that stand for their class: one document of each."""
+    own = node(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+    numbered = rows_of(docs).select("node")
+    found = near_duplicates(docs, similarity)
+    gone = checkpointed(found.where(F.col("node") != F.col("class_id")).select(F.col("node").alias("gone")).distinct())
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    kept = docs.withColumn("__node", own).join(gone, F.col("__node") == F.col("gone"), "left_anti")
+    again = checkpointed(numbered.groupBy("node").count().where("count > 1").select(F.col("node").alias("again")))
+    if not again.isEmpty():  # rows that share a number: one of them
+        again = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
+        once = kept.join(again, F.col("__node") == F.col("again"), "left_anti")
+        kept = once.unionByName(kept.join(again, F.col("__node") == F.col("again"), "left_semi").dropDuplicates(["__node"]))
+    return kept.drop("__node")

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,23 +147,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
                         for i in order])
 
 
+def text_scores(texts: pa.Array, shares: np.ndarray, bias: float) -> np.ndarray:
+    """Probability of class 1 of each text (no nulls)."""
+    data, offsets = utf8(texts)
+    total, number = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
+    for i, j in slices(offsets):
+        bucket, owner = feature_buckets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+        total[i:j] = np.bincount(owner, shares[bucket], j - i)
+        number[i:j] = np.bincount(owner, minlength=j - i)
+    return 1 / (1 + np.exp(-np.clip(bias + total / np.maximum(number, 1), -700, 700)))
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every whole text."""
-    shares, bias = model.shares()
-    shared = docs.sparkSession.sparkContext.broadcast((shares, bias))  # BUCKETS numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model.shares())  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        share, without = shared.value
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            total, number = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
-            for i, j in slices(offsets):
-                bucket, owner = feature_buckets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                total[i:j] = np.bincount(owner, share[bucket], j - i)
-                number[i:j] = np.bincount(owner, minlength=j - i)
-            logit = without + total / np.maximum(number, 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(logit, -700, 700))))],
-                                             ["doc_id", "score"])
+            score = text_scores(batch.column(1), *shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, score double")
 
@@ -172,3 +175,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     out = scored(docs, train(docs, labels))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose text scores ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels).shares())
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = text_scores(pc.fill_null(batch.column(at), ""), *shared.value)
+            yield batch.filter(pa.array(score >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

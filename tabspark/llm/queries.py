@@ -33,7 +33,7 @@ def op4_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near duplicates."""
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
 def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,48 +137,65 @@ def joined(spans: list[tuple]) -> str:
     return ",".join(f"{KINDS[s[1]]}:{s[0]}:{s[2]}" for s in spans)
 
 
-def scan(docs: DataFrame, min_ratio: float = MIN_RATIO, redact: bool = False, sample: DataFrame | None = None) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans, found array<struct<kind,start,end>>).
-
-    ``sample`` names other documents to train on (default: all of ``docs``).
-    ``redact`` adds ``redacted``: the text with each span replaced by
-    ``[SECRET]`` (overlapping spans once).
-    """
-    ratio = train(sample if sample is not None else docs)
-    return _scan(id_and_text(docs), ratio, min_ratio, redact)
-
-
-def _scan(docs: DataFrame, ratio: np.ndarray | None, min_ratio: float, redact: bool) -> DataFrame:
-    model = docs.sparkSession.sparkContext.broadcast(ratio)  # 65 x 65 numbers
+def scan(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans, found array<struct<kind,start,end>>)."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs))  # 65 x 65 numbers
     schema = ("doc_id long, n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string, "
-              "found array<struct<kind:string,start:long,end:long>>" + (", redacted string" if redact else ""))
+              "found array<struct<kind:string,start:long,end:long>>")
     found_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    fields = pa.schema([("doc_id", pa.int64()), *[(f"n_{k}", pa.int64()) for k in KINDS], ("base_sha256", pa.string()),
+                        ("spans", pa.string()), ("found", found_type)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 base = base_spans(text)
-                spans = sorted([s[:3] for s in base] + added_spans(text, base, model.value, min_ratio))
+                spans = every_span(text, base, model.value, min_ratio)
                 kinds = [s[1] for s in spans]
                 row = {"doc_id": doc_id, "base_sha256": hashlib.sha256(joined(base).encode()).hexdigest(),
                        "spans": joined(spans),
                        "found": [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans]}
-                row |= {f"n_{name}": kinds.count(k) for k, name in enumerate(KINDS)}
-                if redact:
-                    row["redacted"] = without(text, spans)
-                rows.append(row)
-            fields = [("doc_id", pa.int64()), *[(f"n_{k}", pa.int64()) for k in KINDS], ("base_sha256", pa.string()),
-                      ("spans", pa.string()), ("found", found_type)] + [("redacted", pa.string())] * redact
-            yield pa.RecordBatch.from_pylist(rows, pa.schema(fields))
+                rows.append(row | {f"n_{name}": kinds.count(k) for k, name in enumerate(KINDS)})
+            yield pa.RecordBatch.from_pylist(rows, fields)
+
+    return id_and_text(docs).mapInArrow(run, schema)
+
 
-    return docs.mapInArrow(run, schema)
+def every_span(text: str, base: list[tuple[int, int, int, int, int]], ratio: np.ndarray | None,
+               min_ratio: float) -> list[tuple[int, int, int]]:
+    return sorted([s[:3] for s in base] + added_spans(text, base, ratio, min_ratio))
 
 
-def without(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]") -> str:
+def without(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:
+    """The text with each span replaced by ``mark`` (overlapping spans once)."""
     parts, at = [], 0
     for start, _, end in spans:
         if start >= at:
             parts += [text[at:start], mark]
         at = max(at, end)
     return "".join([*parts, text[at:]])
+
+
+def redacted(docs: DataFrame, min_ratio: float = MIN_RATIO, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` (all columns) with every secret in ``text`` replaced; ``n_chars``, if there, counts the new text."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs))
+    at = docs.columns.index("text")
+    counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text in batch.column(at).to_pylist():
+                spans = text and every_span(text, base_spans(text), model.value, min_ratio)
+                texts.append(without(text, spans, mark) if spans else text)
+            columns = list(batch.columns)
+            if counted is not None:
+                sizes = [None if t is None else len(t) for t in texts]
+                same = [a == b for a, b in zip(texts, columns[at].to_pylist())]
+                old = columns[counted].to_pylist()
+                columns[counted] = pa.array([o if s else n for o, n, s in zip(old, sizes, same)], columns[counted].type)
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
