@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.session import ensure_checkpoint_dir
+from tabspark.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +22,16 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder; its lineage is cut there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written as a table in the shared checkpoint folder and read back: its lineage is cut there.
+
+    A written table also tells its real size.  ``checkpoint()`` keeps the size
+    estimate of the plan that it cuts, and in a loop of joins these estimates
+    multiply without end.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(docs: DataFrame) -> int:

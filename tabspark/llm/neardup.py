@@ -21,8 +21,8 @@ splits; texts are compared row by row in joins, never gathered per group.
 
 Defined results: a text of one to four words is one shingle; texts without
 words have no shingles and only equal ones are duplicates (a null text equals an empty one);
-rows that share a doc_id are one document; a null doc_id stands as a negative hash of
-its text; the class id is the least number in the class; an empty table gives no
+rows that share a doc_id are one document; a null doc_id stands as a number of at
+least 2^62 made from its text; the class id is the least number in the class; an empty table gives no
 rows; other columns of the input are ignored.
 """
 
@@ -44,12 +44,13 @@ SIMILARITY = 0.8
 BANDS, ROWS = 25, 5  # a pair at 0.8 shares no band once in 20,000 times
 ELEMENT_BITS = 48
 MAX_DIFFERENT = 29  # sketch bits of 125; 12.5 +- 3.4 are expected at similarity 0.8
-TRIES = 8
+TRIES = 1000
 BROADCAST_IDS = 1_000_000  # numbers of candidate texts: 8 MB
 
 
 def node(doc_id: Column, text: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.lit(-1) - F.pmod(F.xxhash64(text), F.lit((1 << 62))))
+    """The doc_id, or a large number made from the text where there is none (so a row with an id speaks for it)."""
+    return F.coalesce(doc_id.cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 62)))
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
