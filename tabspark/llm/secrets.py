@@ -2,7 +2,7 @@
 
 Method: two first-order Markov models over characters, one of random strings
 (the values that the base patterns find) and one of ordinary identifiers (the
-other words of the text), both trained from these labelled samples over all
+other words of the text that are too short to be judged), both trained from these labelled samples over all
 documents.  A long token whose mean log-likelihood ratio per character favours
 the random model is added as a span of kind ``markov``; spans of the base
 patterns always stay.
@@ -41,10 +41,11 @@ LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
 TOKEN_CHARS = 20  # an added span is a token at least this long
 MIN_RATIO = 0.5  # mean log-likelihood ratio per character pair
+BACK_OFF = (20.0, 300.0)  # counts' worth of belief in what ordinary and random pairs lean on
 SAMPLE_CHARS = 8  # words shorter than this say little about identifiers
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_]+(?:[-=.][A-Za-z0-9+/_]+)*=*")
-WORD = re.compile(r"[A-Za-z0-9+/_]{%d,}" % SAMPLE_CHARS)
+WORD = re.compile(r"(?<![A-Za-z0-9+/_])[A-Za-z0-9+/_]{%d,%d}(?![A-Za-z0-9+/_])" % (SAMPLE_CHARS, TOKEN_CHARS - 1))
 LONG_WORD = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % TOKEN_CHARS)
 
 _N = len(ALPHABET)
@@ -111,9 +112,11 @@ def train(docs: DataFrame) -> np.ndarray | None:
         counts[int(r["random"]), r["pair"] // _N, r["pair"] % _N] = r["n"]
     if not counts.sum(axis=(1, 2)).all():
         return None
-    # Pseudo-counts of one alphabet spread evenly keep unseen pairs finite for either class.
-    smooth = counts + 1.0
-    log_p = np.log(smooth / smooth.sum(axis=2, keepdims=True))
+    # A pair of an identifier leans on the share of its second character; a pair of a random string on an even share.
+    single = counts[0].sum(axis=0) + 0.5
+    lean = np.stack([BACK_OFF[0] * single / single.sum(), np.full(_N, BACK_OFF[1] / _N)])
+    pairs = counts + lean[:, None, :]
+    log_p = np.log(pairs / pairs.sum(axis=2, keepdims=True))
     return (log_p[1] - log_p[0]).ravel()
 
 

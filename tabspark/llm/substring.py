@@ -41,7 +41,7 @@ from tabspark.llm.wordhash import Words, grams, mix, slices, utf8
 from tabspark.session import scratch_path
 
 WINDOW_WORDS = 20
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 PART_BYTES = 16 << 20  # of text for each part of the index
 MAX_BUCKETS = 100_000  # of a written table; a bucket then holds several chunks
 HASH_BITS = 48

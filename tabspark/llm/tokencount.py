@@ -86,6 +86,19 @@ def piece_counts(words: DataFrame, path: str) -> DataFrame:
     return words.mapInArrow(run, "word binary, n long, pieces long")
 
 
+def frequent(pieces: DataFrame, most: int) -> DataFrame:
+    """The most frequent short pre-tokens, ``most`` at most: those above a frequency that a histogram gives."""
+    short = pieces.where(F.octet_length("word") <= HOT_BYTES)
+    grade = F.floor(F.log2("n") * 16)  # sixteen grades for each doubling
+    left, least = most, None
+    for row in sorted(short.groupBy(grade.alias("grade")).count().collect(), key=lambda r: -r["grade"]):
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["grade"]
+    return short.where(grade >= least) if least is not None else short.where(F.lit(False))
+
+
 def rare_frequencies(docs: DataFrame, hot: dict[bytes, int]) -> DataFrame:
     """Per document one row with its hot total, and one row per rare pre-token with its frequency.
 
@@ -131,8 +144,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str | None = None, limit: int
     path = tokenizer_path or public_tokenizers.path(DEFAULT_TOKENIZER)
     docs = id_and_text(docs)
     pieces = checkpointed(piece_counts(vocabulary(docs), path))
-    frequent = pieces.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(hot_words)
-    found = frequent.select("word", "pieces").toArrow()
+    found = frequent(pieces, hot_words).select("word", "pieces").toArrow()
     hot = dict(zip(found.column("word").to_pylist(), found.column("pieces").to_pylist()))
     rare = rare_frequencies(docs, hot)
     tokens = F.sum(F.col("hot") + F.coalesce(F.col("n") * F.col("pieces"), F.lit(0))).cast("long")
