@@ -36,9 +36,14 @@ def relu(z: Column) -> Column:
     return F.greatest(F.lit(0.0), z)
 
 
+def present(c: Column) -> Column:
+    """The value, or null where it is NaN: a missing number is null or NaN alike."""
+    return F.when(~F.isnan(c), c)
+
+
 def clip01(p: Column) -> Column:
-    """p clipped into [0, 1]; null stays null (``least``/``greatest`` alone would skip it)."""
-    return F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
+    """p clipped into [0, 1]; null and NaN give null (``least``/``greatest`` alone would skip a null)."""
+    return F.when(p.isNotNull() & ~F.isnan(p), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
 
 
 def predicted_class(score: Column) -> Column:
@@ -51,7 +56,7 @@ def predicted_class(score: Column) -> Column:
 
 def bce(y: Column, p: Column) -> Column:
     """Binary cross-entropy of one row with the probability clipped."""
-    q = F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(EPS)), F.lit(1.0 - EPS)))
+    q = F.when(p.isNotNull() & ~F.isnan(p), F.least(F.greatest(p, F.lit(EPS)), F.lit(1.0 - EPS)))
     return -(y * F.log(q) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - q))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import order_key
+from ..functions.hashing import BATCH, order_key
 from .ranking import ranked_with_total
 
 
@@ -61,8 +61,8 @@ def hash_order(df: DataFrame, keys: Sequence[str] | None, seed: int) -> list[Col
     """
     cols = list(keys) if keys else [f.name for f in df.schema.fields if _orderable(f.dataType)]
     if keys:
-        return [order_key(cols, seed, df)] + [F.col(f"`{c}`") for c in cols]
-    return [order_key([F.col(f"`{c}`") for c in cols], seed)] + [F.col(f"`{c}`") for c in cols]
+        return [order_key(cols, seed, df, BATCH)] + [F.col(f"`{c}`") for c in cols]
+    return [order_key([F.col(f"`{c}`") for c in cols], seed, None, BATCH)] + [F.col(f"`{c}`") for c in cols]
 
 
 def assign_batches(

@@ -17,7 +17,7 @@ from ..functions.numeric import is_numeric
 
 
 def _missing(df: DataFrame, name: str, action: str, errors: str) -> None:
-    msg = f"could not {action}: no column named {name!r}"
+    msg = f"{name!r} is not a column ({action} skipped)"
     if errors == "raise":
         raise KeyError(msg)
     warnings.warn(msg, stacklevel=3)

@@ -12,12 +12,12 @@ import math
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import hash_below
-from ..functions.numeric import is_numeric
+from ..functions.numeric import is_numeric, present
 from .columns import numeric_columns
 from .quantiles import collect_bounded, column_quantiles, exact_quantiles
 from .scale import WIDE_MAX_COLUMNS, ColumnStats, collect_stats, minmax, scaling_stats
@@ -230,6 +230,10 @@ def size_estimate(df: DataFrame) -> DataFrame:
     )
 
 
+def _is_finite(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(math.inf))
+
+
 def histogram(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -240,8 +244,8 @@ def histogram(
 
     (column_name, bin, lower, upper, count), zero-filled.  Bin of x is
     floor((x - min) / (max - min) * bins) with the maximum folded into the
-    last bin (numpy's rule).  Nulls and NaN are left out (as a plot of the
-    values does), and the range is that of the finite values.  Two jobs:
+    last bin (numpy's rule).  Nulls, NaN and infinite values are left
+    out, and the range is that of the finite values.  Two jobs:
     min/max, then a partial-aggregated group-by on (column, bin) that
     shuffles at most columns x bins rows per task.
     """
@@ -251,15 +255,15 @@ def histogram(
         st = stats if isinstance(stats, Mapping) else collect_stats(stats)
         for c in cols:
             lo, hi = st[c].min, st[c].max
-            # A NaN bound (NaN sorts last) says nothing about the finite range.
-            if lo is not None and hi is not None and not (math.isnan(lo) or math.isnan(hi)):
+            # A NaN or infinite bound says nothing about the finite range.
+            if lo is not None and hi is not None and math.isfinite(lo) and math.isfinite(hi):
                 bounds[c] = (lo, hi)
     todo = [c for c in cols if c not in bounds]
     if todo:
         aggs = []
         for i, c in enumerate(todo):
             x = _q(c).cast("double")
-            finite = F.when(~F.isnan(x), x)
+            finite = F.when(_is_finite(x), x)
             aggs += [F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
         r = df.agg(*aggs).first()
         bounds.update({c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(todo)})
@@ -268,14 +272,14 @@ def histogram(
     for c in cols:
         lo, hi = bounds[c]
         x = _q(c).cast("double")
-        if lo is None or hi is None or math.isnan(lo) or math.isnan(hi):
+        if lo is None or hi is None:
             continue
         lo, hi = float(lo), float(hi)
         if hi == lo:
-            b = F.when(x.isNotNull() & ~F.isnan(x), F.lit(0))
+            b = F.when(_is_finite(x), F.lit(0))
         else:
             # least() skips a null argument, so the guard must exclude nulls too.
-            b = F.when(x.isNotNull() & ~F.isnan(x),
+            b = F.when(_is_finite(x),
                        F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))),
                                F.lit(bins - 1)).cast("int"))
         structs.append(F.struct(F.lit(c).alias("column_name"), b.alias("bin")))
@@ -310,7 +314,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     zero variance gives null.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    x = {c: _q(c).cast("double") for c in cols}
+    x = {c: present(_q(c).cast("double")) for c in cols}
     first = df.agg(F.count(F.lit(1)).alias("n"),
                    *[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(cols)],
                    *[F.count(x[c]).alias(f"k{i}") for i, c in enumerate(cols)]).first()
@@ -438,8 +442,8 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     """(label, count, share) per label value (A10)."""
     counts = df.groupBy(_q(label)).agg(F.count(F.lit(1)).alias("count"))
     # The grouped table has one row per class, so an unpartitioned window is cheap.
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.withColumn("share", F.col("count") / total)
+    total = df.count()  # one number: no window over all classes in one task
+    return counts.withColumn("share", F.col("count") / F.lit(total))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -448,8 +452,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     A 6:1 imbalance gives weights 1 and 6, the reference's ``class_weight``.
     """
     counts = df.groupBy(_q(label)).agg(F.count(F.lit(1)).alias("count"))
-    biggest = F.max("count").over(Window.partitionBy())
-    return counts.withColumn("weight", biggest / F.col("count"))
+    biggest = counts.agg(F.max("count")).first()[0]
+    return counts.withColumn("weight", F.lit(biggest) / F.col("count"))
 
 
 def collect_class_weights(weights: DataFrame, label: str) -> dict[float, float]:
@@ -476,28 +480,39 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return _long(df.agg(*aggs), rows)
 
 
+def _filled(df: DataFrame, c: str, v: object) -> Column:
+    """Column ``c`` with ``v`` for null, and for NaN in a floating column."""
+    dtype = df.schema[c].dataType
+    own = present(_q(c)) if isinstance(dtype, (T.DoubleType, T.FloatType)) else _q(c)
+    return F.coalesce(own, F.lit(v).cast(dtype))
+
+
 def fill_nulls(
     df: DataFrame,
     values: Mapping[str, object] | None = None,
     numeric: str | None = None,
 ) -> DataFrame:
-    """Replace nulls (T3): fixed ``values`` per column, and/or ``numeric="mean"``.
+    """Replace nulls and NaN (T3): fixed ``values`` per column, and/or ``numeric="mean"``.
 
-    The means come from one aggregate over all rows (one value per column).
+    The means are those of the finite values, from one aggregate over all rows
+    (one value per column); an integer column gets the nearest integer.
     """
     fills: dict[str, Column] = {}
     if numeric == "mean":
         cols = [c for c in numeric_columns(df) if not values or c not in values]
         if cols:
-            means = df.agg(*[F.avg(_q(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+            means = df.agg(*[F.avg(F.when(_is_finite(_q(c).cast("double")), _q(c))).alias(f"m{i}")
+                             for i, c in enumerate(cols)]).first()
             for i, c in enumerate(cols):
-                if means[f"m{i}"] is not None:
-                    fills[c] = F.coalesce(_q(c), F.lit(means[f"m{i}"]).cast(df.schema[c].dataType))
+                mean = means[f"m{i}"]
+                if mean is not None:
+                    whole = isinstance(df.schema[c].dataType, T.IntegralType)
+                    fills[c] = _filled(df, c, round(mean) if whole else mean)
     elif numeric is not None:
         raise ValueError("numeric must be None or 'mean'")
     for c, v in (values or {}).items():
         if c in df.columns:
-            fills[c] = F.coalesce(_q(c), F.lit(v).cast(df.schema[c].dataType))
+            fills[c] = _filled(df, c, v)
     return df.withColumns(fills) if fills else df
 
 

@@ -5,7 +5,7 @@ The p-quantile of a group is its ceil(n p)-th smallest non-null value (SQL
 pass narrows an interval per (group, p) target:
 
 1. count / min / max per group (usually shared with the caller's aggregate);
-2. values inside each target's interval are put into ``bins`` equal-width
+2. while equal-width bins narrow it well, values inside each target's interval are put into ``bins`` equal-width
    bins; a group-by on (target, bin) shuffles at most targets x bins rows
    per task, and a window per target over those bins (bounded by ``bins``
    rows) finds the bin holding the target rank;
@@ -13,8 +13,16 @@ pass narrows an interval per (group, p) target:
    most ``final_rows`` rows (or one distinct value, e.g. a hot value), its
    distinct values are counted and the exact value is picked.
 
-Uniform data at 10^12 rows needs three histogram passes; every pass is a
-filtered scan plus a small aggregate.  Results reaching the driver are
+4. an interval that a histogram pass left with most of its rows (values over
+   many orders of magnitude), or with an infinite end, is narrowed by rank
+   instead: ``percentile_approx`` inside it brackets the target rank, and an
+   exact count of the rows below and in the bracket verifies it (a bracket
+   that misses still cuts the interval).
+
+Uniform data at 10^12 rows needs three histogram passes, any other
+distribution some two passes for each factor of 1,000 in rows; every pass is a
+filtered scan plus a small aggregate.  A target that no pass could narrow
+raises; no quantile is ever left null.  Results reaching the driver are
 bounded by the number of targets.  NaN sorts after every number.
 """
 
@@ -30,7 +38,9 @@ from pyspark.sql import types as T
 
 BINS = 4096
 FINAL_ROWS = 100_000
-MAX_PASSES = 12
+RANK_ACCURACY = 10_000  # of percentile_approx
+# Each pass narrows every open interval, so this is only reached by a fault.
+MAX_PASSES = 200
 # The search keeps one interval per (group, p) on the driver and broadcasts
 # the open ones, so the number of groups is bounded.
 MAX_GROUPS = 100_000
@@ -92,10 +102,18 @@ def _select(spark, targets: dict, rows_in, bins: int, final_rows: int) -> None:
     direct = [i for i, t in targets.items() if t[6] is None and t[7] <= final_rows]
     if direct:
         exact_pick(direct)
+    by_rank = {i for i, t in targets.items() if t[6] is None and not (math.isfinite(t[3]) and math.isfinite(t[4]))}
     for _ in range(MAX_PASSES):
         open_ids = [i for i, t in targets.items() if t[6] is None]
         if not open_ids:
-            break
+            return
+        ranked = [i for i in open_ids if i in by_rank]
+        small = _narrow_by_rank(targets, ranked, intervals, rows_in, final_rows) if ranked else []
+        if small:
+            exact_pick(small)
+        open_ids = [i for i in open_ids if i not in by_rank]
+        if not open_ids:
+            continue
         ivs, members = intervals(open_ids)
         hist = (rows_in(ivs, bins)
                 .groupBy("__iid", "__bin").agg(F.count(F.lit(1)).alias("__n"),
@@ -105,12 +123,53 @@ def _select(spark, targets: dict, rows_in, bins: int, final_rows: int) -> None:
             t = targets[r["__tid"]]
             t[5] += r["__cum"] - r["__n"]
             t[3], t[4] = r["__bmin"], r["__bmax"]
+            if r["__n"] * 8 > t[7]:
+                by_rank.add(r["__tid"])
+            t[7] = r["__n"]
             if t[3] == t[4]:
                 t[6] = t[3]
             elif r["__n"] <= final_rows:
                 small.append(r["__tid"])
         if small:
             exact_pick(small)
+    raise RuntimeError("a quantile could not be narrowed down")
+
+
+def _narrow_by_rank(targets: dict, ids: list, intervals, rows_in, final_rows: int) -> list:
+    """One bracket for each target, verified by exact counts; returns the targets that are small now."""
+    ivs, members = intervals(ids)
+    place, spread = {}, 4.0 / RANK_ACCURACY
+    for j, tids in members.items():
+        for i in tids:
+            at = (targets[i][2] - targets[i][5]) / targets[i][7]
+            place[i] = (max(0.0, at - spread), min(1.0, at + spread))
+    probs = sorted({p for pair in place.values() for p in pair})
+    found = {r["__iid"]: dict(zip(probs, r["q"])) for r in rows_in(ivs, None).groupBy("__iid").agg(
+        F.percentile_approx("__v", probs, RANK_ACCURACY).alias("q")).collect()}
+    asked = []
+    for g, j, lo, hi in ivs:
+        for i in members[j]:
+            a, b = (found[j][p] for p in place[i])
+            asked += [(g, 2 * i, lo, math.nextafter(a, -math.inf)), (g, 2 * i + 1, a, b)]
+    counted = {r["__iid"]: r for r in rows_in([a for a in asked if a[2] <= a[3]], None).groupBy("__iid").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")).collect()}
+    small = []
+    for i in ids:
+        t = targets[i]
+        below = counted[2 * i]["n"] if 2 * i in counted else 0
+        inside = counted[2 * i + 1]
+        need = t[2] - t[5]
+        if need <= below:
+            t[4], t[7] = counted[2 * i]["hi"], below
+        elif need <= below + inside["n"]:
+            t[3], t[4], t[5], t[7] = inside["lo"], inside["hi"], t[5] + below, inside["n"]
+        else:
+            t[3], t[5], t[7] = math.nextafter(inside["hi"], math.inf), t[5] + below + inside["n"], t[7] - below - inside["n"]
+        if t[3] == t[4]:
+            t[6] = t[3]
+        elif t[7] <= final_rows:
+            small.append(i)
+    return small
 
 
 def bin_of(v: Column, lo: Column, hi: Column, bins: int) -> Column:

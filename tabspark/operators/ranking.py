@@ -58,7 +58,6 @@ def global_rank(
     order: Sequence[Column],
     rank_col: str = "rank",
     partitions: int | None = None,
-    checkpoint: bool = True,
 ) -> DataFrame:
     """Add ``rank_col`` = 0-based position of each row in ``order``.
 
@@ -66,7 +65,7 @@ def global_rank(
     session's shuffle partitions, which AQE may coalesce.  The result is
     not sorted; order by ``rank_col`` where an order is needed.
     """
-    return ranked_with_total(df, order, rank_col, partitions, checkpoint)[0]
+    return ranked_with_total(df, order, rank_col, partitions)[0]
 
 
 def ranked_with_total(
@@ -74,7 +73,6 @@ def ranked_with_total(
     order: Sequence[Column],
     rank_col: str = "rank",
     partitions: int | None = None,
-    checkpoint: bool = True,
 ) -> tuple[DataFrame, int]:
     """``global_rank`` plus the total row count (known from the offsets)."""
     spark = df.sparkSession
@@ -90,11 +88,11 @@ def ranked_with_total(
         ranged = keyed.repartitionByRange(*sort_cols)
     ranged = ranged.sortWithinPartitions(*sort_cols)
     ranged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
-    if checkpoint and _parquet_writable(ranged.schema):
+    if _parquet_writable(ranged.schema):
         path = scratch_path(spark, f"ranked/{uuid.uuid4().hex}")
         ranged.write.parquet(path)
         ranged = spark.read.parquet(path)
-    elif checkpoint:
+    else:
         # Types parquet cannot store (void, intervals): Spark's own checkpoint.
         ensure_checkpoint_dir(spark)
         ranged = ranged.checkpoint(eager=True)

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import TWO_POW_32, h32, hash_below, order_key
+from ..functions.hashing import SPLIT, STRATA, TWO_POW_32, h32, hash_below, order_key
 from .batches import _orderable
 from ..session import ensure_checkpoint_dir
 from .ranking import global_rank
@@ -55,7 +55,7 @@ def hash_side(df: DataFrame, keys: Sequence[str], weights: Sequence[float], seed
     for w in weights[:-1]:
         acc += w / total
         bounds.append(int(acc * TWO_POW_32))
-    h = h32(keys, seed, df)
+    h = h32(keys, seed, df, SPLIT)
     expr = F.lit(len(weights) - 1)
     for i in range(len(bounds) - 1, -1, -1):
         expr = F.when(h < F.lit(bounds[i]), F.lit(i)).otherwise(expr)
@@ -67,7 +67,7 @@ def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0
     """Deterministic ``randomSplit`` (L4): each side is a filter on the key hash."""
     total = float(sum(weights))
     out, lo = [], 0.0
-    h = h32(keys, seed, df)
+    h = h32(keys, seed, df, SPLIT)
     for i, w in enumerate(weights):
         hi = lo + w / total
         cond = h >= F.lit(int(lo * TWO_POW_32))
@@ -129,7 +129,7 @@ def stratified_sample(
     ties = list(tiebreak) if tiebreak is not None else [
         f.name for f in df.schema.fields if f.name not in keys and f.name != label and _orderable(f.dataType)]
     n_buckets = 1 << HASH_BUCKET_BITS
-    tagged = df.withColumn("__bucket", F.shiftright(h32(keys, seed, df), 32 - HASH_BUCKET_BITS))
+    tagged = df.withColumn("__bucket", F.shiftright(h32(keys, seed, df, STRATA), 32 - HASH_BUCKET_BITS))
     hist = (tagged.groupBy(_q(label).alias("__cls"), "__bucket").agg(F.count(F.lit(1)).alias("__n"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -179,7 +179,7 @@ def stratified_sample(
     cand = tagged.join(bounds_df, _q(label).eqNullSafe(F.col("__cls")))
     whole = cand.where(F.col("__bucket") < F.col("__b"))
     edge_rows = cand.where(F.col("__bucket") == F.col("__b"))
-    order = [order_key(keys, seed, df)] + [_q(k) for k in keys] + [_q(c) for c in ties]
+    order = [order_key(keys, seed, df, STRATA)] + [_q(k) for k in keys] + [_q(c) for c in ties]
     if largest <= WINDOW_MAX_ROWS:
         pos = F.row_number().over(Window.partitionBy("__cls").orderBy(*order)) - 1
         picked = edge_rows.withColumn("__pos", pos)

@@ -28,9 +28,8 @@ def _q(name: str) -> Column:
 def scaling_stats(df: DataFrame, columns: Sequence[str] | None = None, label: str | None = None) -> DataFrame:
     """(column_name, count, mean, stddev, min, max) per numeric column.
 
-    ``stddev`` is the sample standard deviation; ``min`` and ``max`` are
-    those of the non-NaN values (the range a min-max scaling needs; Spark's
-    ``max`` alone would be NaN).  One aggregate job, one row per input column.  Up to ``WIDE_MAX_COLUMNS`` columns use one wide
+    ``stddev`` is the sample standard deviation.  NaN is a missing value like
+    null: no statistic counts it.  One aggregate job, one row per input column.  Up to ``WIDE_MAX_COLUMNS`` columns use one wide
     aggregate; wider tables are unpivoted to (column_name, value) first, so
     the generated code stays small (hundreds of aggregates in one operator
     exceed the JIT's method-size limit) and each column merges on its own task.
@@ -42,17 +41,21 @@ def scaling_stats(df: DataFrame, columns: Sequence[str] | None = None, label: st
         long = df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column_name"), _q(c).cast("double").alias("value")) for c in cols])))
         finite = F.when(~F.isnan("value"), F.col("value"))
-        return long.groupBy("column_name").agg(
-            F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("stddev"), F.min(finite).alias("min"), F.max(finite).alias("max"))
+        found = long.groupBy("column_name").agg(
+            F.count(finite).cast("double").alias("count"), F.avg(finite).alias("mean"),
+            F.stddev_samp(finite).alias("stddev"), F.min(finite).alias("min"), F.max(finite).alias("max"))
+        # A row for every column, also of an empty table.
+        names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+        return names.join(F.broadcast(found), "column_name", "left").select(
+            "column_name", F.coalesce("count", F.lit(0.0)).alias("count"), "mean", "stddev", "min", "max")
     aggs = []
     for i, c in enumerate(cols):
         x = _q(c).cast("double")
         finite = F.when(~F.isnan(x), x)
         aggs += [
-            F.count(x).cast("double").alias(f"count_{i}"),
-            F.avg(x).alias(f"mean_{i}"),
-            F.stddev_samp(x).alias(f"stddev_{i}"),
+            F.count(finite).cast("double").alias(f"count_{i}"),
+            F.avg(finite).alias(f"mean_{i}"),
+            F.stddev_samp(finite).alias(f"stddev_{i}"),
             F.min(finite).alias(f"min_{i}"),
             F.max(finite).alias(f"max_{i}"),
         ]

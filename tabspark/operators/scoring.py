@@ -65,7 +65,7 @@ def _feature_cols(df: DataFrame, features: Sequence[str] | str, n: int) -> list[
 
 
 def score_expression(model: MLPModel, inputs: list[Column]) -> list[Column]:
-    """Network outputs as column expressions (for small networks); null if any input is null."""
+    """Network outputs as column expressions (for small networks); null if any input is null or NaN."""
     a = inputs
     for w, b in zip(model.weights[:-1], model.biases[:-1]):
         a = [relu(sum((x * F.lit(float(w[i, j])) for i, x in enumerate(a)), F.lit(float(b[j]))))
@@ -76,12 +76,13 @@ def score_expression(model: MLPModel, inputs: list[Column]) -> list[Column]:
     # relu (greatest) skips nulls, so one guard on the inputs keeps a missing feature missing.
     missing = None
     for x in inputs:
-        missing = x.isNull() if missing is None else missing | x.isNull()
+        gone = x.isNull() | F.isnan(x)
+        missing = gone if missing is None else missing | gone
     return out if missing is None else [F.when(~missing, v) for v in out]
 
 
 def score_udf(model: MLPModel, spark=None):
-    """Scalar Arrow UDF: array<double> features -> double score (first output); null vector -> null."""
+    """Scalar Arrow UDF: array<double> features -> double score (first output); a null vector or a missing feature gives null."""
     sc = spark.sparkContext if spark is not None else None
     payload = (model.spec, model.flat())
     holder = sc.broadcast(payload) if sc is not None else None
@@ -94,12 +95,14 @@ def score_udf(model: MLPModel, spark=None):
             return pa.array([], pa.float64())
         if x.null_count == len(x):
             return pa.nulls(len(x), pa.float64())
-        if not x.null_count:
-            return pa.array(predict_scores(m, feature_matrix(x))[:, 0], pa.float64())
-        valid = pc.is_valid(x)
-        out = np.full(len(x), np.nan)
-        out[valid.to_numpy(zero_copy_only=False)] = predict_scores(m, feature_matrix(x.filter(valid)))[:, 0]
-        return pa.array(out, pa.float64(), mask=~valid.to_numpy(zero_copy_only=False))
+        valid = pc.is_valid(x).to_numpy(zero_copy_only=False)
+        inputs = feature_matrix(x.filter(pa.array(valid)))
+        whole = ~np.isnan(inputs).any(axis=1)
+        out, scored = np.full(len(x), np.nan), np.flatnonzero(valid)[whole]
+        out[scored] = predict_scores(m, inputs[whole])[:, 0]
+        mask = np.ones(len(x), dtype=bool)
+        mask[scored] = False
+        return pa.array(out, pa.float64(), mask=mask)
 
     return _score
 

@@ -50,9 +50,6 @@ ROWS, LOSS, CORRECT, BATCHES, TASKS = -1, -2, -3, -4, -5
 VAL_ROWS, VAL_LOSS, VAL_CORRECT = -6, -7, -8
 _SLOTS = 8
 _METRIC_ORDER = {"loss": 0, "acc": 1, "val_loss": 2, "val_acc": 3}
-# Without an explicit partition count, each training task gets at least
-# this many batches per epoch.
-MIN_BATCHES_PER_TASK = 16
 
 
 def weight_column(label: str | Column, class_weight: Mapping[float, float] | None) -> Column:
@@ -271,11 +268,8 @@ def gradient_sums(model: MLPModel, frame: DataFrame) -> tuple[np.ndarray, float,
     """(gradient of the weighted mean loss incl. L2, data loss, rows) over a training frame."""
     spark = frame.sparkSession
     holder = spark.sparkContext.broadcast(model.flat())
-    # Every task sends a model-size vector: merge input partitions (no
-    # shuffle) to at most the shuffle-partition count.
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        sums = _reduce(frame.select("x", "y", "w").coalesce(n_parts), _grad_task(holder, model.spec))
+        sums = _reduce(frame.select("x", "y", "w"), _grad_task(holder, model.spec))
     finally:
         holder.unpersist()
     grad, loss, n, _ = _gradient_from(sums, model)
@@ -349,16 +343,14 @@ def fit(
     if nulls == "drop":
         frame = complete_rows(frame)
     if strategy == "average":
-        batched, n_batches = assign_batches_counted(frame, batch_size, keys=keep or None, seed=seed, mode=mode,
+        batched, _ = assign_batches_counted(frame, batch_size, keys=keep or None, seed=seed, mode=mode,
                                                     partitions=partitions or shuffle_parts)
-        # Parameter averaging needs several local steps per task and epoch.
-        n_parts = int(partitions or max(1, min(shuffle_parts, n_batches // MIN_BATCHES_PER_TASK)))
-        work = group_batches(batched.select("batch_id", "batch_pos", "x", "y", "w"), n_parts)
+        # How many tasks average their parameters is the caller's choice (or the
+        # session's), never a consequence of the row count.
+        work = group_batches(batched.select("batch_id", "batch_pos", "x", "y", "w"), int(partitions or shuffle_parts))
     else:
-        n_parts = int(partitions or shuffle_parts)
-        # Gradient sums do not depend on which rows share a task: merge input
-        # partitions (no shuffle) so that at most n_parts tasks send a vector.
-        work = frame.select("x", "y", "w").coalesce(n_parts)
+        # Gradient sums do not depend on which rows share a task: no shuffle.
+        work = frame.select("x", "y", "w")
     # Read once per epoch: spread over the training partitions and keep.
     work = work.persist(StorageLevel.MEMORY_AND_DISK)
     val_frame = None
@@ -366,8 +358,7 @@ def fit(
         val_frame = training_frame(val, features, label).select("x", "y")
         if nulls == "drop":
             val_frame = complete_rows(val_frame)
-        # Sums again: merge input partitions (no shuffle), at most n_parts tasks.
-        val_frame = val_frame.coalesce(n_parts).persist(StorageLevel.MEMORY_AND_DISK)
+        val_frame = val_frame.persist(StorageLevel.MEMORY_AND_DISK)
     theta = model.flat()
     state = np.zeros(n_params)
     iteration = 0
@@ -384,10 +375,9 @@ def fit(
 
     def record_val(epoch: int, params: np.ndarray, rows: float, loss_sum: float, correct: float) -> None:
         if rows == 0:
-            loss, acc = float("nan"), float("nan")
-        else:
-            loss = loss_sum / rows + l2_penalty(MLPModel.from_flat(spec, params))
-            acc = correct / rows
+            raise ValueError("empty validation frame")
+        loss = loss_sum / rows + l2_penalty(MLPModel.from_flat(spec, params))
+        acc = correct / rows
         history.extend([(epoch, "val_loss", loss), (epoch, "val_acc", acc)])
         monitor(epoch, params, loss)
 
@@ -424,11 +414,12 @@ def fit(
                 current = MLPModel.from_flat(spec, theta)
                 grad, data_loss, n, train_acc = _gradient_from(sums, current)
                 train_loss = data_loss + l2_penalty(current)
+                measured = theta  # the loss is that of the parameters before the step
                 theta, state = optimizer_step(optimizer, theta, grad, state, iteration)
                 iteration += 1
             history += [(epoch, "loss", train_loss), (epoch, "acc", train_acc)]
             if val_frame is None:
-                monitor(epoch, theta, train_loss)
+                monitor(epoch, measured if strategy == "sync" else theta, train_loss)
             elif epoch < epochs:
                 pending = (epoch, theta.copy())
             else:
@@ -437,6 +428,8 @@ def fit(
         work.unpersist()
         if val_frame is not None:
             val_frame.unpersist()
+    if epochs and not best_epoch:
+        raise ValueError("no epoch has a finite loss")
     history.sort(key=lambda h: (h[0], _METRIC_ORDER[h[1]]))
     hist_df = spark.createDataFrame(history, "epoch int, metric string, value double")
     meta = {"best_epoch": best_epoch, "iterations": iteration}

@@ -243,6 +243,24 @@ def q21(spark, d):
     return sampling.hash_sample(ev, ["event_id"], 0.1, fixed.SEED)
 
 
+def _side_counts(df):
+    sides = sampling.hash_side(df, ["o_orderkey"], (0.8, 0.2), fixed.SEED)
+    return sides.groupBy("side", "o_orderstatus").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("q40_sample_then_split_orders")
+def q40(spark, d):
+    """L3 then L4 with the same keys and seed: the split of a sample is a split like any other."""
+    return _side_counts(sampling.hash_sample(_t(spark, d, "orders"), ["o_orderkey"], 0.5, fixed.SEED))
+
+
+@query("q41_stratified_then_split_orders")
+def q41(spark, d):
+    """T1 then L4 with the same keys and seed."""
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return _side_counts(sampling.stratified_sample(o, "o_orderstatus", ["o_orderkey"], seed=fixed.SEED))
+
+
 @query("q22_head_customer")
 def q22(spark, d):
     return sampling.head_rows(_t(spark, d, "customer"), 5, [F.col("c_acctbal").desc(), F.col("c_custkey")])
@@ -250,13 +268,13 @@ def q22(spark, d):
 
 @query("q23a_batches_equal_orders")
 def q23a(spark, d):
-    o = _t(spark, d, "orders").select("o_orderkey")
+    o = _t(spark, d, "orders")
     return batches.assign_batches(o, fixed.BATCH, ["o_orderkey"], fixed.SEED, "equal")
 
 
 @query("q23b_batches_fixed_orders")
 def q23b(spark, d):
-    o = _t(spark, d, "orders").select("o_orderkey")
+    o = _t(spark, d, "orders")
     return batches.assign_batches(o, fixed.BATCH, ["o_orderkey"], fixed.SEED, "fixed")
 
 

@@ -14,15 +14,17 @@ SEED = fixed.SEED
 TWO32 = 4294967296
 
 
-def _hashed(src: str, keys: list[str], name: str = "__h") -> str:
-    """``src`` plus the integer key hash as column ``name`` (the same arithmetic as Spark's)."""
+def _hashed(src: str, keys: list[str], tag: int, name: str = "__h") -> str:
+    """``src`` plus the integer key hash of a purpose as column ``name`` (the same arithmetic as Spark's)."""
     p = hashing.KEY_PRIME
-    h = f"CAST({SEED % p} AS BIGINT)"
+    h = f"CAST({hashing.tagged_seed(SEED, tag)} AS BIGINT)"
     for k in keys:
         folded = f"(((CAST({k} AS BIGINT)) % {p}) + {p}) % {p}"
         h = f"((({h}) * {hashing.STEP}) % {p} + ({folded}) * {hashing.KEY_MULT} % {p}) % {p}"
-    final = f"(({h}) * {hashing.FINAL_MULT} + {hashing.FINAL_ADD}) % {hashing.FINAL_PRIME}"
-    return f"(SELECT *, {final} AS {name} FROM {src})"
+    one = f"(xor({name}, {name} >> 16) * {hashing.MIX_1}) & {hashing.MASK_32}"
+    two = f"(xor({name}, {name} >> 15) * {hashing.MIX_2}) & {hashing.MASK_32}"
+    return (f"(SELECT * REPLACE ({two} AS {name}) FROM (SELECT * REPLACE ({one} AS {name}) "
+            f"FROM (SELECT *, {h} AS {name} FROM {src})))")
 
 
 def _below(fraction: float) -> str:
@@ -169,7 +171,7 @@ def _scatter_sql() -> str:
         for b in cols[i + 1:]:
             parts.append(f"SELECT l_partkey, '{a}' AS x_col, '{b}' AS y_col, CAST({a} AS DOUBLE) AS x, "
                          f"CAST({b} AS DOUBLE) AS y FROM s")
-    return (f"WITH s AS (SELECT * FROM {_hashed('lineitem', ['l_partkey'])} WHERE {_below(0.1)})\n"
+    return (f"WITH s AS (SELECT * FROM {_hashed('lineitem', ['l_partkey'], hashing.SAMPLE)} WHERE {_below(0.1)})\n"
             + "\nUNION ALL ".join(parts))
 
 
@@ -295,14 +297,14 @@ SELECT o_orderkey, ROUND({_mm('o_totalprice')}, 6) AS o_totalprice FROM orders,
 
 SQL["q20a_hash_split_orders"] = f"""
 SELECT o_orderkey, CAST(CASE WHEN __h < {int(0.8 * TWO32)} THEN 0 ELSE 1 END AS INTEGER) AS side
-FROM {_hashed('orders', ['o_orderkey'])}
+FROM {_hashed('orders', ['o_orderkey'], hashing.SPLIT)}
 """
 
 SQL["q20b_split_stats_orders"] = f"""
 SELECT side, count(*) AS rows, ROUND(avg(o_totalprice), 6) AS mean_totalprice
 FROM (SELECT o_totalprice,
              CAST(CASE WHEN __h < {int(0.8 * TWO32)} THEN 0 ELSE 1 END AS INTEGER) AS side
-      FROM {_hashed('orders', ['o_orderkey'])})
+      FROM {_hashed('orders', ['o_orderkey'], hashing.SPLIT)})
 GROUP BY side
 """
 
@@ -310,11 +312,30 @@ SQL["q20c_batch_counts_orders"] = f"""
 SELECT split, rows, GREATEST(1, rows // {fixed.BATCH}) AS batches
 FROM (SELECT CASE WHEN __h < {int(0.8 * TWO32)} THEN 'train' ELSE 'val' END AS split,
              count(*) AS rows
-      FROM {_hashed('orders', ['o_orderkey'])} GROUP BY 1)
+      FROM {_hashed('orders', ['o_orderkey'], hashing.SPLIT)} GROUP BY 1)
 """
 
 SQL["q21_hash_sample_events"] = f"""
-SELECT event_id, user_id, event_type, value FROM {_hashed('events', ['event_id'])} WHERE {_below(0.1)}
+SELECT event_id, user_id, event_type, value FROM {_hashed('events', ['event_id'], hashing.SAMPLE)} WHERE {_below(0.1)}
+"""
+
+SQL["q40_sample_then_split_orders"] = f"""
+SELECT side, o_orderstatus, count(*) AS rows
+FROM (SELECT o_orderstatus, CAST(CASE WHEN __h < {int(0.8 * TWO32)} THEN 0 ELSE 1 END AS INTEGER) AS side
+      FROM {_hashed('(SELECT * EXCLUDE (__h) FROM ' + _hashed('orders', ['o_orderkey'], hashing.SAMPLE)
+                    + ' WHERE ' + _below(0.5) + ')', ['o_orderkey'], hashing.SPLIT)})
+GROUP BY ALL
+"""
+
+SQL["q41_stratified_then_split_orders"] = f"""
+WITH c AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderstatus)),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY __h, o_orderkey) AS rn
+      FROM {_hashed('orders', ['o_orderkey'], hashing.STRATA)}),
+t AS (SELECT o_orderkey, o_orderstatus FROM r, c WHERE rn <= c.n)
+SELECT side, o_orderstatus, count(*) AS rows
+FROM (SELECT o_orderstatus, CAST(CASE WHEN __h < {int(0.8 * TWO32)} THEN 0 ELSE 1 END AS INTEGER) AS side
+      FROM {_hashed('t', ['o_orderkey'], hashing.SPLIT)})
+GROUP BY ALL
 """
 
 SQL["q22_head_customer"] = "SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 5"
@@ -323,18 +344,18 @@ _RANK_ORDERS = """r AS (SELECT *, row_number() OVER (ORDER BY __h, o_orderkey) -
 nb AS (SELECT GREATEST(1, count(*) // """ + str(fixed.BATCH) + """) AS nb FROM orders)"""
 
 SQL["q23a_batches_equal_orders"] = f"""
-WITH {_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey']))}
-SELECT o_orderkey, rk % nb AS batch_id, rk // nb AS batch_pos FROM r, nb
+WITH {_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey'], hashing.BATCH))}
+SELECT r.* EXCLUDE (__h, rk), rk % nb AS batch_id, rk // nb AS batch_pos FROM r, nb
 """
 
 SQL["q23b_batches_fixed_orders"] = f"""
-WITH {_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey']))}
-SELECT o_orderkey, rk // {fixed.BATCH} AS batch_id, rk % {fixed.BATCH} AS batch_pos FROM r
+WITH {_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey'], hashing.BATCH))}
+SELECT r.* EXCLUDE (__h, rk), rk // {fixed.BATCH} AS batch_id, rk % {fixed.BATCH} AS batch_pos FROM r
 """
 
 SQL["q24_batch_profile_orders"] = f"""
 WITH {_zscore_cte('orders', ['o_totalprice'])},
-{_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey']))}
+{_RANK_ORDERS.format(src=_hashed('orders', ['o_orderkey'], hashing.BATCH))}
 SELECT rk % nb AS batch_id, count(*) AS rows, ROUND(avg({_z('o_totalprice')}), 6) AS mean_o_totalprice
 FROM r, nb, s GROUP BY 1
 """
@@ -345,7 +366,7 @@ r AS (SELECT *, row_number() OVER (
         PARTITION BY l_linestatus
         ORDER BY __h, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                  l_discount, l_tax, l_returnflag, l_shipdate) AS rn
-      FROM {_hashed('lineitem', ['l_orderkey', 'l_linenumber'])})
+      FROM {_hashed('lineitem', ['l_orderkey', 'l_linenumber'], hashing.STRATA)})
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
        l_returnflag, l_linestatus
 FROM r, c WHERE rn <= c.n
@@ -431,7 +452,7 @@ sc AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS
        FROM orders, s)"""
 
 _ORDERS_BATCHED = f"""{_ORDERS_SCORED},
-{_RANK_ORDERS.format(src=_hashed('sc', ['o_orderkey']))},
+{_RANK_ORDERS.format(src=_hashed('sc', ['o_orderkey'], hashing.BATCH))},
 bt AS (SELECT rk % nb AS batch_id, y, p, {_pred_class('p')} AS yhat FROM r, nb)"""
 
 SQL["q27_batch_metrics_orders"] = f"""WITH {_ORDERS_BATCHED},

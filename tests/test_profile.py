@@ -195,3 +195,61 @@ def test_correlation_mixed_null_and_complete_columns(spark):
             assert abs(got[(u, v)] - exp.loc[u, v]) < 1e-9, (u, v)
         assert got[(u, "k")] is None and got[("k", u)] is None
     assert len(got) == 16
+
+
+def test_quartiles_of_any_distribution(spark):
+    """Exact or raising, never null: infinite values, many orders of magnitude, hot values."""
+    import numpy as np
+
+    from tabspark.operators import quantiles as Q
+    from tabspark.operators.profile import summary_table
+
+    rng = np.random.default_rng(0)
+    n = 30_000
+    wide = 10.0 ** rng.uniform(-300, 300, n) * rng.choice([-1.0, 1.0], n)
+    one_inf = rng.standard_normal(n)
+    one_inf[0] = np.inf
+    many_inf = np.where(rng.random(n) < 0.3, -np.inf, rng.standard_normal(n))
+    hot = np.where(rng.random(n) < 0.4, 1e-300, wide)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(wide, one_inf, many_inf, hot)],
+                               "wide double, one_inf double, many_inf double, hot double")
+    old, Q.FINAL_ROWS = Q.FINAL_ROWS, 200
+    defaults = Q.column_quantiles.__defaults__
+    Q.column_quantiles.__defaults__ = tuple(200 if v == old else v for v in defaults)
+    try:
+        got = {(r["column_name"], r["statistic"]): r["value"] for r in summary_table(df).collect()}
+    finally:
+        Q.FINAL_ROWS = old
+        Q.column_quantiles.__defaults__ = defaults
+    for name, values in (("wide", wide), ("one_inf", one_inf), ("many_inf", many_inf), ("hot", hot)):
+        order = np.sort(values)
+        for stat, p in (("25%", 0.25), ("50%", 0.5), ("75%", 0.75)):
+            assert got[(name, stat)] == order[int(np.ceil(n * p)) - 1], (name, stat)
+
+
+def test_nan_and_infinity_rules(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(nan, 1, nan), (None, None, 1.0), (3.0, 2, 2.0), (1.0, 2, inf)], "a double, b int, c double")
+    from tabspark.operators.profile import correlation_matrix, fill_nulls, histogram
+    from tabspark.operators.scale import collect_stats, scaling_stats
+
+    st = collect_stats(scaling_stats(df, ["a", "b"]))
+    assert (st["a"].count, st["a"].mean, st["a"].min, st["a"].max) == (2.0, 2.0, 1.0, 3.0)
+    filled = [tuple(r) for r in fill_nulls(df, numeric="mean").collect()]
+    assert filled == [(2.0, 1, 1.5), (2.0, 2, 1.0), (3.0, 2, 2.0), (1.0, 2, inf)]
+    bins = {(r["column_name"], r["bin"]): r["count"] for r in histogram(df, ["c"], bins=2).collect()}
+    assert bins == {("c", 0): 1, ("c", 1): 1}
+    pairs = {(r["col_a"], r["col_b"]): r["corr"] for r in correlation_matrix(df.select("a", "b")).collect()}
+    assert pairs[("a", "a")] == 1.0
+
+
+def test_same_shape_at_16_and_17_columns_of_an_empty_table(spark):
+    from tabspark.operators.profile import parallel_coordinates
+    from tabspark.operators.scale import scaling_stats, standardize
+
+    for n in (16, 17):
+        cols = [f"c{i}" for i in range(n)]
+        df = spark.createDataFrame([], ", ".join(f"{c} double" for c in cols) + ", y int")
+        assert sorted(tuple(r) for r in scaling_stats(df, cols).collect()) == sorted((c, 0.0, None, None, None, None) for c in cols)
+        assert parallel_coordinates(df, "y").count() == 0
+        assert standardize(df, scaling_stats(df, cols)).columns == df.columns

@@ -9,20 +9,50 @@ from tabspark.operators import sampling as S
 ORDERS = "/root/testdata/sf0.01/orders.parquet"
 
 
-def _int_hash(seed, *keys):
+def _int_hash(seed, *keys, tag=0):
     """Plain-Python version of the integer key hash."""
-    p1, p2 = 4294967291, 4294967279
-    h = seed % p1
+    p = 4294967291
+    h = (seed + tag * 2654435761) % p
     for k in keys:
-        h = ((h * 1000000007) % p1 + ((k % p1) * 805306457) % p1) % p1
-    return (h * 998244353 + 362437) % p2
+        h = ((h * 1000000007) % p + ((k % p) * 805306457) % p) % p
+    for shift, mult in ((16, 0x21F0AAAD), (15, 0x735A2D97)):
+        h = ((h ^ (h >> shift)) * mult) & 0xFFFFFFFF
+    return h
 
 
 def test_int_hash_matches_python(spark):
     from tabspark.functions import h32
     df = spark.createDataFrame([(i * 7919 - 5000, i) for i in range(200)], "a bigint, b int")
-    got = [r[0] for r in df.select(h32(["a", "b"], 11, df)).collect()]
-    assert got == [_int_hash(11, a, b) for a, b in ((i * 7919 - 5000, i) for i in range(200))]
+    got = [r[0] for r in df.select(h32(["a", "b"], 11, df, 3)).collect()]
+    assert got == [_int_hash(11, a, b, tag=3) for a, b in ((i * 7919 - 5000, i) for i in range(200))]
+
+
+def _within(k, n, p):
+    return abs(k - n * p) <= 4 * (n * p * (1 - p)) ** 0.5
+
+
+def test_samples_are_not_a_lattice_and_seeds_are_independent(spark):
+    ids = spark.range(100_000).toDF("id")
+    samples = [np.array(sorted(r[0] for r in S.hash_sample(ids, ["id"], 0.1, seed).collect())) for seed in (0, 1, 2, 3)]
+    for own in samples:
+        assert _within(len(own), 100_000, 0.1)
+        gaps, counts = np.unique(np.diff(own), return_counts=True)
+        assert len(gaps) > 40 and _within(counts[0], len(own) - 1, 0.1)
+    for i in range(4):
+        for j in range(i):
+            assert _within(len(np.intersect1d(samples[i], samples[j])), len(samples[i]), 0.1)
+
+
+def test_sample_split_strata_and_batches_are_independent(spark):
+    ids = spark.range(100_000).withColumn("y", (F.col("id") % 10 == 0).cast("int"))
+    sample = S.hash_sample(ids, ["id"], 0.1, 3)
+    train, val = S.train_val_split(sample, 0.2, 3, ["id"])
+    n = sample.count()
+    assert train.count() + val.count() == n and _within(val.count(), n, 0.2)
+    balanced = S.stratified_sample(ids, "y", ["id"], seed=3)
+    _, val = S.train_val_split(balanced, 0.2, 3, ["id"])
+    for r in val.groupBy("y").count().collect():
+        assert _within(r["count"], 10_000, 0.2)
 
 
 def test_hash_split_partitions_input_independent_of_layout(spark):
@@ -95,7 +125,7 @@ def test_stratified_sample_equals_brute_force(spark):
     counts = got.groupby("y").size()
     assert counts[0] == counts[1] == (pdf["y"] == 1).sum()
     # brute force: hash order within class
-    pdf["h"] = [_int_hash(9, i) for i in pdf["id"]]
+    pdf["h"] = [_int_hash(9, i, tag=3) for i in pdf["id"]]
     m = int((pdf["y"] == 1).sum())
     exp = pdf.sort_values(["y", "h", "id", "v"]).groupby("y").head(m)
     assert set(got["id"]) == set(exp["id"])
@@ -110,7 +140,7 @@ def test_stratified_sample_shuffle_path_small_classes_and_null(spark, monkeypatc
     pdf = pd.DataFrame({"id": np.arange(n), "y": y, "v": rng.random(n)})
     df = spark.createDataFrame(pdf, "id long, y int, v double")
     k = 100
-    pdf["h"] = [_int_hash(9, i) for i in pdf["id"]]
+    pdf["h"] = [_int_hash(9, i, tag=3) for i in pdf["id"]]
     exp = pdf.sort_values(["h", "id", "v"]).groupby("y", dropna=False).head(k)
     for max_classes, window_rows in ((S.BROADCAST_MAX_CLASSES, S.WINDOW_MAX_ROWS), (0, S.WINDOW_MAX_ROWS), (0, 0)):
         monkeypatch.setattr(S, "BROADCAST_MAX_CLASSES", max_classes)
