@@ -7,6 +7,7 @@ outputs are rounded to 6 places, the same as in the SQL oracle
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -402,6 +403,48 @@ def q37b(spark, d):
     return categories.index_categories(c, "c_mktsegment").select("c_custkey", "c_mktsegment_index")
 
 
+# ---------------------------------------------------------------- training in closed form
+
+SYNC_RATE = 0.5
+
+
+def _sync_fit(spark, d) -> train.FitResult:
+    """Two full-batch steps of logistic regression from fixed parameters: every number has a closed form."""
+    start = fixed.grad_start()
+    return train.fit(_lineitem_scaled(spark, d), start.spec, fixed.LINE_FEATURES, "l_linestatus", epochs=2,
+                     optimizer=OptimizerSpec("sgd", lr=SYNC_RATE), class_weight=fixed.CLASS_WEIGHT, init=start,
+                     strategy="sync")
+
+
+@query("q30b_sync_history_lineitem")
+def q30b(spark, d):
+    """M5, M8: the history of a synchronous fit."""
+    return _round(_sync_fit(spark, d).history, "value")
+
+
+@query("q42_loss_curve_lineitem")
+def q42(spark, d):
+    """M9: the loss curve of the same fit."""
+    return _round(train.loss_curve(_sync_fit(spark, d).history), "loss", "val_loss")
+
+
+@query("q31b_evaluate_fixed_lineitem")
+def q31b(spark, d):
+    """M7: loss and accuracy of a fixed scorer on both sides of a hash split."""
+    tr, va = sampling.train_val_split(_lineitem_scaled(spark, d), 0.2, fixed.SEED, ["l_orderkey", "l_linenumber"])
+    return _round(train.evaluate(fixed.line_scorer(), {"train": tr, "validation": va}, fixed.LINE_FEATURES,
+                                 "l_linestatus"), "value")
+
+
+@query("q33b_save_load_score_lineitem")
+def q33b(spark, d):
+    """A saved model, loaded again, scores like the original."""
+    path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
+    loaded = runs.load_model(spark, runs.save_model(spark, fixed.relu_net(), path))
+    scored = score_rows(_lineitem_scaled(spark, d), loaded, fixed.LINE_FEATURES, method="udf")
+    return _round(scored.select("l_orderkey", "l_linenumber", "prediction"), "prediction")
+
+
 # ---------------------------------------------------------------- training (no SQL oracle)
 
 _FITS: dict[str, train.FitResult] = {}

@@ -503,6 +503,49 @@ g AS (SELECT *, {p} AS p, {cw} AS w FROM z)
 
 SQL["q29_sync_gradient_lineitem"] = _grad_sql()
 
+SQL["q33b_save_load_score_lineitem"] = SQL["q25a_predict_relu_lineitem"]
+
+
+def _sync_ctes(rate: float) -> str:
+    """Two full-batch steps: s1 and s2 hold each epoch's loss, accuracy and gradients."""
+    cw = "CASE WHEN y = 0.0 THEN 1.0 WHEN y = 1.0 THEN 2.0 ELSE 1.0 END"
+    grads = ", ".join([f"avg(w * (p - y) * x{i}) AS g{i}" for i in range(len(_LX))] + ["avg(w * (p - y)) AS gb"])
+    sums = f"avg(w * {_bce('y', 'p')}) AS loss, avg(CASE WHEN {_pred_class('p')} = y THEN 1.0 ELSE 0.0 END) AS acc, {grads}"
+    w, b = [row[0] for row in fixed.GRAD_START_W], fixed.GRAD_START_B[0]
+    terms = " + ".join([f"({_num(b)} - {_num(rate)} * gb)"]
+                       + [f"{x} * ({_num(w[i])} - {_num(rate)} * g{i})" for i, x in enumerate(_LX)])
+    return f"""{_LINE_Z},
+e1 AS (SELECT *, {_sigmoid(_linear(_LX, w, b))} AS p, {cw} AS w FROM z),
+s1 AS (SELECT {sums} FROM e1),
+e2 AS (SELECT y, w, {', '.join(_LX)}, {_sigmoid(terms)} AS p FROM (SELECT * EXCLUDE (p) FROM e1), s1),
+s2 AS (SELECT {sums} FROM e2)"""
+
+
+def _sync_sql(rate: float) -> str:
+    rows = [f"SELECT {e} AS epoch, '{m}' AS metric, ROUND({m}, 6) AS value FROM s{e}" for e in (1, 2) for m in ("loss", "acc")]
+    return f"WITH {_sync_ctes(rate)}\n" + "\nUNION ALL ".join(rows)
+
+
+SQL["q30b_sync_history_lineitem"] = _sync_sql(0.5)
+SQL["q42_loss_curve_lineitem"] = f"""WITH {_sync_ctes(0.5)}
+SELECT 1 AS epoch, ROUND(loss, 6) AS loss, CAST(NULL AS DOUBLE) AS val_loss FROM s1
+UNION ALL SELECT 2, ROUND(loss, 6), NULL FROM s2"""
+
+
+def _evaluate_sql() -> str:
+    p = _sigmoid(_linear(_LX, [row[0] for row in fixed.LINE_SCORER_W], fixed.LINE_SCORER_B[0]))
+    rows = [f"SELECT dataset, '{m}' AS metric, {e} AS value FROM sc GROUP BY dataset" for m, e in (
+        ("loss", f"ROUND(avg({_bce('y', 'p')}), 6)"),
+        ("acc", f"ROUND(avg(CASE WHEN {_pred_class('p')} = y THEN 1.0 ELSE 0.0 END), 6)"),
+        ("rows", "CAST(count(*) AS DOUBLE)"))]
+    return f"""WITH {_LINE_Z},
+sc AS (SELECT y, {p} AS p, CASE WHEN __h < {int(0.8 * TWO32)} THEN 'train' ELSE 'validation' END AS dataset
+       FROM {_hashed('z', ['l_orderkey', 'l_linenumber'], hashing.SPLIT)})
+""" + "\nUNION ALL ".join(rows)
+
+
+SQL["q31b_evaluate_fixed_lineitem"] = _evaluate_sql()
+
 SQL["q32_custom_metric_orders"] = f"""WITH {_ORDERS_BATCHED}
 SELECT 'mean_absolute_error' AS metric, 0 AS idx, ROUND(avg(mae), 6) AS value
 FROM (SELECT batch_id, avg(abs(y - p)) AS mae FROM bt GROUP BY batch_id)
