@@ -10,24 +10,30 @@ scored exactly, in double precision.
 Inner products become angles by one more coordinate, which gives all vectors
 the same length (a query gets 0 there).
 
-The rows are dealt into blocks of some ``BLOCK_ROWS``, each with a forest of
+Equal vectors are one row of the forest, with the least ``k`` + 1 of their ids.
+The rows are dealt by norm (``NORM_STEPS`` ranges to a doubling, so that the added coordinate
+stays small) into blocks of some ``BLOCK_ROWS``, each with a forest of
 its own, and the queries into blocks too; a task holds one block of each.  The 20 best of a
-block are merged over the blocks.  A block's trees ascend until they hold ``SHARE`` times
-its rows together; a block of up to ``LEAST`` rows is searched whole.  The
-share is what vectors without clusters need for a recall of 0.9 (measured in the tests).
+block are merged over the blocks.  A block's trees ascend until the different rows that they
+hold are ``SHARE`` of its rows, unless the block has ``LEAST`` rows at most: it is taken whole.
+The share is what vectors without clusters need for a recall of 0.9 (measured in the tests).
 
 Defined results: vectors that are null, zero, of another length than most, or
 hold a null or non-finite component take no part, nor do rows without vec_id;
 of rows that share a vec_id the least vector speaks; equal scores go to the
-smaller vec_id, so equal vectors are all candidates; a query without
+smaller vec_id, so equal vectors are candidates together; a query without
 candidates has no rows; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabspark.llm.common import bucket_of, buckets_for, checkpointed, tasks_for
@@ -37,8 +43,10 @@ TREES = 64
 BITS = 32
 SHARE = 0.7
 LEAST = 4096
+NORM_STEPS = 4
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
+DEALT_ROWS = 1024
 DEPTH = 20  # levels below this hold equal vectors or single ones
 SEED = 11
 
@@ -92,56 +100,113 @@ class Forest:
         return length
 
 
-def block_nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, longest: float, k: int, trees: int,
-                  bits: int, strings_wanted: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query_id, vec_id, score): up to k nearest rows of the block that the forest finds for each query."""
+    def candidates(self, queries: np.ndarray, wanted: int, depth: int) -> Iterator[np.ndarray]:
+        """For each query the rows (as booleans) that the ascent has met when they are ``wanted`` different ones."""
+        length = self.ascend(queries, wanted, depth)  # fewer strings are fewer rows
+        lo, hi = self.ranges(queries, length)
+        for i in range(queries.shape[1]):
+            own, at, (low, high) = queries[:, i:i + 1], length[i], (lo[:, i], hi[:, i])
+            while True:
+                found = np.zeros(self.order.shape[1], dtype=bool)
+                for rows, a, b in zip(self.order, low, high):
+                    found[rows[a:b]] = True
+                if at == 0 or np.count_nonzero(found) >= wanted:
+                    break
+                at -= 1
+                low, high = (x[:, 0] for x in self.ranges(own, at))
+            yield found
+
+
+def block_nearest(x: np.ndarray, ids: np.ndarray, starts: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int,
+                  trees: int, bits: int, rows_wanted: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query_id, vec_id, score): up to k nearest of the block's rows that the forest finds for each query.
+
+    Row r of ``x`` stands for ``ids[starts[r]:starts[r + 1]]``, which have this vector.
+    """
     dim = x.shape[1]
     planes = np.random.default_rng(seed).standard_normal((trees, dim + 1, bits))
-    rest = np.sqrt(np.maximum(0.0, longest - (x * x).sum(axis=1)))
-    forest = Forest(hash_strings(np.column_stack([x, rest]), planes), bits)
-    strings = hash_strings(np.column_stack([q, np.zeros(len(q))]), planes)
-    lo, hi = forest.ranges(strings, forest.ascend(strings, strings_wanted, DEPTH))
+    scaled = x / np.abs(x).max()  # squares neither overflow nor vanish
+    squared = (scaled * scaled).sum(axis=1)
+    rest = np.sqrt(squared.max() - squared)
+    forest = Forest(hash_strings(np.column_stack([scaled, rest]), planes), bits)
+    asked = q / np.abs(q).max(axis=1, keepdims=True)
+    strings = hash_strings(np.column_stack([asked, np.zeros(len(q))]), planes)
+    count = np.diff(starts)
+    owner = np.repeat(np.arange(len(x)), count)
     out: list[list[np.ndarray]] = [[], [], []]
-    for i in range(len(q)):
-        found = np.zeros(len(x), dtype=bool)
-        for t in range(trees):
-            found[forest.order[t, lo[t, i]:hi[t, i]]] = True
-        at = np.flatnonzero(found & (ids != q_ids[i]))
+    for i, found in enumerate(forest.candidates(strings, rows_wanted, DEPTH)):
+        others = count.copy()
+        others[owner[ids == q_ids[i]]] -= 1
+        at = np.flatnonzero(found & (others > 0))
         score = (x[at] * q[i]).sum(axis=1)
         if len(at) > k:  # keep all that tie with the k-th
             near = score >= np.partition(score, len(score) - k)[len(score) - k]
             at, score = at[near], score[near]
-        best = np.lexsort((ids[at], -score))[:k]
-        for column, values in zip(out, (np.full(len(best), q_ids[i]), ids[at[best]], score[best])):
+        own = np.concatenate([np.arange(starts[r], starts[r + 1]) for r in at]) if len(at) else at
+        score = np.repeat(score, count[at])
+        other = ids[own] != q_ids[i]
+        own, score = own[other], score[other]
+        best = np.lexsort((ids[own], -score))[:k]
+        for column, values in zip(out, (np.full(len(best), q_ids[i]), ids[own[best]], score[best])):
             column.append(values)
     return tuple(np.concatenate(c) for c in out)
 
 
-def wanted(n: int, trees: int, share: float, least: int) -> int:
-    """Strings to find in a block of n rows, over all trees; blocks of up to ``least`` rows are taken whole."""
-    return trees * n if n <= least else int(share * n)
+def wanted(n: int, share: float, least: int) -> int:
+    """Different rows to find in a block of n; up to ``least`` are taken whole."""
+    return n if n <= least else math.ceil(share * n)
+
+
+def distinct_vectors(rows: DataFrame, n: int, k: int) -> DataFrame:
+    """(embedding, ids): the different vectors of the n rows with the least k + 1 ids of each, in order."""
+    least = lambda ids: F.slice(F.array_sort(ids), 1, k + 1)
+    dealt = bucket_of(buckets_for(n, DEALT_ROWS), F.col("vec_id"))  # no group gathers a hot vector's ids
+    parts = rows.groupBy("embedding", dealt.alias("part")).agg(least(F.collect_list("vec_id")).alias("ids"))
+    return parts.groupBy("embedding").agg(least(F.flatten(F.collect_list("ids"))).alias("ids"))
+
+
+def norm_range(squared: Column) -> Column:
+    """Number of the range that holds the norm; a norm of 1 is in the middle of range 0."""
+    inside = F.greatest(F.least(squared, F.lit(1e300)), F.lit(1e-300))
+    return F.floor(F.log2(inside) * (NORM_STEPS / 2) + 0.5).cast("int")
+
+
+def norm_blocks(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` (embedding, ids) with the number ``rb`` of their block, and the number of blocks."""
+    squared = F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v * v)
+    ranged = checkpointed(rows.withColumn("norm", norm_range(squared)))
+    sizes = sorted((r["norm"], r["count"]) for r in ranged.groupBy("norm").count().collect())  # some thousand at most
+    table, total = [], 0
+    for norm, count in sizes:
+        table.append((norm, total, buckets_for(count, BLOCK_ROWS)))
+        total += table[-1][2]
+    first = rows.sparkSession.createDataFrame(table, "norm int, first int, n int")
+    place = (F.col("first") + F.pmod(F.xxhash64("ids"), F.col("n").cast("long"))).cast("int")
+    return ranged.join(F.broadcast(first), "norm").select(place.alias("rb"), "ids", "embedding"), total
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST, trees: int = TREES, bits: int = BITS,
             share: float = SHARE, least: int = LEAST) -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows whose vec_id is divisible by ``every``, against all rows."""
     rows = checkpointed(usable(vectors))
-    squared = F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v * v)
-    n, n_queries, longest, dim = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0),
-                                          F.max(squared), F.max(F.size("embedding"))).first()
-    blocks, query_blocks = buckets_for(n, BLOCK_ROWS), buckets_for(n_queries, BLOCK_QUERIES)
-    row_block, query_block = bucket_of(blocks, F.col("vec_id")), bucket_of(query_blocks, F.col("vec_id"), F.lit("query"))
+    n, n_queries, dim = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0), F.max(F.size("embedding"))).first()
+    own, blocks = norm_blocks(distinct_vectors(rows, n, k))
+    query_blocks = buckets_for(n_queries, BLOCK_QUERIES)
+    query_block = bucket_of(query_blocks, F.col("vec_id"), F.lit("query"))
     numbers = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    held = rows.select(row_block.alias("rb"), numbers(query_blocks).alias("qb"), "vec_id", "embedding")
-    asked = rows.where(F.col("vec_id") % every == 0).select(numbers(blocks).alias("rb"), query_block.alias("qb"), "vec_id", "embedding")
+    held = own.select("rb", numbers(query_blocks).alias("qb"), "ids", "embedding")
+    asked = rows.where(F.col("vec_id") % every == 0).select(numbers(max(1, blocks)).alias("rb"), query_block.alias("qb"),
+                                                            "vec_id", "embedding")
 
     def run(held: pa.Table, asked: pa.Table) -> pa.Table:
         names, kinds = ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()]
         if not held.num_rows or not asked.num_rows:
             return pa.table([pa.array([], t) for t in kinds], names)
-        found = block_nearest(matrix(held.column("embedding"), dim), held.column("vec_id").to_numpy(),
-                              matrix(asked.column("embedding"), dim), asked.column("vec_id").to_numpy(), longest, k,
-                              trees, bits, wanted(held.num_rows, trees, share, least), SEED)
+        ids = held.column("ids").combine_chunks()
+        starts = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(ids).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        found = block_nearest(matrix(held.column("embedding"), dim), ids.flatten().to_numpy(zero_copy_only=False), starts,
+                              matrix(asked.column("embedding"), dim), asked.column("vec_id").to_numpy(), k,
+                              trees, bits, wanted(held.num_rows, share, least), SEED)
         return pa.table([pa.array(c, t) for c, t in zip(found, kinds)], names)
 
     tasks = tasks_for(vectors.sparkSession, blocks * query_blocks)

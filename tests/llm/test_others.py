@@ -152,3 +152,52 @@ def test_licences(spark):
     assert got == {(1, "MIT", "", 0), (2, None, "Apache-2.0", 1), (3, None, "", 0), (4, "MIT", "MIT", 1),
                    (5, None, "MIT", 2), (6, None, "", 0), (7, None, "", 0), (None, "CC0-1.0", "CC0-1.0", 1), (8, None, "", 0)}
     assert licences.licence_scan(empty(spark)).count() == 0
+
+
+def unit_vectors(n, seed, dim=64):
+    x = np.random.default_rng(seed).standard_normal((n, dim))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def varying(n):
+    return unit_vectors(n, 5) * np.exp(0.5 * np.random.default_rng(6).standard_normal(n))[:, None]
+
+
+def hot_third(n):
+    x = unit_vectors(n, 7)
+    x[1::3] = x[1]
+    return x
+
+
+def query_recalls(spark, x, every, k=20, chosen=None):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in forest.nearest(df, every=every).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    out = []
+    for q in chosen if chosen is not None else range(0, len(x), every):
+        score = (x * x[q]).sum(axis=1)
+        want = [i for i in np.lexsort((np.arange(len(x)), -score)) if i != q][:k]
+        out.append(len(found[q] & set(want)) / k)
+    return np.array(out)
+
+
+@pytest.mark.parametrize("make, n", [(varying, 6000), (hot_third, 6000)])
+def test_recall_at_production_values(spark, make, n):
+    own = query_recalls(spark, make(n), 100)
+    assert own.mean() >= 0.95 and own.min() >= 0.8
+
+
+def test_neighbours_of_a_hot_vector(spark):
+    x = hot_third(6000)
+    near = np.argsort(-(x * x[1]).sum(axis=1), kind="stable")
+    near = [int(i) for i in near if i % 3 != 1][:15]
+    own = query_recalls(spark, x, 1, chosen=near)
+    assert own.mean() >= 0.95 and own.min() >= 0.8
+
+
+def test_norms_at_the_ends_of_double(spark):
+    df = spark.createDataFrame([(i, [s * (i + 1), 1e-3 * s]) for i, s in enumerate([1.0, 1e-200, 1e200] * 30)],
+                               "vec_id long, embedding array<double>")
+    got = forest.nearest(df, every=30, k=100).collect()
+    assert all(len({r["vec_id"] for r in got if r["query_id"] == q}) == 89 for q in (0, 30, 60))
