@@ -15,7 +15,7 @@ The rows are dealt by norm (``NORM_STEPS`` ranges to a doubling, so that the add
 stays small) into blocks of some ``BLOCK_ROWS``, each with a forest of
 its own, and the queries into blocks too; a task holds one block of each.  The 20 best of a
 block are merged over the blocks.  A block's trees ascend until the different rows that they
-hold are ``SHARE`` of its rows, unless the block has ``LEAST`` rows at most: it is taken whole.
+hold are ``SHARE`` of its rows, whatever the size of the block (up to 20 rows are taken whole).
 The share is what vectors without clusters need for a recall of 0.9 (measured in the tests).
 
 Defined results: vectors that are null, zero, of another length than most, or
@@ -42,7 +42,6 @@ NEAREST = 20
 TREES = 64
 BITS = 32
 SHARE = 0.7
-LEAST = 4096
 NORM_STEPS = 4
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
@@ -186,7 +185,7 @@ def norm_blocks(rows: DataFrame) -> tuple[DataFrame, int]:
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST, trees: int = TREES, bits: int = BITS,
-            share: float = SHARE, least: int = LEAST) -> DataFrame:
+            share: float = SHARE, least: int = NEAREST) -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows whose vec_id is divisible by ``every``, against all rows."""
     rows = checkpointed(usable(vectors))
     n, n_queries, dim = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0), F.max(F.size("embedding"))).first()

@@ -182,7 +182,7 @@ def query_recalls(spark, x, every, k=20, chosen=None):
     return np.array(out)
 
 
-@pytest.mark.parametrize("make, n", [(varying, 6000), (hot_third, 6000)])
+@pytest.mark.parametrize("make, n", [(varying, 6000), (hot_third, 6000), (varying, 3000)])
 def test_recall_at_production_values(spark, make, n):
     own = query_recalls(spark, make(n), 100)
     assert own.mean() >= 0.95 and own.min() >= 0.8
@@ -196,6 +196,17 @@ def test_neighbours_of_a_hot_vector(spark):
     assert own.mean() >= 0.95 and own.min() >= 0.8
 
 
+def test_the_forest_selects_at_every_size():
+    """Blocks of 500 to 6,000 rows are not scored whole."""
+    for n in (500, 2000, 4096, 6000):
+        x = unit_vectors(n, 8)
+        planes = np.random.default_rng(1).standard_normal((forest.TREES, 65, forest.BITS))
+        strings = forest.hash_strings(np.column_stack([x, np.zeros(n)]), planes)
+        met = [f.mean() for f in forest.Forest(strings, forest.BITS).candidates(
+            strings[:, :20], forest.wanted(n, forest.SHARE, forest.NEAREST), forest.DEPTH)]
+        assert forest.SHARE <= min(met) and np.mean(met) < 0.95
+
+
 def test_norms_at_the_ends_of_double(spark):
     df = spark.createDataFrame([(i, [s * (i + 1), 1e-3 * s]) for i, s in enumerate([1.0, 1e-200, 1e200] * 30)],
                                "vec_id long, embedding array<double>")
