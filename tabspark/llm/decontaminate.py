@@ -88,6 +88,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     ``start`` counts words from 0; among equal windows the first.  ``row_id``
     tells rows of one doc_id apart.
     """
+    return found_in(docs, benchmark, similarity, radius).drop("h")
+
+
+def found_in(docs: DataFrame, benchmark: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """``contaminated`` with the hash ``h`` of the row's text."""
     items = checkpointed(benchmark.select("item_id", word_array(F.col("text")).alias("words"))
                          .select(F.monotonically_increasing_id().alias("item"), "item_id", "words",
                                  F.size("words").alias("length")).where(F.col("length") > 0))
@@ -100,7 +105,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     if found is None:
         found = texts.where(F.lit(False)).select(
             "doc_id", F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("start"),
-            F.lit(0).alias("n_words"), F.lit(0.0).alias("similarity"), F.lit(0).cast("long").alias("row_id"))
+            F.lit(0).alias("n_words"), F.lit(0.0).alias("similarity"), F.lit(0).cast("long").alias("row_id"),
+            F.lit(0).cast("long").alias("h"))
     return found
 
 
@@ -112,7 +118,7 @@ def _contaminated(texts: DataFrame, items: DataFrame, k: int, similarity: float,
             .join(small(index.select("s").distinct()), "s", "left_semi").select("h").distinct())
     held = checkpointed(held)
     rows = checkpointed(texts.withColumn("h", F.xxhash64("text")).join(small(held), "h", "left_semi")
-                        .select(F.monotonically_increasing_id().alias("row_id"), "doc_id",
+                        .select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "h",
                                 shingle_array(word_array(F.col("text")), k).alias("shingles")))
     # Every window of an item's length around a shared shingle.
     length = F.col("length") - k + 1  # in shingles
@@ -143,12 +149,13 @@ def _contaminated(texts: DataFrame, items: DataFrame, k: int, similarity: float,
     best = (alike.groupBy("row_id", "item")
             .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("b"))
             .select("row_id", "item", (-F.col("b.back")).alias("start"), "b.similarity"))
-    return (best.join(rows.select("row_id", "doc_id"), "row_id").join(items.select("item", "item_id", "length"), "item")
-            .select("doc_id", "item_id", "start", F.col("length").alias("n_words"), "similarity", "row_id"))
+    return (best.join(rows.select("row_id", "doc_id", "h"), "row_id").join(items.select("item", "item_id", "length"), "item")
+            .select("doc_id", "item_id", "start", F.col("length").alias("n_words"), "similarity", "row_id", "h"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage (all columns are kept)."""
-    found = contaminated(docs, benchmark, similarity)
-    bad = checkpointed(found.select("doc_id").distinct())
-    return docs.join(small(bad), docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """``docs`` without the rows that hold a benchmark passage (all columns are kept), each judged by its own text."""
+    found = found_in(docs, benchmark, similarity, RADIUS)
+    bad = checkpointed(found.select(F.col("doc_id").alias("bad_id"), F.col("h").alias("bad_h")).distinct())
+    own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(small(bad), docs["doc_id"].eqNullSafe(bad["bad_id"]) & (own == bad["bad_h"]), "left_anti")

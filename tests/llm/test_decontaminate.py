@@ -84,3 +84,15 @@ def test_blocks_find_all_within_the_radius(spark):
     df = spark.createDataFrame(pairs, "a long, b long")
     met = df.where(F.size(F.array_intersect(*[decontaminate.blocks(F.col(c), decontaminate.RADIUS) for c in "ab"])) > 0)
     assert met.count() == len(pairs)
+
+
+def test_rows_of_one_id_are_judged_each_for_itself(spark, monkeypatch):
+    items = planted()[1][:1]
+    passage = items[0][1]
+    data = [(None, f"x {passage} y"), (None, "clean, without an id"), (None, None), (7, f"z {passage}"), (7, "clean, with the id 7"),
+            (7, "clean, with the id 7"), (8, "clean")]
+    for bound in (decontaminate.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", bound)
+        left = decontaminate.without_contaminated(documents(spark, data), table_of(spark, items)).collect()
+        assert sorted([(r["doc_id"], r["text"]) for r in left], key=repr) == sorted(
+            [r for r in data if passage not in (r[1] or "")], key=repr)
