@@ -1,11 +1,12 @@
 """Documents that hold a passage of a benchmark item, by SimHash windows.
 
 Method: for an item of L words every window of L words of a document is
-compared with it.  Windows and items get a 64-bit SimHash over their shingles
+compared with it; a document of fewer words is one window itself.  Windows and items get a 64-bit SimHash over their shingles
 of five words, weighted by how often they occur.  A multi-index finds the
 fingerprints within ``RADIUS`` bits: each is cut into ``RADIUS`` + 1 blocks,
 and two within the radius agree in one block at least.  Exact weighted
-Jaccard similarity of the shingles (0.8 or more) decides.
+Jaccard similarity of the shingles (0.8 or more) decides.  A document shorter than
+the item is one window only and goes to the exact comparison without a fingerprint.
 
 A window without any shingle of an item has similarity 0, so fingerprints
 are made only for windows that hold one; these are found by joining all
@@ -16,7 +17,8 @@ they number at most ``BROADCAST_ROWS`` (else joined by shuffle), and so are the
 of the texts that hold one.
 
 Defined results: words are runs without ASCII white space, compared as
-they are; an item of fewer than five words is one shingle of all of them; null
+they are; an item of fewer than five words is one shingle of all of them, and a document with
+fewer words than the item's shingles has none of them; null
 or empty items and texts match nothing; repeated rows are judged each for itself and
 repeated items give a row each; an empty table on either side gives no rows; other
 columns are ignored.
@@ -123,21 +125,23 @@ def _contaminated(texts: DataFrame, items: DataFrame, k: int, similarity: float,
     # Every window of an item's length around a shared shingle.
     length = F.col("length") - k + 1  # in shingles
     shared = rows.select("row_id", F.size("shingles").alias("n"), F.posexplode("shingles").alias("p", "s")).join(small(index), "s")
-    starts = (shared.where(F.col("n") >= length)
+    # A shorter document has similarity n / length at most.
+    starts = (shared.where(F.col("n") / length >= similarity)
               .select("row_id", "item", length.alias("m"),
                       F.explode(F.sequence(F.greatest(F.col("p") - length + 1, F.lit(0)),
-                                           F.least("p", F.col("n") - length))).alias("start"))
+                                           F.least("p", F.greatest(F.col("n") - length, F.lit(0))))).alias("start"))
               .distinct().groupBy("row_id", "item", "m").agg(F.sort_array(F.collect_set("start")).alias("starts")))
     cut = F.transform("starts", lambda s: F.struct(s.alias("start"), F.slice("shingles", s + 1, F.col("m")).alias("own")))
-    windows = (starts.join(rows.select("row_id", "shingles"), "row_id").select("row_id", "item", F.explode(cut).alias("w"))
-               .select("row_id", "item", "w.start", "w.own"))
-    windows = checkpointed(windows.withColumn("f", simhash(F.col("own"))))
+    windows = (starts.join(rows.select("row_id", "shingles"), "row_id").select("row_id", "item", "m", F.explode(cut).alias("w"))
+               .select("row_id", "item", "w.start", "w.own", (F.size("w.own") < F.col("m")).alias("short")))
+    windows = checkpointed(windows.withColumn("f", F.when(~F.col("short"), simhash(F.col("own")))))
     prints = items.select("item", simhash(F.col("item_shingles")).alias("g"))
-    near = (windows.select("row_id", "item", "start", "f", F.explode(blocks(F.col("f"), radius)).alias("b"))
+    near = (windows.where(~F.col("short")).select("row_id", "item", "start", "f", F.explode(blocks(F.col("f"), radius)).alias("b"))
             .join(small(prints.select("item", "g", F.explode(blocks(F.col("g"), radius)).alias("b"))), ["item", "b"])
             .where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
             .select("row_id", "item", "start").distinct())
-    # Exact weighted Jaccard: both sides have the same number of shingles.
+    near = near.unionByName(windows.where("short").select("row_id", "item", "start"))
+    # Exact weighted Jaccard; m is the window's number of shingles, of the item's length but in short documents.
     weights = (windows.join(near, ["row_id", "item", "start"])
                .select("row_id", "item", "start", F.size("own").alias("m"), F.explode("own").alias("s"))
                .groupBy("row_id", "item", "start", "m", "s").agg(F.count(F.lit(1)).alias("x")))
@@ -145,12 +149,14 @@ def _contaminated(texts: DataFrame, items: DataFrame, k: int, similarity: float,
               .agg(F.count(F.lit(1)).alias("y")))
     common = (weights.join(small(wanted), ["item", "s"]).groupBy("row_id", "item", "start", "m")
               .agg(F.sum(F.least("x", "y")).alias("c")))
-    alike = common.withColumn("similarity", F.col("c") / (2 * F.col("m") - F.col("c"))).where(F.col("similarity") >= similarity)
+    alike = (common.join(small(items.select("item", F.size("item_shingles").alias("m_item"))), "item")
+             .withColumn("similarity", F.col("c") / (F.col("m") + F.col("m_item") - F.col("c")))
+             .where(F.col("similarity") >= similarity))
     best = (alike.groupBy("row_id", "item")
-            .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("b"))
-            .select("row_id", "item", (-F.col("b.back")).alias("start"), "b.similarity"))
-    return (best.join(rows.select("row_id", "doc_id", "h"), "row_id").join(items.select("item", "item_id", "length"), "item")
-            .select("doc_id", "item_id", "start", F.col("length").alias("n_words"), "similarity", "row_id", "h"))
+            .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "m")).alias("b"))
+            .select("row_id", "item", (-F.col("b.back")).alias("start"), (F.col("b.m") + k - 1).alias("n_words"), "b.similarity"))
+    return (best.join(rows.select("row_id", "doc_id", "h"), "row_id").join(items.select("item", "item_id"), "item")
+            .select("doc_id", "item_id", "start", "n_words", "similarity", "row_id", "h"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -96,3 +96,34 @@ def test_rows_of_one_id_are_judged_each_for_itself(spark, monkeypatch):
         left = decontaminate.without_contaminated(documents(spark, data), table_of(spark, items)).collect()
         assert sorted([(r["doc_id"], r["text"]) for r in left], key=repr) == sorted(
             [r for r in data if passage not in (r[1] or "")], key=repr)
+
+
+def brute_with_short(docs, items, similarity=0.8):
+    """``brute``, and a document shorter than the item as its one window."""
+    out = brute(docs, items, similarity)
+    for doc_id, text in docs:
+        own = words(text)
+        for item_id, item in items:
+            want = words(item)
+            n, k = len(want), min(5, len(want))
+            if not k <= len(own) < n:
+                continue
+            x, y = (Counter(tuple(v[i:i + k]) for i in range(len(v) - k + 1)) for v in (own, want))
+            c = sum((x & y).values())
+            j = c / (len(own) + n - 2 * (k - 1) - c)
+            if j >= similarity:
+                out.append((doc_id, item_id, 0, len(own), round(j, 9)))
+    return sorted(out, key=repr)
+
+
+def test_documents_shorter_than_the_item(spark):
+    item = [f"w{i % 50}" for i in range(59)]
+    small = [f"v{i}" for i in range(9)]  # 5 shingles
+    items = [(1, " ".join(item)), (2, " ".join(small))]
+    cuts = [item[1:], item[:-1], item[5:-4], item[7:], item[11:], item[12:], item[:30], item[:3], item[:20] + item[21:],
+            item[:20] + ["in"] + item[22:], small[1:], small[:-1], small[2:], small[:4], ["a"] + item + ["b"]]
+    data = [(i, " ".join(c)) for i, c in enumerate(cuts)]
+    want = brute_with_short(data, items)
+    assert {0, 1, 2, 3, 4, 8, 10, 11} <= {r[0] for r in want} and not {5, 6, 7, 12, 13} & {r[0] for r in want}
+    got = decontaminate.contaminated(documents(spark, data), table_of(spark, items)).collect()
+    assert sorted([(r["doc_id"], r["item_id"], r["start"], r["n_words"], round(r["similarity"], 9)) for r in got], key=repr) == want
