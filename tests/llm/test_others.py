@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tabspark.llm import forest, licences, quality, sharding
-from tabspark.llm.licence_texts import TEXTS
+from tabspark.llm.licence_texts import MORE_TEXTS, TEXTS
 from tests.llm.fixtures import documents, empty, rows
 
 
@@ -212,3 +212,15 @@ def test_norms_at_the_ends_of_double(spark):
                                "vec_id long, embedding array<double>")
     got = forest.nearest(df, every=30, k=100).collect()
     assert all(len({r["vec_id"] for r in got if r["query_id"] == q}) == 89 for q in (0, 30, 60))
+
+
+def test_titled_and_wrapped_licences(spark):
+    text = dict(TEXTS[:5]) | dict(MORE_TEXTS)
+    mpl = ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not "
+           "distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */")
+    data = [(1, "MIT License\n\nCopyright (c) 2020 Some One\n" + text["MIT"]), (2, f"#!/bin/sh\n\n{mpl}\n\nint x;"),
+            (3, "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n" + text["BSD-3-Clause"]),
+            (4, text["Unlicense"]), (5, "a\n\n(c) 1999\nReleased under the MIT License.\n\nb"), (6, mpl)]
+    got = {r["doc_id"]: (r["licence"], r["notices"], r["n_notices"]) for r in licences.licence_scan(documents(spark, data)).collect()}
+    assert got == {1: ("MIT", "", 0), 2: (None, "MPL-2.0", 1), 3: ("BSD-3-Clause", "", 0), 4: ("Unlicense", "Unlicense", 1),
+                   5: (None, "MIT", 1), 6: ("MPL-2.0", "", 0)}
