@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import decontaminate, forest, licences, neardup, packing, quality, secrets, sharding, substring, tokencount
+from tabspark.llm import (decontaminate, filteraudit, forest, licences, neardup, packing, quality, secrets, sharding, substring,
+                          tokencount, tokenfiles, trie)
 from tabspark.llm.common import table
 
 
@@ -63,10 +64,27 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum in the Arrow token files, read back from them."""
+    return tokenfiles.token_files(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, per language, order and step."""
+    return filteraudit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_prefix_forest, op4_quality_scores,
                             op5_minhash_near_dedup, op6_simhash_decontamination, op7_histogram_sort,
-                            op8_secret_scan, op9_licence_scan, op10_best_fit_packing)
+                            op8_secret_scan, op9_licence_scan, op10_best_fit_packing, op11_prefix_trie,
+                            op12_token_files, op13_filter_audit)
 }
 
-SQL: dict[str, str] = {"op9_licence_scan": licences.SCAN_SQL}
+SQL: dict[str, str] = {"op9_licence_scan": licences.SCAN_SQL, "op11_prefix_trie": trie.TRIE_SQL,
+                       "op13_filter_audit": filteraudit.AUDIT_SQL}
