@@ -3,9 +3,9 @@
 Method: documents in ascending doc_id order become one stream of ids, each
 with one end id.  A range of documents is written to one Arrow IPC file (the
 stream format between two magic strings, with the places of its batches at the
-end).  Its batches hold a fixed number of rows (``ids``: fixed-size list of
-unsigned 32-bit integers, ``mask``: fixed-size list of bytes, 1 for an id
-and 0 for the padding of the file's last sequence), so a sequence is found by
+end).  Its batches hold a fixed number of rows (``ids``: fixed-size list of unsigned
+integers, of 16 bits if the vocabulary has no more than 65,536 ids, else of 32; ``mask``:
+fixed-size list of booleans, false for the padding of the file's last sequence), so a sequence is found by
 arithmetic and read as a view of the mapped file.  A second Arrow file beside it tells where each document starts.
 
 Files are written by the tasks into the shared folder under a name of their
@@ -26,98 +26,129 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabspark.llm.common import buckets_for, id_and_text, tasks_for, text_bytes
-from tabspark.llm.tokencount import DEFAULT_TOKENIZER, pre_tokens, tokenizer
+from tabspark.llm.tokencount import DEFAULT_TOKENIZER, tokenizer
+from tabspark.llm.wordhash import slices, utf8
 from tabspark.session import scratch_path
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 BATCH_SEQUENCES = 64
 FILE_TEXT_BYTES = 64 << 20
-SLICE_BYTES = 4 << 20
-MEMO_WORDS = 300_000
+SLICE_BYTES = 16 << 20
+MEMO_WORDS = 500_000
+
+# Between an ASCII letter and one of these marks the tokenizer always starts a new word (see ``tokencount``).
+CUT = "([A-Za-z])([.,;:!?])"
 
 MANIFEST = "part int, sequences string, documents string, n_docs long, n_tokens long, n_sequences long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema([pa.field("ids", pa.list_(pa.field("item", pa.uint32(), nullable=False), length), nullable=False),
-                      pa.field("mask", pa.list_(pa.field("item", pa.uint8(), nullable=False), length), nullable=False)])
+def sequence_schema(length: int, kind: pa.DataType) -> pa.Schema:
+    """``ids`` as narrow as the vocabulary allows and ``mask`` as bits, both lists of ``length``."""
+    return pa.schema([pa.field("ids", pa.list_(pa.field("item", kind, nullable=False), length), nullable=False),
+                      pa.field("mask", pa.list_(pa.field("item", pa.bool_(), nullable=False), length), nullable=False)])
 
 
 class WordIds:
-    """Ids of texts by their pre-tokens: each distinct one is encoded once, as long as it is remembered."""
+    """Ids of texts by their pre-tokens, cut as in ``tokencount`` but for many texts at once.
+
+    Arrow cuts the texts and numbers the distinct pre-tokens of a slice; each is encoded
+    once, as long as it is remembered.
+    """
 
     def __init__(self, path: str, most: int = MEMO_WORDS):
-        self.encode, self.most = tokenizer(path).encode_batch_fast, most
+        self.tokenizer, self.most = tokenizer(path), most
+        self.kind = pa.uint16() if self.tokenizer.get_vocab_size() <= 1 << 16 else pa.uint32()
         self.memo: dict[bytes, bytes] = {}
 
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, little-endian unsigned 32-bit."""
-        at = 0
-        while at < len(texts):
-            words, size = [], 0
-            while at < len(texts) and (size == 0 or size + len(texts[at]) <= SLICE_BYTES):
-                words.append(pre_tokens(texts[at]))
-                size += len(texts[at]) + 1
-                at += 1
-            if len(self.memo) > self.most:
-                self.memo.clear()
-            new = list(set().union(*words).difference(self.memo))
-            for i in range(0, len(new), 10_000):
-                found = self.encode([w.decode() for w in new[i:i + 10_000]], add_special_tokens=False)
-                self.memo.update(zip(new[i:i + 10_000], (np.array(e.ids, dtype="<u4").tobytes() for e in found)))
-            get = self.memo.__getitem__
-            for own in words:
-                yield b"".join(map(get, own))
+    def pre_tokens(self, texts: pa.Array) -> pa.ListArray:
+        plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
+        raw = pc.if_else(plain, pc.ascii_lower(texts), texts).cast(pa.binary())
+        return pc.ascii_split_whitespace(pc.replace_substring_regex(raw, CUT, r"\1 \2").cast(pa.string()))
+
+    def look_up(self, words: list[bytes]) -> list[bytes]:
+        new = [w for w in words if w not in self.memo]
+        for i in range(0, len(new), 10_000):
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in new[i:i + 10_000]], add_special_tokens=False)
+            self.memo.update(zip(new[i:i + 10_000], (array("I", e.ids).tobytes() for e in found)))
+        ids = [self.memo[w] for w in words]
+        if len(self.memo) > self.most:  # the words of this slice stay, frequent ones among them
+            self.memo = dict(zip(words, ids))
+        return ids
+
+    def slice_ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with its end id; number of ids of each text)."""
+        cut = self.pre_tokens(texts)
+        words = cut.flatten().cast(pa.binary()).dictionary_encode()
+        found = self.look_up(words.dictionary.to_pylist())
+        sizes = np.array([len(x) // 4 for x in found], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
+                                         pa.array(np.frombuffer(b"".join(found), dtype="<u4")))
+        flat = lists.take(words.indices).flatten().to_numpy()
+        until = np.concatenate([[0], np.cumsum(sizes[words.indices.to_numpy()])])
+        offsets = cut.offsets.to_numpy()
+        ends = until[offsets[1:] - offsets[0]]
+        return np.insert(flat, ends, end_id), np.diff(ends, prepend=0) + 1
+
+    def texts(self, texts: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``slice_ids`` of runs of texts of at most ``SLICE_BYTES`` (a longer text by itself)."""
+        for i, j in slices(utf8(texts)[1], SLICE_BYTES):
+            yield self.slice_ids(texts.slice(i, j - i), end_id)
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """Kept by a worker for its later tasks."""
+    return WordIds(path)
 
 
 class SequenceWriter:
     """One Arrow file of sequences, written batch by batch."""
 
-    def __init__(self, uri: str, length: int, batch_sequences: int):
+    def __init__(self, uri: str, length: int, batch_sequences: int, kind: pa.DataType):
         store, path = pa.fs.FileSystem.from_uri(uri)
         self.sink = store.open_output_stream(path)
-        self.schema = sequence_schema(length)
+        self.schema = sequence_schema(length, kind)
         self.out = pa.ipc.new_file(self.sink, self.schema)
         self.length, self.full = length, length * batch_sequences
-        self.held: list[bytes] = []
-        self.n_held = self.n_tokens = self.n_sequences = 0
-
-    def add(self, ids: bytes) -> None:
-        self.held.append(ids)
-        self.n_held += len(ids) // 4
-        self.n_tokens += len(ids) // 4
-        if self.n_held >= self.full:
-            flat = np.frombuffer(b"".join(self.held), dtype="<u4")
-            whole = len(flat) // self.full * self.full
-            for a in range(0, whole, self.full):
-                self._write(flat[a:a + self.full], self.full)
-            self.held, self.n_held = [flat[whole:].tobytes()], len(flat) - whole
-
-    def _write(self, flat: np.ndarray, n: int) -> None:
-        rows = -(-n // self.length)
-        ids, mask = np.zeros(rows * self.length, dtype=np.uint32), np.zeros(rows * self.length, dtype=np.uint8)
-        ids[:n], mask[:n] = flat, 1
-        columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((ids, mask), self.schema)]
+        self.held = np.zeros(0, dtype=kind.to_pandas_dtype())
+        self.n_tokens = self.n_sequences = 0
+
+    def add(self, ids: np.ndarray) -> None:
+        self.n_tokens += len(ids)
+        self.held = np.concatenate([self.held, ids.astype(self.held.dtype)])
+        whole = len(self.held) // self.full * self.full
+        for a in range(0, whole, self.full):
+            self._write(self.held[a:a + self.full])
+        self.held = self.held[whole:]
+
+    def _write(self, ids: np.ndarray) -> None:
+        rows = -(-len(ids) // self.length)
+        flat, mask = np.zeros(rows * self.length, dtype=ids.dtype), np.arange(rows * self.length) < len(ids)
+        flat[:len(ids)] = ids
+        columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((flat, mask), self.schema)]
         self.out.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
         self.n_sequences += rows
 
     def close(self) -> None:
-        if self.n_held:
-            self._write(np.frombuffer(b"".join(self.held), dtype="<u4"), self.n_held)
+        if len(self.held):
+            self._write(self.held)
         self.out.close()
         self.sink.close()
 
@@ -133,19 +164,18 @@ class SequenceFile:
         self.per_batch = self.reader.get_batch(0).num_rows
         self.at, self.views = -1, (None, None)
 
-    def batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of batch ``k``, one after another."""
+    def batch(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """(ids, mask) of batch ``k``, one sequence after another."""
         if k != self.at:
             b = self.reader.get_batch(k)
-            self.at, self.views = k, tuple(b.column(i).values.to_numpy(zero_copy_only=True) for i in range(2))
+            self.at, self.views = k, (b.column(0).values.to_numpy(zero_copy_only=True), b.column(1).values)
         return self.views
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of sequence ``i``."""
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """(ids, mask) of sequence ``i``, views of the file."""
         k, row = divmod(i, self.per_batch)
         ids, mask = self.batch(k)
-        own = slice(row * self.length, (row + 1) * self.length)
-        return ids[own], mask[own]
+        return ids[row * self.length:(row + 1) * self.length], mask.slice(row * self.length, self.length)
 
     def tokens(self, start: int, n: int) -> Iterator[np.ndarray]:
         """Views of the ``n`` ids from ``start`` on, one per batch that holds some."""
@@ -154,7 +184,7 @@ class SequenceFile:
             k, place = divmod(start, size)
             ids, mask = self.batch(k)
             view = ids[place:place + n]
-            if not len(view) or not mask[place:place + len(view)].all():
+            if not len(view) or not mask[place + len(view) - 1].as_py():  # padding comes last
                 raise ValueError("the file ends before the document")
             yield view
             start, n = start + len(view), n - len(view)
@@ -172,7 +202,7 @@ class TokenFiles:
     def __len__(self) -> int:
         return self.n
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if not 0 <= i < self.n:
             raise IndexError(i)
         k = bisect_right(self.firsts, i) - 1
@@ -191,27 +221,27 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer_path: str
     path = tokenizer_path or public_tokenizers.path(DEFAULT_TOKENIZER)
     docs = id_and_text(docs)
     n_files = tasks_for(spark, buckets_for(text_bytes(docs), file_text_bytes))
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, out, words, start = TaskContext.get().partitionId(), None, WordIds(path), 0
+        part, out, words, start = TaskContext.get().partitionId(), None, word_ids(path), 0
         stem = f"{part:06d}-{uuid.uuid4().hex}.arrow"
         uris = [f"{folder}/{kind}-{stem}" for kind in ("sequences", "documents")]
         for batch in batches:
             if out is None:
                 store, place = pa.fs.FileSystem.from_uri(uris[1])
                 store.create_dir(place.rsplit("/", 1)[0], recursive=True)
-                out, n_docs = SequenceWriter(uris[0], length, batch_sequences), 0
+                out, n_docs = SequenceWriter(uris[0], length, batch_sequences, words.kind), 0
                 index_sink = store.open_output_stream(place)
                 index = pa.ipc.new_file(index_sink, INDEX)
-            sizes = []
-            for ids in words.texts(batch.column(1).to_pylist()):
-                out.add(ids + end)
-                sizes.append(len(ids) // 4 + 1)
-            starts = start + np.cumsum([0, *sizes], dtype=np.int64)
+            sizes = [np.zeros(0, dtype=np.int64)]
+            for ids, own in words.texts(batch.column(1), end_id):
+                out.add(ids)
+                sizes.append(own)
+            sizes = np.concatenate(sizes)
+            starts = start + np.cumsum(sizes) - sizes
             index.write_batch(pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(starts[:-1]), pa.array(sizes, pa.int64())], schema=INDEX))
-            start, n_docs = int(starts[-1]), n_docs + len(sizes)
+                [batch.column(0), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=INDEX))
+            start, n_docs = start + int(sizes.sum()), n_docs + len(sizes)
         if out is not None:
             out.close()
             index.close()
@@ -257,7 +287,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                         for start, n in zip(starts.tolist(), index.column(2).to_pylist()):
                             crc = 0
                             for view in file.tokens(start, n):
-                                crc = zlib.crc32(view, crc)
+                                crc = zlib.crc32(view.astype("<u4"), crc)
                             sums.append(crc)
                         yield pa.RecordBatch.from_arrays(
                             [index.column(0), pa.array(starts + row["first_token"]), index.column(2), pa.array(sums, pa.int64())],

@@ -1,7 +1,9 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tabspark.llm import tokenfiles
@@ -45,7 +47,8 @@ def test_random_access_is_a_view(spark):
     reader, stream = tokenfiles.TokenFiles(files), []
     for i in range(len(reader)):
         ids, mask = reader[i]
-        assert ids.shape == mask.shape == (50,) and ids.dtype == np.uint32 and not ids.flags.owndata
+        assert ids.shape == (50,) and len(mask) == 50 and ids.dtype == np.uint16 and not ids.flags.owndata
+        mask = mask.to_numpy(zero_copy_only=False)
         assert not ids[mask == 0].any() and (np.diff(mask.astype(int)) <= 0).all()
         stream += ids[mask == 1].tolist()
     assert len(stream) == sum(len(whole(t)) for _, t in own)
@@ -61,11 +64,27 @@ def test_random_access_is_a_view(spark):
 def test_memo_is_bounded_and_slices_agree(monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
     texts = [t or "" for _, t in data()]
-    want = [np.array(whole(t)[:-1], dtype="<u4").tobytes() for t in texts]
-    assert list(tokenfiles.WordIds(path).texts(texts)) == want
+    want = [whole(t) for t in texts]
+
+    def split(words):
+        flat, sizes = zip(*words.texts(pa.array(texts), 1))
+        return [x.tolist() for x in np.split(np.concatenate(flat), np.cumsum(np.concatenate(sizes))[:-1])]
+
+    assert split(tokenfiles.WordIds(path)) == want
     monkeypatch.setattr(tokenfiles, "SLICE_BYTES", 300)
     small = tokenfiles.WordIds(path, most=20)
-    assert list(small.texts(texts)) == want
+    assert split(small) == want
+
+
+def test_hostile_texts_as_the_library_encodes_them():
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(2)
+    pieces = ["a", "B", "s", "'", ".", ",", "!", " ", "\t", "\n", "\x1c", "\x85", "\u00a0", "\u0301", "é", "İ", "Σ", "1", "<|", "|>",
+              "<|endoftext|>", "東", "😀", "\x00", "\x0b", "ﬁ", "_", "'re"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(12))) for _ in range(4000)]
+    flat, sizes = tokenfiles.WordIds(path).slice_ids(pa.array(texts), 1)
+    t = Tokenizer.from_file(path)
+    want = [[*e.ids, 1] for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == want
 
 
 def test_empty_table_and_given_folder(spark, tmp_path):
