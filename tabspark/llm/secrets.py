@@ -3,8 +3,10 @@
 Method: two first-order Markov models over characters, one of random strings
 (the values that the base patterns find) and one of ordinary identifiers (the
 other words of the text that are too short to be judged), both trained from these labelled samples over all
-documents.  A long token whose mean log-likelihood ratio per character favours
-the random model is added as a span of kind ``markov``; spans of the base
+documents.  Random pairs lean on an even share, ordinary ones half on it and half
+on the second character's own share; the ordinary model expects words in capitals and runs of any one
+character, and a pair of digits is no evidence (numbers are ordinary).  A long token whose log-likelihood ratio favours
+the random model, per pair and in sum, is added as a span of kind ``markov``; spans of the base
 patterns always stay.
 
 Training counts character pairs on every task and adds them up: at most
@@ -39,9 +41,13 @@ KINDS = ("assign", "access", "hex", "markov")
 # Equivalent to the pattern followed by a length check: a maximal run is found whole or not at all.
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
-TOKEN_CHARS = 20  # an added span is a token at least this long
+TOKEN_CHARS = 16  # an added span is a token at least this long
 MIN_RATIO = 0.5  # mean log-likelihood ratio per character pair
+MIN_TOTAL = 11.0  # its sum over the token: a short token needs stronger evidence
 BACK_OFF = (20.0, 300.0)  # counts' worth of belief in what ordinary and random pairs lean on
+RUN_SHARE = 0.05  # share of ordinary pairs that repeat a character, whichever it is
+CAPITALS = 0.02  # an ordinary word is written in capitals so often
+MOST_PER_PAIR = 3.0  # one pair says no more than this, either way
 SAMPLE_CHARS = 8  # words shorter than this say little about identifiers
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_]+(?:[-=.][A-Za-z0-9+/_]+)*=*")
@@ -112,12 +118,16 @@ def train(docs: DataFrame) -> np.ndarray | None:
         counts[int(r["random"]), r["pair"] // _N, r["pair"] % _N] = r["n"]
     if not counts.sum(axis=(1, 2)).all():
         return None
-    # A pair of an identifier leans on the share of its second character; a pair of a random string on an even share.
+    upper, lower, digits = (slice(a, b) for a, b in ((0, 26), (26, 52), (52, 62)))
+    counts[0][upper, upper] += CAPITALS * counts[0][lower, lower]
     single = counts[0].sum(axis=0) + 0.5
-    lean = np.stack([BACK_OFF[0] * single / single.sum(), np.full(_N, BACK_OFF[1] / _N)])
-    pairs = counts + lean[:, None, :]
-    log_p = np.log(pairs / pairs.sum(axis=2, keepdims=True))
-    return (log_p[1] - log_p[0]).ravel()
+    even = np.full(_N, 1 / _N)
+    pairs = counts + np.stack([BACK_OFF[0] * (even + single / single.sum()) / 2, BACK_OFF[1] * even])[:, None, :]
+    p = pairs / pairs.sum(axis=2, keepdims=True)
+    ordinary = (1 - RUN_SHARE) * p[0] + RUN_SHARE * np.eye(_N)
+    ratio = np.clip(np.log(p[1] / ordinary), -MOST_PER_PAIR, MOST_PER_PAIR)
+    ratio[digits, digits] = np.minimum(ratio[digits, digits], 0)
+    return ratio.ravel()
 
 
 def added_spans(text: str, base: list[tuple[int, int, int, int, int]], ratio: np.ndarray | None,
@@ -130,8 +140,8 @@ def added_spans(text: str, base: list[tuple[int, int, int, int, int]], ratio: np
         for m in TOKEN.finditer(text, *run.span()):
             if m.end() - m.start() < TOKEN_CHARS or any(s < m.end() and m.start() < e for s, _, e, _, _ in base):
                 continue
-            pairs = pair_codes(m.group())
-            if len(pairs) and ratio[pairs].mean() >= min_ratio:
+            evidence = ratio[pair_codes(m.group())]
+            if len(evidence) and evidence.mean() >= min_ratio and evidence.sum() >= MIN_TOTAL:
                 out.append((m.start(), 3, m.end()))
     return out
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 
 from tabspark.llm import secrets
 from tests.llm.fixtures import documents, empty, rows
@@ -67,3 +68,26 @@ def test_empty_table_and_no_samples(spark):
     assert secrets.scan(empty(spark)).count() == 0
     plain = documents(spark, [(1, "only words here, nothing else"), (2, None)])
     assert [r["spans"] for r in secrets.scan(plain).collect()] == ["", ""]
+
+
+def test_random_keys_and_ordinary_tokens(spark):
+    """A labelled set judged by the model of the test tables' documents."""
+    rng = random.Random(4)
+    words = ("user account total international customer service response header cache manager factory abstract request "
+             "handler connection timeout database index value counter internationalisation configuration update delete "
+             "insert select where buffer stream reader writer parser lexer").split()
+    some = [rng.choices(words, k=rng.randrange(3, 6)) for _ in range(500)]
+    ordinary = ["_".join(w) for w in some] + ["".join(x.title() for x in w) for w in some] + ["".join(w) for w in some]
+    ordinary += ["-".join(w) for w in some] + ["/" + "/".join(w) + "/2019/03/12.html" for w in some] + ["_".join(w).upper() for w in some]
+    runs = [c * n for c in string.ascii_letters + string.digits + "_" for n in (16, 20, 64, 5000)]
+    numbers = ["".join(rng.choices(string.digits, k=n)) for n in (16, 18, 20) for _ in range(50)]
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=n)) for n in (16, 18, 20, 24, 32, 40, 64) for _ in range(200)]
+    ratio = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+    def marked(token):
+        text = f"see {token} there"
+        return bool(secrets.added_spans(text, [], ratio, secrets.MIN_RATIO))
+
+    assert sum(map(marked, keys)) >= 0.95 * len(keys)
+    assert sum(map(marked, ordinary)) <= 0.01 * len(ordinary)
+    assert not any(map(marked, runs)) and not any(map(marked, numbers))
