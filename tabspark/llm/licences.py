@@ -54,7 +54,8 @@ def licence_scan(docs: DataFrame, texts: list[tuple[str, str]] = KNOWN) -> DataF
     known = F.broadcast(known_digests(docs, texts))
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").alias("doc_id"), text.alias("text"))
     part = lambda kind: lambda own: F.struct(F.lit(kind).alias("kind"), own.alias("text"))
-    wrapped = F.filter(F.split("text", r"\n[ \t\r]*\n"), lambda own: own.rlike(r"\S[^\n]*\n\s*\S"))
+    # A paragraph of several lines still has a line end when the white space around it is gone.
+    wrapped = F.filter(F.split("text", r"\n[ \t\r]*\n"), lambda own: F.btrim(own, F.lit(" \t\r\n\x0b\f")).contains("\n"))
     parts = F.concat(F.array(part("whole")(F.col("text"))), F.transform(F.split("text", "\n"), part("line")),
                      F.transform(wrapped, part("paragraph")))
     looked = (rows.select("row_id", "doc_id", F.explode(parts).alias("part"))

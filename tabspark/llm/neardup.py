@@ -21,9 +21,9 @@ splits; texts are compared row by row in joins, never gathered per group.
 
 Defined results: a text of one to four words is one shingle; texts without
 words have no shingles and only equal ones are duplicates (a null text equals an empty one);
-rows that share a doc_id are one document; a null doc_id stands as a number of at
-least 2^62 made from its text; the class id is the least number in the class; an empty table gives no
-rows; other columns of the input are ignored.
+rows that share a doc_id and the text are one document; a null doc_id, and a doc_id whose rows have different
+texts, stands as a number of at least 2^62 made from doc_id and text; the class id is the least number in the
+class; an empty table gives no rows; other columns may have any name and are kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -48,16 +48,47 @@ TRIES = 1000
 BROADCAST_IDS = 1_000_000  # numbers of candidate texts: 8 MB
 
 
-def node(doc_id: Column, text: Column) -> Column:
-    """The doc_id, or a large number made from the text where there is none (so a row with an id speaks for it)."""
-    return F.coalesce(doc_id.cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 62)))
+def private(name: str, docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have, in any spelling."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def clean_text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def ids_of_several_texts(docs: DataFrame) -> DataFrame:
+    """doc_ids (``shared``) whose rows have different texts."""
+    key = F.md5(clean_text().cast("binary"))
+    return checkpointed(docs.select(F.col("doc_id").cast("long").alias("shared"), key.alias("key")).groupBy("shared")
+                        .agg(F.min("key").alias("a"), F.max("key").alias("b")).where("shared is not null and a != b")
+                        .select("shared"))
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """Broadcast, if there are no more than ``BROADCAST_IDS`` numbers."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number per document: the doc_id where all its rows have one text, else one made from both."""
+    shared = ids_of_several_texts(docs)
+    doc_id = F.col("doc_id").cast("long")
+    made = F.lit(1 << 62) + F.pmod(F.xxhash64(doc_id, clean_text()), F.lit(1 << 62))
+    if shared.isEmpty():
+        return docs.withColumn(name, F.coalesce(doc_id, made))
+    mark = private("shared", docs)
+    marked = docs.join(bounded(shared.withColumnRenamed("shared", mark)), doc_id == F.col(mark), "left")
+    return marked.withColumn(name, F.when(F.col(mark).isNull(), F.coalesce(doc_id, made)).otherwise(made)).drop(mark)
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
     """(doc_id, node, text): null texts empty."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), node(F.col("doc_id"), text).alias("node"),
-                       text.alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), clean_text().alias("text"))
+    return numbered(own, "node").select("doc_id", "node", "text")
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -247,8 +278,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     rows = rows_of(docs)
     classes = checkpointed(banded(rows, bands, per_band).groupBy("key")
                            .agg(F.min("node").alias("node"), *[F.first(c).alias(c) for c in ("bands", "s1", "s2")]))
-    same_id = classes.dropDuplicates(["node"])  # rows of one doc_id with several texts: one of them speaks
-    group = components(links_between(same_id, rows, similarity))
+    group = components(links_between(classes, rows, similarity))
     named = (classes.select("key", "node").join(group, "node", "left")
              .select("key", F.col("node").alias("copy_id"), F.coalesce("component", "node").alias("class_id")))
     return (rows.select("doc_id", "node", F.md5(F.col("text").cast("binary")).alias("key")).join(named, "key")
@@ -257,15 +287,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` (all columns) that stand for their class: one document of each."""
-    own = node(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    numbered = rows_of(docs).select("node")
+    node, gone, again = (private(c, docs) for c in ("node", "gone", "again"))
     found = near_duplicates(docs, similarity)
-    gone = checkpointed(found.where(F.col("node") != F.col("class_id")).select(F.col("node").alias("gone")).distinct())
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    kept = docs.withColumn("__node", own).join(gone, F.col("__node") == F.col("gone"), "left_anti")
-    again = checkpointed(numbered.groupBy("node").count().where("count > 1").select(F.col("node").alias("again")))
-    if not again.isEmpty():  # rows that share a number: one of them
-        again = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
-        once = kept.join(again, F.col("__node") == F.col("again"), "left_anti")
-        kept = once.unionByName(kept.join(again, F.col("__node") == F.col("again"), "left_semi").dropDuplicates(["__node"]))
-    return kept.drop("__node")
+    out = checkpointed(found.where(F.col("node") != F.col("class_id")).select(F.col("node").alias(gone)).distinct())
+    own = numbered(docs, node)
+    kept = own.join(bounded(out), F.col(node) == F.col(gone), "left_anti")
+    repeated = checkpointed(own.groupBy(node).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(node).alias(again)))
+    if not repeated.isEmpty():  # rows of one number have one text: one of them
+        repeated = bounded(repeated)
+        once = kept.join(repeated, F.col(node) == F.col(again), "left_anti")
+        kept = once.unionByName(kept.join(repeated, F.col(node) == F.col(again), "left_semi").dropDuplicates([node]))
+    return kept.drop(node)

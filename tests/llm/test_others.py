@@ -1,5 +1,7 @@
 """Sharding, nearest neighbours, quality scores and licences."""
 
+import time
+
 import random
 import zlib
 
@@ -224,3 +226,13 @@ def test_titled_and_wrapped_licences(spark):
     got = {r["doc_id"]: (r["licence"], r["notices"], r["n_notices"]) for r in licences.licence_scan(documents(spark, data)).collect()}
     assert got == {1: ("MIT", "", 0), 2: (None, "MPL-2.0", 1), 3: ("BSD-3-Clause", "", 0), 4: ("Unlicense", "Unlicense", 1),
                    5: (None, "MIT", 1), 6: ("MPL-2.0", "", 0)}
+
+
+def test_one_very_long_line(spark):
+    """A megabyte without a line end is scanned in time that grows with its length."""
+    data = [(1, "x y " * 250_000), (2, "no end of line " * 70_000 + "\n\nReleased under the MIT License.")]
+    docs = documents(spark, data)
+    licences.licence_scan(documents(spark, [(1, "x")])).collect()
+    start = time.time()
+    got = {(r["doc_id"], r["notices"]) for r in licences.licence_scan(docs).collect()}
+    assert got == {(1, ""), (2, "MIT")} and time.time() - start < 20
