@@ -3,7 +3,7 @@
 The reference shuffles rows round-robin into ``count // batch_size``
 partitions and streams them to the driver one by one.  Here a batch is a
 ``batch_id`` column: every row gets a deterministic position in the order of
-its key hash (``global_rank``), and
+its key hash (``hash_ranked``: a histogram of the hash, one shuffle of the rows), and
 
 * ``mode="equal"``: ``n // batch_size`` batches whose sizes differ by at most
   one (the reference's semantics, no row dropped): ``batch_id = rank mod nb``;
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import BATCH, order_key
-from .ranking import ranked_with_total
+from .ranking import hash_ranked
 
 
 def batch_count(n_rows: int, batch_size: int) -> int:
@@ -53,6 +53,14 @@ def _orderable(dtype: T.DataType) -> bool:
                               T.TimestampType, T.TimestampNTZType))
 
 
+def _hashable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
 def hash_order(df: DataFrame, keys: Sequence[str] | None, seed: int) -> list[Column]:
     """Sort key of the batch order: the key hash, then the keys themselves.
 
@@ -73,13 +81,17 @@ def assign_batches(
     mode: str = "equal",
     n_batches: int | None = None,
     partitions: int | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``batch_id`` and ``batch_pos`` (B1).
 
-    Cost: one range shuffle on the hash order plus one checkpoint; no row
-    passes through a single task or the driver.
+    ``within``: columns of a few groups, each with batches of its own;
+    ``partitions``: ranges that a hash with a hot value is cut into.
+    Cost: one aggregate of the keys' hashes (at most 65,536 rows to the driver)
+    and one shuffle of the rows by hash; no row passes through a single task
+    or the driver.  ``df`` is read twice, so it must be the same both times.
     """
-    return assign_batches_counted(df, batch_size, keys, seed, mode, n_batches, partitions)[0]
+    return assign_batches_counted(df, batch_size, keys, seed, mode, n_batches, partitions, within)[0]
 
 
 def assign_batches_counted(
@@ -90,31 +102,38 @@ def assign_batches_counted(
     mode: str = "equal",
     n_batches: int | None = None,
     partitions: int | None = None,
-) -> tuple[DataFrame, int]:
-    """``assign_batches`` plus the number of batches (known from the rank offsets)."""
-    ranked, total = ranked_with_total(df, hash_order(df, keys, seed), "_rank", partitions)
-    r = F.col("_rank")
+    within: Sequence[str] = (),
+) -> tuple[DataFrame, int | dict[tuple, int]]:
+    """``assign_batches`` plus the number of batches (with ``within``: of each group)."""
+    if mode not in ("equal", "fixed"):
+        raise ValueError("mode must be 'equal' or 'fixed'")
+    h, *order = hash_order(df, keys, seed)
+    # Rows that share all keys are told apart by their content: a task that is run again ranks them alike.
+    row_hash = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)])
+    ranked, totals = hash_ranked(df, h, [*order, row_hash], "_rank", "_total", within, partitions)
+    r, size = F.col("_rank"), F.lit(int(batch_size))
     if mode == "equal":
-        nb = int(n_batches) if n_batches else batch_count(total, batch_size)
-        bid, pos = F.pmod(r, F.lit(nb)), F.floor(r / F.lit(nb))
-    elif mode == "fixed":
-        nb = max(1, -(-total // batch_size))
-        bid, pos = F.floor(r / F.lit(batch_size)), F.pmod(r, F.lit(batch_size))
+        nb = F.lit(int(n_batches)) if n_batches else F.greatest(F.lit(1), F.floor(F.col("_total") / size))
+        bid, pos = F.pmod(r, nb), F.floor(r / nb)
+        counts = {g: int(n_batches) if n_batches else batch_count(t, batch_size) for g, t in totals.items()}
     else:
-        raise ValueError("mode must be 'equal' or 'fixed'")
-    out = ranked.withColumns({"batch_id": bid.cast("bigint"), "batch_pos": pos.cast("bigint")}).drop("_rank")
-    return out, nb
+        bid, pos = F.floor(r / size), F.pmod(r, size)
+        counts = {g: max(1, -(-t // batch_size)) for g, t in totals.items()}
+    out = ranked.withColumns({"batch_id": bid.cast("bigint"), "batch_pos": pos.cast("bigint")}).drop("_rank", "_total")
+    return out, counts if within else counts.get((), 1)
 
 
-def group_batches(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def group_batches(df: DataFrame, partitions: int | None = None, within: Sequence[str] = ()) -> DataFrame:
     """Co-locate each batch in one partition, rows in batch order.
 
+    Batches of the same number of all groups share a partition, group after group.
+
     A batch holds ``batch_size`` rows, so no partition holds more than its
     share of batches; hot keys do not matter because batches are built from
     the row rank, not from key values.
     """
     n = int(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, "batch_id").sortWithinPartitions("batch_id", "batch_pos")
+    return df.repartition(n, "batch_id").sortWithinPartitions(*within, "batch_id", "batch_pos")
 
 
 def batch_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Dense ReLU networks as plain numpy (M1-M3).
 
 This is the per-task arithmetic of training and scoring: forward pass,
-backpropagation of the weighted binary cross-entropy, and the optimizer
+backpropagation of a weighted loss (``losses``), and the optimizer
 update rules.  Spark decides which rows a task sees; this module only does
 the math for one batch.  Parameters travel as one flat float64 vector.
 """
@@ -13,8 +13,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 
-# Fixed value: the probability clip of the cross-entropy.
-EPS = 1e-7
+from .losses import loss_name, output_gradient, row_loss
 
 
 @dataclass(frozen=True)
@@ -23,8 +22,9 @@ class MLPSpec:
 
     ``hidden``: (units, dropout rate) per ReLU layer.  ``l2`` is the weight of
     the L2 penalty on hidden kernels only (not biases, not the output layer).
-    ``output="sigmoid"`` (default) or ``"linear"`` (raw score clipped into
-    (0, 1) by the loss, the reference's setting).
+    ``output``: ``"sigmoid"`` (default; with several outputs independent ones),
+    ``"linear"`` (raw scores, which the cross-entropy clips into (0, 1), the
+    reference's setting) or ``"softmax"`` (one class of ``outputs``).
     """
 
     inputs: int
@@ -35,8 +35,10 @@ class MLPSpec:
 
     def __post_init__(self):
         object.__setattr__(self, "hidden", tuple((int(u), float(d)) for u, d in self.hidden))
-        if self.output not in ("sigmoid", "linear"):
-            raise ValueError("output must be 'sigmoid' or 'linear'")
+        if self.output not in ("sigmoid", "linear", "softmax"):
+            raise ValueError("output must be 'sigmoid', 'linear' or 'softmax'")
+        if self.outputs < 1 or (self.output == "softmax" and self.outputs < 2):
+            raise ValueError("a network has at least one output, a softmax one at least two")
 
     def layer_shapes(self) -> list[tuple[int, int]]:
         sizes = [self.inputs] + [u for u, _ in self.hidden] + [self.outputs]
@@ -124,8 +126,14 @@ def init_model(spec: MLPSpec, seed: int = 0) -> MLPModel:
     return MLPModel(spec, weights, biases)
 
 
-def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 0.5 * (1.0 + np.tanh(0.5 * z))
+def activate(output: str, z: np.ndarray) -> np.ndarray:
+    """Scores from the last layer's sums."""
+    if output == "sigmoid":
+        return 0.5 * (1.0 + np.tanh(0.5 * z))
+    if output == "softmax":
+        e = np.exp(z - z.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+    return z
 
 
 def forward(model: MLPModel, x: np.ndarray, rng: np.random.Generator | None = None):
@@ -147,27 +155,17 @@ def forward(model: MLPModel, x: np.ndarray, rng: np.random.Generator | None = No
             masks.append(None)
         acts.append(a)
     z_out = a @ model.weights[-1] + model.biases[-1]
-    if model.spec.output == "sigmoid":
-        score = _sigmoid(z_out)
-    else:
-        score = z_out
-    return score, (acts, masks, pre, z_out)
+    return activate(model.spec.output, z_out), (acts, masks, pre, z_out)
 
 
 def predict_scores(model: MLPModel, x: np.ndarray) -> np.ndarray:
     return forward(model, x)[0]
 
 
-def row_losses(model: MLPModel, y: np.ndarray, score: np.ndarray, z_out: np.ndarray) -> np.ndarray:
-    """Binary cross-entropy per row (mean over outputs)."""
-    y = y.reshape(score.shape)
-    if model.spec.output == "sigmoid":
-        # softplus(z) - y z, the stable form of -[y ln p + (1-y) ln(1-p)]
-        per = np.logaddexp(0.0, z_out) - y * z_out
-    else:
-        p = np.clip(score, EPS, 1.0 - EPS)
-        per = -(y * np.log(p) + (1.0 - y) * np.log(1.0 - p))
-    return per.mean(axis=1)
+def row_losses(model: MLPModel, y: np.ndarray, score: np.ndarray, z_out: np.ndarray, loss: str | None = None) -> np.ndarray:
+    """Loss per row, without penalty."""
+    output = model.spec.output
+    return row_loss(loss_name(loss, output), output, y.reshape(score.shape), score, z_out)
 
 
 def l2_penalty(model: MLPModel) -> float:
@@ -177,7 +175,7 @@ def l2_penalty(model: MLPModel) -> float:
 
 
 def loss_and_grad(model: MLPModel, x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None,
-                  rng: np.random.Generator | None = None, normalize: bool = True):
+                  rng: np.random.Generator | None = None, normalize: bool = True, loss: str | None = None):
     """Weighted mean loss (+ L2) of one batch and its gradient as a flat vector.
 
     With ``normalize=False`` the data part is a *sum* over rows (for adding
@@ -187,17 +185,11 @@ def loss_and_grad(model: MLPModel, x: np.ndarray, y: np.ndarray, w: np.ndarray |
     n = x.shape[0]
     w = np.ones(n) if w is None else w
     score, (acts, masks, pre, z_out) = forward(model, x, rng)
+    name, output = loss_name(loss, model.spec.output), model.spec.output
     yy = y.reshape(score.shape)
-    per_row = row_losses(model, y, score, z_out)
+    per_row = row_loss(name, output, yy, score, z_out)
     scale = 1.0 / n if normalize else 1.0
-    k = score.shape[1]
-    if model.spec.output == "sigmoid":
-        dz = score - yy
-    else:
-        p = np.clip(score, EPS, 1.0 - EPS)
-        inside = (score > EPS) & (score < 1.0 - EPS)
-        dz = np.where(inside, (p - yy) / (p * (1.0 - p)), 0.0)
-    dz = dz * (w[:, None] * scale / k)
+    dz = output_gradient(name, output, yy, score) * (w[:, None] * scale)
     grads_w, grads_b = [None] * len(model.weights), [None] * len(model.weights)
     grads_w[-1] = acts[-1].T @ dz
     grads_b[-1] = dz.sum(axis=0)
@@ -213,11 +205,11 @@ def loss_and_grad(model: MLPModel, x: np.ndarray, y: np.ndarray, w: np.ndarray |
         if layer > 0:
             da = dz_l @ model.weights[layer].T
     data_loss = float(np.sum(w * per_row) * scale)
-    loss = data_loss + (l2_penalty(model) if normalize else 0.0)
+    total = data_loss + (l2_penalty(model) if normalize else 0.0)
     parts = []
     for gw, gb in zip(grads_w, grads_b):
         parts += [gw.ravel(), gb.ravel()]
-    return loss, np.concatenate(parts), score
+    return total, np.concatenate(parts), score
 
 
 @dataclass(frozen=True)

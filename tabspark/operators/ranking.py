@@ -1,4 +1,11 @@
-"""Distributed global row numbering without a single-partition window.
+"""Distributed row numbering without a single-partition window.
+
+Rows ordered by a hash are numbered by ``hash_ranked``: a histogram of the
+hash's leading bits gives the number of rows before each bucket, and
+``row_number`` inside the bucket does the rest.  One shuffle of the rows, no sampling job,
+nothing written.
+
+Any other order, and a hash with a hot value, goes through ``global_rank``.
 
 ``row_number() over (order by ...)`` with no ``partitionBy`` moves every row
 into one task.  Here the rows are range-partitioned on the sort key (Spark
@@ -27,7 +34,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,3 +117,59 @@ def ranked_with_total(
               .withColumn(rank_col, F.col(_OFFSET) + position)
               .drop(_PID, _MID, _ROWID, _OFFSET))
     return ranked, running
+
+
+# The histogram has 2^16 buckets (2^13 in each group); a bucket is sorted by one task.  One of
+# more than a million rows that is also eight times the mean holds a hot hash value.
+BUCKET_BITS = 16
+GROUP_BUCKET_BITS = 13
+HOT_ROWS = 1_000_000
+HOT_TIMES = 8
+
+
+def hash_ranked(
+    df: DataFrame,
+    h: Column,
+    order: Sequence[Column],
+    rank_col: str,
+    total_col: str,
+    within: Sequence[str] = (),
+    partitions: int | None = None,
+) -> tuple[DataFrame, dict[tuple, int]]:
+    """0-based rank by (``h``, ``order``) and the row count, in each group of the ``within`` columns.
+
+    ``h`` is a hash in [0, 2^32).  Rows that agree in ``h`` and ``order`` may take each
+    other's ranks, so ``order`` should end in a hash of the whole row.  The
+    groups are few (their histograms reach the driver) and not null.
+    """
+    spark, within = df.sparkSession, list(within)
+    bits = GROUP_BUCKET_BITS if within else BUCKET_BITS
+    keyed = df.withColumn(_PID, F.shiftright(h, 32 - bits).cast("int"))
+    found = keyed.groupBy(*within, _PID).agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by(
+        [(c, "ascending") for c in [*within, _PID]])
+    n = found.column("n").to_numpy().astype(np.int64)
+    groups = list(zip(*[found.column(c).to_pylist() for c in within])) if within else [()] * len(n)
+    totals: dict[tuple, int] = {}
+    for g, k in zip(groups, n.tolist()):
+        totals[g] = totals.get(g, 0) + k
+    if len(n) and n.max() > max(HOT_ROWS, HOT_TIMES * n.sum() / (len(totals) << bits)):
+        ranked = global_rank(df, [*[F.col(c) for c in within], h, *order], rank_col, partitions)
+        first = dict(zip(sorted(totals), np.cumsum([0, *[totals[g] for g in sorted(totals)]])))
+        rows = [(*g, int(first[g]), totals[g]) for g in totals]
+        schema = [df.schema[c] for c in within]
+        table = spark.createDataFrame(rows, T.StructType(schema + [T.StructField(_OFFSET, T.LongType()),
+                                                                   T.StructField(total_col, T.LongType())]))
+        joined = ranked.join(F.broadcast(table), within) if within else ranked.crossJoin(F.broadcast(table))
+        return joined.withColumn(rank_col, F.col(rank_col) - F.col(_OFFSET)).drop(_OFFSET), totals
+    before = np.cumsum(n) - n
+    start: dict[tuple, int] = {}
+    for g, k in zip(groups, before.tolist()):
+        start.setdefault(g, k)
+    table = found.drop_columns(["n"]).append_column(
+        _OFFSET, pa.array(before - np.array([start[g] for g in groups], dtype=np.int64), pa.int64())).append_column(
+        total_col, pa.array([totals[g] for g in groups], pa.int64()))
+    position = F.row_number().over(Window.partitionBy(*within, _PID).orderBy(h, *order))
+    ranked = (keyed.withColumn(rank_col, position.cast("bigint"))
+              .join(F.broadcast(spark.createDataFrame(table)), [*within, _PID])  # a row per bucket
+              .withColumn(rank_col, F.col(rank_col) + F.col(_OFFSET) - 1).drop(_PID, _OFFSET))
+    return ranked, totals
