@@ -41,17 +41,21 @@ def present(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def clip(p: Column, low: float, high: float) -> Column:
+    """p clipped into [low, high]; null and NaN give null (``least``/``greatest`` alone would skip a null)."""
+    return F.when(p.isNotNull() & ~F.isnan(p), F.least(F.greatest(p, F.lit(float(low))), F.lit(float(high))))
+
+
 def clip01(p: Column) -> Column:
-    """p clipped into [0, 1]; null and NaN give null (``least``/``greatest`` alone would skip a null)."""
-    return F.when(p.isNotNull() & ~F.isnan(p), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
+    return clip(p, 0.0, 1.0)
 
 
-def predicted_class(score: Column) -> Column:
-    """Round half to even of the clipped score (numpy ``round``), as double.
+def predicted_class(score: Column, low: float = 0.0, high: float = 1.0) -> Column:
+    """Round half to even of the score clipped to the least and the largest class (numpy ``round``), as double.
 
     ``+ 0.0`` turns a negative zero into zero.
     """
-    return F.rint(clip01(score)) + F.lit(0.0)
+    return F.rint(clip(score, low, high)) + F.lit(0.0)
 
 
 def bce(y: Column, p: Column) -> Column:

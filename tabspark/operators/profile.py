@@ -10,16 +10,19 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import hash_below
 from ..functions.numeric import is_numeric, present
+from ..session import ensure_checkpoint_dir
 from .columns import numeric_columns
-from .quantiles import collect_bounded, column_quantiles, exact_quantiles
+from .quantiles import RANK_ACCURACY, bracket_probs, collect_few, column_quantiles, exact_quantiles, ranked_quantiles
 from .scale import WIDE_MAX_COLUMNS, ColumnStats, collect_stats, minmax, scaling_stats
 
 
@@ -50,7 +53,8 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     Long form (column_name, statistic, value, text): numbers go to ``value``,
     string minima and maxima to ``text``.  The mean and stddev of a string
     column are those of its values that parse as numbers (else null).
-    Boolean and other columns are left out, as in Spark's ``describe``.
+    Boolean and other columns are left out, as in Spark's ``describe``.  NaN is
+    a missing value like null: no statistic counts it.
     Up to ``WIDE_MAX_COLUMNS`` columns use one wide aggregate; wider tables
     are unpivoted to (column_name, number, string) and grouped by column, so
     the generated code does not grow with the column count.  An empty table
@@ -71,8 +75,8 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         aggs, out = [F.count(F.lit(1)).alias("__rows")], []
         for i, c in enumerate(numeric + strings):
             is_str = i >= len(numeric)
-            x = _q(c).try_cast("double") if is_str else _q(c).cast("double")
-            aggs += [F.count(_q(c)).cast("double").alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+            x = present(_q(c).try_cast("double") if is_str else _q(c).cast("double"))
+            aggs += [F.count(_q(c) if is_str else x).cast("double").alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                      F.stddev_samp(x).alias(f"sd{i}"),
                      F.min(_q(c) if is_str else x).alias(f"lo{i}"), F.max(_q(c) if is_str else x).alias(f"hi{i}")]
             lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
@@ -84,9 +88,9 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
                     for st in stats]
         return df.agg(*aggs).where(F.col("__rows") > 0).select(F.inline(F.array(*out)))
     cells = [F.struct(F.lit(c).alias("column_name"), F.lit(False).alias("is_str"),
-                      _q(c).cast("double").alias("x"), null_s.alias("s")) for c in numeric]
+                      present(_q(c).cast("double")).alias("x"), null_s.alias("s")) for c in numeric]
     cells += [F.struct(F.lit(c).alias("column_name"), F.lit(True).alias("is_str"),
-                       _q(c).try_cast("double").alias("x"), _q(c).alias("s")) for c in strings]
+                       present(_q(c).try_cast("double")).alias("x"), _q(c).alias("s")) for c in strings]
     long = df.select(F.inline(F.array(*cells)))
     agg = long.groupBy("column_name").agg(
         F.first("is_str").alias("is_str"),
@@ -110,75 +114,71 @@ def summary_table(
     columns: Sequence[str] | None = None,
     method: str = "exact",
     accuracy: int = 1_000_000,
+    strings: bool = False,
 ) -> DataFrame:
     """describe + quartiles per numeric column (A3), long form (column_name, statistic, value).
 
-    Quartiles are exact by default (``quantiles.column_quantiles``: a few
-    filtered passes with bounded histograms, no sort); ``method="approx"``
-    uses one ``percentile_approx`` pass (rank error at most n/accuracy).
-    The moments are one aggregate (``_summary_moments``).
+    ``strings=True`` adds the string columns and a column ``text`` with their least and
+    greatest value, in the same pass; as in Spark's ``summary``, their mean, stddev and
+    quartiles are those of the values that parse as numbers.
+
+    Quartiles are exact by default: the pass of the moments also brackets them
+    approximately, one pass counts the rows below and inside the brackets and one picks the values
+    (``quantiles.column_quantiles``, which searches on where a bracket is too wide or misses);
+    ``method="approx"`` uses ``percentile_approx`` alone (rank error at most n/accuracy).
+    NaN is a missing value like null: no statistic counts it.
     """
-    cols = list(columns) if columns is not None else numeric_columns(df)
-    if not cols:
-        raise ValueError("no numeric columns")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cols = [c for c in columns if strings or is_numeric(kinds[c])] if columns is not None else numeric_columns(df)
+    texts = [c for c in (columns if columns is not None else df.columns) if isinstance(kinds[c], T.StringType)] if strings else []
+    cols = [c for c in cols if c not in texts]
+    if not cols and not texts:
+        raise ValueError("no numeric columns" + (" or string columns" if strings else ""))
     if method not in ("exact", "approx"):
         raise ValueError("method must be 'exact' or 'approx'")
-    rows = _summary_moments(df, cols, accuracy if method == "approx" else None)
+    probs = [0.25, 0.5, 0.75]
+    source = df
+    if texts:
+        source = df.select(*[_q(c) for c in cols], *[_q(c) for c in texts])
+    asked = probs if method == "approx" else bracket_probs(probs)
+    rows = _summary_moments(source, cols, texts, asked, accuracy if method == "approx" else RANK_ACCURACY)
     if method == "exact":
-        stats = {(c,): (r["count"] - r["nan"], r["lo"], r["hi"], r["nan"]) for c, r in rows.items()}
+        numbers = source.select(*[_q(c) for c in cols], *[_q(c).try_cast("double").alias(c) for c in texts])
+        stats = {(c,): (r["parsed"], r["min"], r["max"], 0) for c, r in rows.items()}
+        brackets = {(c, p): (r["q"][i], r["q"][i + len(probs)]) for c, r in rows.items() if r["q"] for i, p in enumerate(probs)}
         qs = {(r["column_name"], r["prob"]): r["quantile"]
-              for r in column_quantiles(df, cols, [0.25, 0.5, 0.75], stats).collect()}
+              for r in column_quantiles(numbers, [*cols, *texts], probs, stats, brackets=brackets).collect()}
     else:
-        qs = {(c, p): (r["q"][i] if r["q"] else None) for c, r in rows.items() for i, p in enumerate([0.25, 0.5, 0.75])}
+        qs = {(c, p): (r["q"][i] if r["q"] else None) for c, r in rows.items() for i, p in enumerate(probs)}
     out = []
-    for c in cols:
+    for c in [*cols, *texts]:
         r = rows.get(c)
         if r is None:
             continue
-        values = {"count": float(r["count"]), "mean": r["mean"], "stddev": r["stddev"], "min": r["min"],
-                  "25%": qs.get((c, 0.25)), "50%": qs.get((c, 0.5)), "75%": qs.get((c, 0.75)), "max": r["max"]}
-        out += [(c, s, None if values[s] is None else float(values[s])) for s in SUMMARY_STATS]
-    return df.sparkSession.createDataFrame(out, "column_name string, statistic string, value double")
+        is_text = c in texts
+        values = {"count": float(r["count"]), "mean": r["mean"], "stddev": r["stddev"], "min": None if is_text else r["min"],
+                  "25%": qs.get((c, 0.25)), "50%": qs.get((c, 0.5)), "75%": qs.get((c, 0.75)), "max": None if is_text else r["max"]}
+        words = {"min": r["first"], "max": r["last"]} if is_text else {}
+        out += [(c, s, None if values[s] is None else float(values[s]), words.get(s)) for s in SUMMARY_STATS]
+    schema = "column_name string, statistic string, value double" + (", text string" if strings else "")
+    return df.sparkSession.createDataFrame(out if strings else [r[:3] for r in out], schema)
 
 
-def _summary_moments(df: DataFrame, cols: list[str], accuracy: int | None) -> dict[str, dict]:
-    """column -> count, mean, stddev, min, max, nan, lo, hi (finite min / max) [, q].
+def _summary_moments(df: DataFrame, cols: list[str], texts: list[str], probs: Sequence[float], accuracy: int) -> dict[str, dict]:
+    """column -> count, parsed (numbers among them), mean, stddev, min, max, q (approximate quantiles), first, last (texts).
 
-    One aggregate job.  Up to ``WIDE_MAX_COLUMNS`` columns use one wide
-    aggregate (NaN counters only for floating columns); wider tables are
-    unpivoted to (column_name, value) first, so the generated code stays
-    small and each column merges on its own task.
+    One job: the table is unpivoted to (column_name, value, text) and grouped by column, so the generated code
+    does not grow with the column count and each column merges on its own task.
     """
-    if len(cols) > WIDE_MAX_COLUMNS or accuracy is not None:
-        long = df.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), _q(c).cast("double").alias("value")) for c in cols])))
-        finite = F.when(~F.isnan("value"), F.col("value"))
-        aggs = [F.count("value").alias("count"), F.avg("value").alias("mean"),
-                F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"), F.max("value").alias("max"),
-                F.count_if(F.isnan("value")).alias("nan"), F.min(finite).alias("lo"), F.max(finite).alias("hi")]
-        if accuracy is not None:
-            aggs.append(F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("q"))
-        return {r["column_name"]: r.asDict() for r in long.groupBy("column_name").agg(*aggs).collect()}
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    floating = {c for c in cols if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))}
-    for i, c in enumerate(cols):
-        x = _q(c).cast("double")
-        aggs += [F.count(x).alias(f"count_{i}"), F.avg(x).alias(f"mean_{i}"),
-                 F.stddev_samp(x).alias(f"stddev_{i}"), F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}")]
-        if c in floating:
-            # min() already skips NaN (NaN sorts last) unless every value is NaN.
-            aggs += [F.count_if(F.isnan(x)).alias(f"nan_{i}"), F.max(F.when(~F.isnan(x), x)).alias(f"hi_{i}")]
-    r = df.agg(*aggs).first()
-    out = {}
-    if r["__rows"] == 0:
-        return out
-    for i, c in enumerate(cols):
-        m = {s: r[f"{s}_{i}"] for s in ("count", "mean", "stddev", "min", "max")}
-        nan = r[f"nan_{i}"] if c in floating else 0
-        hi = r[f"hi_{i}"] if c in floating else m["max"]
-        lo = m["min"] if hi is not None else None
-        out[c] = {**m, "nan": nan, "lo": lo, "hi": hi}
-    return out
+    no_text = F.lit(None).cast("string")
+    cells = [F.struct(F.lit(c).alias("column_name"), present(_q(c).cast("double")).alias("value"), no_text.alias("text")) for c in cols]
+    cells += [F.struct(F.lit(c).alias("column_name"), present(_q(c).try_cast("double")).alias("value"), _q(c).alias("text")) for c in texts]
+    aggs = [F.count("value").alias("parsed"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
+            F.min("value").alias("min"), F.max("value").alias("max"), F.percentile_approx("value", list(probs), accuracy).alias("q")]
+    if texts:
+        aggs += [F.count("text").alias("n_texts"), F.min("text").alias("first"), F.max("text").alias("last")]
+    found = df.select(F.inline(F.array(*cells))).groupBy("column_name").agg(*aggs).collect()
+    return {r["column_name"]: {**r.asDict(), "count": r["n_texts"] if r["column_name"] in texts else r["parsed"]} for r in found}
 
 
 def unique_values(df: DataFrame, column: str) -> DataFrame:
@@ -300,68 +300,67 @@ def histogram(
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 
 
+def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(values, present) of a batch of double columns, rows x columns; missing values are 0."""
+    x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1) if batch.num_columns else np.zeros((0, 0))
+    there = ~np.isnan(x)
+    return np.where(there, x, 0.0), there
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of all column pairs (A8a): long form (col_a, col_b, corr).
 
-    Both orientations and the diagonal.  Two passes over the data: the means
-    (k numbers to the driver), then one aggregate of centred sums and
-    sums of products, k + k(k+1)/2 plain ``sum``s that stay inside
-    whole-stage codegen (dozens of ``corr`` aggregates in one operator
-    exceed the JIT's method-size limit and run ~30x slower); the k x k
-    matrix is finished from that one row.  Pairs touching a column with
-    nulls use the same sums over pairwise-complete rows, unpivoted to one row
-    per such pair (one more pass; the other pairs are not unpivoted).  A
-    zero variance gives null.
+    Both orientations and the diagonal, each over the rows in which both values are
+    present (not null, not NaN).  Two passes: the column means, then Gram matrices.  A task turns its rows into
+    matrices of centred values and of presence and adds up four products of them (sums of
+    products, of values, of squares, and counts, for every pair at once); no row is
+    unpivoted or multiplied.  The products are shuffled and added row by row of the matrix, where its
+    correlations are computed.  A zero variance, or an infinite value, gives null.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    x = {c: present(_q(c).cast("double")) for c in cols}
-    first = df.agg(F.count(F.lit(1)).alias("n"),
-                   *[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(cols)],
-                   *[F.count(x[c]).alias(f"k{i}") for i, c in enumerate(cols)]).first()
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    complete = [first[f"k{i}"] == first["n"] for i in range(len(cols))]
-    found: dict[tuple[int, int], float | None] = {}
-    # Pairs touching a column with nulls: pairwise-complete rows, long form
-    # (one row per such pair and input row; the other pairs are not unpivoted).
-    partial = [(i, j) for i, j in pairs if not (complete[i] and complete[j])]
-    if partial:
-        # Centred by the column means (any shift keeps the formula exact; the
-        # mean keeps the sums small), then plain sums: no division in the job.
-        mean = {i: F.lit(float(first[f"m{i}"] or 0.0)) for i in range(len(cols))}
-        long = df.select(F.inline(F.array(*[
-            F.struct(F.lit(i * len(cols) + j).alias("pair"), (x[cols[i]] - mean[i]).alias("x"),
-                     (x[cols[j]] - mean[j]).alias("y"))
-            for i, j in partial]))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-        stats = long.groupBy("pair").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-            F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
-            F.sum(F.col("x") * F.col("y")).alias("sxy"))
-        for r in stats.collect():
-            m = r["n"]
-            vx, vy = r["sxx"] - r["sx"] ** 2 / m, r["syy"] - r["sy"] ** 2 / m
-            ok = m > 1 and vx > 0 and vy > 0
-            found[divmod(r["pair"], len(cols))] = (
-                float((r["sxy"] - r["sx"] * r["sy"] / m) / math.sqrt(vx * vy)) if ok else None)
-    full = [i for i in range(len(cols)) if complete[i]]
-    n = first["n"]
-    if full and n:
-        centred = {i: x[cols[i]] - F.lit(float(first[f"m{i}"] or 0.0)) for i in full}
-        fast = [(i, j) for i, j in pairs if complete[i] and complete[j]]
-        aggs = [F.sum(centred[i]).alias(f"s{i}") for i in full]
-        aggs += [F.sum(centred[i] * centred[j]).alias(f"p{i}_{j}") for i, j in fast]
-        sums = df.agg(*aggs).first()
-        # k + k(k+1)/2 numbers: the matrix itself is finished on the driver.
-        cov = {(i, j): sums[f"p{i}_{j}"] - sums[f"s{i}"] * sums[f"s{j}"] / n for i, j in fast}
-        for i, j in fast:
-            ok = n > 1 and cov[(i, i)] > 0 and cov[(j, j)] > 0
-            found[(i, j)] = float(cov[(i, j)] / math.sqrt(cov[(i, i)] * cov[(j, j)])) if ok else None
-    rows = []
-    for i, j in pairs:
-        r = found.get((i, j))
-        rows.append((cols[i], cols[j], r))
-        if i != j:
-            rows.append((cols[j], cols[i], r))
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+    k = len(cols)
+    source = df.select(*[_q(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, s = np.zeros(k), np.zeros(k)
+        for b in batches:
+            x, there = _matrix(b)
+            n, s = n + there.sum(axis=0), s + np.where(np.isfinite(x), x, 0.0).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)), pa.array(n), pa.array(s)], ["i", "n", "s"])
+
+    means = np.zeros(k)
+    for r in source.mapInArrow(totals, "i int, n double, s double").groupBy("i").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect():
+        means[r["i"]] = r["s"] / r["n"] if r["n"] else 0.0
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, k, k))
+        for b in batches:
+            x, there = _matrix(b)
+            with np.errstate(invalid="ignore", over="ignore"):  # an infinite value spoils its own pairs only
+                x = np.where(there, x - means, 0.0)
+                m = there.astype(float)
+                values, squares = x.T @ m, (x * x).T @ m
+                sums += np.stack([m.T @ m, x.T @ x, values, values.T, squares, squares.T])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)),
+                                          pa.array(list(sums.transpose(1, 0, 2).reshape(k, -1)), pa.list_(pa.float64()))], ["i", "v"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, v in zip(b.column(0).to_pylist(), b.column(1)):
+                own = v.values.to_numpy()
+                rows[i] = rows[i] + own if i in rows else own
+        for i, flat in rows.items():
+            n, xy, sx, sy, xx, yy = flat.reshape(6, k)
+            with np.errstate(all="ignore"):
+                vx, vy = xx - sx * sx / n, yy - sy * sy / n
+                r = (xy - sx * sy / n) / np.sqrt(vx * vy)
+            # Rounding leaves a constant column some variance of the last bits.
+            ok = (n > 1) & (vx > 1e-14 * xx) & (vy > 1e-14 * yy) & np.isfinite(r)
+            yield pa.RecordBatch.from_arrays([pa.array([cols[i]] * k), pa.array(cols), pa.array(r, mask=~ok)], ["col_a", "col_b", "corr"])
+
+    return (source.mapInArrow(products, "i int, v array<double>").repartition("i")
+            .mapInArrow(finish, "col_a string, col_b string, corr double"))
 
 
 def scatter_pairs(
@@ -418,19 +417,29 @@ def parallel_coordinates(
 
 
 def label_profile(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per label value and feature: rows, mean and exact quartiles of min-max scaled values."""
-    lines = parallel_coordinates(df, label, columns)
-    finite = F.when(~F.isnan("value"), F.col("value"))
+    """Per label value and feature: rows, mean and exact quartiles of min-max scaled values.
+
+    NaN is a missing value like null.  Any number of labels: up to
+    ``quantiles.MAX_GROUPS`` (label, feature) groups the quartiles are searched, beyond it the
+    values are ranked; the result is the same.
+    """
+    lines = parallel_coordinates(df, label, columns).withColumn("value", present(F.col("value")))
     # One row per (label, feature): also the statistics the quantile search starts from.
     agg = lines.groupBy(_q(label), "feature").agg(
-        F.count("value").alias("rows"), F.avg("value").alias("mean"),
-        F.count_if(F.isnan("value")).alias("nan"), F.min(finite).alias("lo"), F.max(finite).alias("hi"))
-    agg = collect_bounded(agg, "(label, feature) groups")
-    stats = {(r[label], r["feature"]): (r["rows"] - r["nan"], r["lo"], r["hi"], r["nan"]) for r in agg}
+        F.count("value").alias("rows"), F.avg("value").alias("mean"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    probs = [0.25, 0.5, 0.75]
+    found = collect_few(agg)
+    if found is None:
+        ranked = ranked_quantiles(lines, [label, "feature"], "value", probs)
+        wide = ranked.groupBy(_q(label).alias("__l"), F.col("feature").alias("__f")).agg(
+            *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(q) for p, q in zip(probs, ("q25", "q50", "q75"))])
+        return (agg.join(wide, agg[label].eqNullSafe(wide["__l"]) & (agg["feature"] == wide["__f"]), "left")
+                .select(_q(label), "feature", "rows", "mean", "q25", "q50", "q75"))
+    stats = {(r[label], r["feature"]): (r["rows"], r["lo"], r["hi"], 0) for r in found}
     qs = {(r[label], r["feature"], r["prob"]): r["quantile"]
-          for r in exact_quantiles(lines, [label, "feature"], "value", [0.25, 0.5, 0.75], stats).collect()}
+          for r in exact_quantiles(lines, [label, "feature"], "value", probs, stats).collect()}
     out = [(r[label], r["feature"], r["rows"], r["mean"],
-            *[qs.get((r[label], r["feature"], p)) for p in (0.25, 0.5, 0.75)]) for r in agg]
+            *[qs.get((r[label], r["feature"], p)) for p in probs]) for r in found]
     schema = T.StructType([df.schema[label], T.StructField("feature", T.StringType()),
                            T.StructField("rows", T.LongType()), T.StructField("mean", T.DoubleType()),
                            T.StructField("q25", T.DoubleType()), T.StructField("q50", T.DoubleType()),
@@ -438,11 +447,23 @@ def label_profile(df: DataFrame, label: str, columns: Sequence[str] | None = Non
     return df.sparkSession.createDataFrame(out, schema)
 
 
+def _class_counts(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+    """((label, count) per class, rows, largest count): the table is read once, unless there are more than
+    ``MAX_CLASSES`` classes, whose counts are written to the checkpoint folder."""
+    counts = df.groupBy(_q(label)).agg(F.count(F.lit(1)).alias("count"))
+    rows = collect_few(counts, MAX_CLASSES)
+    if rows is not None:
+        sizes = [r["count"] for r in rows]
+        return df.sparkSession.createDataFrame(rows, counts.schema), sum(sizes), max(sizes, default=0)
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = counts.checkpoint(eager=True)
+    total, biggest = counts.agg(F.sum("count"), F.max("count")).first()
+    return counts, total, biggest
+
+
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """(label, count, share) per label value (A10)."""
-    counts = df.groupBy(_q(label)).agg(F.count(F.lit(1)).alias("count"))
-    # The grouped table has one row per class, so an unpartitioned window is cheap.
-    total = df.count()  # one number: no window over all classes in one task
+    counts, total, _ = _class_counts(df, label)
     return counts.withColumn("share", F.col("count") / F.lit(total))
 
 
@@ -451,14 +472,22 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
     A 6:1 imbalance gives weights 1 and 6, the reference's ``class_weight``.
     """
-    counts = df.groupBy(_q(label)).agg(F.count(F.lit(1)).alias("count"))
-    biggest = counts.agg(F.max("count")).first()[0]
+    counts, _, biggest = _class_counts(df, label)
     return counts.withColumn("weight", F.lit(biggest) / F.col("count"))
 
 
+MAX_CLASSES = 100_000
+
+
 def collect_class_weights(weights: DataFrame, label: str) -> dict[float, float]:
-    """Class-weight table to a dict (bounded by the number of classes); a null class has no weight."""
-    return {float(r[label]): float(r["weight"]) for r in weights.collect() if r[label] is not None}
+    """Class-weight table to a dict; a null class has no weight.
+
+    More than ``MAX_CLASSES`` classes are no label of a network and are refused.
+    """
+    rows = collect_few(weights, MAX_CLASSES)
+    if rows is None:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return {float(r[label]): float(r["weight"]) for r in rows if r[label] is not None}
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

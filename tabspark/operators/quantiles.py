@@ -19,6 +19,14 @@ pass narrows an interval per (group, p) target:
    exact count of the rows below and in the bracket verifies it (a bracket
    that misses still cuts the interval).
 
+A caller that has brackets of the targets (``column_quantiles(brackets=)``: from
+one approximate pass over all of them) starts there: one scan counts the rows below and inside each
+bracket, and the rest of the search sees only the rows inside.
+
+Groups beyond ``MAX_GROUPS`` are not searched but ranked: the rows are numbered in the order
+(group, value) by range partitions (``global_rank``, which splits hot groups and values), and the
+value at each target's number is looked up; nothing per group is on the driver.
+
 Uniform data at 10^12 rows needs three histogram passes, any other
 distribution some two passes for each factor of 1,000 in rows; every pass is a
 filtered scan plus a small aggregate.  A target that no pass could narrow
@@ -36,23 +44,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .ranking import global_rank
+
 BINS = 4096
 FINAL_ROWS = 100_000
 RANK_ACCURACY = 10_000  # of percentile_approx
 # Each pass narrows every open interval, so this is only reached by a fault.
 MAX_PASSES = 200
 # The search keeps one interval per (group, p) on the driver and broadcasts
-# the open ones, so the number of groups is bounded.
+# the open ones; more groups than this are ranked instead.
 MAX_GROUPS = 100_000
 
 
-def collect_bounded(df: DataFrame, what: str, limit: int | None = None) -> list:
-    """``df.collect()`` of a per-group table, refusing more than ``limit`` (``MAX_GROUPS``) rows."""
+def collect_few(df: DataFrame, limit: int | None = None) -> list | None:
+    """The rows of a per-group table, or None if there are more than ``limit`` (``MAX_GROUPS``)."""
     limit = MAX_GROUPS if limit is None else limit
     rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} {what}; use an approximate method (percentile_approx) instead")
-    return rows
+    return None if len(rows) > limit else rows
 
 
 def target_rank(n: int, p: float) -> int:
@@ -217,11 +225,13 @@ def exact_quantiles(
     gtypes = {f.name: f.dataType for f in long.schema.fields if f.name in gcols}
     v = long.where(F.col(value).isNotNull()).select(*gcols, F.col(value).cast("double").alias("__v"))
     if stats is None:
-        rows = (v.groupBy(*gcols).agg(F.count_if(~F.isnan("__v")).alias("n"),
+        per_group = (v.groupBy(*gcols).agg(F.count_if(~F.isnan("__v")).alias("n"),
                                       F.min(F.when(~F.isnan("__v"), F.col("__v"))).alias("lo"),
                                       F.max(F.when(~F.isnan("__v"), F.col("__v"))).alias("hi"),
                                       F.count_if(F.isnan("__v")).alias("nan")))
-        rows = collect_bounded(rows, "quantile groups")
+        rows = collect_few(per_group)
+        if rows is None:
+            return ranked_quantiles(v, gcols, "__v", probs)
         stats = {tuple(r[g] for g in gcols): (r["n"], r["lo"], r["hi"], r["nan"]) for r in rows}
     targets = _targets(stats, probs)
     finite = v.where(~F.isnan("__v"))
@@ -247,6 +257,52 @@ def exact_quantiles(
     return _result(spark, targets, [T.StructField(c, gtypes[c]) for c in gcols])
 
 
+def ranked_quantiles(long: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """(groups..., prob, quantile) of any number of groups, exact: rows numbered by (group, value).
+
+    Null values do not count; NaN sorts after every number.  One range shuffle of
+    (group, value), written, and one join on the row number.
+    """
+    gcols = list(groups)
+    rows = long.where(F.col(value).isNotNull()).select(*[F.col(f"`{g}`") for g in gcols], F.col(value).cast("double").alias("__q"))
+    ranked = global_rank(rows, [*[F.col(f"`{g}`") for g in gcols], F.col("__q")], "__r")
+    spans = ranked.groupBy(*[F.col(f"`{g}`") for g in gcols]).agg(F.min("__r").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    places = []
+    for p in probs:  # max(1, ceil(n p)), p read as a decimal
+        share = Fraction(str(p))
+        nth = F.floor((F.col("__n") * F.lit(share.numerator) + F.lit(share.denominator - 1)) / F.lit(share.denominator))
+        places.append(F.struct(F.lit(float(p)).alias("prob"), (F.col("__first") + F.greatest(nth, F.lit(1)) - 1).alias("__r")))
+    wanted = spans.select(*[F.col(f"`{g}`") for g in gcols], F.inline(F.array(*places)))
+    return wanted.join(ranked.select("__r", "__q"), "__r").select(*[F.col(f"`{g}`") for g in gcols], "prob", F.col("__q").alias("quantile"))
+
+
+def _use_brackets(df: DataFrame, targets: dict, brackets: dict) -> None:
+    """Count the rows below and inside each target's bracket, one aggregate; the target's interval becomes the part
+    that holds its rank."""
+    aggs = []
+    for i, t in targets.items():
+        x, (a, b) = F.col(f"`{t[0][0]}`").cast("double"), brackets[t[0][0], t[1]]
+        aggs += [F.count_if(x < F.lit(a)).alias(f"below{i}"), F.count_if((x >= F.lit(a)) & (x <= F.lit(b))).alias(f"in{i}")]
+    found = df.agg(*aggs).first()
+    for i, t in targets.items():
+        a, b = brackets[t[0][0], t[1]]
+        below, inside = found[f"below{i}"], found[f"in{i}"]
+        if t[2] <= below:
+            t[4], t[7] = math.nextafter(a, -math.inf), below
+        elif t[2] <= below + inside:
+            t[3], t[4], t[5], t[7] = a, b, below, inside
+        else:
+            t[3], t[5], t[7] = math.nextafter(b, math.inf), below + inside, t[7] - below - inside
+        if t[3] == t[4]:
+            t[6] = t[3]
+
+
+def bracket_probs(probs: Sequence[float]) -> list[float]:
+    """Ranks (as shares) between which ``percentile_approx`` with ``RANK_ACCURACY`` encloses each quantile."""
+    spread = 4.0 / RANK_ACCURACY
+    return [max(0.0, p - spread) for p in probs] + [min(1.0, p + spread) for p in probs]
+
+
 def column_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -254,10 +310,12 @@ def column_quantiles(
     stats: dict,
     bins: int = BINS,
     final_rows: int = FINAL_ROWS,
+    brackets: dict | None = None,
 ) -> DataFrame:
     """(column_name, prob, quantile) for numeric columns of a wide table.
 
-    ``stats[(column,)]`` = (non-NaN count, min, max, NaN count).  The
+    ``stats[(column,)]`` = (non-NaN count, min, max, NaN count);
+    ``brackets[column, p]`` = two values that probably enclose the quantile.  The
     intervals are literals in one projection: each row emits only the
     (interval, value[, bin]) entries that fall inside an open interval, no join.
     """
@@ -276,6 +334,9 @@ def column_quantiles(
         # after the generator (a lambda ``filter`` would run uncompiled, 4x slower).
         return df.select(F.inline(F.array(*pairs))).where(F.col("__iid").isNotNull())
 
+    unknown = {i: t for i, t in targets.items() if t[6] is None}
+    if brackets and unknown:
+        _use_brackets(df, unknown, brackets)
     _select(spark, targets, rows_in, bins, final_rows)
     return _result(spark, targets, [T.StructField("column_name", T.StringType())])
 

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import SPLIT, STRATA, TWO_POW_32, h32, hash_below, order_key
+from ..functions.hashing import SPLIT, STRATA, TWO_POW_32, h32, hash_below
 from .batches import _orderable
 from ..session import ensure_checkpoint_dir
 from .ranking import global_rank
@@ -89,15 +89,34 @@ def train_val_split(df: DataFrame, val_ratio: float = 0.2, seed: int = 3,
 
 
 HASH_BUCKET_BITS = 16
-# Boundary buckets up to this many rows per class are ranked with a window
-# partitioned by class (one task per class holds at most this many rows);
-# larger ones (a hot key) go through the range-partitioned global_rank.
+# Rows that share the last hash value of a sample, up to this many, are ranked with a window partitioned by
+# class (one task per class holds at most this many rows); more (a hot key) go
+# through the range-partitioned global_rank.
 WINDOW_MAX_ROWS = 2_000_000
 # Per-class tables (one row per class) are broadcast up to this many classes;
 # beyond it they are joined by a shuffle join.
 BROADCAST_MAX_CLASSES = 100_000
 
 
+def _until(counts: DataFrame, by: str, need: Column, names: tuple[str, str, str]) -> DataFrame:
+    """Per class, the least ``by`` up to which ``need`` rows lie: (__ecls, value, rows before it, rows at it).
+
+    ``counts`` (__cls, by, __n, ...) holds at most 65,536 rows of a class.
+    """
+    cum = F.sum("__n").over(Window.partitionBy("__cls").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (counts.withColumn("__cum", cum).where((F.col("__cum") >= need) & (F.col("__cum") - F.col("__n") < need))
+            .select(F.col("__cls").alias("__ecls"), F.col(by).alias(names[0]), (F.col("__cum") - F.col("__n")).alias(names[1]),
+                    F.col("__n").alias(names[2])))
+
+
+def _per_class(df: DataFrame, small: bool) -> DataFrame:
+    """A one-row-per-class table, computed once: broadcast if it is small, else written to the checkpoint folder."""
+    if small:
+        return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema))
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def stratified_sample(
     df: DataFrame,
     label: str,
@@ -113,24 +132,25 @@ def stratified_sample(
     columns: all other orderable columns by default), so the sample is the
     same on any layout.
 
-    Exact selection without sorting the table:
-
-    1. a histogram of the top 16 hash bits per class (one aggregate, at most
-       65,536 rows per class) gives the class sizes and, by a running sum per
-       class, the bucket holding each class's n-th row: a table of one row
-       per class, broadcast when the class count is at most
-       ``BROADCAST_MAX_CLASSES``, else checkpointed and shuffle-joined;
-    2. rows in lower buckets are taken by a filter; only the rows of the
-       boundary bucket (about 1/65,536 of the class, its size known from the
-       histogram) are ranked: by a window partitioned by class when the
-       bucket is small, else by the range-partitioned ``global_rank``, so even
-       a hot key is split over tasks.
+    The sample is one filter over one scan: a row is in it if its hash lies
+    below the limit of its class, or at the limit and its keys and tie-break columns do.  The
+    limits (one row per class) come from aggregates of the keys and the label:
+
+    1. a histogram of the top 16 hash bits per class gives the class sizes and, by a
+       running sum, the bucket holding each class's n-th row;
+    2. a histogram of the other 16 bits inside these buckets gives the n-th hash value and the rows that share it;
+    3. only where not all of those belong to the sample, they are ranked: by a window
+       partitioned by class if they are few, else (a hot key) by ``global_rank``.
+
+    Where equal rows straddle the limit no filter can tell them apart, and as many
+    of them as are needed are added by rank.
     """
     ties = list(tiebreak) if tiebreak is not None else [
         f.name for f in df.schema.fields if f.name not in keys and f.name != label and _orderable(f.dataType)]
-    n_buckets = 1 << HASH_BUCKET_BITS
-    tagged = df.withColumn("__bucket", F.shiftright(h32(keys, seed, df, STRATA), 32 - HASH_BUCKET_BITS))
-    hist = (tagged.groupBy(_q(label).alias("__cls"), "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    spark, whole_hash = df.sparkSession, 1 << 32
+    tagged = df.withColumn("__h", h32(keys, seed, df, STRATA))
+    bucket = F.shiftright("__h", 32 - HASH_BUCKET_BITS)
+    hist = (tagged.groupBy(_q(label).alias("__cls"), bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__n"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         totals = hist.groupBy("__cls").agg(F.sum("__n").alias("__total"))
@@ -143,53 +163,50 @@ def stratified_sample(
             n = int(n_per_class)
         if n <= 0:
             return df.where(F.lit(False))
-        # Per class, the bucket holding its n-th row: a running sum over at
-        # most 2^16 histogram rows per class.
-        cum = F.sum("__n").over(Window.partitionBy("__cls").orderBy("__bucket")
-                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        edge = (hist.withColumn("__cum", cum)
-                .where((F.col("__cum") >= F.lit(n)) & (F.col("__cum") - F.col("__n") < F.lit(n)))
-                .select(F.col("__cls").alias("__ecls"), F.col("__bucket").alias("__b"),
-                        (F.col("__cum") - F.col("__n")).alias("__before"), F.col("__n").alias("__size")))
-        # (class, boundary bucket, rows before it, rows needed, rows in it);
-        # a class with fewer than n rows is taken whole.
+        edge = _until(hist, "__bucket", F.lit(n), ("__b", "__before", "__size"))
+        # A class with fewer than n rows is taken whole: it has no boundary bucket.
         bounds = (totals.join(edge, totals["__cls"].eqNullSafe(edge["__ecls"]), "left")
-                  .select("__cls",
-                          F.coalesce(F.col("__b"), F.lit(n_buckets).cast("bigint")).alias("__b"),
-                          F.coalesce(F.col("__before"), F.col("__total")).alias("__before"),
-                          F.least(F.col("__total"), F.lit(n).cast("bigint")).alias("__need"),
-                          F.coalesce(F.col("__size"), F.lit(0).cast("bigint")).alias("__size")))
-        # One row per class: read at most the broadcast bound of it.
-        rows = bounds.limit(BROADCAST_MAX_CLASSES + 1).collect()
-        if not rows:
+                  .select("__cls", "__b", (F.lit(n).cast("bigint") - F.col("__before")).alias("__need")))
+        classes = bounds.limit(BROADCAST_MAX_CLASSES + 1).count()  # at most the broadcast bound of it
+        if not classes:
             return df
-        small = len(rows) <= BROADCAST_MAX_CLASSES
-        if small:
-            largest = max((r["__size"] for r in rows), default=0)
-            bounds = df.sparkSession.createDataFrame(rows, bounds.schema)
-        else:
-            # Written once to the reliable checkpoint folder: the scan below and
-            # a lost executor reuse it instead of re-running the histogram.
-            ensure_checkpoint_dir(df.sparkSession)
-            bounds = bounds.checkpoint(eager=True)
-            largest = bounds.agg(F.max("__size").alias("m")).first()["m"] or 0
+        small = classes <= BROADCAST_MAX_CLASSES
+        bounds = _per_class(bounds, small)
     finally:
         hist.unpersist()
-    bounds_df = F.broadcast(bounds.drop("__size")) if small else bounds.drop("__size")
-    cand = tagged.join(bounds_df, _q(label).eqNullSafe(F.col("__cls")))
-    whole = cand.where(F.col("__bucket") < F.col("__b"))
-    edge_rows = cand.where(F.col("__bucket") == F.col("__b"))
-    order = [order_key(keys, seed, df, STRATA)] + [_q(k) for k in keys] + [_q(c) for c in ties]
-    if largest <= WINDOW_MAX_ROWS:
-        pos = F.row_number().over(Window.partitionBy("__cls").orderBy(*order)) - 1
-        picked = edge_rows.withColumn("__pos", pos)
+    inside = (tagged.select(_q(label).alias("__own"), "__h", bucket.alias("__bucket"))
+              .join(bounds, F.col("__own").eqNullSafe(F.col("__cls")) & (F.col("__bucket") == F.col("__b")))
+              .groupBy("__cls", "__h").agg(F.count(F.lit(1)).alias("__n"), F.first("__need").alias("__need")))
+    last = _until(inside, "__h", F.col("__need"), ("__last", "__less", "__same"))
+    limits = bounds.join(last, F.col("__cls").eqNullSafe(F.col("__ecls")), "left").select(
+        "__cls", F.coalesce("__last", F.lit(whole_hash).cast("bigint")).alias("__last"),
+        F.coalesce(F.col("__need") - F.col("__less"), F.lit(0).cast("bigint")).alias("__take"),
+        F.coalesce("__same", F.lit(0).cast("bigint")).alias("__same"))
+    limits = _per_class(limits, small)
+    placed = tagged.join(limits, _q(label).eqNullSafe(F.col("__cls")))
+    own = ["__h", "__cls", "__last", "__take", "__same"]
+    cut = limits.where("__take < __same").agg(F.count(F.lit(1)).alias("k"), F.sum("__same").alias("n")).first()
+    if not cut["k"]:
+        return placed.where("__h <= __last").drop(*own)
+    row = F.struct(*[_q(k) for k in keys], *[_q(c) for c in ties])
+    at_limit = placed.where("__h = __last and __take < __same")
+    if cut["n"] <= WINDOW_MAX_ROWS:
+        ranked = at_limit.withColumn("__pos", F.row_number().over(Window.partitionBy("__cls").orderBy(row)))
     else:
-        ranked = global_rank(edge_rows, [F.col("__cls")] + order, "__rank")
-        starts = ranked.groupBy(F.col("__cls").alias("__scls")).agg(F.min("__rank").alias("__start"))
-        starts = F.broadcast(starts) if small else starts
+        ranked = global_rank(at_limit, [F.col("__cls"), row], "__rank")
+        starts = _per_class(ranked.groupBy(F.col("__cls").alias("__scls")).agg(F.min("__rank").alias("__start")), small)
         # Null-safe: a null class is a class too.
-        picked = (ranked.join(starts, ranked["__cls"].eqNullSafe(starts["__scls"])).drop("__scls")
-                  .withColumn("__pos", F.col("__rank") - F.col("__start")))
-    picked = picked.where(F.col("__pos") < F.col("__need") - F.col("__before"))
-    drop = ["__bucket", "__cls", "__b", "__before", "__need", "__rank", "__start", "__pos"]
-    return whole.drop(*drop).unionByName(picked.drop(*drop))
+        ranked = (ranked.join(starts, ranked["__cls"].eqNullSafe(starts["__scls"])).drop("__scls")
+                  .withColumn("__pos", F.col("__rank") - F.col("__start") + 1))
+    nth = ranked.where("__pos = __take or __pos = __take + 1").groupBy(F.col("__cls").alias("__ecls")).agg(
+        F.max(F.when(F.col("__pos") == F.col("__take"), row)).alias("__row"),
+        F.max(F.when(F.col("__pos") > F.col("__take"), row)).alias("__next"))
+    nth = _per_class(nth, small)
+    if nth.where(F.col("__row").eqNullSafe(F.col("__next"))).isEmpty():
+        placed = placed.join(nth, F.col("__cls").eqNullSafe(F.col("__ecls")), "left")
+        kept = placed.where((F.col("__h") < F.col("__last")) | (
+            (F.col("__h") == F.col("__last")) & ((F.col("__take") == F.col("__same")) | (row <= F.col("__row")))))
+        return kept.drop(*own, "__ecls", "__row", "__next")
+    below = placed.where("__h < __last or (__h = __last and __take = __same)")
+    drop = [*own, "__pos", "__rank", "__start"]
+    return below.drop(*drop).unionByName(ranked.where("__pos <= __take").drop(*drop))

@@ -1,5 +1,7 @@
 """Composite plans: the training workflow and the driver's query set."""
 
-from .workflow import TrainedWorkflow, score_model, train_ensemble, train_workflow
+from .workflow import (ScoringPipeline, TrainedWorkflow, load_workflow, save_workflow, score_model, train_ensemble,
+                       train_workflow)
 
-__all__ = ["TrainedWorkflow", "score_model", "train_ensemble", "train_workflow"]
+__all__ = ["ScoringPipeline", "TrainedWorkflow", "load_workflow", "save_workflow", "score_model", "train_ensemble",
+           "train_workflow"]

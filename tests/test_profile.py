@@ -124,17 +124,99 @@ def test_summary_wide_and_long_paths_agree(spark, monkeypatch):
     assert P.summary_table(df.limit(0)).count() == 0
 
 
-def test_exact_quantiles_refuse_unbounded_groups(spark, monkeypatch):
-    import pytest
-
+def test_quantiles_of_many_groups_are_ranked(spark, monkeypatch):
     from tabspark.operators import quantiles as Q
-    df = spark.createDataFrame([(i % 50, float(i)) for i in range(500)], "g int, v double")
-    assert Q.exact_quantiles(df, ["g"], "v", [0.5]).count() == 50
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 17 == 0 else i % 50, None if i % 13 == 0 else float("nan") if i % 31 == 0 else float(v))
+            for i, v in enumerate(rng.integers(0, 40, 3000))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+
+    def both():
+        q = {(r.g, r.prob): r.quantile for r in Q.exact_quantiles(df, ["g"], "v", probs).collect()}
+        lp = {r.label: (r.rows, round(r["mean"], 9), r.q25, r.q50, r.q75)
+              for r in P.label_profile(df.withColumnRenamed("g", "label"), "label", ["v"]).collect()}
+        return {k: "nan" if np.isnan(v) else v for k, v in q.items()}, lp
+
+    searched = both()
     monkeypatch.setattr(Q, "MAX_GROUPS", 10)
-    with pytest.raises(ValueError, match="more than 10"):
-        Q.exact_quantiles(df, ["g"], "v", [0.5])
-    with pytest.raises(ValueError, match="more than 10"):
-        P.label_profile(df.withColumnRenamed("g", "label"), "label", ["v"])
+    assert both() == searched and len(searched[0]) == 51 * len(probs)
+
+
+def test_a_hundred_thousand_and_one_groups(spark):
+    from tabspark.operators import quantiles as Q
+    df = spark.range(300_006).selectExpr("id % 100002 AS label", "CAST(id AS DOUBLE) AS v")
+    got = P.label_profile(df, "label", ["v"]).where("label IN (0, 77777)").orderBy("label").collect()
+    assert 100_002 > Q.MAX_GROUPS
+    scaled = [[(k + j * 100_002) / 300_005 for j in range(3)] for k in (0, 77777)]
+    assert [(r["rows"], r.q25, r.q50, r.q75) for r in got] == [(3, *s) for s in scaled]
+
+
+def test_summary_with_strings(spark):
+    rows = [(1, "b", 2.0, True), (2, None, float("nan"), False), (3, "12", None, True), (4, "a", 4.0, True), (5, "7", 6.0, None)]
+    df = spark.createDataFrame(rows, "i int, `s t` string, x double, flag boolean")
+    out = P.summary_table(df, strings=True)
+    assert out.columns == ["column_name", "statistic", "value", "text"]
+    got = {(r.column_name, r.statistic): (r.value, r.text) for r in out.collect()}
+    assert len(got) == 3 * len(P.SUMMARY_STATS)
+    assert got[("s t", "count")] == (4.0, None) and got[("s t", "min")] == (None, "12") and got[("s t", "max")] == (None, "b")
+    assert got[("s t", "mean")] == (9.5, None) and got[("s t", "50%")] == (7.0, None)
+    assert got[("x", "count")] == (3.0, None) and got[("x", "mean")] == (4.0, None) and got[("x", "max")] == (6.0, None)
+    assert got[("x", "75%")] == (6.0, None) and got[("i", "25%")] == (2.0, None)
+    only = P.summary_table(df.select("s t").where("i > 3 AND i < 5"), strings=True).collect()
+    assert {r.statistic: (r.value, r.text) for r in only}["50%"] == (None, None)
+
+
+def test_nan_is_missing_everywhere(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, "a"), (3.0, "a"), (nan, "a"), (None, "a")], "x double, k string")
+    s = {r.statistic: r.value for r in P.summary_table(df).collect()}
+    d = {r.statistic: r.value for r in P.describe_table(df, ["x"]).collect()}
+    for stat, value in (("count", 2.0), ("mean", 2.0), ("min", 1.0), ("max", 3.0)):
+        assert s[stat] == d[stat] == value
+    assert s["stddev"] == d["stddev"] and (s["25%"], s["50%"], s["75%"]) == (1.0, 1.0, 3.0)
+    lp = P.label_profile(df, "k", ["x"]).first()
+    assert (lp["rows"], lp["mean"], lp["q25"], lp["q75"]) == (2, 0.5, 0.0, 1.0)
+
+
+def test_correlation_of_two_hundred_columns_with_nulls(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 200))
+    x[:, 1] = 0.7 * x[:, 0] + 0.3 * x[:, 1]
+    x[:, 199] = 3.0
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 50] = np.nan
+    pdf = pd.DataFrame(x, columns=[f"c {i}" for i in range(200)])
+    rows = [tuple(None if np.isnan(v) and (i + j) % 2 else float(v) for j, v in enumerate(r)) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in pdf.columns)).repartition(3)
+    out = P.correlation_matrix(df)
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.col_a, r.col_b): r.corr for r in out.collect()}
+    exp = pdf.corr()
+    assert len(got) == 40_000
+    for a in pdf.columns:
+        for b in pdf.columns:
+            e = exp.loc[a, b]
+            if np.isnan(e) or "c 199" in (a, b):
+                assert got[a, b] is None, (a, b)
+            else:
+                assert abs(got[a, b] - e) < 1e-9, (a, b)
+
+
+def test_class_tables_read_the_source_once(spark):
+    df = spark.createDataFrame([(float(i % 7 == 0),) for i in range(70)], "y double")
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    counted = df.mapInArrow(seen, df.schema)
+    for make in (P.class_balance, P.class_weights):
+        before = reads.value
+        assert len(make(counted, "y").collect()) == 2
+        assert reads.value - before == 70
 
 
 def test_histogram_skips_null_and_nan(spark):

@@ -180,3 +180,39 @@ def test_string_key_hash_split_and_batches(spark):
     out = B.assign_batches(df, 64, ["k"], seed=3).toPandas()
     sizes = out.groupby("batch_id").size()
     assert sorted(out["v"]) == list(range(1000)) and len(sizes) == 1000 // 64 and sizes.max() - sizes.min() <= 1
+
+
+def test_stratified_sample_is_one_filter_or_adds_equal_rows(spark):
+    """Rows that share keys are told apart by a filter; equal rows that straddle the limit are counted."""
+    rows = [(1, k % 2, k) for k in range(60)] + [(2, 1, 7)] * 9
+    df = spark.createDataFrame(rows, "k long, y int, v long")
+    got = S.stratified_sample(df, "y", ["k"], n_per_class=10, seed=1)
+    own = pd.DataFrame(rows, columns=["k", "y", "v"])
+    own["h"] = [_int_hash(1, i, tag=3) for i in own["k"]]
+    exp = own.sort_values(["y", "h", "k", "v"]).groupby("y").head(10)
+    assert sorted(map(tuple, got.collect())) == sorted(exp[["k", "y", "v"]].itertuples(index=False, name=None))
+    distinct = spark.createDataFrame(rows[:60], "k long, y int, v long")
+    got = S.stratified_sample(distinct, "y", ["k"], n_per_class=10, seed=1)
+    assert "Union" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["v"] for r in got.collect()) == list(range(20))
+
+
+def test_hash_ranks_in_groups_and_with_a_hot_value(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(int(g), int(i), float(i % 7)) for i, g in enumerate(rng.integers(0, 3, 2000))] + [(1, -5, 0.5)] * 900
+    df = spark.createDataFrame(rows, "g int, id long, v double")
+    for hot in (R.HOT_ROWS, 100):  # 100: the value of id -5 is hot, ranges instead of buckets
+        monkeypatch.setattr(R, "HOT_ROWS", hot)
+        out, counts = B.assign_batches_counted(df, 64, ["id"], seed=3, within=["g"])
+        got = out.toPandas()
+        assert len(got) == len(rows)
+        for g in range(3):
+            own = got[got["g"] == g]
+            alone = B.assign_batches(df.where(F.col("g") == g), 64, ["id"], seed=3).toPandas()
+            assert counts[(g,)] == max(1, len(own) // 64) == own["batch_id"].nunique()
+            key = ["id", "batch_id", "batch_pos"]
+            mine, other = (x[x["id"] >= 0][key].sort_values(key).to_numpy() for x in (own, alone))
+            assert (mine == other).all()
+            sizes = own.groupby("batch_id").size()
+            assert sizes.max() - sizes.min() <= 1
+            assert not own.duplicated(["batch_id", "batch_pos"]).any()
