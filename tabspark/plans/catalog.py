@@ -447,21 +447,14 @@ def q33b(spark, d):
 
 # ---------------------------------------------------------------- training (no SQL oracle)
 
-_FITS: dict[str, train.FitResult] = {}
-
-
 def embeddings_fit(spark: SparkSession, d: str, epochs: int = 5) -> train.FitResult:
-    """A small fit on ``embeddings`` (y = label 0), shared by Q30, Q31, Q33."""
-    # The result holds DataFrames of this session: a new session fits again.
-    key = f"{spark.sparkContext.applicationId}|{d}|{epochs}"
-    if key not in _FITS:
-        emb = _t(spark, d, "embeddings").withColumn("y", (F.col("label") == 0).cast("double"))
-        tr, va = sampling.train_val_split(emb, 0.2, fixed.SEED, ["vec_id"])
-        spec = MLPSpec(64, ((16, 0.0),), 1, l2=0.001)
-        _FITS[key] = train.fit(tr, spec, "embedding", "y", va, epochs=epochs, batch_size=32,
-                               optimizer=OptimizerSpec("rmsprop", lr=0.01), class_weight={0.0: 1.0, 1.0: 3.0},
-                               keys=["vec_id"], seed=fixed.SEED)
-    return _FITS[key]
+    """A small fit on ``embeddings`` (y = label 0) for Q30, Q31 and Q33."""
+    emb = _t(spark, d, "embeddings").withColumn("y", (F.col("label") == 0).cast("double"))
+    tr, va = sampling.train_val_split(emb, 0.2, fixed.SEED, ["vec_id"])
+    spec = MLPSpec(64, ((16, 0.0),), 1, l2=0.001)
+    return train.fit(tr, spec, "embedding", "y", va, epochs=epochs, batch_size=32,
+                     optimizer=OptimizerSpec("rmsprop", lr=0.01), class_weight={0.0: 1.0, 1.0: 3.0},
+                     keys=["vec_id"], seed=fixed.SEED)
 
 
 @query("q30_fit_history_embeddings")
@@ -510,4 +503,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(profile.summary_table(prepared), "value")
 
 
+from . import catalog_fits  # noqa: E402, F401  (registers the queries of fits, scoring and missing values)
+
 __all__ = ["QUERIES", "flagship", "embeddings_fit", "predicted_class"]

@@ -58,3 +58,19 @@ def order_scorer() -> MLPModel:
 
 def ensemble_members() -> list[MLPModel]:
     return [model([w], [b]) for w, b in ENSEMBLE]
+
+# Starting points of the fits in closed form: two outputs, three classes, a linear score, a network with a hidden layer.
+TWO_OUTPUTS_W = [[0.1, -0.2], [-0.1, 0.3], [0.2, 0.1], [0.0, -0.1]]
+TWO_OUTPUTS_B = [0.1, -0.3]
+CLASSES_W = [[0.1, -0.1, 0.0], [0.2, 0.0, -0.1], [-0.2, 0.1, 0.1], [0.0, 0.3, -0.2]]
+CLASSES_B = [0.0, 0.1, -0.1]
+FLAG_MAP = {"A": 0.0, "N": 1.0, "R": 2.0}
+HIDDEN_L2 = 0.05
+ORDER_LINEAR_W = [[0.4]]
+ORDER_LINEAR_B = [0.1]
+
+
+def started(weights: list, biases: list, output: str, hidden: tuple = (), l2: float = 0.0) -> MLPModel:
+    ws = [np.array(w, dtype=np.float64) for w in weights]
+    spec = MLPSpec(ws[0].shape[0], hidden, ws[-1].shape[1], l2, output)
+    return MLPModel(spec, ws, [np.array(b, dtype=np.float64) for b in biases])

@@ -14,10 +14,10 @@ SEED = fixed.SEED
 TWO32 = 4294967296
 
 
-def _hashed(src: str, keys: list[str], tag: int, name: str = "__h") -> str:
+def _hashed(src: str, keys: list[str], tag: int, name: str = "__h", seed: int = SEED) -> str:
     """``src`` plus the integer key hash of a purpose as column ``name`` (the same arithmetic as Spark's)."""
     p = hashing.KEY_PRIME
-    h = f"CAST({hashing.tagged_seed(SEED, tag)} AS BIGINT)"
+    h = f"CAST({hashing.tagged_seed(seed, tag)} AS BIGINT)"
     for k in keys:
         folded = f"(((CAST({k} AS BIGINT)) % {p}) + {p}) % {p}"
         h = f"((({h}) * {hashing.STEP}) % {p} + ({folded}) * {hashing.KEY_MULT} % {p}) % {p}"
@@ -574,3 +574,5 @@ WITH idx AS (
 SELECT c.c_custkey, CAST(idx.i AS DOUBLE) AS c_mktsegment_index
 FROM customer c LEFT JOIN idx ON c.c_mktsegment = idx.c_mktsegment
 """
+
+from . import oracle_fits  # noqa: E402, F401  (registers the SQL of the fits)

@@ -207,7 +207,7 @@ def score_model(
     return score(scored, label, "__score", average=average, classes=classes, metrics=metrics)
 
 
-def train_ensemble(
+def train_members(
     df: DataFrame,
     label: str,
     features: Sequence[str] | str,
@@ -238,5 +238,11 @@ def train_ensemble(
                        seed=seed, inits=inits, **options)
 
 
+def train_ensemble(df: DataFrame, label: str, features: Sequence[str] | str, keys: Sequence[str], spec: MLPSpec,
+                   members: int = 3, **options) -> list[MLPModel]:
+    """The best model of each member of ``train_members``, for ``ensemble_predict``."""
+    return [r.best_model for r in train_members(df, label, features, keys, spec, members, **options)]
+
+
 __all__ = ["ScoringPipeline", "TrainedWorkflow", "train_workflow", "save_workflow", "load_workflow", "load_workflow_history",
-           "train_ensemble", "score_model", "ensemble_predict"]
+           "train_ensemble", "train_members", "score_model", "ensemble_predict"]
