@@ -22,7 +22,7 @@ from ..functions.hashing import hash_below
 from ..functions.numeric import is_numeric, present
 from ..session import ensure_checkpoint_dir
 from .columns import numeric_columns
-from .quantiles import RANK_ACCURACY, bracket_probs, collect_few, column_quantiles, exact_quantiles, ranked_quantiles
+from .quantiles import RANK_ACCURACY, collect_few, column_quantiles, exact_quantiles, ranked_quantiles
 from .scale import WIDE_MAX_COLUMNS, ColumnStats, collect_stats, minmax, scaling_stats
 
 
@@ -122,9 +122,9 @@ def summary_table(
     greatest value, in the same pass; as in Spark's ``summary``, their mean, stddev and
     quartiles are those of the values that parse as numbers.
 
-    Quartiles are exact by default: the pass of the moments also brackets them
-    approximately, one pass counts the rows below and inside the brackets and one picks the values
-    (``quantiles.column_quantiles``, which searches on where a bracket is too wide or misses);
+    Quartiles are exact by default: a sample brackets them, one pass counts the rows below and inside
+    the brackets and one picks the values (``quantiles.column_quantiles``, which searches on where a
+    bracket is too wide or misses);
     ``method="approx"`` uses ``percentile_approx`` alone (rank error at most n/accuracy).
     NaN is a missing value like null: no statistic counts it.
     """
@@ -140,12 +140,11 @@ def summary_table(
     source = df
     if texts:
         source = df.select(*[_q(c) for c in cols], *[_q(c) for c in texts])
-    asked = probs if method == "approx" else bracket_probs(probs)
-    rows = _summary_moments(source, cols, texts, asked, accuracy if method == "approx" else RANK_ACCURACY)
+    rows = _summary_moments(source, cols, texts, probs if method == "approx" else None, accuracy)
     if method == "exact":
         numbers = source.select(*[_q(c) for c in cols], *[_q(c).try_cast("double").alias(c) for c in texts])
         stats = {(c,): (r["parsed"], r["min"], r["max"], 0) for c, r in rows.items()}
-        brackets = {(c, p): (r["q"][i], r["q"][i + len(probs)]) for c, r in rows.items() if r["q"] for i, p in enumerate(probs)}
+        brackets = _brackets(numbers, [c for c, r in rows.items() if r["parsed"]], probs, max((r["parsed"] for r in rows.values()), default=0))
         qs = {(r["column_name"], r["prob"]): r["quantile"]
               for r in column_quantiles(numbers, [*cols, *texts], probs, stats, brackets=brackets).collect()}
     else:
@@ -164,19 +163,58 @@ def summary_table(
     return df.sparkSession.createDataFrame(out if strings else [r[:3] for r in out], schema)
 
 
-def _summary_moments(df: DataFrame, cols: list[str], texts: list[str], probs: Sequence[float], accuracy: int) -> dict[str, dict]:
-    """column -> count, parsed (numbers among them), mean, stddev, min, max, q (approximate quantiles), first, last (texts).
+# Rows of the sample that brackets quantiles; the brackets only say where to count, so results do not depend on it.
+BRACKET_ROWS = 50_000
 
-    One job: the table is unpivoted to (column_name, value, text) and grouped by column, so the generated code
-    does not grow with the column count and each column merges on its own task.
+
+def _brackets(df: DataFrame, cols: list[str], probs: Sequence[float], rows: int) -> dict | None:
+    """(column, p) -> two values that probably enclose the p-quantile, from about ``BRACKET_ROWS`` rows."""
+    if not cols or len(cols) > WIDE_MAX_COLUMNS:
+        return None
+    share = min(1.0, BRACKET_ROWS / max(1, rows))
+    spread = [4.0 / RANK_ACCURACY + (4.0 * math.sqrt(p * (1 - p) / BRACKET_ROWS) if share < 1.0 else 0.0) for p in probs]
+    asked = [max(0.0, p - e) for p, e in zip(probs, spread)] + [min(1.0, p + e) for p, e in zip(probs, spread)]
+    sample = df if share == 1.0 else df.sample(fraction=share, seed=0)
+    long = sample.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), present(_q(c).cast("double")).alias("value")) for c in cols])))
+    found = {r["column_name"]: r["q"] for r in long.groupBy("column_name").agg(
+        F.percentile_approx("value", asked, RANK_ACCURACY).alias("q")).collect()}
+    if any(not found.get(c) for c in cols):  # too few rows to say
+        return None
+    return {(c, p): (found[c][i], found[c][i + len(probs)]) for c in cols for i, p in enumerate(probs)}
+
+
+def _summary_moments(df: DataFrame, cols: list[str], texts: list[str], probs: Sequence[float] | None, accuracy: int) -> dict[str, dict]:
+    """column -> count, parsed (numbers among them), mean, stddev, min, max, first, last (texts), q (with ``probs``).
+
+    One job.  Up to ``WIDE_MAX_COLUMNS`` columns use one wide aggregate; wider tables, and approximate
+    quantiles, are unpivoted to (column_name, value, text) first, so the generated code stays
+    small and each column merges on its own task.
     """
+    every = [*cols, *texts]
+    value = {c: present(_q(c).try_cast("double") if c in texts else _q(c).cast("double")) for c in every}
+    if probs is None and len(every) <= WIDE_MAX_COLUMNS:
+        aggs = [F.count(F.lit(1)).alias("__rows")]
+        for i, c in enumerate(every):
+            x = value[c]
+            aggs += [F.count(x).alias(f"parsed{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"stddev{i}"),
+                     F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+            if c in texts:
+                aggs += [F.count(_q(c)).alias(f"count{i}"), F.min(_q(c)).alias(f"first{i}"), F.max(_q(c)).alias(f"last{i}")]
+        r = df.agg(*aggs).first()
+        if not r["__rows"]:
+            return {}
+        names = {c: ["parsed", "mean", "stddev", "min", "max", *(["count", "first", "last"] if c in texts else [])] for c in every}
+        out = {c: {s: r[f"{s}{i}"] for s in names[c]} for i, c in enumerate(every)}
+        return {c: {"count": m["parsed"], **m} for c, m in out.items()}
     no_text = F.lit(None).cast("string")
-    cells = [F.struct(F.lit(c).alias("column_name"), present(_q(c).cast("double")).alias("value"), no_text.alias("text")) for c in cols]
-    cells += [F.struct(F.lit(c).alias("column_name"), present(_q(c).try_cast("double")).alias("value"), _q(c).alias("text")) for c in texts]
+    cells = [F.struct(F.lit(c).alias("column_name"), value[c].alias("value"), (_q(c) if c in texts else no_text).alias("text")) for c in every]
     aggs = [F.count("value").alias("parsed"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
-            F.min("value").alias("min"), F.max("value").alias("max"), F.percentile_approx("value", list(probs), accuracy).alias("q")]
+            F.min("value").alias("min"), F.max("value").alias("max")]
     if texts:
         aggs += [F.count("text").alias("n_texts"), F.min("text").alias("first"), F.max("text").alias("last")]
+    if probs is not None:
+        aggs.append(F.percentile_approx("value", list(probs), accuracy).alias("q"))
     found = df.select(F.inline(F.array(*cells))).groupBy("column_name").agg(*aggs).collect()
     return {r["column_name"]: {**r.asDict(), "count": r["n_texts"] if r["column_name"] in texts else r["parsed"]} for r in found}
 
@@ -329,8 +367,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)), pa.array(n), pa.array(s)], ["i", "n", "s"])
 
     means = np.zeros(k)
-    for r in source.mapInArrow(totals, "i int, n double, s double").groupBy("i").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect():
-        means[r["i"]] = r["s"] / r["n"] if r["n"] else 0.0
+    if k <= WIDE_MAX_COLUMNS:
+        finite = [F.when(_is_finite(F.col(f"x{i}")), F.col(f"x{i}")) for i in range(k)]
+        means = np.array([m or 0.0 for m in source.agg(*[F.avg(x) for x in finite]).first()]) if k else means
+    else:
+        sums = source.mapInArrow(totals, "i int, n double, s double").groupBy("i").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+        for r in sums.collect():
+            means[r["i"]] = r["s"] / r["n"] if r["n"] else 0.0
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((6, k, k))

@@ -19,8 +19,7 @@ pass narrows an interval per (group, p) target:
    exact count of the rows below and in the bracket verifies it (a bracket
    that misses still cuts the interval).
 
-A caller that has brackets of the targets (``column_quantiles(brackets=)``: from
-one approximate pass over all of them) starts there: one scan counts the rows below and inside each
+A caller that has brackets of the targets (``column_quantiles(brackets=)``: from a sample) starts there: one scan counts the rows below and inside each
 bracket, and the rest of the search sees only the rows inside.
 
 Groups beyond ``MAX_GROUPS`` are not searched but ranked: the rows are numbered in the order
@@ -297,12 +296,6 @@ def _use_brackets(df: DataFrame, targets: dict, brackets: dict) -> None:
             t[6] = t[3]
 
 
-def bracket_probs(probs: Sequence[float]) -> list[float]:
-    """Ranks (as shares) between which ``percentile_approx`` with ``RANK_ACCURACY`` encloses each quantile."""
-    spread = 4.0 / RANK_ACCURACY
-    return [max(0.0, p - spread) for p in probs] + [min(1.0, p + spread) for p in probs]
-
-
 def column_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -323,16 +316,18 @@ def column_quantiles(
     targets = _targets(stats, probs)
 
     def rows_in(ivs, bins):
-        pairs = []
+        pairs, any_inside = [], F.lit(False)
         for (c,), j, lo, hi in ivs:
             x = F.col(f"`{c}`").cast("double")
+            any_inside = any_inside | ((x >= F.lit(lo)) & (x <= F.lit(hi)))
             fields = [F.lit(j).cast("long").alias("__iid"), x.alias("__v")]
             if bins is not None:
                 fields.append(bin_of(x, F.lit(float(lo)), F.lit(float(hi)), bins).alias("__bin"))
             pairs.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(*fields)))
         # A value outside every interval gives null entries; they are dropped
         # after the generator (a lambda ``filter`` would run uncompiled, 4x slower).
-        return df.select(F.inline(F.array(*pairs))).where(F.col("__iid").isNotNull())
+        # Intervals that are small hold values of few rows.
+        return (df if bins else df.where(any_inside)).select(F.inline(F.array(*pairs))).where(F.col("__iid").isNotNull())
 
     unknown = {i: t for i, t in targets.items() if t[6] is None}
     if brackets and unknown:

@@ -109,12 +109,16 @@ def _until(counts: DataFrame, by: str, need: Column, names: tuple[str, str, str]
                     F.col("__n").alias(names[2])))
 
 
-def _per_class(df: DataFrame, small: bool) -> DataFrame:
-    """A one-row-per-class table, computed once: broadcast if it is small, else written to the checkpoint folder."""
-    if small:
-        return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema))
+def _per_class(df: DataFrame) -> tuple[DataFrame, list | None]:
+    """A one-row-per-class table, computed once, and its rows if they are few.
+
+    Up to ``BROADCAST_MAX_CLASSES`` rows are read and broadcast; more are written to the checkpoint folder.
+    """
+    rows = df.limit(BROADCAST_MAX_CLASSES + 1).collect()
+    if len(rows) <= BROADCAST_MAX_CLASSES:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), rows
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=True), None
 
 
 def stratified_sample(
@@ -167,11 +171,9 @@ def stratified_sample(
         # A class with fewer than n rows is taken whole: it has no boundary bucket.
         bounds = (totals.join(edge, totals["__cls"].eqNullSafe(edge["__ecls"]), "left")
                   .select("__cls", "__b", (F.lit(n).cast("bigint") - F.col("__before")).alias("__need")))
-        classes = bounds.limit(BROADCAST_MAX_CLASSES + 1).count()  # at most the broadcast bound of it
-        if not classes:
+        bounds, known = _per_class(bounds)
+        if known == []:
             return df
-        small = classes <= BROADCAST_MAX_CLASSES
-        bounds = _per_class(bounds, small)
     finally:
         hist.unpersist()
     inside = (tagged.select(_q(label).alias("__own"), "__h", bucket.alias("__bucket"))
@@ -182,31 +184,36 @@ def stratified_sample(
         "__cls", F.coalesce("__last", F.lit(whole_hash).cast("bigint")).alias("__last"),
         F.coalesce(F.col("__need") - F.col("__less"), F.lit(0).cast("bigint")).alias("__take"),
         F.coalesce("__same", F.lit(0).cast("bigint")).alias("__same"))
-    limits = _per_class(limits, small)
+    limits, known = _per_class(limits)
     placed = tagged.join(limits, _q(label).eqNullSafe(F.col("__cls")))
     own = ["__h", "__cls", "__last", "__take", "__same"]
-    cut = limits.where("__take < __same").agg(F.count(F.lit(1)).alias("k"), F.sum("__same").alias("n")).first()
-    if not cut["k"]:
+    if known is not None:
+        split = [r["__same"] for r in known if r["__take"] < r["__same"]]
+        n_split, n_tied = len(split), sum(split)
+    else:
+        n_split, n_tied = limits.where("__take < __same").agg(F.count(F.lit(1)), F.sum("__same")).first()
+    if not n_split:
         return placed.where("__h <= __last").drop(*own)
     row = F.struct(*[_q(k) for k in keys], *[_q(c) for c in ties])
     at_limit = placed.where("__h = __last and __take < __same")
-    if cut["n"] <= WINDOW_MAX_ROWS:
+    if n_tied <= WINDOW_MAX_ROWS:
         ranked = at_limit.withColumn("__pos", F.row_number().over(Window.partitionBy("__cls").orderBy(row)))
     else:
         ranked = global_rank(at_limit, [F.col("__cls"), row], "__rank")
-        starts = _per_class(ranked.groupBy(F.col("__cls").alias("__scls")).agg(F.min("__rank").alias("__start")), small)
+        starts, _ = _per_class(ranked.groupBy(F.col("__cls").alias("__scls")).agg(F.min("__rank").alias("__start")))
         # Null-safe: a null class is a class too.
         ranked = (ranked.join(starts, ranked["__cls"].eqNullSafe(starts["__scls"])).drop("__scls")
                   .withColumn("__pos", F.col("__rank") - F.col("__start") + 1))
     nth = ranked.where("__pos = __take or __pos = __take + 1").groupBy(F.col("__cls").alias("__ecls")).agg(
         F.max(F.when(F.col("__pos") == F.col("__take"), row)).alias("__row"),
         F.max(F.when(F.col("__pos") > F.col("__take"), row)).alias("__next"))
-    nth = _per_class(nth, small)
-    if nth.where(F.col("__row").eqNullSafe(F.col("__next"))).isEmpty():
+    alike = F.col("__row").eqNullSafe(F.col("__next")).alias("__alike")
+    nth, known = _per_class(nth.select("__ecls", "__row", alike))
+    if not (any(r["__alike"] for r in known) if known is not None else not nth.where("__alike").isEmpty()):
         placed = placed.join(nth, F.col("__cls").eqNullSafe(F.col("__ecls")), "left")
         kept = placed.where((F.col("__h") < F.col("__last")) | (
             (F.col("__h") == F.col("__last")) & ((F.col("__take") == F.col("__same")) | (row <= F.col("__row")))))
-        return kept.drop(*own, "__ecls", "__row", "__next")
+        return kept.drop(*own, "__ecls", "__row", "__alike")
     below = placed.where("__h < __last or (__h = __last and __take = __same)")
     drop = [*own, "__pos", "__rank", "__start"]
     return below.drop(*drop).unionByName(ranked.where("__pos <= __take").drop(*drop))
