@@ -10,14 +10,16 @@ probability Jaccard similarity of their shingles verifies them (0.8 or more).
 
 Equal texts are one class member from the start.  Within a band's bucket no
 pairs are listed: members are verified against the bucket's least member (a
-star).  Members that the links so far leave outside their bucket's component are
-held against its other members by a sketch, one bit a register, and pairs that
-the sketch allows are verified, the closest ``TRIES`` of a member in each round, until every
-pair of a bucket is in one component, verified, or ruled out by the sketch (at
-``MAX_DIFFERENT`` different bits a pair at 0.8 is ruled out once in a million).
+star), and the verified links give components.  What is left are members outside the
+component of their bucket's least member.  Blocks of them meet blocks of the bucket's
+members, with their registers and shingles, and all pairs of different components are looked at inside
+the task: a pair whose registers differ too much is ruled out (at ``DOUBT`` standard deviations, a pair at
+0.8 once in a million), any other is verified, once over all the bands it shares; a link is a row, a pair is not, and
+one link between a member and a component is enough.
 
 Hot groups: buckets are reduced by partial aggregates and joins that AQE
-splits; texts are compared row by row in joins, never gathered per group.
+splits; a block holds at most some ``BLOCK_ROWS`` members or ``BLOCK_BYTES`` of shingles, so a
+large bucket is many blocks.
 
 Defined results: a text of one to four words is one shingle; texts without
 words have no shingles and only equal ones are duplicates (a null text equals an empty one);
@@ -28,14 +30,15 @@ class; an empty table gives no rows; other columns may have any name and are kep
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.llm.common import checkpointed
+from tabspark.llm.common import bucket_of, buckets_for, checkpointed, tasks_for
 from tabspark.llm.components import components
 from tabspark.llm.wordhash import Words, grams, mix, slices, utf8
 
@@ -43,8 +46,8 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5  # a pair at 0.8 shares no band once in 20,000 times
 ELEMENT_BITS = 48
-MAX_DIFFERENT = 29  # sketch bits of 125; 12.5 +- 3.4 are expected at similarity 0.8
-TRIES = 1000
+DOUBT = 4.9  # 78 equal registers of 125; 100 +- 4.5 are expected at similarity 0.8
+BLOCK_ROWS, OUTSIDE_ROWS, BLOCK_BYTES = 1024, 256, 8 << 20
 BROADCAST_IDS = 1_000_000  # numbers of candidate texts: 8 MB
 
 
@@ -134,39 +137,38 @@ def band_hashes(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
-def sketches(registers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One bit of each register, in two longs."""
-    bits = mix(registers) & np.uint64(1)
-    half = registers.shape[1] // 2
-    one, two = (b << np.arange(b.shape[1], dtype=np.uint64) for b in (bits[:, :half], bits[:, half:]))
-    return one.sum(axis=1, dtype=np.uint64).view(np.int64), two.sum(axis=1, dtype=np.uint64).view(np.int64)
+def fingerprints(registers: np.ndarray) -> np.ndarray:
+    """A byte of each register."""
+    return (mix(registers) & np.uint64(0xFF)).astype(np.uint8)
 
 
 def banded(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
-    """(node, key, bands array<long>, s1, s2): bands are null for a text without words."""
+    """(node, key, bands array<long>, registers binary: a byte of each): bands are null for a text without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             n = len(offsets) - 1
             out, has = np.zeros((n, bands), dtype=np.uint64), np.zeros(n, dtype=bool)
-            s1, s2 = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+            m = bands * per_band
+            short = np.zeros((n, m), dtype=np.uint8)
             for i, j in slices(offsets, 4 << 20):
                 for a in range(i, j, 1 << 16):
                     b = min(j, a + (1 << 16))
                     found = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                    registers = signatures(*found, b - a, bands * per_band)
+                    registers = signatures(*found, b - a, m)
                     out[a:b] = band_hashes(registers, bands, per_band)
-                    s1[a:b], s2[a:b] = sketches(registers)
+                    short[a:b] = fingerprints(registers)
                     has[a + np.unique(found[0])] = True
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * bands, pa.int32()),
                                              pa.array(out.ravel().view(np.int64)))
             lists = pa.compute.if_else(pa.array(has), lists, pa.scalar(None, lists.type))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, pa.array(s1), pa.array(s2)],
-                                             ["node", "key", "bands", "s1", "s2"])
+            packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.array(np.arange(n + 1, dtype=np.int32) * m).buffers()[1],
+                                                            pa.py_buffer(short.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, packed], ["node", "key", "bands", "registers"])
 
     return rows.select("node", F.md5(F.col("text").cast("binary")).alias("key"), "text").mapInArrow(
-        run, "node long, key string, bands array<long>, s1 long, s2 long")
+        run, "node long, key string, bands array<long>, registers binary")
 
 
 def weighted_shingles(rows: DataFrame) -> DataFrame:
@@ -209,6 +211,16 @@ def probability_jaccard(e1: np.ndarray, w1: np.ndarray, e2: np.ndarray, w2: np.n
     return float(sum(terms))
 
 
+def similarity_of(a: tuple[np.ndarray, np.ndarray | None], b: tuple[np.ndarray, np.ndarray | None]) -> float:
+    """Probability Jaccard of (elements, weights); no weights: all are 1 and the elements differ."""
+    if a[1] is None and b[1] is None:
+        both = len(a[0]) + len(b[0])
+        shared = both - len(np.union1d(a[0], b[0]))
+        return shared / max(1, both - shared)
+    (e1, w1), (e2, w2) = ((e, np.ones(len(e), dtype=np.uint32) if w is None else w) for e, w in (a, b))
+    return probability_jaccard(e1, w1, e2, w2)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(u, v, similarity) of each pair (u, v)."""
 
@@ -236,40 +248,106 @@ def links_between(classes: DataFrame, rows: DataFrame, similarity: float) -> Dat
     """(u, v, similarity): verified links that connect whatever the buckets' verified pairs connect."""
     members = stars(classes.select(F.col("node").alias("u"), F.explode("bands").alias("bucket")))
     ids = members.select(F.col("u").alias("node")).distinct()
-    known = checkpointed(classes.join(ids, "node").select("node", "key", "s1", "s2"))
+    known = checkpointed(classes.join(ids, "node").select("node", "key", "bands", "registers"))
     wanted = known.select("node", "key")
     if known.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     text_of = rows.withColumn("key", F.md5(F.col("text").cast("binary"))).join(wanted, ["node", "key"])
     sets = checkpointed(weighted_shingles(text_of).dropDuplicates(["node"]))
-    done = checkpointed(verified(members.select("u", "v").where("u != v").distinct(), sets))
-    while True:
-        links = done.where(F.col("similarity") >= similarity)
-        asked = outside_pairs(members, known, checkpointed(components(links)), done)
-        if asked.isEmpty():
-            return links
-        done = checkpointed(done.unionByName(verified(asked, sets)))
-
-
-def outside_pairs(members: DataFrame, known: DataFrame, group: DataFrame, done: DataFrame) -> DataFrame:
-    """(u, v) to verify next: members outside the component of their bucket's least member, with members that the
-    sketch allows and that are in another component."""
+    star = verified(members.select("u", "v").where("u != v").distinct(), sets)
+    links = checkpointed(star.where(F.col("similarity") >= similarity))
+    group = checkpointed(components(links))
+    return links.unionByName(links_outside(members, known, sets, group, similarity))
+
+
+def least_equal(registers: int, similarity: float) -> int:
+    """Equal registers that a pair at ``similarity`` has but for ``DOUBT`` standard deviations."""
+    return max(1, math.floor(registers * similarity - DOUBT * math.sqrt(registers * similarity * (1 - similarity))))
+
+
+def links_outside(members: DataFrame, known: DataFrame, sets: DataFrame, group: DataFrame, similarity: float) -> DataFrame:
+    """(u, v, similarity): links between components that share a bucket, one at least for each member and component
+    that have any."""
+    spark = members.sparkSession
     of = lambda c, name: group.select(F.col("node").alias(c), F.col("component").alias(name))
     placed = (members.join(of("u", "cu"), "u", "left").join(of("v", "cv"), "v", "left")
-              .select("bucket", "u", F.coalesce("cu", "u").alias("c"), F.coalesce("cv", "v").alias("cv")))
-    mixed = checkpointed(placed.where("c != cv").select("bucket", "u", "c").join(
-        known.select(F.col("node").alias("u"), "s1", "s2"), "u"))
-    whole = placed.join(mixed.select("bucket").distinct(), "bucket", "left_semi").join(
-        known.select(F.col("node").alias("u"), F.col("s1").alias("t1"), F.col("s2").alias("t2")), "u").select(
-        "bucket", F.col("u").alias("w"), F.col("c").alias("d"), "t1", "t2")
-    different = F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("t2")))
-    near = mixed.join(whole, (mixed["bucket"] == whole["bucket"]) & (F.col("c") != F.col("d")) & (different <= MAX_DIFFERENT))
-    pairs = (near.groupBy("u", "w").agg(F.min(different).alias("n"))
-             .join(done.select(F.col("u"), F.col("v").alias("w")), ["u", "w"], "left_anti")
-             .join(done.select(F.col("v").alias("u"), F.col("u").alias("w")), ["u", "w"], "left_anti"))
-    closest = Window.partitionBy("u").orderBy("n", "w")
-    tried = pairs.withColumn("k", F.row_number().over(closest)).where(F.col("k") <= TRIES)
-    return checkpointed(tried.select(F.greatest("u", "w").alias("u"), F.least("u", "w").alias("v")).distinct())
+              .select("bucket", "u", F.coalesce("cu", "u").alias("c"), (F.coalesce("cu", "u") != F.coalesce("cv", "v")).alias("outside")))
+    sized = placed.join(sets.select(F.col("node").alias("u"), F.octet_length("elements").alias("size")), "u")
+    mixed = sized.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("outside").cast("long")).alias("n_outside"), F.sum("size").alias("size"),
+        F.sum(F.when(F.col("outside"), F.col("size")).otherwise(0)).alias("size_outside")).where(F.col("n_outside") > 0)
+    blocks = lambda n, rows, size: F.greatest(F.ceil(n / rows), F.ceil(F.col(size) / BLOCK_BYTES)).cast("int")
+    mixed = checkpointed(mixed.select("bucket", blocks(F.col("n"), BLOCK_ROWS, "size").alias("all_blocks"),
+                                      blocks(F.col("n_outside"), OUTSIDE_ROWS, "size_outside").alias("outside_blocks")))
+    own = lambda name: F.pmod(F.xxhash64("u"), F.col(name).cast("long")).cast("int")
+    every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    held = checkpointed(placed.join(mixed, "bucket"))
+    inside = held.select("bucket", "u", "c", "outside", F.lit(False).alias("asks"), own("all_blocks").alias("i"), every("outside_blocks").alias("j"))
+    asking = held.where("outside").select("bucket", "u", "c", "outside", F.lit(True).alias("asks"), every("all_blocks").alias("i"),
+                                          own("outside_blocks").alias("j"))
+    dealt = inside.unionByName(asking)
+    text_sets = sets.select(F.col("node").alias("u"), "elements", "weights")
+    full = (dealt.join(known.select(F.col("node").alias("u"), "bands", "registers"), "u").join(text_sets, "u"))
+    totals = held.join(text_sets, "u").agg(F.count(F.lit(1)), F.sum(F.octet_length("elements") + F.octet_length("weights"))).first()
+    groups = tasks_for(spark, buckets_for((totals[1] or 0) + 400 * totals[0], BLOCK_BYTES))
+
+    def run(table: pa.Table) -> pa.Table:
+        return outside_block_links(table, similarity)
+
+    return (full.withColumn("task", bucket_of(groups, F.col("bucket"), F.col("i"), F.col("j")))
+            .repartition(groups, "task").groupBy("task").applyInArrow(run, "u long, v long, similarity double"))
+
+
+def outside_block_links(table: pa.Table, similarity: float) -> pa.Table:
+    """Links of many pairs of blocks: members that ask (outside) against members of their bucket."""
+    table = table.combine_chunks()
+    bucket, u, c, i, j = (table.column(k).to_numpy() for k in ("bucket", "u", "c", "i", "j"))
+    outside, asks = (table.column(k).to_numpy(zero_copy_only=False) for k in ("outside", "asks"))
+    n = len(u)
+    bands = np.stack([x.values.to_numpy() for x in table.column("bands")]) if n else np.zeros((0, 1), np.int64)
+    registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(n, -1)
+    elements, weights = table.column("elements").to_pylist(), table.column("weights").to_pylist()
+    least = least_equal(registers.shape[1], similarity)
+    unpacked_sets: dict[int, tuple] = {}
+
+    def own_set(r: int) -> tuple[np.ndarray, np.ndarray | None]:
+        if u[r] not in unpacked_sets:
+            e = np.frombuffer(elements[r], "<u4")
+            repeated = len(e) > 1 and bool((e[1:] == e[:-1]).any())
+            w = unpacked(elements[r], weights[r])[1] if weights[r] or repeated else None
+            unpacked_sets[u[r]] = (e, w)
+        return unpacked_sets[u[r]]
+
+    found = []
+    order = np.lexsort((j, i, bucket))
+    new = (bucket[order][1:] != bucket[order][:-1]) | (i[order][1:] != i[order][:-1]) | (j[order][1:] != j[order][:-1])
+    for run in np.split(order, np.flatnonzero(new) + 1):
+        a, b = run[asks[run]], run[~asks[run]]
+        if not len(a) or not len(b):
+            continue
+        # Of two members that both ask, the smaller one does.
+        open_pair = (c[a][:, None] != c[b][None]) & (~outside[b][None] | (u[a][:, None] < u[b][None]))
+        rows, cols = np.nonzero(open_pair)
+        equal = np.concatenate([(registers[a[rows[k:k + 65536]]] == registers[b[cols[k:k + 65536]]]).sum(axis=1)
+                                for k in range(0, len(rows), 65536)] or [np.zeros(0, int)])
+        near = equal >= least
+        rows, cols, equal = rows[near], cols[near], equal[near]
+        shared = bands[a[rows]] == bands[b[cols]]
+        first = bands[a[rows], shared.argmax(axis=1)] == bucket[run[0]]  # a pair is looked at in the first band it shares
+        rows, cols, equal = rows[first], cols[first], equal[first]
+        linked = set()
+        closest = np.argsort(-equal, kind="stable")
+        for r, k in zip(rows[closest].tolist(), cols[closest].tolist()):
+            x, y = a[r], b[k]
+            if (x, c[y]) in linked:
+                continue
+            s = similarity_of(own_set(x), own_set(y))
+            if s >= similarity:
+                linked.add((x, c[y]))
+                found.append((max(u[x], u[y]), min(u[x], u[y]), s))
+        unpacked_sets.clear()
+    columns = list(zip(*found)) or [[], [], []]
+    return pa.table([pa.array(col, t) for col, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], ["u", "v", "similarity"])
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
@@ -277,7 +355,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     """(doc_id, copy_id, class_id, node) of every row: the least number of its equal texts, of its class, its own."""
     rows = rows_of(docs)
     classes = checkpointed(banded(rows, bands, per_band).groupBy("key")
-                           .agg(F.min("node").alias("node"), *[F.first(c).alias(c) for c in ("bands", "s1", "s2")]))
+                           .agg(F.min("node").alias("node"), *[F.first(c).alias(c) for c in ("bands", "registers")]))
     group = components(links_between(classes, rows, similarity))
     named = (classes.select("key", "node").join(group, "node", "left")
              .select("key", F.col("node").alias("copy_id"), F.coalesce("component", "node").alias("class_id")))

@@ -61,6 +61,26 @@ def test_keep_one(spark):
     assert len([i for i in ids if i in (300, 301, 302)]) == 2  # null and empty are equal, blanks are another text
 
 
+def test_copies_linked_by_their_neighbours_only(spark, monkeypatch):
+    """Copies of an absent text with one word changed: only those changed at nearby places are similar."""
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(neardup, "OUTSIDE_ROWS", 3)
+    rng = random.Random(11)
+    data = []
+    for g in range(3):
+        base = prose(rng, 60, 9000).split()
+        for k, at in enumerate(rng.sample(range(60), 34)):
+            own = list(base)
+            own[at] = f"other{g}x{k}"
+            data.append((1000 * g + k, " ".join(own)))
+    data += [(5000 + i, prose(rng, 50, 9000)) for i in range(30)]
+    groups = {}
+    for r in neardup.near_duplicates(documents(spark, data)).collect():
+        groups.setdefault(r["class_id"], []).append(str(r["doc_id"]))
+    assert sorted(sorted(g) for g in groups.values()) == brute(data)
+    assert max(map(len, groups.values())) > 5
+
+
 def test_other_texts_of_an_id_stay(spark):
     rng = random.Random(8)
     a, b, c = (prose(rng, 50, 4000) for _ in range(3))
