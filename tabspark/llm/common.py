@@ -51,3 +51,11 @@ def tasks_for(spark: SparkSession, groups: int) -> int:
 
 def bucket_of(n: int, *keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n).cast("long")).cast("int")
+
+
+def private(name: str, docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have, in any spelling."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -15,8 +15,9 @@ The rows are dealt by norm (``NORM_STEPS`` ranges to a doubling, so that the add
 stays small) into blocks of some ``BLOCK_ROWS``, each with a forest of
 its own, and the queries into blocks too; a task holds one block of each.  The 20 best of a
 block are merged over the blocks.  A block's trees ascend until the different rows that they
-hold are ``SHARE`` of its rows, whatever the size of the block (up to 20 rows are taken whole).
-The share is what vectors without clusters need for a recall of 0.9 (measured in the tests).
+hold are a share of its rows (up to 20 rows are taken whole).  The share falls as a power of the number of
+all rows: the more rows, the nearer are the 20 nearest, and the longer the prefixes they share.  It is what
+vectors without clusters need for a recall above 0.9 (measured in the tests and in the README).
 
 Defined results: vectors that are null, zero, of another length than most, or
 hold a null or non-finite component take no part, nor do rows without vec_id;
@@ -41,7 +42,7 @@ from tabspark.llm.common import bucket_of, buckets_for, checkpointed, tasks_for
 NEAREST = 20
 TREES = 64
 BITS = 32
-SHARE = 0.7
+SHARE, SHARE_ROWS, SHARE_POWER = 0.7, 4000, 0.25  # up to 4,000 rows; beyond, it falls with the fourth root of their number
 NORM_STEPS = 4
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
@@ -151,6 +152,11 @@ def block_nearest(x: np.ndarray, ids: np.ndarray, starts: np.ndarray, q: np.ndar
     return tuple(np.concatenate(c) for c in out)
 
 
+def share_of(n: int) -> float:
+    """The share of a block's rows to look at when there are ``n`` rows in all."""
+    return min(SHARE, SHARE * (SHARE_ROWS / max(1, n)) ** SHARE_POWER)
+
+
 def wanted(n: int, share: float, least: int) -> int:
     """Different rows to find in a block of n; up to ``least`` are taken whole."""
     return n if n <= least else math.ceil(share * n)
@@ -185,10 +191,14 @@ def norm_blocks(rows: DataFrame) -> tuple[DataFrame, int]:
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST, trees: int = TREES, bits: int = BITS,
-            share: float = SHARE, least: int = NEAREST) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the rows whose vec_id is divisible by ``every``, against all rows."""
+            share: float | None = None, least: int = NEAREST) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the rows whose vec_id is divisible by ``every``, against all rows.
+
+    ``share``: of each block's rows to look at; by default ``share_of`` the number of rows.
+    """
     rows = checkpointed(usable(vectors))
     n, n_queries, dim = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0), F.max(F.size("embedding"))).first()
+    share = share_of(n) if share is None else share
     own, blocks = norm_blocks(distinct_vectors(rows, n, k))
     query_blocks = buckets_for(n_queries, BLOCK_QUERIES)
     query_block = bucket_of(query_blocks, F.col("vec_id"), F.lit("query"))

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.llm.common import bucket_of, buckets_for, checkpointed, tasks_for
+from tabspark.llm.common import bucket_of, buckets_for, checkpointed, private, tasks_for
 from tabspark.llm.components import components
 from tabspark.llm.wordhash import Words, grams, mix, slices, utf8
 
@@ -51,14 +51,6 @@ BLOCK_ROWS, OUTSIDE_ROWS, BLOCK_BYTES = 1024, 256, 8 << 20
 BROADCAST_IDS = 1_000_000  # numbers of candidate texts: 8 MB
 
 
-def private(name: str, docs: DataFrame) -> str:
-    """A column name that ``docs`` does not have, in any spelling."""
-    taken = {c.lower() for c in docs.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def clean_text() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 

@@ -32,7 +32,7 @@ from tabspark.llm.common import bucket_of, buckets_for, id_and_text, tasks_for,
 SEQUENCE_TOKENS = 1024
 END_ID = 2
 OPEN_SEQUENCES = 2048
-BYTES_PER_PACKER = 512 << 20
+BYTES_PER_PACKER = 64 << 20
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -169,7 +169,8 @@ def pack(pieces: DataFrame, packers: int, size: int = SEQUENCE_TOKENS,
                 .append_column("offset", pa.array(offsets, pa.int64())).select(columns))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    dealt = pieces.withColumn("packer", bucket_of(packers, F.col("doc_id"), F.col("piece"), F.col("ids_crc32")))
+    # By row number: repeated rows are spread like any others.
+    dealt = pieces.withColumn("packer", bucket_of(packers, F.monotonically_increasing_id()))
     return (dealt.repartition(tasks_for(pieces.sparkSession, packers), "packer").groupBy("packer")
             .applyInArrow(run, schema + ", sequence_id long, offset long"))
 

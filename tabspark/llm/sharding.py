@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.llm.common import checkpointed
+from tabspark.llm.common import checkpointed, private
 from tabspark.operators.ranking import global_rank
 
 SHARDS = 24
@@ -121,10 +121,10 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     return [(k, known[k][1]) for k in nearest]
 
 
-def shard_of(bounds: list[tuple[Key, int]]) -> Column:
+def shard_of(bounds: list[tuple[Key, int]], h: str = "h", d: str = "d") -> Column:
     out = F.lit(0)
-    for (h, d), _ in bounds:
-        out = out + ((F.col("h") > h) | ((F.col("h") == h) & (F.col("d") >= d))).cast("int")
+    for (bound_h, bound_d), _ in bounds:
+        out = out + ((F.col(h) > bound_h) | ((F.col(h) == bound_h) & (F.col(d) >= bound_d))).cast("int")
     return out.alias("shard")
 
 
@@ -140,11 +140,17 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, tolerance: float = TO
             .select("doc_id", "size", "text_crc32", "shard", "slot"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, tolerance: float = TOLERANCE) -> None:
-    """Write whole rows under ``path``/shard=k, each shard in key order over as many files as its ranges."""
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, tolerance: float = TOLERANCE) -> str:
+    """Write whole rows under ``path``/shard=k, each shard in key order over as many files as its ranges.
+
+    Every column of ``docs`` is written.  The folders' column, whose name is returned, is ``shard``, or ``shard_``
+    (and so on) where ``docs`` has one of that name.
+    """
+    h, d, shard = (private(c, docs) for c in ("h", "d", "shard"))
     bounds = splitters(checkpointed(keyed(docs)), shards, tolerance)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    whole = (docs.withColumn("h", F.xxhash64(text))
-             .withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))))
-    parts = whole.withColumn("shard", shard_of(bounds)).repartitionByRange("h", "d").sortWithinPartitions("h", "d")
-    parts.drop("h", "d").write.partitionBy("shard").parquet(path)
+    whole = (docs.withColumn(h, F.xxhash64(text))
+             .withColumn(d, F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))))
+    parts = whole.withColumn(shard, shard_of(bounds, h, d)).repartitionByRange(h, d).sortWithinPartitions(h, d)
+    parts.drop(h, d).write.partitionBy(shard).parquet(path)
+    return shard

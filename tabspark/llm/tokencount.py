@@ -12,9 +12,9 @@ lower-cased first, as the tokenizer does.  Everything else (NFC, other white
 space, special strings inside texts) is left to the tokenizer itself.
 
 The join has two tiers.  Pre-tokens are counted over the corpus; the
-``HOT_WORDS`` most frequent ones of at most ``HOT_BYTES`` bytes go to the
-tasks as a dictionary (its size is bounded by these two numbers), which also takes
-every hot key out of the shuffle.  All others are joined by a shuffle on the pre-token.
+``HOT_WORDS`` most frequent ones go to the
+tasks as a dictionary, those of more than ``HOT_BYTES`` bytes by their SHA-256 (so its size is bounded by
+these two numbers), which also takes every hot key out of the shuffle.  All others are joined by a shuffle on the pre-token.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; null doc_ids
 and repeated rows are counted each for itself; an empty table gives no rows;
@@ -27,6 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import pyarrow as pa
 import public_tokenizers
@@ -86,17 +87,24 @@ def piece_counts(words: DataFrame, path: str) -> DataFrame:
     return words.mapInArrow(run, "word binary, n long, pieces long")
 
 
+def hot_key(word: bytes) -> bytes:
+    """A pre-token as the dictionary knows it."""
+    return word if len(word) <= HOT_BYTES else b"\0" + sha256(word).digest()
+
+
 def frequent(pieces: DataFrame, most: int) -> DataFrame:
-    """The most frequent short pre-tokens, ``most`` at most: those above a frequency that a histogram gives."""
-    short = pieces.where(F.octet_length("word") <= HOT_BYTES)
+    """(key, pieces) of the most frequent pre-tokens, ``most`` at most: those above a frequency that a histogram gives."""
     grade = F.floor(F.log2("n") * 16)  # sixteen grades for each doubling
     left, least = most, None
-    for row in sorted(short.groupBy(grade.alias("grade")).count().collect(), key=lambda r: -r["grade"]):
+    for row in sorted(pieces.groupBy(grade.alias("grade")).count().collect(), key=lambda r: -r["grade"]):
         left -= row["count"]
         if left < 0:
             break
         least = row["grade"]
-    return short.where(grade >= least) if least is not None else short.where(F.lit(False))
+    long = F.octet_length("word") > HOT_BYTES
+    key = F.when(long, F.concat(F.lit(bytearray(1)), F.unhex(F.sha2("word", 256)))).otherwise(F.col("word"))
+    chosen = pieces.where(grade >= least) if least is not None else pieces.where(F.lit(False))
+    return chosen.select(key.alias("key"), "pieces")
 
 
 def rare_frequencies(docs: DataFrame, hot: dict[bytes, int]) -> DataFrame:
@@ -115,7 +123,7 @@ def rare_frequencies(docs: DataFrame, hot: dict[bytes, int]) -> DataFrame:
             for doc_id, text, row in rows:
                 tokens, rare = 0, []
                 for word in pre_tokens(text):
-                    pieces = get(word)
+                    pieces = get(word if len(word) <= HOT_BYTES else hot_key(word))
                     if pieces is None:
                         rare.append(word)
                     else:
@@ -144,8 +152,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str | None = None, limit: int
     path = tokenizer_path or public_tokenizers.path(DEFAULT_TOKENIZER)
     docs = id_and_text(docs)
     pieces = checkpointed(piece_counts(vocabulary(docs), path))
-    found = frequent(pieces, hot_words).select("word", "pieces").toArrow()
-    hot = dict(zip(found.column("word").to_pylist(), found.column("pieces").to_pylist()))
+    found = frequent(pieces, hot_words).toArrow()
+    hot = dict(zip(found.column("key").to_pylist(), found.column("pieces").to_pylist()))
     rare = rare_frequencies(docs, hot)
     tokens = F.sum(F.col("hot") + F.coalesce(F.col("n") * F.col("pieces"), F.lit(0))).cast("long")
     counted = (rare.join(pieces.select("word", "pieces"), "word", "left").groupBy("rid")

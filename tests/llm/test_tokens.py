@@ -22,6 +22,19 @@ def test_counts_are_the_tokenizers(spark, hot_words):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_long_frequent_words(spark, monkeypatch):
+    """Words beyond the dictionary's size are known by their digest; none of them is left for the shuffle."""
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    url = "https://example.org/" + "a-very-long-path/" * 9
+    data = [(i, f"{url} {url} word{i} {url}é") for i in range(90)]
+    got = {r["doc_id"]: r["n_tokens"] for r in tokencount.token_counts(documents(spark, data)).collect()}
+    assert got == {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in data}
+    words = [url.encode(), b"short", url.encode() + b"x"]
+    frame = spark.createDataFrame([(bytearray(w), 10, k) for k, w in enumerate(words)], "word binary, n long, pieces long")
+    keys = {bytes(r["key"]): r["pieces"] for r in tokencount.frequent(frame, 100).collect()}
+    assert keys == {tokencount.hot_key(w): k for k, w in enumerate(words)}
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("aB'.,!? \n\ṯ̀ \x1c<|>"))))
 def test_pre_tokens_add_up(text):
@@ -37,6 +50,14 @@ def test_fast_ids_are_the_tokenizers(text):
     assert bpe.ids(text) == bpe.slow.encode(text, add_special_tokens=False).ids
 
 
+def test_repeated_rows_are_dealt_over_packers(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BYTES_PER_PACKER", 1000)
+    data = [(7, "one text that a third of all rows hold")] * 200 + [(i, f"another text {i}") for i in range(400)]
+    got = packing.pack_documents(documents(spark, data)).collect()
+    packers = {r["sequence_id"] >> 32 for r in got if r["doc_id"] == 7}
+    assert len(got) == 600 and len(packers) > 5
+
+
 def test_packing_round_trip(spark):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = sorted([(i, [*t.encode(x or "", add_special_tokens=False).ids, 2]) for i, x in rows()], key=repr)
