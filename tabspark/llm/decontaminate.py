@@ -10,7 +10,8 @@ the item is one window only and goes to the exact comparison without a fingerpri
 
 A window without any shingle of an item has similarity 0, so fingerprints
 are made only for windows that hold one; these are found by joining all
-shingles of all documents with the items' shingles.
+shingles of all documents with the items' shingles.  At this similarity the radius is so wide that the
+blocks are short (3 bits): the multi-index loses nothing, but it is this join that keeps the candidates few.
 
 All of it is DataFrame functions.  The items' shingles are broadcast when
 they number at most ``BROADCAST_ROWS`` (else joined by shuffle), and so are the hashes
@@ -36,7 +37,8 @@ SIMILARITY = 0.8
 BITS = 64
 RADIUS = 20  # 9.7 +- 2.9 bits differ at similarity 0.8
 BROADCAST_ROWS = 1_000_000
-LANES = 0x0001000100010001  # four 16-bit counters in a long
+LANE_BITS = 32  # two counters in a long: no array has 2^32 elements
+LANES = (1 << LANE_BITS) | 1
 
 
 def word_array(text: Column) -> Column:
@@ -59,12 +61,12 @@ def simhash(shingles: Column) -> Column:
     """SimHash of an array of hashes; a hash that occurs twice counts twice."""
     out = F.lit(0).cast("long")
     n = F.size(shingles)
-    for j in range(16):
+    for j in range(LANE_BITS):
         ones = F.aggregate(shingles, F.lit(0).cast("long"),
                            lambda acc, h: acc + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(LANES)))
-        for lane in range(4):
-            many = F.shiftrightunsigned(ones, 16 * lane).bitwiseAND(F.lit(0xFFFF)) * 2 > n
-            bit = 1 << (j + 16 * lane)
+        for lane in range(BITS // LANE_BITS):
+            many = F.shiftrightunsigned(ones, LANE_BITS * lane).bitwiseAND(F.lit((1 << LANE_BITS) - 1)) * 2 > n
+            bit = 1 << (j + LANE_BITS * lane)
             out = out.bitwiseOR(F.when(many, F.lit(bit - (1 << 64) if bit >> 63 else bit).cast("long"))
                                 .otherwise(F.lit(0).cast("long")))
     return out

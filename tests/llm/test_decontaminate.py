@@ -1,7 +1,10 @@
+import random
 from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tabspark.llm import decontaminate
 from tests.llm.fixtures import documents, empty, rows, words
 
@@ -127,3 +130,16 @@ def test_documents_shorter_than_the_item(spark):
     assert {0, 1, 2, 3, 4, 8, 10, 11} <= {r[0] for r in want} and not {5, 6, 7, 12, 13} & {r[0] for r in want}
     got = decontaminate.contaminated(documents(spark, data), table_of(spark, items)).collect()
     assert sorted([(r["doc_id"], r["item_id"], r["start"], r["n_words"], round(r["similarity"], 9)) for r in got], key=repr) == want
+
+
+def test_fingerprints_of_very_long_texts(spark):
+    """More shingles than a 16-bit counter holds."""
+    rng = random.Random(9)
+    kinds = [rng.getrandbits(64) - (1 << 63) for _ in range(7)]
+    own = [kinds[i % 7 if i % 3 else 0] for i in range(140_001)]
+    want = 0
+    for bit in range(64):
+        ones = sum((h >> bit) & 1 for h in own)
+        want |= (2 * ones > len(own)) << bit
+    got = spark.createDataFrame([(own,)], "s array<long>").select(decontaminate.simhash(F.col("s")).alias("f")).first()["f"]
+    assert got % (1 << 64) == want
