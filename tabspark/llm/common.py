@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +62,20 @@ def private(name: str, docs: DataFrame) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` (for ``mapInArrow``), after which the worker gives freed memory back.
+
+    Workers live on between tasks; what they keep would add to every later stage of an executor.
+    """
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+            if trim:
+                trim(0)
+
+    return own

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.llm.common import bucket_of, buckets_for, checkpointed, private, tasks_for
+from tabspark.llm.common import bucket_of, buckets_for, checkpointed, private, tasks_for, tidy
 from tabspark.llm.components import components
 from tabspark.llm.wordhash import Words, grams, mix, slices, utf8
 
@@ -144,7 +144,7 @@ def banded(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
             out, has = np.zeros((n, bands), dtype=np.uint64), np.zeros(n, dtype=bool)
             m = bands * per_band
             short = np.zeros((n, m), dtype=np.uint8)
-            for i, j in slices(offsets, 4 << 20):
+            for i, j in slices(offsets, 1 << 20):
                 for a in range(i, j, 1 << 16):
                     b = min(j, a + (1 << 16))
                     found = shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
@@ -160,7 +160,7 @@ def banded(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, packed], ["node", "key", "bands", "registers"])
 
     return rows.select("node", F.md5(F.col("text").cast("binary")).alias("key"), "text").mapInArrow(
-        run, "node long, key string, bands array<long>, registers binary")
+        tidy(run), "node long, key string, bands array<long>, registers binary")
 
 
 def weighted_shingles(rows: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def weighted_shingles(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(elements, pa.binary()),
                                               pa.array(weights, pa.binary())], ["node", "elements", "weights"])
 
-    return rows.select("node", "text").mapInArrow(run, "node long, elements binary, weights binary")
+    return rows.select("node", "text").mapInArrow(tidy(run), "node long, elements binary, weights binary")
 
 
 def unpacked(elements: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +226,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("node").alias("u"), F.col("elements").alias("e1"), F.col("weights").alias("w1"))
     two = sets.select(F.col("node").alias("v"), F.col("elements").alias("e2"), F.col("weights").alias("w2"))
     joined = pairs.join(one, "u").join(two, "v").select("u", "v", "e1", "w1", "e2", "w2")
-    return joined.mapInArrow(run, "u long, v long, similarity double")
+    return joined.mapInArrow(tidy(run), "u long, v long, similarity double")
 
 
 def stars(buckets: DataFrame) -> DataFrame:

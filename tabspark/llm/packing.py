@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.llm.common import bucket_of, buckets_for, id_and_text, tasks_for, text_bytes
+from tabspark.llm.common import bucket_of, buckets_for, id_and_text, tasks_for, text_bytes, tidy
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
@@ -117,7 +117,7 @@ def tokenised_pieces(docs: DataFrame, path: str, size: int = SEQUENCE_TOKENS, en
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return id_and_text(docs).mapInArrow(run, schema)
+    return id_and_text(docs).mapInArrow(tidy(run), schema)
 
 
 def best_fit(lengths: list[int], size: int, open_sequences: int) -> tuple[list[int], list[int]]:

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.llm.common import id_and_text
+from tabspark.llm.common import id_and_text, tidy
 from tabspark.llm.wordhash import IS_WORD, Words, mix, slices, utf8
 
 BUCKETS = 1 << 16
@@ -38,6 +38,7 @@ MAX_TRAIN_ROWS = 3000
 EPOCHS = 8
 RATE = 1.0
 SEED = 7
+SLICE_BYTES = 1 << 19  # of text whose features are held at once, at some 120 bytes each
 THRESHOLD = 0.7
 HELD_OUT = 2  # remainder of crc32(doc_id) mod 4 that is never learnt from
 
@@ -80,7 +81,7 @@ def bags(docs: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(2), pa.array([b for b, _ in found], pa.list_(pa.int32())),
                  pa.array([n for _, n in found], pa.list_(pa.int32()))], ["doc_id", "label", "bucket", "n"])
 
-    return docs.mapInArrow(run, "doc_id long, label int, bucket array<int>, n array<int>")
+    return docs.mapInArrow(tidy(run), "doc_id long, label int, bucket array<int>, n array<int>")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -151,7 +152,7 @@ def text_scores(texts: pa.Array, shares: np.ndarray, bias: float) -> np.ndarray:
     """Probability of class 1 of each text (no nulls)."""
     data, offsets = utf8(texts)
     total, number = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
-    for i, j in slices(offsets):
+    for i, j in slices(offsets, SLICE_BYTES):
         bucket, owner = feature_buckets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
         total[i:j] = np.bincount(owner, shares[bucket], j - i)
         number[i:j] = np.bincount(owner, minlength=j - i)
@@ -167,7 +168,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             score = text_scores(batch.column(1), *shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, score double")
+    return id_and_text(docs).mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -187,4 +188,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
             score = text_scores(pc.fill_null(batch.column(at), ""), *shared.value)
             yield batch.filter(pa.array(score >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

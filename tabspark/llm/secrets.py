@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.llm.common import id_and_text
+from tabspark.llm.common import id_and_text, tidy
 
 # The base patterns and the characters of a token.
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -100,7 +100,7 @@ def pair_counts(docs: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(label == 1), pa.array(pair, pa.int32()),
                                           pa.array(counts[label, pair])], ["random", "pair", "n"])
 
-    found = id_and_text(docs).mapInArrow(run, "random boolean, pair int, n long")
+    found = id_and_text(docs).mapInArrow(tidy(run), "random boolean, pair int, n long")
     return found.groupBy("random", "pair").agg(F.sum("n").alias("n"))
 
 
@@ -172,7 +172,7 @@ def scan(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
                 rows.append(row | {f"n_{name}": kinds.count(k) for k, name in enumerate(KINDS)})
             yield pa.RecordBatch.from_pylist(rows, fields)
 
-    return id_and_text(docs).mapInArrow(run, schema)
+    return id_and_text(docs).mapInArrow(tidy(run), schema)
 
 
 def every_span(text: str, base: list[tuple[int, int, int, int, int]], ratio: np.ndarray | None,
@@ -198,17 +198,17 @@ def redacted(docs: DataFrame, min_ratio: float = MIN_RATIO, mark: str = "[SECRET
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for text in batch.column(at).to_pylist():
+            texts, before = [], batch.column(at).to_pylist()
+            for text in before:
                 spans = text and every_span(text, base_spans(text), model.value, min_ratio)
                 texts.append(without(text, spans, mark) if spans else text)
             columns = list(batch.columns)
             if counted is not None:
                 sizes = [None if t is None else len(t) for t in texts]
-                same = [a == b for a, b in zip(texts, columns[at].to_pylist())]
+                same = [a == b for a, b in zip(texts, before)]
                 old = columns[counted].to_pylist()
                 columns[counted] = pa.array([o if s else n for o, n, s in zip(old, sizes, same)], columns[counted].type)
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
