@@ -7,7 +7,7 @@ licences.  The whole text of a document is looked up, and so is each of its line
 a whole, since notices stand alone in a line, and each of its paragraphs of several lines
 (runs between blank lines), since notices are wrapped.
 
-The SQL form knows whole texts and lines, of the shorter list and without the title rule.
+The SQL form follows the same rules.
 
 All of it is DataFrame functions.  The known digests are as many as the list
 that is given (here a fixed one of some thirty), broadcast for the join.
@@ -85,30 +85,38 @@ def _quoted(s: str) -> str:
 
 def _canonical_sql(text: str) -> str:
     out = f"regexp_replace(lower({text}), {_quoted(COPYRIGHT_LINE)}, ' ', 'g')"
+    out = f"regexp_replace({out}, {_quoted(TITLE_LINE)}, ' ', 'g')"
     for pattern, to in SPELLINGS:
         out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(to)}, 'g')"
     return f"trim(regexp_replace({out}, {_quoted('[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')}, ' ', 'g'))"
 
 
+# A paragraph counts unless it is the whole text or one of its own lines in canonical form.
 SCAN_SQL = f"""
 WITH known AS (
   SELECT sha256({_canonical_sql('text')}) AS digest, min(licence) AS licence
-  FROM (VALUES {', '.join(f'({_quoted(n)}, {_quoted(t)})' for n, t in TEXTS)}) AS k(licence, text)
+  FROM (VALUES {', '.join(f'({_quoted(n)}, {_quoted(t)})' for n, t in KNOWN)}) AS k(licence, text)
   GROUP BY 1
 ), own AS (
   SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
 ), parts AS (
-  SELECT row_id, doc_id, true AS whole, text FROM own
+  SELECT row_id, doc_id, 'whole' AS kind, text FROM own
   UNION ALL
-  SELECT row_id, doc_id, false, unnest(string_split(text, chr(10))) FROM own
+  SELECT row_id, doc_id, 'line', unnest(string_split(text, chr(10))) FROM own
+  UNION ALL
+  SELECT row_id, doc_id, 'paragraph', unnest(list_filter(string_split_regex(text, '\\n[ \\t\\r]*\\n'),
+    lambda p: contains(trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), chr(10)))) FROM own
 ), forms AS (
-  SELECT row_id, doc_id, whole, {_canonical_sql('text')} AS form FROM parts
+  SELECT row_id, doc_id, kind, text, {_canonical_sql('text')} AS form FROM parts
 ), looked AS (
-  SELECT row_id, doc_id, whole, licence
-  FROM forms LEFT JOIN known ON form <> '' AND sha256(form) = digest
+  SELECT row_id, doc_id, kind, text, form, licence FROM forms LEFT JOIN known ON form <> '' AND sha256(form) = digest
+), counted AS (
+  SELECT p.row_id, p.doc_id, p.kind, p.licence
+  FROM looked p JOIN looked w ON w.row_id = p.row_id AND w.kind = 'whole'
+  WHERE p.kind = 'line' OR (p.kind = 'paragraph' AND p.licence IS NOT NULL AND (w.licence IS NULL OR w.form <> p.form)
+    AND NOT list_contains(list_transform(string_split(p.text, chr(10)), lambda line: {_canonical_sql('line')}), p.form))
 )
-SELECT doc_id, max(licence) FILTER (whole) AS licence,
-  coalesce(string_agg(DISTINCT licence, ',' ORDER BY licence) FILTER (NOT whole), '') AS notices,
-  count(licence) FILTER (NOT whole) AS n_notices
-FROM looked GROUP BY row_id, doc_id
+SELECT w.doc_id, any_value(w.licence) AS licence,
+  coalesce(string_agg(DISTINCT c.licence, ',' ORDER BY c.licence), '') AS notices, count(c.licence) AS n_notices
+FROM looked w LEFT JOIN counted c ON c.row_id = w.row_id WHERE w.kind = 'whole' GROUP BY w.row_id, w.doc_id
 """

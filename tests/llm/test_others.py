@@ -4,6 +4,7 @@ import random
 import time
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -248,6 +249,14 @@ def test_norms_at_the_ends_of_double(spark):
     assert all(len({r["vec_id"] for r in got if r["query_id"] == q}) == 89 for q in (0, 30, 60))
 
 
+def assert_as_in_sql(spark, data):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", data)
+    got = [tuple(r) for r in licences.licence_scan(documents(spark, data)).collect()]
+    assert sorted(got, key=repr) == sorted(con.sql(licences.SCAN_SQL).fetchall(), key=repr)
+
+
 def test_titled_and_wrapped_licences(spark):
     text = dict(TEXTS[:5]) | dict(MORE_TEXTS)
     mpl = ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not "
@@ -256,6 +265,7 @@ def test_titled_and_wrapped_licences(spark):
             (3, "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n" + text["BSD-3-Clause"]),
             (4, text["Unlicense"]), (5, "a\n\n(c) 1999\nReleased under the MIT License.\n\nb"), (6, mpl)]
     got = {r["doc_id"]: (r["licence"], r["notices"], r["n_notices"]) for r in licences.licence_scan(documents(spark, data)).collect()}
+    assert_as_in_sql(spark, [*data, (7, None), (8, ""), (9, f"{mpl}\n\n{mpl}\n\nReleased under the MIT License."), (None, "x")])
     assert got == {1: ("MIT", "", 0), 2: (None, "MPL-2.0", 1), 3: ("BSD-3-Clause", "", 0), 4: ("Unlicense", "Unlicense", 1),
                    5: (None, "MIT", 1), 6: ("MPL-2.0", "", 0)}
 
