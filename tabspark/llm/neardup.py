@@ -14,8 +14,9 @@ star), and the verified links give components.  What is left are members outside
 component of their bucket's least member.  Blocks of them meet blocks of the bucket's
 members, with their registers and shingles, and all pairs of different components are looked at inside
 the task: a pair whose registers differ too much is ruled out (at ``DOUBT`` standard deviations, a pair at
-0.8 once in a million), any other is verified, once over all the bands it shares; a link is a row, a pair is not, and
-one link between a member and a component is enough.
+0.8 once in a million), any other is verified, once over all the bands it shares.  A member is compared with a whole block
+at a time; a link is a row, a pair is not, and components that the task's links connect are not compared again.  The
+links are between components, so what remains is a graph of these.
 
 Hot groups: buckets are reduced by partial aggregates and joins that AQE
 splits; a block holds at most some ``BLOCK_ROWS`` members or ``BLOCK_BYTES`` of shingles, so a
@@ -188,8 +189,8 @@ def unpacked(elements: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
 def probability_jaccard(e1: np.ndarray, w1: np.ndarray, e2: np.ndarray, w2: np.ndarray) -> float:
     """Exact: the sum over common i of 1 / (sum over j of max(x_j / x_i, y_j / y_i)).
 
-    Elements with the same pair of weights give the same term, so the sums run
-    over the few distinct pairs.
+    The maximum is x_j / x_i where j's ratio x / y is at least that of i, else y_j / y_i: with the
+    elements in order of this ratio the inner sums are running sums.
     """
     every = np.union1d(e1, e2)
     x, y = np.zeros(len(every)), np.zeros(len(every))
@@ -197,10 +198,22 @@ def probability_jaccard(e1: np.ndarray, w1: np.ndarray, e2: np.ndarray, w2: np.n
     np.add.at(y, np.searchsorted(every, e2), w2)
     if (x <= 1).all() and (y <= 1).all():
         return float((x * y).sum() / max(1, len(every)))
-    pairs, n = np.unique(np.stack([x, y], axis=1), axis=0, return_counts=True)
-    common = pairs.min(axis=1) > 0
-    terms = [c / np.maximum(pairs[:, 0] / p[0], pairs[:, 1] / p[1]).dot(n) for p, c in zip(pairs[common], n[common])]
-    return float(sum(terms))
+    both = (x > 0) & (y > 0)
+    own_x, own_y = x[both], y[both]
+    order = np.argsort(own_x / own_y, kind="stable")
+    own_x, own_y = own_x[order], own_y[order]
+    x_from = x.sum() - np.cumsum(own_x) + own_x
+    y_before = y.sum() - own_y.sum() + np.cumsum(own_y) - own_y
+    return float((1 / (x_from / own_x + y_before / own_y)).sum())
+
+
+def merged(elements: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray | None]:
+    """(elements, weights) with every element once; no weights: all are 1."""
+    e = np.frombuffer(elements, "<u4")
+    if len(e) > 1 and (e[1:] == e[:-1]).any():  # 32 bits of two elements may be equal
+        e, place = np.unique(e, return_inverse=True)
+        return e, np.bincount(place, unpacked(elements, weights)[1]).astype(np.uint32)
+    return e, np.frombuffer(weights, "<u4") if weights else None
 
 
 def similarity_of(a: tuple[np.ndarray, np.ndarray | None], b: tuple[np.ndarray, np.ndarray | None]) -> float:
@@ -213,13 +226,53 @@ def similarity_of(a: tuple[np.ndarray, np.ndarray | None], b: tuple[np.ndarray,
     return probability_jaccard(e1, w1, e2, w2)
 
 
+class Many:
+    """Sets (elements, weights) that others are compared with, many at a time."""
+
+    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray | None]]):
+        self.every, place = np.unique(np.concatenate([e for e, _ in sets]), return_inverse=True)
+        self.place = place.ravel()
+        self.first = np.concatenate([[0], np.cumsum([len(e) for e, _ in sets])])
+        self.weight = np.concatenate([np.ones(len(e)) if w is None else w for e, w in sets]).astype(float)
+        self.total = np.add.reduceat(self.weight, self.first[:-1])
+        self.own = np.zeros(len(self.every))
+
+    def similarities(self, one: tuple[np.ndarray, np.ndarray | None], which: np.ndarray) -> np.ndarray:
+        """Probability Jaccard of ``one`` with each of the sets ``which``, up to rounding (see ``probability_jaccard``)."""
+        n = len(which)
+        e, w = one
+        w = np.ones(len(e)) if w is None else w.astype(float)
+        at = np.minimum(np.searchsorted(self.every, e), len(self.every) - 1)
+        known = self.every[at] == e
+        self.own[at[known]] = w[known]
+        size = self.first[which + 1] - self.first[which]
+        index = np.arange(size.sum()) + np.repeat(self.first[which] - np.cumsum(size) + size, size)
+        pair, x, y = np.repeat(np.arange(n), size), self.own[self.place[index]], self.weight[index]
+        self.own[at[known]] = 0
+        # A pair's elements of weight 1 on both sides are one item, the other common ones an item each.
+        plain = (x == 1) & (y == 1)
+        others = np.flatnonzero((x > 0) & ~plain)
+        pair, count = (np.concatenate([np.arange(n), pair[others]]),
+                       np.concatenate([np.bincount(pair[plain], minlength=n), np.ones(len(others))]))
+        x, y = (np.concatenate([np.ones(n), v[others]]) for v in (x, y))
+        order = np.lexsort((x / y, pair))
+        pair, count, x, y = pair[order], count[order], x[order], y[order]
+        head = np.searchsorted(pair, np.arange(n))
+        x_before, y_before = np.cumsum(count * x) - count * x, np.cumsum(count * y) - count * y
+        x_from = w.sum() - x_before + x_before[head][pair]
+        y_missing = self.total[which] - np.bincount(pair, count * y, minlength=n)
+        y_before = y_before - y_before[head][pair] + y_missing[pair]
+        # No elements of weight 1 on both sides: nothing to add, and the divisor may be 0.
+        return np.bincount(pair, count / np.where(count > 0, x_from / x + y_before / y, 1), minlength=n)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(u, v, similarity) of each pair (u, v)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v, *packed = (c.to_pylist() for c in batch.columns)
-            similar = [probability_jaccard(*unpacked(a, b), *unpacked(c, d)) for a, b, c, d in zip(*packed)]
+            similar = [similarity_of(merged(a, b), merged(c, d)) for a, b, c, d in zip(*packed)]
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()),
                                               pa.array(similar, pa.float64())], ["u", "v", "similarity"])
 
@@ -236,8 +289,8 @@ def stars(buckets: DataFrame) -> DataFrame:
     return checkpointed(buckets.join(least, "bucket").select("bucket", "u", "v"))
 
 
-def links_between(classes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """(u, v, similarity): verified links that connect whatever the buckets' verified pairs connect."""
+def components_of(classes: DataFrame, rows: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Twice (node, component): of the links to the least members of the buckets, and of these components as nodes."""
     members = stars(classes.select(F.col("node").alias("u"), F.explode("bands").alias("bucket")))
     ids = members.select(F.col("u").alias("node")).distinct()
     known = checkpointed(classes.join(ids, "node").select("node", "key", "bands", "registers"))
@@ -247,9 +300,8 @@ def links_between(classes: DataFrame, rows: DataFrame, similarity: float) -> Dat
     text_of = rows.withColumn("key", F.md5(F.col("text").cast("binary"))).join(wanted, ["node", "key"])
     sets = checkpointed(weighted_shingles(text_of).dropDuplicates(["node"]))
     star = verified(members.select("u", "v").where("u != v").distinct(), sets)
-    links = checkpointed(star.where(F.col("similarity") >= similarity))
-    group = checkpointed(components(links))
-    return links.unionByName(links_outside(members, known, sets, group, similarity))
+    group = checkpointed(components(star.where(F.col("similarity") >= similarity)))
+    return group, components(links_outside(members, known, sets, group, similarity))
 
 
 def least_equal(registers: int, similarity: float) -> int:
@@ -258,8 +310,8 @@ def least_equal(registers: int, similarity: float) -> int:
 
 
 def links_outside(members: DataFrame, known: DataFrame, sets: DataFrame, group: DataFrame, similarity: float) -> DataFrame:
-    """(u, v, similarity): links between components that share a bucket, one at least for each member and component
-    that have any."""
+    """(u, v, similarity): components with members of one bucket that are near duplicates; enough of them to connect
+    whatever such members connect."""
     spark = members.sparkSession
     of = lambda c, name: group.select(F.col("node").alias(c), F.col("component").alias(name))
     placed = (members.join(of("u", "cu"), "u", "left").join(of("v", "cv"), "v", "left")
@@ -290,25 +342,36 @@ def links_outside(members: DataFrame, known: DataFrame, sets: DataFrame, group:
             .repartition(groups, "task").groupBy("task").applyInArrow(run, "u long, v long, similarity double"))
 
 
+def equal_registers(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many registers of each row of ``a`` and each row of ``b`` are equal."""
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    out = np.zeros((a.shape[1], b.shape[1]), dtype=np.uint32)
+    for k in range(0, len(a), 255):
+        some = np.zeros(out.shape, dtype=np.uint8)
+        for x, y in zip(a[k:k + 255], b[k:k + 255]):
+            some += (x[:, None] == y[None]).view(np.uint8)
+        out += some
+    return out
+
+
 def outside_block_links(table: pa.Table, similarity: float) -> pa.Table:
-    """Links of many pairs of blocks: members that ask (outside) against members of their bucket."""
+    """Links of many pairs of blocks: members that ask (outside) against members of their bucket.
+
+    Components that the links found so far connect are not compared again.
+    """
     table = table.combine_chunks()
     bucket, u, c, i, j = (table.column(k).to_numpy() for k in ("bucket", "u", "c", "i", "j"))
     outside, asks = (table.column(k).to_numpy(zero_copy_only=False) for k in ("outside", "asks"))
     n = len(u)
     bands = np.stack([x.values.to_numpy() for x in table.column("bands")]) if n else np.zeros((0, 1), np.int64)
     registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(n, -1)
-    elements, weights = table.column("elements").to_pylist(), table.column("weights").to_pylist()
+    elements, weights = table.column("elements"), table.column("weights")
     least = least_equal(registers.shape[1], similarity)
-    unpacked_sets: dict[int, tuple] = {}
+    names, part = np.unique(c, return_inverse=True)
+    whole = np.arange(len(names))  # parts that links connect have one number
 
     def own_set(r: int) -> tuple[np.ndarray, np.ndarray | None]:
-        if u[r] not in unpacked_sets:
-            e = np.frombuffer(elements[r], "<u4")
-            repeated = len(e) > 1 and bool((e[1:] == e[:-1]).any())
-            w = unpacked(elements[r], weights[r])[1] if weights[r] or repeated else None
-            unpacked_sets[u[r]] = (e, w)
-        return unpacked_sets[u[r]]
+        return merged(elements[r].as_py(), weights[r].as_py())
 
     found = []
     order = np.lexsort((j, i, bucket))
@@ -318,26 +381,34 @@ def outside_block_links(table: pa.Table, similarity: float) -> pa.Table:
         if not len(a) or not len(b):
             continue
         # Of two members that both ask, the smaller one does.
-        open_pair = (c[a][:, None] != c[b][None]) & (~outside[b][None] | (u[a][:, None] < u[b][None]))
-        rows, cols = np.nonzero(open_pair)
-        equal = np.concatenate([(registers[a[rows[k:k + 65536]]] == registers[b[cols[k:k + 65536]]]).sum(axis=1)
-                                for k in range(0, len(rows), 65536)] or [np.zeros(0, int)])
-        near = equal >= least
-        rows, cols, equal = rows[near], cols[near], equal[near]
-        shared = bands[a[rows]] == bands[b[cols]]
-        first = bands[a[rows], shared.argmax(axis=1)] == bucket[run[0]]  # a pair is looked at in the first band it shares
-        rows, cols, equal = rows[first], cols[first], equal[first]
-        linked = set()
-        closest = np.argsort(-equal, kind="stable")
-        for r, k in zip(rows[closest].tolist(), cols[closest].tolist()):
-            x, y = a[r], b[k]
-            if (x, c[y]) in linked:
+        pair = (whole[part[a]][:, None] != whole[part[b]][None]) & (~outside[b][None] | (u[a][:, None] < u[b][None]))
+        for k in range(int((bands[a[0]] == bucket[a[0]]).argmax())):  # a pair is looked at in the first band it shares
+            pair &= bands[a, k][:, None] != bands[b, k][None]
+        if not pair.any():
+            continue
+        equal = equal_registers(registers[a], registers[b])
+        pair &= equal >= least
+        asked = np.flatnonzero(pair.any(axis=0))
+        if not len(asked):
+            continue
+        pair, equal, b = pair[:, asked], equal[:, asked], b[asked]
+        sets = [own_set(y) for y in b]
+        many = Many(sets)
+        for r in np.flatnonzero(pair.any(axis=1)):
+            near = np.flatnonzero(pair[r] & (whole[part[b]] != whole[part[a[r]]]))
+            if not len(near):
                 continue
-            s = similarity_of(own_set(x), own_set(y))
-            if s >= similarity:
-                linked.add((x, c[y]))
-                found.append((max(u[x], u[y]), min(u[x], u[y]), s))
-        unpacked_sets.clear()
+            own = own_set(a[r])
+            similar = many.similarities(own, near)
+            near = near[similar >= similarity - 1e-6]
+            for k in near[np.argsort(-equal[r, near].astype(int), kind="stable")].tolist():
+                x, y = part[a[r]], part[b[k]]
+                if whole[x] == whole[y]:
+                    continue
+                s = similarity_of(own, sets[k])
+                if s >= similarity:
+                    whole[whole == whole[x]] = whole[y]
+                    found.append((max(names[x], names[y]), min(names[x], names[y]), s))
     columns = list(zip(*found)) or [[], [], []]
     return pa.table([pa.array(col, t) for col, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], ["u", "v", "similarity"])
 
@@ -348,9 +419,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     rows = rows_of(docs)
     classes = checkpointed(banded(rows, bands, per_band).groupBy("key")
                            .agg(F.min("node").alias("node"), *[F.first(c).alias(c) for c in ("bands", "registers")]))
-    group = components(links_between(classes, rows, similarity))
-    named = (classes.select("key", "node").join(group, "node", "left")
-             .select("key", F.col("node").alias("copy_id"), F.coalesce("component", "node").alias("class_id")))
+    group, joined = components_of(classes, rows, similarity)
+    own = (classes.select("key", "node").join(group, "node", "left")
+           .select("key", F.col("node").alias("copy_id"), F.coalesce("component", "node").alias("node")))
+    named = own.join(joined, "node", "left").select("key", "copy_id", F.coalesce("component", "node").alias("class_id"))
     return (rows.select("doc_id", "node", F.md5(F.col("text").cast("binary")).alias("key")).join(named, "key")
             .select("doc_id", "copy_id", "class_id", "node"))
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabspark.llm import neardup
@@ -103,6 +104,77 @@ def test_exact_similarity():
         assert neardup.probability_jaccard(*pack(x), *pack(y)) == pytest.approx(jaccard(x, y))
 
 
+def test_similarities_of_many():
+    rng = np.random.default_rng(1)
+    sets = []
+    for k in range(60):
+        e = np.sort(rng.choice(40, rng.integers(1, 25), replace=False)).astype("<u4")
+        sets.append((e, None if k % 3 else rng.integers(1, 4, len(e)).astype("<u4")))
+    sets[5] = (sets[5][0], np.full(len(sets[5][0]), 200, "<u4"))
+    sets[9] = (sets[9][0], rng.integers(1, 90, len(sets[9][0])).astype("<u4"))
+    many = neardup.Many(sets)
+    which = np.array([k for k in range(60) if k % 7])
+    counts = [Counter(dict(zip(e.tolist(), [1] * len(e) if w is None else w.tolist()))) for e, w in sets]
+    for one in (0, 1, 2, 3, 5, 9, 30):
+        expected = [jaccard(counts[one], counts[k]) for k in which]
+        assert many.similarities(sets[one], which) == pytest.approx(expected)
+        assert [neardup.similarity_of(sets[one], sets[k]) for k in which] == pytest.approx(expected)
+
+
+def block(texts, components):
+    """One bucket of members that all ask, as a table of ``outside_block_links``."""
+    n = len(texts)
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in data])])
+    found = neardup.shingles(np.frombuffer(b"".join(data), np.uint8), offsets)
+    registers = neardup.signatures(*found, n, neardup.BANDS * neardup.ROWS)
+    elements = [(found[1][found[0] == d] >> np.uint64(neardup.ELEMENT_BITS - 32)).astype("<u4").tobytes() for d in range(n)]
+    weights = [found[2][found[0] == d].astype("<u4").tobytes() for d in range(n)]
+    rows = [{"bucket": 0, "u": d, "c": c, "outside": True, "asks": asks, "i": 0, "j": 0, "elements": elements[d], "weights": weights[d],
+             "bands": [0] * neardup.BANDS, "registers": neardup.fingerprints(registers)[d].tobytes()}
+            for asks in (True, False) for d, c in enumerate(components)]
+    return pa.Table.from_pylist(rows)
+
+
+def changed(rng, base, n, count):
+    """``count`` copies of ``base`` with ``n`` words changed in each."""
+    out = []
+    for k in range(count):
+        own = base.split()
+        for at in rng.sample(range(5, len(own) - 5), n):
+            own[at] = f"other{k}x{at}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("passage", ["", " " + "this is said again and again" * 30])
+def test_many_copies_that_are_not_near_enough(monkeypatch, passage):
+    """Pairs of a hot bucket below the limit are ruled out a block at a time, not by one comparison each."""
+    rng = random.Random(4)
+    texts = [t + passage for t in changed(rng, prose(rng, 200, 9000), 3, 120)]  # most pairs: a similarity of 0.7 to 0.8
+    seen, one = [], neardup.similarity_of
+    monkeypatch.setattr(neardup, "similarity_of", lambda a, b: seen.append(1) or one(a, b))
+    table = block(texts, range(120))
+    found = neardup.outside_block_links(table, 0.8).to_pylist()
+    assert len(seen) < 240  # there are 7140 pairs
+    sets = [neardup.merged(r["elements"], r["weights"]) for r in table.to_pylist()[:120]]
+    own = {i: i for i in range(120)}
+    every = dict(own)
+    near = [(b, a) for a in range(120) for b in range(a) if one(sets[a], sets[b]) >= 0.8]
+    for links, parts in ((near, every), ([(r["v"], r["u"]) for r in found], own)):
+        for v, u in links:
+            old, new = max(parts[u], parts[v]), min(parts[u], parts[v])
+            parts.update({k: new for k in parts if parts[k] == old})
+    assert own == every
+
+
+def test_one_link_between_two_components():
+    rng = random.Random(6)
+    texts = changed(rng, prose(rng, 200, 9000), 1, 40)
+    found = neardup.outside_block_links(block(texts, [0, 1000] * 20), 0.8).to_pylist()
+    assert [(r["u"], r["v"]) for r in found] == [(1000, 0)] and found[0]["similarity"] >= 0.8
+
+
 def test_registers_estimate_similarity():
     """The share of equal registers is the probability Jaccard similarity, for weighted sets too."""
     x, y = {i: 1 + i % 3 for i in range(60)}, {i: 1 + i % 2 for i in range(20, 90)}
@@ -121,3 +193,13 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 30)] + [(100, 90), (90, 95), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert got == {i: 1 for i in range(1, 31)} | {90: 90, 95: 90, 100: 90}
+    rng = random.Random(2)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
+    links += links[:50] + [(7000, i) for i in range(6900, 6990)]  # links that come twice, a hub
+    least = {n: n for link in links if link[0] != link[1] for n in link}
+    for _ in least:
+        for u, v in links:
+            if u != v:
+                least[u] = least[v] = min(least[u], least[v])
+    got = components(spark.createDataFrame(links, "u long, v long").repartition(7)).collect()
+    assert len(got) == len(least) and {r["node"]: r["component"] for r in got} == least
